@@ -3,9 +3,9 @@
 The reference computes the remark with a UDAF that keeps a city -> count map
 per group.  Here it is two native aggregations: counts per (area, product,
 city), then per (area, product) the total, the number of cities and the two
-biggest cities (``row_number() <= 2``, which Catalyst turns into a partial
-WindowGroupLimit before the shuffle).  No map buffer and no list of cities is
-ever collected.
+biggest cities in one window pass (a group holds one row per city, so it is
+bounded by the city table).  No map buffer and no list of cities is ever
+collected.
 """
 
 from __future__ import annotations
@@ -36,17 +36,24 @@ def city_share(actions: DataFrame, cities: DataFrame, c: Conditions) -> DataFram
     it by 100 too much; both are fixed.)
     """
     pc = area_city_clicks(actions, cities)
-    totals = pc.groupBy("area", "product_id").agg(
-        F.sum("n").alias("cnt"), F.count(F.lit(1)).alias("n_cities"))
-    w = Window.partitionBy("area", "product_id").orderBy(F.desc("n"), F.asc("city_name"))
+    # One pass over the (area, product, city) counts: a group has at most one
+    # row per city, so its size is bounded by the city table, not the log.
+    w_all = Window.partitionBy("area", "product_id")
+    w_ord = w_all.orderBy(F.desc("n"), F.asc("city_name"))
     r = F.col("r")
-    top2 = (pc.withColumn("r", F.row_number().over(w)).where(r <= 2)
-            .groupBy("area", "product_id").agg(
-                F.max(F.when(r == 1, F.col("city_name"))).alias("city1"),
-                F.max(F.when(r == 1, F.col("n"))).alias("n1"),
-                F.max(F.when(r == 2, F.col("city_name"))).alias("city2"),
-                F.max(F.when(r == 2, F.col("n"))).alias("n2")))
-    j = totals.join(top2, ["area", "product_id"])
+    ranked = pc.select(
+        "area", "product_id", "city_name", "n",
+        F.sum("n").over(w_all).alias("cnt"),
+        F.count(F.lit(1)).over(w_all).alias("n_cities"),
+        F.row_number().over(w_ord).alias("r"),
+    ).where(r <= 2)
+    j = ranked.groupBy("area", "product_id").agg(
+        F.max("cnt").alias("cnt"),
+        F.max("n_cities").alias("n_cities"),
+        F.max(F.when(r == 1, F.col("city_name"))).alias("city1"),
+        F.max(F.when(r == 1, F.col("n"))).alias("n1"),
+        F.max(F.when(r == 2, F.col("city_name"))).alias("city2"),
+        F.max(F.when(r == 2, F.col("n"))).alias("n2"))
     p1 = percent_half_up(F.col("n1"), F.col("cnt"))
     p2 = percent_half_up(F.col("n2"), F.col("cnt"))
     part1 = F.concat(F.col("city1"), F.lit(":"), p1.cast("string"))

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from shoplens.functions import percent_half_up, tie_columns
 from shoplens.params import Conditions
-from shoplens.plans.joins import broadcast_bounded
 
 
 def _order_keys(actions: DataFrame) -> list[str]:
@@ -24,27 +23,31 @@ def page_steps(actions: DataFrame) -> DataFrame:
     neighbours; across hours, each hour's last page pairs with the first page
     of the session's next non-empty hour, found with ``lead`` over one summary
     row per (session, hour).  No task ever sorts a whole session, and the
-    result equals ``lead`` over the whole session.
+    result equals ``lead`` over the whole session.  The summary aggregate
+    reuses the window's (session, hour) partitioning, so it adds no shuffle.
     """
     keys = _order_keys(actions)
     rows = actions.select("session_id", F.substring("action_time", 1, 13).alias("hour"),
                           *keys, *([] if "page_id" in keys else ["page_id"]))
     w_in = Window.partitionBy("session_id", "hour").orderBy(*keys)
-    inner = rows.select(F.col("page_id").alias("pre_page"),
-                        F.lead("page_id").over(w_in).alias("post_page"),
-                        F.lead(F.lit(True)).over(w_in).alias("has_next"))
-    inner = inner.where(F.col("has_next")).drop("has_next")
+    seq = rows.select(
+        "session_id", "hour",
+        F.col("page_id").alias("pre_page"),
+        F.lead("page_id").over(w_in).alias("post_page"),
+        F.lead(F.lit(True)).over(w_in).isNull().alias("is_last"),
+        (F.row_number().over(w_in) == 1).alias("is_first"),
+    )
+    inner = seq.where(~F.col("is_last")).select("pre_page", "post_page")
 
-    pos = F.struct(*[F.col(k) for k in keys])
-    edges = rows.groupBy("session_id", "hour").agg(
-        F.min_by("page_id", pos).alias("first_page"),
-        F.max_by("page_id", pos).alias("last_page"),
+    edges = seq.where(F.col("is_first") | F.col("is_last")).groupBy("session_id", "hour").agg(
+        F.max(F.when(F.col("is_first"), F.col("pre_page"))).alias("first_page"),
+        F.max(F.when(F.col("is_last"), F.col("pre_page"))).alias("last_page"),
     )
     w_hours = Window.partitionBy("session_id").orderBy("hour")
     cross = edges.select(F.col("last_page").alias("pre_page"),
                          F.lead("first_page").over(w_hours).alias("post_page"),
                          F.lead(F.lit(True)).over(w_hours).alias("has_next"))
-    cross = cross.where(F.col("has_next")).drop("has_next")
+    cross = cross.where(F.col("has_next")).select("pre_page", "post_page")
     return inner.unionByName(cross)
 
 
@@ -58,16 +61,19 @@ def page_conversion(actions: DataFrame, c: Conditions, include_zero: bool = Fals
     """
     flow = c.require_flow()
     pairs = sorted(set(zip(flow, flow[1:])))
-    spark: SparkSession = actions.sparkSession
-    targets = spark.createDataFrame(pairs, "pre_page bigint, post_page bigint")
-    visits = (actions.where(F.col("page_id").isin(list(flow[:-1])))
+    # The target pairs are a parameter list: a plain IN filter, no join.
+    wanted = F.struct("pre_page", "post_page").isin(
+        [F.struct(F.lit(int(a)).cast("bigint").alias("pre_page"),
+                  F.lit(int(b)).cast("bigint").alias("post_page")) for a, b in pairs]
+    ) if pairs else F.lit(False)
+    visits = (actions.where(F.col("page_id").isin([int(p) for p in flow[:-1]]))
               .groupBy("page_id").agg(F.count(F.lit(1)).alias("visits")))
-    jumps = (page_steps(actions)
-             .join(broadcast_bounded(targets, len(pairs)), ["pre_page", "post_page"], "left_semi")
+    jumps = (page_steps(actions).where(wanted)
              .groupBy("pre_page", "post_page").agg(F.count(F.lit(1)).alias("jumps")))
     if include_zero:
-        jumps = (broadcast_bounded(targets, len(pairs))
-                 .join(jumps, ["pre_page", "post_page"], "left")
+        spark: SparkSession = actions.sparkSession
+        targets = spark.createDataFrame(pairs, "pre_page bigint, post_page bigint")
+        jumps = (targets.join(jumps, ["pre_page", "post_page"], "left")
                  .select("pre_page", "post_page", F.coalesce("jumps", F.lit(0)).alias("jumps")))
     how = "left" if include_zero else "inner"
     out = jumps.join(visits, jumps.pre_page == visits.page_id, how)
