@@ -1,0 +1,45 @@
+from conftest import rows
+from helpers import actions, cities, products
+
+from shoplens.operators import areas
+from shoplens.params import DEFAULT_CONDITIONS
+
+C = DEFAULT_CONDITIONS
+
+
+def _clicks(spark, counts):
+    """counts: {(city_id, product_id): n} -> action log of clicks."""
+    specs = []
+    for (city, prod), n in counts.items():
+        specs += [dict(city_id=city, click_product_id=prod, click_category_id=1)] * n
+    return actions(spark, *specs)
+
+
+def test_city_share_one_two_three_cities(spark):
+    cty = cities(spark, (1, "ca", "A"), (2, "cb", "A"), (3, "cc", "A"))
+    acts = _clicks(spark, {(1, 10): 4,
+                           (1, 11): 1, (2, 11): 3,
+                           (1, 12): 1, (2, 12): 1, (3, 12): 1,
+                           (3, 13): 0})
+    got = dict(((r.product_id, r.remark) for r in areas.city_share(acts, cty, C).collect()))
+    assert got[10] == "ca:100.0"
+    assert got[11] == "cb:75.0,ca:25.0"
+    # equal counts: ties by name; "other" only for more than two cities
+    assert got[12] == "ca:33.3,cb:33.3,其他:33.4"
+    assert 13 not in got
+
+
+def test_non_clicks_excluded(spark):
+    cty = cities(spark, (1, "ca", "A"))
+    acts = actions(spark, dict(city_id=1, click_product_id=-1), dict(city_id=1, click_product_id=0),
+                   dict(city_id=1, click_product_id=5))
+    assert rows(areas.city_share(acts, cty, C), "product_id", "cnt") == [(5, 1)]
+
+
+def test_rank_ties_kept_and_unknown_product_leaves_gap(spark):
+    cty = cities(spark, (1, "ca", "A"))
+    acts = _clicks(spark, {(1, 1): 5, (1, 2): 4, (1, 3): 3, (1, 4): 3, (1, 5): 1})
+    shares = areas.city_share(acts, cty, C)
+    prods = products(spark, (2, "p2"), (3, "p3"), (4, "p4"), (5, "p5"))   # product 1 unknown
+    got = rows(areas.area_top_products(shares, prods, 3), "product_name", "cnt", "rk")
+    assert got == [("p2", 4, 2), ("p3", 3, 3), ("p4", 3, 3)]

@@ -1,0 +1,33 @@
+from conftest import rows
+from pyspark.sql import functions as F
+
+from shoplens.functions import ordered_join, percent_half_up, split_ids
+from shoplens.params import Conditions
+
+
+def test_split_ids_reference_cases(spark):
+    df = spark.createDataFrame([("1,,2,,",), (",,",), ("",), (None,), ("5,5",)], "t string")
+    got = [r[0] for r in df.select(split_ids("t").alias("ids")).collect()]
+    assert got == [["1", "", "2"], [], [""], None, ["5", "5"]]
+
+
+def test_percent_half_up_matches_operation_order(spark):
+    # round(a/b*100, 1) would give 28.7 for 23/80; the reference's order gives 28.8
+    df = spark.createDataFrame([(23, 80), (1, 3), (2, 3), (0, 0), (5, 5)], "a long, b long")
+    got = [r[0] for r in df.select(percent_half_up("a", "b")).collect()]
+    assert got == [28.8, 33.3, 66.7, 0.0, 100.0]
+
+
+def test_ordered_join_skips_nulls_and_orders(spark):
+    df = spark.createDataFrame([(1, "t2", 2, "b"), (1, "t1", 9, "a"), (1, "t1", 3, None), (2, "t", 1, None)],
+                               "g int, t string, e int, v string")
+    got = rows(df.groupBy("g").agg(ordered_join(F.col("v"), F.col("t"), F.col("e")).alias("s")))
+    assert got == [(1, "a,b"), (2, None)]
+
+
+def test_conditions_from_json_and_blank_bounds():
+    c = Conditions.from_json('{"startDate":"","endDate":"2024-01-25","startAge":"15","targetPageFlow":"1,2,3"}')
+    assert c.start_date is None and c.end_date == "2024-01-25"
+    assert c.start_age == 15 and c.end_age is None
+    assert c.page_flow == (1, 2, 3)
+    assert Conditions.from_json(c.to_json()).page_flow == (1, 2, 3)
