@@ -17,9 +17,10 @@ def with_day(clicks: DataFrame) -> DataFrame:
     return clicks.withColumn("day", F.date_format("ts", "yyyy-MM-dd"))
 
 
-def click_position(clicks: DataFrame) -> Column:
-    """Sort key of a click: event time, then the tie key when present."""
-    return F.struct(F.col("ts"), *[F.col(t) for t in tie_columns(clicks)])
+def click_position(clicks: DataFrame, epoch_col: str | None = None) -> Column:
+    """Sort key of a click: [micro-batch,] event time, then the tie key if any."""
+    lead = [F.col(epoch_col)] if epoch_col else []
+    return F.struct(*lead, F.col("ts"), *[F.col(t) for t in tie_columns(clicks)])
 
 
 # --- Q7 ------------------------------------------------------------------------
@@ -39,33 +40,40 @@ def blacklist(clicks: DataFrame, limit: int) -> DataFrame:
             .select("user_id").distinct())
 
 
-def blacklist_cutoff(clicks: DataFrame, limit: int) -> DataFrame:
+def blacklist_cutoff(clicks: DataFrame, limit: int, epoch_col: str | None = None) -> DataFrame:
     """Per blacklisted user, the position of the click that reached the limit.
 
-    That is the ``limit``-th click (by time, then tie key) of the (user, ad,
-    day) group that reaches it first.  ``row_number() = limit`` gets a partial
-    WindowGroupLimit: each task forwards at most ``limit`` rows per group.
+    That is the ``limit``-th click (by [micro-batch,] time, then tie key) of
+    the (user, ad, day) group that reaches it first.  ``row_number() = limit``
+    gets a partial WindowGroupLimit: each task forwards at most ``limit`` rows
+    per group, so a hot (user, ad, day) never ships its whole group.
     """
-    pos = click_position(clicks)
+    pos = click_position(clicks, epoch_col)
     w = Window.partitionBy("user_id", "ads_id", "day").orderBy(pos)
     hits = (with_day(clicks).withColumn("nth", F.row_number().over(w))
             .where(F.col("nth") == int(limit)))
     return hits.groupBy("user_id").agg(F.min(pos).alias("cutoff"))
 
 
-def clean_clicks(clicks: DataFrame, limit: int) -> DataFrame:
-    """Clicks that pass the blacklist, in event-time form.
+def clean_clicks(clicks: DataFrame, limit: int, epoch_col: str | None = None) -> DataFrame:
+    """Clicks that pass the blacklist.
 
-    A user's clicks up to and including the one that reaches the limit pass;
-    every later click of that user is dropped (any ad, any day).  This is the
-    stream's rule with one click per micro-batch; with coarser batches the
-    stream drops later, never earlier (see ``shoplens.streaming``).
+    Event-time form (no ``epoch_col``): a user's clicks up to and including
+    the one that reaches the limit pass; every later click of that user is
+    dropped (any ad, any day).  This is the stream's rule with one click per
+    micro-batch.  With ``epoch_col`` (the micro-batch of each click) the cut
+    is per micro-batch, as in the stream: the whole batch in which the user
+    reaches the limit passes, later batches are dropped.  The set of banned
+    users is the same in both forms.
     """
     cols = clicks.columns
-    cut = blacklist_cutoff(clicks, limit)
+    cut = blacklist_cutoff(clicks, limit, epoch_col)
     j = clicks.join(cut, "user_id", "left")
-    keep = F.col("cutoff").isNull() | (click_position(clicks) <= F.col("cutoff"))
-    return j.where(keep).select(*cols)
+    if epoch_col:
+        passed = F.col(epoch_col) <= F.col("cutoff")[epoch_col]
+    else:
+        passed = click_position(clicks) <= F.col("cutoff")
+    return j.where(F.col("cutoff").isNull() | passed).select(*cols)
 
 
 def drop_blacklisted(clicks: DataFrame, users: DataFrame) -> DataFrame:

@@ -1,0 +1,9 @@
+"""Result sinks: tables, JDBC, and versioned snapshot tables for streams."""
+
+from shoplens.sinks.tables import (  # noqa: F401
+    new_task_id,
+    save_jdbc,
+    save_table,
+    with_task_id,
+)
+from shoplens.sinks.versioned import VersionedTable  # noqa: F401

@@ -1,0 +1,99 @@
+"""Stream = batch: the ad log replayed as files, one micro-batch per file."""
+
+import os
+
+import pytest
+from conftest import SF01, rows
+from pyspark.sql import functions as F
+
+from shoplens.operators import ads
+from shoplens.sources.adlog import format_ad_lines, parse_ad_lines, read_ad_stream, valid_clicks
+from shoplens.sources.tables import FixtureTables
+from shoplens.streaming.pipeline import AdsStreamJob
+
+N_FILES = 5
+LIMIT = 3
+
+
+def _write_files(spark, src, n_files, bad_line_in=1):
+    clicks = FixtureTables(spark, SF01).ads_click()
+    lines = list(format_ad_lines(clicks.orderBy("ts", "event_id")).toPandas()["value"])
+    size = -(-len(lines) // n_files)
+    for i in range(n_files):
+        chunk = lines[i * size:(i + 1) * size]
+        if i == bad_line_in:
+            chunk = chunk[:5] + ["1704067200000 AFRICA NATION_0 7", "x AFRICA NATION_0 7 1"] + chunk[5:]
+        path = os.path.join(src, f"part-{i:03d}.txt")
+        with open(path, "w") as f:
+            f.write("\n".join(chunk) + "\n")
+        os.utime(path, (1_700_000_000 + i * 10, 1_700_000_000 + i * 10))
+    return len(lines)
+
+
+def _batch_clicks(spark, src):
+    """The same lines read as a table, with the micro-batch (file) of each line."""
+    raw = spark.read.text(src).withColumn("epoch", F.regexp_extract(
+        F.input_file_name(), r"part-(\d+)\.txt", 1).cast("int"))
+    parsed = parse_ad_lines(raw)
+    return parsed.where("is_valid").select("ts", "area", "city", "user_id", "ads_id", "epoch")
+
+
+def _run(job, lines):
+    for q in (job.start_guard(lines), job.start_quarantine(lines)):
+        q.awaitTermination(600)
+    for q in (job.start_totals(), job.start_last_hour()):
+        q.awaitTermination(600)
+
+
+@pytest.fixture(scope="module")
+def streamed(spark, tmp_path_factory):
+    base = tmp_path_factory.mktemp("adstream")
+    src = str(base / "in")
+    os.makedirs(src)
+    n = _write_files(spark, src, N_FILES)
+    job = AdsStreamJob(spark, root=str(base / "out"), limit=LIMIT, clean_max_files=6)
+    _run(job, read_ad_stream(spark, src, max_files_per_trigger=1))
+    return job, _batch_clicks(spark, src), n
+
+
+def test_blacklist_set_equals_batch(spark, streamed):
+    job, batch, _ = streamed
+    assert rows(job.blacklist_batch()) == rows(ads.blacklist(batch.drop("epoch"), LIMIT))
+
+
+def test_clean_rows_equal_batch_with_same_cuts(spark, streamed):
+    job, batch, n = streamed
+    expect = ads.clean_clicks(batch, LIMIT, epoch_col="epoch").drop("epoch")
+    got = job.clean_batch()
+    assert rows(got) == rows(expect)
+    assert 0 < got.count() < n
+
+
+def test_quarantine_keeps_bad_lines(spark, streamed):
+    job, _, _ = streamed
+    q = spark.read.parquet(job.path("quarantine"))
+    assert sorted(r.reason for r in q.collect()) == ["bad ts", "expected 5 fields"]
+
+
+def test_totals_and_top_ads_equal_batch(spark, streamed):
+    job, _, _ = streamed
+    clean = job.clean_batch()
+    per_day = ads.ads_per_day(clean)
+    assert rows(job.latest("ads_per_day")) == rows(per_day)
+    assert rows(job.latest("area_top_ads")) == rows(ads.area_top_ads(per_day, 3))
+    assert rows(job.latest("area_top_ads_json")) == rows(ads.area_top_ads_json(ads.area_top_ads(per_day, 3)))
+    versions = job.table("ads_per_day").versions()
+    assert len(versions) > 1 and versions == list(range(len(versions)))
+
+
+def test_last_hour_equals_batch(spark, streamed):
+    job, _, _ = streamed
+    assert rows(job.last_hour_trend()) == rows(ads.last_hour_trend(job.clean_batch(), 60))
+
+
+def test_replayed_batch_is_skipped(spark, streamed):
+    job, _, _ = streamed
+    before = rows(job.latest("last_hour"))
+    last = job.table("last_hour").latest()
+    job.write_last_hour(spark.createDataFrame([], "ads_id int, m timestamp, n long"), last)
+    assert rows(job.latest("last_hour")) == before
