@@ -97,3 +97,26 @@ def test_replayed_batch_is_skipped(spark, streamed):
     last = job.table("last_hour").latest()
     job.write_last_hour(spark.createDataFrame([], "ads_id int, m timestamp, n long"), last)
     assert rows(job.latest("last_hour")) == before
+
+
+def test_restart_from_checkpoint_gives_same_result(spark, tmp_path_factory):
+    """Stop after two files, add the rest, restart: same as one run."""
+    base = tmp_path_factory.mktemp("adrestart")
+    src, stage = str(base / "in"), str(base / "stage")
+    os.makedirs(src)
+    os.makedirs(stage)
+    _write_files(spark, stage, 4, bad_line_in=-1)
+    names = sorted(os.listdir(stage))
+    job = AdsStreamJob(spark, root=str(base / "out"), limit=LIMIT)
+    for part in (names[:2], names[2:]):
+        for name in part:
+            t = os.stat(os.path.join(stage, name)).st_mtime
+            with open(os.path.join(stage, name)) as f, open(os.path.join(src, name), "w") as g:
+                g.write(f.read())
+            os.utime(os.path.join(src, name), (t, t))
+        _run(job, read_ad_stream(spark, src, max_files_per_trigger=1))
+    batch = _batch_clicks(spark, src)
+    assert rows(job.clean_batch()) == rows(ads.clean_clicks(batch, LIMIT, epoch_col="epoch").drop("epoch"))
+    assert rows(job.blacklist_batch()) == rows(ads.blacklist(batch.drop("epoch"), LIMIT))
+    assert rows(job.last_hour_trend()) == rows(ads.last_hour_trend(job.clean_batch(), 60))
+    assert rows(job.latest("ads_per_day")) == rows(ads.ads_per_day(job.clean_batch()))
