@@ -26,12 +26,20 @@ BASE_CONF = {
 }
 
 
-def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
+def build_session(master: str | None = "local[*]", shuffle_partitions: int | None = 8,
                   app_name: str = "shoplens", extra: dict | None = None) -> SparkSession:
-    """A local session for tests and the bench (cluster jobs get theirs from submit)."""
-    builder = SparkSession.builder.master(master).appName(app_name)
+    """A session with the settings above.
+
+    Tests and the bench pass a local master; under ``spark-submit`` pass
+    ``master=None`` and ``shuffle_partitions=None`` so the submit
+    configuration decides (AQE then sizes partitions at run time).
+    """
+    builder = SparkSession.builder.appName(app_name)
+    if master:
+        builder = builder.master(master)
     conf = dict(BASE_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if shuffle_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
@@ -44,12 +52,16 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster that setting points at shared storage and is only read here.
-    Only when it is unset (local tests) a fresh scratch folder is made.
+    On a cluster that setting points at shared storage and is only read here;
+    a cluster session without it is an error, because a machine-local folder
+    would not survive the loss of the machine.  Only a local-mode session
+    (tests, the bench) gets a fresh scratch folder when it is unset.
     """
     path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a shared folder (e.g. on HDFS or S3)")
         path = tempfile.mkdtemp(prefix="shoplens-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
