@@ -5,7 +5,8 @@ of the shop tables.  The shapes follow the job list of the reference:
 
     Q0  filter_actions(actions, users, c)
     Q1  session_stats(actions, c), session_lengths(actions)
-    Q2  session_profile(actions), hourly_quota(profile, c), session_sample(profile, c)
+    Q2  session_profile(actions), hourly_quota(profile, c), session_sample(profile, c),
+        sample_profiles(actions, c)
     Q3  category_top(actions, k)
     Q4  category_top_sessions(actions, top, k)
     Q5  page_conversion(actions, c)
@@ -49,6 +50,11 @@ def session_sample(profile: DataFrame, c: Conditions, salt_buckets: int = 32) ->
     return _sessions.session_sample(profile, _sessions.hourly_quota(profile, c), c, salt_buckets)
 
 
+def sample_profiles(actions: DataFrame, c: Conditions, salt_buckets: int = 32) -> DataFrame:
+    """Q2 sample from the action log; lists are built for the picked sessions only."""
+    return _sessions.sample_profiles(actions, c, salt_buckets)
+
+
 def city_share(actions: DataFrame, cities: DataFrame, c: Conditions) -> DataFrame:
     return _areas.city_share(actions, cities, c)
 

@@ -56,16 +56,12 @@ def tie_columns(df: DataFrame) -> list[str]:
     return ["event_id"] if "event_id" in df.columns else []
 
 
-def ordered_join(value, *order_keys, sep: str = ",") -> Column:
-    """Aggregate: join the non-null ``value``s of a group, ordered by keys.
+def ordered_join(value_sql: str, order_sql: list[str], sep: str = ",") -> Column:
+    """Aggregate: join the non-null values of a group, ordered by keys.
 
-    ``concat_ws(sep, transform(array_sort(collect_list(struct(keys.., v))), x -> x.v))``;
-    null values are left out of the list (the struct is null for them).
-    Returns null when the group has no value.
+    ``listagg(value, sep) WITHIN GROUP (ORDER BY keys)``, the SQL standard
+    ordered string aggregate (Spark 4).  ``value_sql`` and ``order_sql`` are
+    SQL expressions.  Nulls are left out; a group without any value gives null.
     """
-    v = _c(value)
-    keys = [_c(k) for k in order_keys]
-    names = [f"k{i}" for i in range(len(keys))]
-    item = F.when(v.isNotNull(), F.struct(*[k.alias(n) for k, n in zip(keys, names)], v.alias("v")))
-    items = F.array_sort(F.collect_list(item))
-    return F.when(F.size(items) > 0, F.concat_ws(sep, F.transform(items, lambda x: x["v"])))
+    sep_sql = "'" + sep.replace("'", "''") + "'"
+    return F.expr(f"listagg({value_sql}, {sep_sql}) WITHIN GROUP (ORDER BY {', '.join(order_sql)})")

@@ -4,7 +4,8 @@ Sessions are built with aggregates, never by gathering a session's rows in
 one place: lengths are ``min`` / ``max`` / ``count`` with map-side partial
 aggregation, the per-session lists of Q2 are assembled per (session, hour)
 first and the hour pieces joined after, and the sample is a hash-ordered
-top-k per hour computed in salted sub-groups before the final cut.
+top-k per hour computed in salted sub-groups before the final cut; only the
+picked sessions get their lists built.
 """
 
 from __future__ import annotations
@@ -78,25 +79,26 @@ def session_profile(actions: DataFrame) -> DataFrame:
     product ids (clicks only, ``-1`` is no click), ordered and paid product id
     texts (kept whole, as the reference does).  A list with no entry is "".
 
-    Two aggregation levels keep every sort small: each (session, hour) joins
-    its own rows, then each session joins its hour pieces in hour order.
+    Two aggregation levels keep every buffer small: each (session, hour) joins
+    its own rows (``listagg ... WITHIN GROUP``, partially aggregated map-side),
+    then each session joins its hour pieces in hour order.  The finished lists
+    are the output row itself, so only they are ever whole in one place.
     """
-    order = [F.col("action_time"), *[F.col(t) for t in tie_columns(actions)]]
-    clicked = F.when(F.col("click_product_id") != -1, F.col("click_product_id").cast("string"))
+    order = ["action_time", *[f"`{t}`" for t in tie_columns(actions)]]
+    clicked = "CASE WHEN click_product_id <> -1 THEN CAST(click_product_id AS STRING) END"
+    sources = {"search_keywords": "search_keyword", "click_product_ids": clicked,
+               "order_product_ids": "order_product_ids", "pay_product_ids": "pay_product_ids"}
     hourly = actions.groupBy("session_id", F.substring("action_time", 1, 13).alias("hour")).agg(
         F.count(F.lit(1)).alias("steps"),
         F.min("action_time").alias("first_time"),
         F.max("action_time").alias("last_time"),
-        ordered_join(F.col("search_keyword"), *order).alias("search_keywords"),
-        ordered_join(clicked, *order).alias("click_product_ids"),
-        ordered_join(F.col("order_product_ids"), *order).alias("order_product_ids"),
-        ordered_join(F.col("pay_product_ids"), *order).alias("pay_product_ids"),
+        *[ordered_join(src, order).alias(name) for name, src in sources.items()],
     )
     per_session = hourly.groupBy("session_id").agg(
         F.sum("steps").alias("step_length"),
         F.min("first_time").alias("start_time"),
         F.max("last_time").alias("end_time"),
-        *[ordered_join(F.col(name), F.col("hour")).alias(name) for name in _LISTS],
+        *[ordered_join(name, ["hour"]).alias(name) for name in _LISTS],
     )
     return per_session.select(
         "session_id", "start_time", "step_length",
@@ -109,14 +111,20 @@ def _day_hour(col="start_time"):
     return F.substring(col, 1, 13)
 
 
-def hourly_quota(profile: DataFrame, c: Conditions) -> DataFrame:
+def session_starts(actions: DataFrame) -> DataFrame:
+    """``session_id, start_time`` per session (one map-side combined pass)."""
+    return actions.groupBy("session_id").agg(F.min("action_time").alias("start_time"))
+
+
+def hourly_quota(sessions: DataFrame, c: Conditions) -> DataFrame:
     """Sessions per start hour and the hour's share of ``c.sample_size``.
 
-    quota = floor(sessions / total * sample_size + 0.5), capped at the hour's
-    session count (the reference loops forever when the quota exceeds it).
-    The total is a scalar subquery, not a join.
+    ``sessions`` is any frame with ``start_time`` per session (the starts, the
+    lengths or the profiles).  quota = floor(sessions / total * sample_size +
+    0.5), capped at the hour's session count (the reference loops forever when
+    the quota exceeds it).  The total is a scalar subquery, not a join.
     """
-    hours = profile.groupBy(_day_hour().alias("day_hour")).agg(F.count(F.lit(1)).alias("sessions"))
+    hours = sessions.groupBy(_day_hour().alias("day_hour")).agg(F.count(F.lit(1)).alias("sessions"))
     total = hours.agg(F.sum("sessions")).scalar()
     share = F.try_divide(F.col("sessions").cast("double"), total.cast("double"))
     raw = F.floor(share * F.lit(float(c.sample_size)) + F.lit(0.5))
@@ -124,9 +132,9 @@ def hourly_quota(profile: DataFrame, c: Conditions) -> DataFrame:
                         F.least(F.coalesce(raw, F.lit(0)), F.col("sessions")).alias("quota"))
 
 
-def session_sample(profile: DataFrame, quota: DataFrame, c: Conditions,
-                   salt_buckets: int = 32) -> DataFrame:
-    """Pick ``quota`` sessions of each start hour, without repeats.
+def pick_sessions(sessions: DataFrame, quota: DataFrame, c: Conditions,
+                  salt_buckets: int = 32) -> DataFrame:
+    """Ids of the ``quota`` sessions picked in each start hour, without repeats.
 
     The pick is the sessions with the smallest ``md5(session_id || '-' || seed)``
     (session id breaks ties): uniform like the reference's random pick, but
@@ -134,7 +142,7 @@ def session_sample(profile: DataFrame, quota: DataFrame, c: Conditions,
     sub-groups first; each keeps at most ``quota`` candidates, so the final
     per-hour ranking sees at most ``salt_buckets * quota`` rows.
     """
-    keys = profile.select(
+    keys = sessions.select(
         "session_id",
         _day_hour().alias("day_hour"),
         F.md5(F.concat(F.col("session_id"), F.lit("-"), F.lit(c.sample_seed))).alias("h"),
@@ -145,4 +153,26 @@ def session_sample(profile: DataFrame, quota: DataFrame, c: Conditions,
     cands = salted.withColumn("r", F.row_number().over(w_salt)).where(F.col("r") <= F.col("quota"))
     w_hour = Window.partitionBy("day_hour").orderBy(*order)
     picked = cands.withColumn("r", F.row_number().over(w_hour)).where(F.col("r") <= F.col("quota"))
-    return profile.join(picked.select("session_id"), "session_id", "left_semi").select(*PROFILE_COLUMNS)
+    return picked.select("session_id")
+
+
+def session_sample(profile: DataFrame, quota: DataFrame, c: Conditions,
+                   salt_buckets: int = 32) -> DataFrame:
+    """The picked sessions' profiles, from already built profiles."""
+    picked = pick_sessions(profile, quota, c, salt_buckets)
+    return profile.join(picked, "session_id", "left_semi").select(*PROFILE_COLUMNS)
+
+
+def sample_profiles(actions: DataFrame, c: Conditions, salt_buckets: int = 32) -> DataFrame:
+    """Q2 end to end: pick from session start times, then profile only the picks.
+
+    The pick needs only each session's start, so the lists are built for the
+    sampled sessions alone.  The picked ids are broadcast: their number is at
+    most ``sample_size`` plus one half per start hour (each hour's quota is
+    rounded half up), a bound set by the parameters and the time span, not by
+    the volume of the log.
+    """
+    starts = session_starts(actions)
+    picked = pick_sessions(starts, hourly_quota(starts, c), c, salt_buckets)
+    sampled = actions.join(F.broadcast(picked), "session_id", "left_semi")
+    return session_profile(sampled).select(*PROFILE_COLUMNS)

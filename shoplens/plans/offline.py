@@ -33,11 +33,10 @@ def parquet_sink(base: str, mode: str = "append") -> Sink:
 def offline_results(tables: ShopTables, c: Conditions, actions: DataFrame) -> dict[str, DataFrame]:
     """Result tables of one run, keyed by the reference's table names."""
     stats = api.session_stats(actions, c).select(F.lit(c.to_json()).alias("condition"), "*")
-    profile = api.session_profile(actions)
     top = api.category_top(actions, c.top_categories)
     return {
         "session_stat_info": stats,
-        "random_session_info": api.session_sample(profile, c),
+        "random_session_info": api.sample_profiles(actions, c),
         "category_top10": top,
         "category_top10_session_count": api.category_top_sessions(
             actions, top, c.top_sessions),

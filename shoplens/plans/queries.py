@@ -42,11 +42,10 @@ class ShopQueries:
         return sessions.session_profile(self.q0_filtered_actions())
 
     def q2_hourly_quota(self):
-        return sessions.hourly_quota(self.q2_session_profile(), self.c)
+        return sessions.hourly_quota(sessions.session_starts(self.q0_filtered_actions()), self.c)
 
     def q2_session_sample(self):
-        profile = self.q2_session_profile()
-        return sessions.session_sample(profile, sessions.hourly_quota(profile, self.c), self.c)
+        return sessions.sample_profiles(self.q0_filtered_actions(), self.c)
 
     def q3_category_top10(self):
         return categories.category_top(self.q0_filtered_actions(), self.c.top_categories)

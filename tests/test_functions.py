@@ -21,7 +21,7 @@ def test_percent_half_up_matches_operation_order(spark):
 def test_ordered_join_skips_nulls_and_orders(spark):
     df = spark.createDataFrame([(1, "t2", 2, "b"), (1, "t1", 9, "a"), (1, "t1", 3, None), (2, "t", 1, None)],
                                "g int, t string, e int, v string")
-    got = rows(df.groupBy("g").agg(ordered_join(F.col("v"), F.col("t"), F.col("e")).alias("s")))
+    got = rows(df.groupBy("g").agg(ordered_join("v", ["t", "e"]).alias("s")))
     assert got == [(1, "a,b"), (2, None)]
 
 
