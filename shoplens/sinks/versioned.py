@@ -1,6 +1,6 @@
 """Versioned snapshot tables: the keyed result tables of the stream jobs.
 
-The reference keeps stream results in Redis hashes and overwrites fields
+The reference keeps stream results in key-value store hashes and overwrites fields
 (K5-K7).  Here a result table is a folder of versions ``<path>/v=<n>``; each
 micro-batch writes its whole new state as version ``n = batch_id`` and the
 reader takes the highest complete version (Spark's ``_SUCCESS`` marker).
