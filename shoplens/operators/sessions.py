@@ -19,22 +19,34 @@ from shoplens.params import Conditions
 _TS_FMT = "yyyy-MM-dd HH:mm:ss"
 
 
+def _action_ts():
+    """``action_time`` text as a zone-free timestamp.
+
+    Aggregating the fixed-width timestamp instead of the text lets Spark use a
+    hash aggregate with map-side combine (min / max of a string force a
+    sort-based aggregate, i.e. a sort of the whole log).
+    """
+    return F.to_timestamp_ntz(F.col("action_time"), F.lit(_TS_FMT))
+
+
+def _text(ts):
+    return F.date_format(ts, _TS_FMT)
+
+
 def _millis_between(start, end):
-    """Milliseconds between two ``yyyy-MM-dd HH:mm:ss`` texts (zone free)."""
-    return F.timestamp_diff("MILLISECOND", F.to_timestamp_ntz(start, F.lit(_TS_FMT)),
-                            F.to_timestamp_ntz(end, F.lit(_TS_FMT)))
+    return F.timestamp_diff("MILLISECOND", start, end)
 
 
 def session_lengths(actions: DataFrame) -> DataFrame:
     """One row per session: step count, first action time, visit length in ms."""
     agg = actions.groupBy("session_id").agg(
         F.count(F.lit(1)).alias("step_length"),
-        F.min("action_time").alias("start_time"),
-        F.max("action_time").alias("end_time"),
+        F.min(_action_ts()).alias("t0"),
+        F.max(_action_ts()).alias("t1"),
     )
     return agg.select(
-        "session_id", "step_length", "start_time",
-        _millis_between(F.col("start_time"), F.col("end_time")).alias("visit_length"),
+        "session_id", "step_length", _text(F.col("t0")).alias("start_time"),
+        _millis_between(F.col("t0"), F.col("t1")).alias("visit_length"),
     )
 
 
@@ -90,19 +102,19 @@ def session_profile(actions: DataFrame) -> DataFrame:
                "order_product_ids": "order_product_ids", "pay_product_ids": "pay_product_ids"}
     hourly = actions.groupBy("session_id", F.substring("action_time", 1, 13).alias("hour")).agg(
         F.count(F.lit(1)).alias("steps"),
-        F.min("action_time").alias("first_time"),
-        F.max("action_time").alias("last_time"),
+        F.min(_action_ts()).alias("first_time"),
+        F.max(_action_ts()).alias("last_time"),
         *[ordered_join(src, order).alias(name) for name, src in sources.items()],
     )
     per_session = hourly.groupBy("session_id").agg(
         F.sum("steps").alias("step_length"),
-        F.min("first_time").alias("start_time"),
-        F.max("last_time").alias("end_time"),
+        F.min("first_time").alias("t0"),
+        F.max("last_time").alias("t1"),
         *[ordered_join(name, ["hour"]).alias(name) for name in _LISTS],
     )
     return per_session.select(
-        "session_id", "start_time", "step_length",
-        _millis_between(F.col("start_time"), F.col("end_time")).alias("visit_length"),
+        "session_id", _text(F.col("t0")).alias("start_time"), "step_length",
+        _millis_between(F.col("t0"), F.col("t1")).alias("visit_length"),
         *[F.coalesce(F.col(name), F.lit("")).alias(name) for name in _LISTS],
     )
 
@@ -113,7 +125,8 @@ def _day_hour(col="start_time"):
 
 def session_starts(actions: DataFrame) -> DataFrame:
     """``session_id, start_time`` per session (one map-side combined pass)."""
-    return actions.groupBy("session_id").agg(F.min("action_time").alias("start_time"))
+    return (actions.groupBy("session_id").agg(F.min(_action_ts()).alias("t0"))
+            .select("session_id", _text(F.col("t0")).alias("start_time")))
 
 
 def hourly_quota(sessions: DataFrame, c: Conditions) -> DataFrame:
