@@ -16,18 +16,24 @@ def _order_keys(actions: DataFrame) -> list[str]:
     return ["action_time", *(ties or ["page_id"])]
 
 
-def page_steps(actions: DataFrame) -> DataFrame:
+# Length of the ``yyyy-MM-dd HH:mm:ss`` prefix that cuts a session into pieces.
+SPLITS = {"hour": 13, "minute": 16, "second": 19}
+
+
+def page_steps(actions: DataFrame, split: str = "minute") -> DataFrame:
     """Every adjacent (pre_page, post_page) pair of each session, in time order.
 
-    The session's sequence is cut into hours.  Inside an hour ``lead`` pairs
-    neighbours; across hours, each hour's last page pairs with the first page
-    of the session's next non-empty hour, found with ``lead`` over one summary
-    row per (session, hour).  No task ever sorts a whole session, and the
+    The session's sequence is cut into pieces (minutes by default).  Inside a
+    piece ``lead`` pairs neighbours; across pieces, each piece's last page
+    pairs with the first page of the session's next non-empty piece, found
+    with ``lead`` over one summary row per (session, piece).  No task sorts a
+    whole session: a piece holds the session's actions of one minute, and the
+    summary level holds at most one row per minute the session spans.  The
     result equals ``lead`` over the whole session.  The summary aggregate
-    reuses the window's (session, hour) partitioning, so it adds no shuffle.
+    reuses the window's (session, piece) partitioning, so it adds no shuffle.
     """
     keys = _order_keys(actions)
-    rows = actions.select("session_id", F.substring("action_time", 1, 13).alias("hour"),
+    rows = actions.select("session_id", F.substring("action_time", 1, SPLITS[split]).alias("hour"),
                           *keys, *([] if "page_id" in keys else ["page_id"]))
     w_in = Window.partitionBy("session_id", "hour").orderBy(*keys)
     seq = rows.select(
@@ -51,7 +57,8 @@ def page_steps(actions: DataFrame) -> DataFrame:
     return inner.unionByName(cross)
 
 
-def page_conversion(actions: DataFrame, c: Conditions, include_zero: bool = False) -> DataFrame:
+def page_conversion(actions: DataFrame, c: Conditions, include_zero: bool = False,
+                    split: str = "minute") -> DataFrame:
     """Rate of each target jump ``a-b``: jumps a->b over all visits of page a.
 
     Visits count every action on the page (any session, also as last page).
@@ -68,7 +75,7 @@ def page_conversion(actions: DataFrame, c: Conditions, include_zero: bool = Fals
     ) if pairs else F.lit(False)
     visits = (actions.where(F.col("page_id").isin([int(p) for p in flow[:-1]]))
               .groupBy("page_id").agg(F.count(F.lit(1)).alias("visits")))
-    jumps = (page_steps(actions).where(wanted)
+    jumps = (page_steps(actions, split).where(wanted)
              .groupBy("pre_page", "post_page").agg(F.count(F.lit(1)).alias("jumps")))
     if include_zero:
         spark: SparkSession = actions.sparkSession

@@ -5,5 +5,6 @@ from shoplens.sinks.tables import (  # noqa: F401
     save_jdbc,
     save_table,
     with_task_id,
+    write_shop_tables,
 )
 from shoplens.sinks.versioned import VersionedTable  # noqa: F401

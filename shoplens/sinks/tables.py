@@ -50,3 +50,18 @@ def save_jdbc(df: DataFrame, url: str, table: str, mode: str = "append",
         opts["numPartitions"] = str(int(num_partitions))
     opts.update(properties or {})
     df.write.format("jdbc").options(**opts).mode(mode).save()
+
+
+def write_shop_tables(tables, base: str, mode: str = "overwrite") -> None:
+    """Store the shop tables under ``base`` in the layout ``StoredTables`` reads.
+
+    The action log is partitioned by ``date`` so that date bounds prune whole
+    folders; the other tables are plain parquet.
+    """
+    base = base.rstrip("/")
+    save_table(tables.user_visit_action(), f"{base}/user_visit_action", mode=mode, partition_by=["date"])
+    save_table(tables.user_info(), f"{base}/user_info", mode=mode)
+    save_table(tables.city_info(), f"{base}/city_info", mode=mode)
+    save_table(tables.product_info(), f"{base}/product_info", mode=mode)
+    clicks = tables.ads_click()
+    save_table(clicks.withColumn("ts", F.col("ts").cast("timestamp")), f"{base}/ads_click", mode=mode)

@@ -20,6 +20,7 @@ import weakref
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shoplens import schemas
 from shoplens.plans.joins import join_small
@@ -51,22 +52,38 @@ class StoredTables(ShopTables):
     def __init__(self, spark: SparkSession, base: str | None = None, database: str | None = None):
         self.spark, self.base, self.database = spark, base, database
 
-    def _read(self, name: str, schema) -> DataFrame:
+    def _load(self, name: str) -> DataFrame:
         if self.base is not None:
-            df = self.spark.read.parquet(f"{self.base.rstrip('/')}/{name}")
-        else:
-            df = self.spark.table(f"{self.database}.{name}" if self.database else name)
-        return schemas.check_columns(df, schema, name)
+            return self.spark.read.parquet(f"{self.base.rstrip('/')}/{name}")
+        return self.spark.table(f"{self.database}.{name}" if self.database else name)
+
+    @staticmethod
+    def _normalize(df: DataFrame, schema, name: str) -> DataFrame:
+        # Partition folders carry no type; discovery reads ``date=2024-01-05``
+        # as a DATE.  Back to the schema's text (lossless for yyyy-MM-dd).
+        have = {f.name: f.dataType for f in df.schema.fields}
+        for f in schema.fields:
+            if isinstance(have.get(f.name), T.DateType) and isinstance(f.dataType, T.StringType):
+                df = df.withColumn(f.name, F.date_format(F.col(f.name), "yyyy-MM-dd"))
+        df = schemas.check_columns(df, schema, name)
+        # Extra columns (such as an ``event_id`` tie key) first, then the schema's order.
+        names = [f.name for f in schema.fields]
+        return df.select(*[c for c in df.columns if c not in names], *names)
+
+    def _read(self, name: str, schema) -> DataFrame:
+        return self._normalize(self._load(name), schema, name)
 
     def user_visit_action(self, date_from=None, date_to=None) -> DataFrame:
-        df = self._read("user_visit_action", schemas.USER_VISIT_ACTION)
-        # ``date`` is the partition column of a stored log, so these bounds
-        # prune directories as well as row groups.
+        df = self._load("user_visit_action")
+        # ``date`` is the partition column of a stored log: bounds on the raw
+        # column prune whole folders (and row groups when it is a data column).
+        as_date = isinstance(dict((f.name, f.dataType) for f in df.schema.fields).get("date"), T.DateType)
+        bound = (lambda v: F.lit(v).cast("date")) if as_date else F.lit
         if date_from:
-            df = df.where(F.col("date") >= F.lit(date_from))
+            df = df.where(F.col("date") >= bound(date_from))
         if date_to:
-            df = df.where(F.col("date") <= F.lit(date_to))
-        return df
+            df = df.where(F.col("date") <= bound(date_to))
+        return self._normalize(df, schemas.USER_VISIT_ACTION, "user_visit_action")
 
     def user_info(self) -> DataFrame:
         return self._read("user_info", schemas.USER_INFO)

@@ -58,8 +58,10 @@ def test_hour_split_lead_equals_whole_session_sort(spark, events):
                   action_time=f"2024-01-05 {10 + t // 3600:02d}:{t % 3600 // 60:02d}:{t % 60:02d}")
              for s, t, p in events]
     df = actions(spark, *specs)
-    got = Counter(pages.page_steps(df).toPandas().itertuples(index=False, name=None))
-    assert got == _brute_pairs(df.toPandas())
+    brute = _brute_pairs(df.toPandas())
+    for split in ("hour", "minute"):
+        got = Counter(pages.page_steps(df, split).toPandas().itertuples(index=False, name=None))
+        assert got == brute
 
 
 def test_fixture_pairs_equal_brute_force(spark):
