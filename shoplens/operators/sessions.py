@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shoplens.functions import ordered_join, percent_half_up, tie_columns
+from shoplens.functions import half_up, ordered_join, percent_half_up, tie_columns
 from shoplens.params import Conditions
 
 _TS_FMT = "yyyy-MM-dd HH:mm:ss"
@@ -140,7 +140,7 @@ def hourly_quota(sessions: DataFrame, c: Conditions) -> DataFrame:
     hours = sessions.groupBy(_day_hour().alias("day_hour")).agg(F.count(F.lit(1)).alias("sessions"))
     total = hours.agg(F.sum("sessions")).scalar()
     share = F.try_divide(F.col("sessions").cast("double"), total.cast("double"))
-    raw = F.floor(share * F.lit(float(c.sample_size)) + F.lit(0.5))
+    raw = half_up(share * F.lit(float(c.sample_size)))
     return hours.select("day_hour", "sessions",
                         F.least(F.coalesce(raw, F.lit(0)), F.col("sessions")).alias("quota"))
 
