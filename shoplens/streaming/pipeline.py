@@ -6,7 +6,7 @@ unless given):
     clean/kind=click/   clicks that passed the blacklist   (file sink, exactly once)
     clean/kind=ban/     one row per user when banned        (same sink)
     quarantine/         malformed lines                     (file sink)
-    results/<name>/v=<batch_id>/   versioned result snapshots (foreachBatch)
+    results/<name>/v=<batch_id>/[day=<d>/]   versioned result snapshots (foreachBatch)
     checkpoints/<query>/           offsets, commits and state of each query
 
 Queries:
@@ -17,9 +17,11 @@ Queries:
   the reference's rule.  State and offsets live in the checkpoint, so a
   restarted query neither double counts nor loses clicks.
 * ``quarantine``: lines that do not parse.
-* ``totals``: clean clicks -> running count per (day, area, city, ad) (Q8),
-  every key emitted each trigger as in the reference; inside ``foreachBatch``
-  the snapshot is written and the top ads per (day, area) ranked (Q9).
+* ``totals``: clean clicks -> running count per (day, area, city, ad) (Q8) in
+  update mode; inside ``foreachBatch`` the changed keys are merged into the
+  days they touch (a day-partitioned versioned table) and the top ads of
+  those days ranked again (Q9).  State never expires, as in the reference,
+  unless ``totals_lateness`` sets a watermark.
 * ``last_hour``: clean clicks -> count per (minute, ad) with a watermark of
   the window length; updates are merged into a last-hour snapshot (Q10).
 """
@@ -38,7 +40,7 @@ from pyspark.sql.streaming.state import GroupStateTimeout
 
 from shoplens.operators import ads
 from shoplens.session import checkpoint_path, makedirs_if_local
-from shoplens.sinks.versioned import VersionedTable
+from shoplens.sinks.versioned import DayVersionedTable, VersionedTable
 from shoplens.sources.adlog import CLICK_COLUMNS, parse_ad_lines, quarantined, valid_clicks
 
 GUARD_OUTPUT = T.StructType([
@@ -117,6 +119,7 @@ class AdsStreamJob:
     trigger: dict | None = None        # e.g. {"processingTime": "5 seconds"}; default availableNow
     keep_days: int | None = None
     clean_max_files: int | None = None  # files of the clean folder per trigger downstream
+    totals_lateness: str | None = None  # e.g. "2 days": drop the state of older days
 
     def __post_init__(self):
         self.root = (self.root or checkpoint_path(self.spark, "shoplens-ads")).rstrip("/")
@@ -159,20 +162,52 @@ class AdsStreamJob:
         return self.spark.read.parquet(self.path("clean")).where(F.col("kind") == "ban").select("user_id")
 
     # -- Q8 / Q9 ------------------------------------------------------------------
-    def write_totals(self, totals: DataFrame, batch_id: int) -> None:
-        """Snapshot of all running totals, then the top ads per (day, area)."""
-        totals = totals.persist()
+    def day_table(self, name: str) -> DayVersionedTable:
+        return DayVersionedTable(self.spark, self.path("results", name))
+
+    def write_totals(self, updates: DataFrame, batch_id: int) -> None:
+        """Merge updated totals into the days they touch, then re-rank those days.
+
+        ``updates`` holds the new running total of every key changed in this
+        micro-batch (update mode).  The touched days' full state is the
+        previous state of those days with the updates laid over it (totals only
+        grow, so the larger value is the newer one); only those days are
+        rewritten, and the top ads are ranked again for them alone.
+        """
+        totals, top, js = (self.day_table(n) for n in ("ads_per_day", "area_top_ads", "area_top_ads_json"))
+        if totals.has(batch_id) and top.has(batch_id) and js.has(batch_id):
+            return
+        updates = updates.persist()
         try:
-            self.table("ads_per_day").write(totals, batch_id)
-            top = ads.area_top_ads(totals, self.top_k)
-            self.table("area_top_ads").write(top, batch_id)
-            self.table("area_top_ads_json").write(ads.area_top_ads_json(top), batch_id)
+            # The distinct days of one micro-batch: a handful of values.
+            days = {r[0] for r in updates.select("day").distinct().collect()}
+            prev = totals.read(days)
+            merged = updates if prev is None else prev.unionByName(updates)
+            merged = (merged.groupBy("day", "area", "city", "ads_id").agg(F.max("n").alias("n"))
+                      .persist())
+            try:
+                totals.write(merged, batch_id)
+                ranked = ads.area_top_ads(merged, self.top_k).persist()
+                top.write(ranked, batch_id)
+                js.write(ads.area_top_ads_json(ranked), batch_id)
+                ranked.unpersist()
+            finally:
+                merged.unpersist()
         finally:
-            totals.unpersist()
+            updates.unpersist()
 
     def start_totals(self):
-        totals = ads.ads_per_day(self.clean_stream())
-        w = totals.writeStream.outputMode("complete").foreachBatch(self.write_totals)
+        clean = self.clean_stream()
+        if self.totals_lateness:
+            # Event-time day buckets let the watermark drop closed days' state.
+            clean = clean.withWatermark("ts", self.totals_lateness)
+            keys = [F.window("ts", "1 day").alias("w"), "area", "city", "ads_id"]
+            totals = (clean.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+                      .select(F.date_format("w.start", "yyyy-MM-dd").alias("day"),
+                              "area", "city", "ads_id", "n"))
+        else:
+            totals = ads.ads_per_day(clean)   # never expires, as in the reference
+        w = totals.writeStream.outputMode("update").foreachBatch(self.write_totals)
         return self._start(w, "totals")
 
     # -- Q10 ----------------------------------------------------------------------
@@ -205,6 +240,11 @@ class AdsStreamJob:
 
     # -- readers of the latest snapshots -----------------------------------------
     def latest(self, name: str) -> DataFrame | None:
+        if name in ("ads_per_day", "area_top_ads", "area_top_ads_json"):
+            cols = {"ads_per_day": ["day", "area", "city", "ads_id", "n"],
+                    "area_top_ads": ["day", "area", "ads_id", "n", "rn"],
+                    "area_top_ads_json": ["day", "area", "ads_json"]}[name]
+            return self.day_table(name).read(schema=cols)
         return self.table(name).read()
 
     def last_hour_trend(self) -> DataFrame | None:
