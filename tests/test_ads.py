@@ -48,3 +48,20 @@ def test_area_top_ads_ties_and_json(spark):
     assert rows(top, "ads_id", "n", "rn") == [(2, 3, 1), (3, 3, 2), (4, 3, 3)]
     js = ads.area_top_ads_json(top).collect()[0]
     assert js.ads_json == '[{"2":3},{"3":3},{"4":3}]'
+
+
+def test_top_ads_are_a_subset_of_the_rollup(spark):
+    from conftest import SF01
+    from pyspark.sql import functions as F
+
+    from shoplens.plans.queries import ShopQueries
+    from shoplens.sources.tables import FixtureTables
+
+    q = ShopQueries(FixtureTables(spark, SF01))
+    per_day = q.q8_ads_per_day()
+    rollup = per_day.groupBy("day", "area", "ads_id").agg(F.sum("n").alias("n"))
+    top = q.q9_area_top3_ads()
+    assert top.join(rollup, ["day", "area", "ads_id", "n"], "left_anti").count() == 0
+    sizes = dict(((r.day, r.area), r.k) for r in rollup.groupBy("day", "area").agg(F.count("*").alias("k")).collect())
+    got = dict(((r.day, r.area), r.k) for r in top.groupBy("day", "area").agg(F.count("*").alias("k")).collect())
+    assert got == {key: min(3, k) for key, k in sizes.items()}
