@@ -98,21 +98,22 @@ class DayVersionedTable:
         return [f"{self.path}/v={vs[-1]}/{self.part}={d}"
                 for d, vs in sorted(self._listing().items()) if days is None or d in days]
 
-    def read(self, days=None, schema=None) -> DataFrame | None:
+    def read(self, days=None, schema=None, raw: bool = False) -> DataFrame | None:
         """Current rows (of ``days`` only, if given); None when there are none.
 
         One relation over the current folder of each day (``basePath`` keeps
-        ``day`` as a column).
+        ``day`` as a partition column, typed DATE by discovery).  ``raw`` keeps
+        that DATE so that a join on it can be pruned at run time; otherwise it
+        is turned back into ``yyyy-MM-dd`` text.
         """
         paths = self._paths(days)
         if not paths:
             return None
         from pyspark.sql import functions as F
 
-        df = (self.spark.read.option("basePath", self.path)
-              .option("recursiveFileLookup", "false").parquet(*paths))
-        # Partition discovery types ``day=2024-01-05`` as a DATE; keep the text.
-        df = df.drop("v").withColumn(self.part, F.date_format(F.col(self.part), "yyyy-MM-dd"))
+        df = self.spark.read.option("basePath", self.path).parquet(*paths).drop("v")
+        if not raw:
+            df = df.withColumn(self.part, F.date_format(F.col(self.part), "yyyy-MM-dd"))
         return df if schema is None else df.select(*schema)
 
     def write(self, df: DataFrame, version: int) -> bool:

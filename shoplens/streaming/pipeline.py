@@ -179,7 +179,9 @@ class AdsStreamJob:
             return
         updates = updates.persist()
         try:
-            # The distinct days of one micro-batch: a handful of values.
+            # Previous state of the touched days only, pruned by folder.  The
+            # list holds the distinct days of one micro-batch: a few values,
+            # bounded by the time one trigger spans, not by the data volume.
             days = {r[0] for r in updates.select("day").distinct().collect()}
             prev = totals.read(days)
             merged = updates if prev is None else prev.unionByName(updates)
