@@ -9,15 +9,45 @@ from shoplens.functions import percent_half_up, tie_columns
 from shoplens.params import Conditions
 
 
-def _order_keys(actions: DataFrame) -> list[str]:
-    # Time, then the tie key; without a tie key the page id makes the order
-    # deterministic (equal rows are interchangeable).
+# Length of the ``yyyy-MM-dd HH:mm:ss`` prefix that cuts a session into pieces.
+SPLITS = {"hour": 13, "minute": 16, "second": 19}
+
+
+def _sequence(actions: DataFrame, split: str) -> DataFrame:
+    """Each action with its successor inside its (session, piece).
+
+    Order: time, then the tie key; without a tie key the page id makes the
+    order deterministic (equal rows are interchangeable).  Every consumer
+    reads the same columns of this window, so their shuffles are one.
+    """
     ties = tie_columns(actions)
-    return ["action_time", *(ties or ["page_id"])]
+    rows = actions.select("session_id", F.substring("action_time", 1, SPLITS[split]).alias("piece"),
+                          "action_time", *ties, F.col("page_id").alias("pre_page"))
+    w_in = Window.partitionBy("session_id", "piece").orderBy("action_time", *(ties or ["pre_page"]))
+    return rows.select(
+        "session_id", "piece", "pre_page",
+        F.lead("pre_page").over(w_in).alias("post_page"),
+        F.lead(F.lit(True)).over(w_in).isNull().alias("is_last"),
+        (F.row_number().over(w_in) == 1).alias("is_first"),
+    )
 
 
-# Length of the ``yyyy-MM-dd HH:mm:ss`` prefix that cuts a session into pieces.
-SPLITS = {"hour": 13, "minute": 16, "second": 19}
+def _cross_steps(seq: DataFrame) -> DataFrame:
+    """Pairs across pieces: a piece's last page and the next piece's first."""
+    edges = seq.where(F.col("is_first") | F.col("is_last")).groupBy("session_id", "piece").agg(
+        F.max(F.when(F.col("is_first"), F.col("pre_page"))).alias("first_page"),
+        F.max(F.when(F.col("is_last"), F.col("pre_page"))).alias("last_page"),
+    )
+    w_pieces = Window.partitionBy("session_id").orderBy("piece")
+    cross = edges.select(F.col("last_page").alias("pre_page"),
+                         F.lead("first_page").over(w_pieces).alias("post_page"),
+                         F.lead(F.lit(True)).over(w_pieces).alias("has_next"))
+    return cross.where(F.col("has_next")).select("pre_page", "post_page")
+
+
+def _steps(seq: DataFrame) -> DataFrame:
+    inner = seq.where(~F.col("is_last")).select("pre_page", "post_page")
+    return inner.unionByName(_cross_steps(seq))
 
 
 def page_steps(actions: DataFrame, split: str = "minute") -> DataFrame:
@@ -32,29 +62,7 @@ def page_steps(actions: DataFrame, split: str = "minute") -> DataFrame:
     result equals ``lead`` over the whole session.  The summary aggregate
     reuses the window's (session, piece) partitioning, so it adds no shuffle.
     """
-    keys = _order_keys(actions)
-    rows = actions.select("session_id", F.substring("action_time", 1, SPLITS[split]).alias("hour"),
-                          *keys, *([] if "page_id" in keys else ["page_id"]))
-    w_in = Window.partitionBy("session_id", "hour").orderBy(*keys)
-    seq = rows.select(
-        "session_id", "hour",
-        F.col("page_id").alias("pre_page"),
-        F.lead("page_id").over(w_in).alias("post_page"),
-        F.lead(F.lit(True)).over(w_in).isNull().alias("is_last"),
-        (F.row_number().over(w_in) == 1).alias("is_first"),
-    )
-    inner = seq.where(~F.col("is_last")).select("pre_page", "post_page")
-
-    edges = seq.where(F.col("is_first") | F.col("is_last")).groupBy("session_id", "hour").agg(
-        F.max(F.when(F.col("is_first"), F.col("pre_page"))).alias("first_page"),
-        F.max(F.when(F.col("is_last"), F.col("pre_page"))).alias("last_page"),
-    )
-    w_hours = Window.partitionBy("session_id").orderBy("hour")
-    cross = edges.select(F.col("last_page").alias("pre_page"),
-                         F.lead("first_page").over(w_hours).alias("post_page"),
-                         F.lead(F.lit(True)).over(w_hours).alias("has_next"))
-    cross = cross.where(F.col("has_next")).select("pre_page", "post_page")
-    return inner.unionByName(cross)
+    return _steps(_sequence(actions, split))
 
 
 def page_conversion(actions: DataFrame, c: Conditions, include_zero: bool = False,
@@ -73,10 +81,21 @@ def page_conversion(actions: DataFrame, c: Conditions, include_zero: bool = Fals
         [F.struct(F.lit(int(a)).cast("bigint").alias("pre_page"),
                   F.lit(int(b)).cast("bigint").alias("post_page")) for a, b in pairs]
     ) if pairs else F.lit(False)
-    visits = (actions.where(F.col("page_id").isin([int(p) for p in flow[:-1]]))
-              .groupBy("page_id").agg(F.count(F.lit(1)).alias("visits")))
-    jumps = (page_steps(actions, split).where(wanted)
+    seq = _sequence(actions, split)
+    # One aggregation over the sequence gives both counts: every action is one
+    # visit of its page, and one jump when its successor in the piece forms a
+    # target pair.  Jumps across pieces come from the piece edges.  Both read
+    # the same window, so the log is scanned and shuffled once.
+    per = (seq.where(F.col("pre_page").isin([int(p) for p in flow[:-1]]))
+           .select("pre_page", F.when(~F.col("is_last") & wanted, F.col("post_page")).alias("post_key"))
+           .groupBy("pre_page", "post_key").agg(F.count(F.lit(1)).alias("n")))
+    visits = per.groupBy(F.col("pre_page").alias("page_id")).agg(F.sum("n").alias("visits"))
+    inner = per.where(F.col("post_key").isNotNull()).select(
+        "pre_page", F.col("post_key").alias("post_page"), F.col("n").alias("jumps"))
+    cross = (_cross_steps(seq).where(wanted)
              .groupBy("pre_page", "post_page").agg(F.count(F.lit(1)).alias("jumps")))
+    jumps = (inner.unionByName(cross).groupBy("pre_page", "post_page")
+             .agg(F.sum("jumps").alias("jumps")))
     if include_zero:
         spark: SparkSession = actions.sparkSession
         targets = spark.createDataFrame(pairs, "pre_page bigint, post_page bigint")
