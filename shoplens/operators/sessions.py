@@ -102,19 +102,22 @@ def session_profile(actions: DataFrame) -> DataFrame:
                "order_product_ids": "order_product_ids", "pay_product_ids": "pay_product_ids"}
     hourly = actions.groupBy("session_id", F.substring("action_time", 1, 13).alias("hour")).agg(
         F.count(F.lit(1)).alias("steps"),
-        F.min(_action_ts()).alias("first_time"),
-        F.max(_action_ts()).alias("last_time"),
+        # The list aggregate makes this a sort-based aggregate anyway, so the
+        # text (whose order is time order) is compared directly.
+        F.min("action_time").alias("first_time"),
+        F.max("action_time").alias("last_time"),
         *[ordered_join(src, order).alias(name) for name, src in sources.items()],
     )
     per_session = hourly.groupBy("session_id").agg(
         F.sum("steps").alias("step_length"),
-        F.min("first_time").alias("t0"),
-        F.max("last_time").alias("t1"),
+        F.min("first_time").alias("start_time"),
+        F.max("last_time").alias("end_time"),
         *[ordered_join(name, ["hour"]).alias(name) for name in _LISTS],
     )
+    parse = lambda c: F.to_timestamp_ntz(F.col(c), F.lit(_TS_FMT))
     return per_session.select(
-        "session_id", _text(F.col("t0")).alias("start_time"), "step_length",
-        _millis_between(F.col("t0"), F.col("t1")).alias("visit_length"),
+        "session_id", "start_time", "step_length",
+        _millis_between(parse("start_time"), parse("end_time")).alias("visit_length"),
         *[F.coalesce(F.col(name), F.lit("")).alias(name) for name in _LISTS],
     )
 
