@@ -58,7 +58,7 @@ def main(argv: list[str] | None = None) -> int:
                  else read_ad_stream(spark, args.lines_dir))
         trig = {"processingTime": f"{args.trigger_seconds} seconds"} if args.trigger_seconds else None
         job = AdsStreamJob(spark, root=args.root, limit=c.blacklist_limit, trigger=trig)
-        run_realtime(job, lines, wait_seconds=None if trig else 3600)
+        run_realtime(job, lines)
         if trig:
             spark.streams.awaitAnyTermination()
     else:

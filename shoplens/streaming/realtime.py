@@ -12,13 +12,19 @@ def run_realtime(job: AdsStreamJob, lines: DataFrame, wait_seconds: float | None
                  ) -> list[StreamingQuery]:
     """Start guard, quarantine, totals and last-hour queries.
 
-    The downstream queries read the guard's file-sink folder, which only
-    exposes committed files, so they can run alongside it.  With
-    ``wait_seconds`` the call waits for all queries (``awaitTermination``).
+    With a continuous trigger (``job.trigger``) all four run side by side:
+    the downstream queries read the guard's file-sink folder, which only
+    exposes committed files.  With the default one-shot ``availableNow``
+    trigger the guard and quarantine run first and the downstream queries
+    after them, so that they see all of the guard's output.  With
+    ``wait_seconds`` the call waits for the queries it started.
     """
-    queries = [job.start_guard(lines), job.start_quarantine(lines),
-               job.start_totals(), job.start_last_hour()]
-    if wait_seconds is not None:
-        for q in queries:
+    first = [job.start_guard(lines), job.start_quarantine(lines)]
+    if job.trigger is None:
+        for q in first:
             q.awaitTermination(wait_seconds)
-    return queries
+    rest = [job.start_totals(), job.start_last_hour()]
+    if wait_seconds is not None or job.trigger is None:
+        for q in rest:
+            q.awaitTermination(wait_seconds)
+    return first + rest

@@ -42,3 +42,22 @@ def test_ban_applies_from_the_next_micro_batch(spark, tmp_path):
     assert rows(job.blacklist_batch()) == [(1,)]
     kept = rows(job.clean_batch(), "user_id", "ads_id")
     assert kept == [(1, 1), (1, 1), (1, 1), (1, 2), (2, 1), (2, 2)]
+
+
+def test_run_realtime_one_shot(spark, tmp_path):
+    from shoplens.operators import ads
+    from shoplens.streaming.realtime import run_realtime
+
+    src = tmp_path / "in"
+    src.mkdir()
+    t0 = 1704067200000
+    (src / "part-0.txt").write_text("\n".join(
+        [f"{t0 + i * 60000} A c{i % 2} {i % 3} {i % 2}" for i in range(30)] + ["bad line"]) + "\n")
+    job = AdsStreamJob(spark, root=str(tmp_path / "out"), limit=100)
+    queries = run_realtime(job, read_ad_stream(spark, str(src)))
+    assert len(queries) == 4 and not any(q.isActive for q in queries)
+    clean = job.clean_batch()
+    assert clean.count() == 30
+    assert rows(job.latest("ads_per_day")) == rows(ads.ads_per_day(clean))
+    assert rows(job.last_hour_trend()) == rows(ads.last_hour_trend(clean, 60))
+    assert spark.read.parquet(job.path("quarantine")).count() == 1
