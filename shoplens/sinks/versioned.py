@@ -14,8 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 class VersionedTable:
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path.rstrip("/")
+    def __init__(self, spark: SparkSession, path: str, retain: int | None = 2):
+        self.spark, self.path, self.retain = spark, path.rstrip("/"), retain
         jvm = spark._jvm
         self._Path = jvm.org.apache.hadoop.fs.Path
         self._fs = self._Path(self.path).getFileSystem(spark._jsc.hadoopConfiguration())
@@ -53,8 +53,17 @@ class VersionedTable:
         if self.has(version):
             return False
         df.write.mode("overwrite").parquet(self._vpath(version))
+        self.retire()
         return True
 
+    def retire(self) -> None:
+        """Keep the newest ``retain`` complete versions (readers take the newest;
+        the one before stays for readers that started on it)."""
+        if not self.retain:
+            return
+        for v in self.versions()[:-int(self.retain)]:
+            self._fs.delete(self._Path(self._vpath(v)), True)
+
 
 class DayVersionedTable:
     """A keyed table split by day, each day rewritten only when it changes.
@@ -125,7 +134,17 @@ class DayVersionedTable:
         return True
 
     def retire(self) -> None:
-        """Delete day folders superseded by a newer committed version."""
-        for d, vs in self._listing().items():
+        """Delete day folders superseded by a newer committed version, then
+        version folders left without any day (the newest always stays)."""
+        listing = self._listing()
+        keep = {v for vs in listing.values() for v in vs[-1:]}
+        for d, vs in listing.items():
             for v in vs[:-1]:
                 self._fs.delete(self._Path(f"{self.path}/v={v}/{self.part}={d}"), True)
+        root = self._Path(self.path)
+        committed = sorted(int(st.getPath().getName()[2:]) for st in self._fs.listStatus(root)
+                           if st.isDirectory() and st.getPath().getName().startswith("v=")
+                           and self.has(int(st.getPath().getName()[2:])))
+        for v in committed[:-1]:
+            if v not in keep:
+                self._fs.delete(self._Path(f"{self.path}/v={v}"), True)

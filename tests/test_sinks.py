@@ -31,7 +31,7 @@ def test_offline_run_with_checkpointed_actions(spark, tmp_path):
 
 
 def test_versioned_table_is_idempotent(spark, tmp_path):
-    t = VersionedTable(spark, str(tmp_path / "snap"))
+    t = VersionedTable(spark, str(tmp_path / "snap"), retain=None)
     assert t.latest() is None and t.read() is None
     a = spark.createDataFrame([(1, "a")], "k int, v string")
     b = spark.createDataFrame([(2, "b")], "k int, v string")
@@ -44,3 +44,30 @@ def test_versioned_table_is_idempotent(spark, tmp_path):
 def test_with_task_id_puts_id_first(spark):
     df = with_task_id(spark.createDataFrame([(1,)], "x int"), "run")
     assert df.columns == ["task_id", "x"] and df.collect()[0].task_id == "run"
+
+
+def test_versioned_table_retention(spark, tmp_path):
+    t = VersionedTable(spark, str(tmp_path / "snap"), retain=2)
+    for v in range(5):
+        t.write(spark.createDataFrame([(v,)], "k int"), v)
+    assert t.versions() == [3, 4] and rows(t.read()) == [(4,)]
+
+
+def test_day_versioned_table_rewrites_touched_days_only(spark, tmp_path):
+    from shoplens.sinks.versioned import DayVersionedTable
+
+    t = DayVersionedTable(spark, str(tmp_path / "days"))
+    schema = "day string, k int, n long"
+    t.write(spark.createDataFrame([("2024-01-01", 1, 1), ("2024-01-02", 1, 2)], schema), 0)
+    t.write(spark.createDataFrame([("2024-01-02", 1, 5)], schema), 1)
+    t.write(spark.createDataFrame([("2024-01-03", 1, 7)], schema), 2)
+    assert t._listing() == {"2024-01-01": [0], "2024-01-02": [1], "2024-01-03": [2]}
+    assert rows(t.read(schema=["day", "k", "n"])) == [("2024-01-01", 1, 1), ("2024-01-02", 1, 5),
+                                                     ("2024-01-03", 1, 7)]
+    assert rows(t.read({"2024-01-02"}, schema=["day", "n"])) == [("2024-01-02", 5)]
+    assert not t.write(spark.createDataFrame([("2024-01-03", 1, 9)], schema), 2)   # replay
+    # a newer version of day 2 empties version 1, whose folder then goes
+    t.write(spark.createDataFrame([("2024-01-02", 1, 6)], schema), 3)
+    import os
+    assert sorted(d for d in os.listdir(tmp_path / "days") if d.startswith("v=")) == ["v=0", "v=2", "v=3"]
+    assert rows(t.read({"2024-01-02"}, schema=["day", "n"])) == [("2024-01-02", 6)]
