@@ -8,7 +8,6 @@ bench; on a cluster the same keys go into the submit configuration.
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -74,10 +73,8 @@ def checkpoint_path(spark: SparkSession, *parts: str) -> str:
     return "/".join([base, *parts]) if parts else base
 
 
-def is_local_path(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
-
-
-def makedirs_if_local(path: str) -> None:
-    if is_local_path(path):
-        os.makedirs(path.replace("file:", ""), exist_ok=True)
+def ensure_dir(spark: SparkSession, path: str) -> None:
+    """Create ``path`` on whatever file system it names (local, HDFS, object store)."""
+    jvm = spark._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(p)

@@ -39,7 +39,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupStateTimeout
 
 from shoplens.operators import ads
-from shoplens.session import checkpoint_path, makedirs_if_local
+from shoplens.session import checkpoint_path, ensure_dir
 from shoplens.sinks.versioned import DayVersionedTable, VersionedTable
 from shoplens.sources.adlog import CLICK_COLUMNS, parse_ad_lines, quarantined, valid_clicks
 
@@ -123,7 +123,8 @@ class AdsStreamJob:
 
     def __post_init__(self):
         self.root = (self.root or checkpoint_path(self.spark, "shoplens-ads")).rstrip("/")
-        makedirs_if_local(self.path("clean"))
+        # The downstream file-stream sources need the folder to exist at start.
+        ensure_dir(self.spark, self.path("clean"))
 
     def path(self, *parts: str) -> str:
         return "/".join([self.root, *parts])
