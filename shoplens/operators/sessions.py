@@ -56,7 +56,8 @@ def session_stats(lengths: DataFrame, c: Conditions) -> DataFrame:
     Buckets: visit length <= / > ``c.visit_length_ms`` and steps <= / >
     ``c.step_length``, each ``<=`` inclusive.  Unlike the reference, the
     "steps >" bucket tests the step count (the reference tests the visit
-    length there, so long sessions of one second fell in neither bucket).
+    length there, ``> 5`` ms, so a session of more than five steps within
+    5 ms, e.g. all in one second, fell in neither bucket).
     With no session every share is 0.0.
     """
     vl, st = F.col("visit_length"), F.col("step_length")
