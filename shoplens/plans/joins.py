@@ -23,10 +23,11 @@ DEFAULT_MAX_BROADCAST_BYTES = 32 * 1024 * 1024
 def estimated_size(df: DataFrame) -> int | None:
     """Catalyst's size estimate of ``df`` in bytes, or None when unavailable."""
     try:
-        stats = df._jdf.queryExecution().optimizedPlan().stats()
-        return int(stats.sizeInBytes().toString())
+        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
     except Exception:  # e.g. Spark Connect, where the JVM plan is not reachable
         return None
+    # py4j hands a Scala BigInt over as a Python int; keep a text fallback.
+    return int(size) if isinstance(size, int) else int(str(size))
 
 
 def broadcast_limit(df: DataFrame) -> int:

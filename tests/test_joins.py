@@ -1,0 +1,35 @@
+from conftest import SF01
+
+from shoplens.operators.categories import category_top
+from shoplens.plans.joins import broadcast_bounded, estimated_size, max_rows, maybe_broadcast
+from shoplens.plans.queries import ShopQueries
+from shoplens.sources.tables import FixtureTables
+
+
+def _hinted(df) -> bool:
+    return "broadcast" in df._jdf.queryExecution().analyzed().toString().lower()
+
+
+def test_size_estimate_and_hint(spark):
+    nation = spark.read.parquet(f"{SF01}/nation.parquet")
+    size = estimated_size(nation)
+    assert isinstance(size, int) and 0 < size < 1_000_000
+    assert _hinted(maybe_broadcast(nation, max_bytes=size))
+    assert not _hinted(maybe_broadcast(nation, max_bytes=size - 1))
+
+
+def test_row_bound_from_limit(spark):
+    top = category_top(ShopQueries(FixtureTables(spark, SF01)).q0_filtered_actions(), 10)
+    assert max_rows(top) == 10
+    assert _hinted(broadcast_bounded(top, 10))
+    unbounded = spark.read.parquet(f"{SF01}/events.parquet")
+    assert max_rows(unbounded) is None
+
+
+def test_fact_table_is_never_the_broadcast_side(spark):
+    clicks = FixtureTables(spark, SF01).ads_click()
+    plan = clicks._jdf.queryExecution().executedPlan().toString()
+    for block in plan.split("BroadcastExchange")[1:]:
+        # the subtree under each broadcast reads a dimension, never the events
+        first_scan = block.split("FileScan", 1)[1].split("]", 1)[0]
+        assert "event_id" not in first_scan and "props" not in first_scan
