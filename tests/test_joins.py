@@ -33,3 +33,14 @@ def test_fact_table_is_never_the_broadcast_side(spark):
         # the subtree under each broadcast reads a dimension, never the events
         first_scan = block.split("FileScan", 1)[1].split("]", 1)[0]
         assert "event_id" not in first_scan and "props" not in first_scan
+
+
+def test_limit_from_session_setting(spark):
+    nation = spark.read.parquet(f"{SF01}/nation.parquet")
+    size = estimated_size(nation)
+    spark.conf.set("shoplens.broadcast.maxBytes", str(size - 1))
+    try:
+        assert not _hinted(maybe_broadcast(nation))
+    finally:
+        spark.conf.unset("shoplens.broadcast.maxBytes")
+    assert _hinted(maybe_broadcast(nation))
