@@ -10,16 +10,22 @@ from shoplens.session import build_session
 
 
 def _conditions(args) -> Conditions:
+    """Fixture runs (``--sf-dir``) default to the fixture conditions; other runs
+    to the reference's (no bounds, limit 100).  ``--conditions`` and
+    ``--limit`` override."""
+    fixture = getattr(args, "sf_dir", None) is not None
     if args.conditions:
-        return Conditions.from_json(args.conditions, blacklist_limit=args.limit)
-    return DEFAULT_CONDITIONS.with_(blacklist_limit=args.limit)
+        c = Conditions.from_json(args.conditions)
+    else:
+        c = DEFAULT_CONDITIONS if fixture else Conditions()
+    return c.with_(blacklist_limit=args.limit) if args.limit is not None else c
 
 
 def main(argv: list[str] | None = None) -> int:
     p = argparse.ArgumentParser(prog="shoplens")
     p.add_argument("--master", default=None, help="e.g. local[8]; omit under spark-submit")
     p.add_argument("--conditions", default=None, help="JSON condition text (camelCase keys)")
-    p.add_argument("--limit", type=int, default=DEFAULT_CONDITIONS.blacklist_limit)
+    p.add_argument("--limit", type=int, default=None, help="blacklist clicks per user, ad and day")
     sub = p.add_subparsers(dest="cmd", required=True)
 
     off = sub.add_parser("offline", help="run Q1-Q6 and write result tables")
