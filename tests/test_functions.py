@@ -31,3 +31,28 @@ def test_conditions_from_json_and_blank_bounds():
     assert c.start_age == 15 and c.end_age is None
     assert c.page_flow == (1, 2, 3)
     assert Conditions.from_json(c.to_json()).page_flow == (1, 2, 3)
+
+
+def _java_split(text):
+    """Java's String.split(",") on a plain separator: without a match the text
+    itself; otherwise the parts with trailing empty parts removed."""
+    if "," not in text:
+        return [text]
+    parts = text.split(",")
+    while parts and parts[-1] == "":
+        parts.pop()
+    return parts
+
+
+def test_split_ids_matches_java_split_semantics(spark):
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    @settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+    @given(st.lists(st.text(alphabet="ab,", max_size=8), min_size=1, max_size=40))
+    def check(texts):
+        df = spark.createDataFrame([(t,) for t in texts], "t string")
+        got = [r[0] for r in df.select(split_ids("t")).collect()]
+        assert got == [_java_split(t) for t in texts]
+
+    check()
