@@ -30,6 +30,7 @@ from __future__ import annotations
 
 import json
 import warnings
+import zlib
 from dataclasses import dataclass
 
 import pandas as pd
@@ -135,7 +136,7 @@ class AdsStreamJob:
     def _start(self, writer, name: str):
         trig = self.trigger or {"availableNow": True}
         return (writer.option("checkpointLocation", self.path("checkpoints", name))
-                .queryName(f"shoplens_{name}_{abs(hash(self.root)) % 10**8}")
+                .queryName(f"shoplens_{name}_{zlib.crc32(self.root.encode()):08x}")
                 .trigger(**trig).start())
 
     # -- Q7 ---------------------------------------------------------------------
