@@ -65,3 +65,13 @@ def test_top_ads_are_a_subset_of_the_rollup(spark):
     sizes = dict(((r.day, r.area), r.k) for r in rollup.groupBy("day", "area").agg(F.count("*").alias("k")).collect())
     got = dict(((r.day, r.area), r.k) for r in top.groupBy("day", "area").agg(F.count("*").alias("k")).collect())
     assert got == {key: min(3, k) for key, k in sizes.items()}
+
+
+def test_drop_blacklisted_uses_the_given_list(spark):
+    cl = clicks(spark, ("2024-01-05 10:00:00", 1, 1), ("2024-01-05 10:00:01", 2, 1),
+                ("2024-01-05 10:00:02", 3, 2), ("2024-01-05 10:00:03", 1, 2))
+    banned = spark.createDataFrame([(1,), (3,), (9,)], "user_id long")
+    assert rows(ads.drop_blacklisted(cl, banned), "event_id", "user_id") == [(1, 2)]
+    # an empty list keeps every click
+    none = spark.createDataFrame([], "user_id long")
+    assert ads.drop_blacklisted(cl, none).count() == 4
