@@ -10,16 +10,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 CLICK_COLUMNS = ["ts", "area", "city", "user_id", "ads_id"]
 
-QUARANTINE_SCHEMA = T.StructType([
-    T.StructField("value", T.StringType()),
-    T.StructField("reason", T.StringType()),
-])
-
-
 def parse_ad_lines(lines: DataFrame, column: str = "value") -> DataFrame:
     """Parse lines into clicks; adds ``is_valid`` and ``reason``, keeps ``value``.
 
