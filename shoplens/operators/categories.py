@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from shoplens.functions import split_ids
 from shoplens.plans.joins import broadcast_bounded
 
+
 def category_events(actions: DataFrame) -> DataFrame:
     """One row per (category, kind) event, from a single scan of the log.
 
