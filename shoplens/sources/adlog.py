@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 CLICK_COLUMNS = ["ts", "area", "city", "user_id", "ads_id"]
 
+
 def parse_ad_lines(lines: DataFrame, column: str = "value") -> DataFrame:
     """Parse lines into clicks; adds ``is_valid`` and ``reason``, keeps ``value``.
 
