@@ -24,6 +24,19 @@ def _parse_flow(v) -> tuple[int, ...] | None:
     return tuple(int(p) for p in v)
 
 
+# These must equal the reference's for identical results.
+VISIT_LENGTH_MS = 10_000      # session length bucket, "<=" side inclusive
+STEP_LENGTH = 5               # session step bucket, "<=" side inclusive
+SAMPLE_SIZE = 1000            # sessions sampled in all, spread by start hour
+TOP_CATEGORIES = 10           # categories ranked by click, order, pay counts
+TOP_SESSIONS = 10             # sessions kept per top category
+TOP_PRODUCTS = 3              # rank cut of clicked products per area
+TOP_ADS = 3                   # ads kept per day and area
+BLACKLIST_LIMIT = 100         # clicks per user, ad and day that ban the user
+WINDOW_MINUTES = 60           # trailing window of the last-hour trend
+OTHER_LABEL = "其他"          # remark label for the share of all other cities
+
+
 @dataclass(frozen=True)
 class Conditions:
     # Q0 filter bounds; None (or "") means unbounded.
@@ -34,22 +47,22 @@ class Conditions:
     # Q5 page flow, e.g. (1, 2, 3, 4, 5, 6, 7).
     page_flow: tuple[int, ...] | None = None
     # Q1 bucket thresholds (inclusive "le" side).
-    visit_length_ms: int = 10_000
-    step_length: int = 5
-    # Q2 proportional sample.
-    sample_size: int = 1000
+    visit_length_ms: int = VISIT_LENGTH_MS
+    step_length: int = STEP_LENGTH
+    # Q2 proportional sample; the seed orders the hash pick.
+    sample_size: int = SAMPLE_SIZE
     sample_seed: str = "42"
     # Rank cut-offs.
-    top_categories: int = 10
-    top_sessions: int = 10
-    top_products: int = 3
-    top_ads: int = 3
+    top_categories: int = TOP_CATEGORIES
+    top_sessions: int = TOP_SESSIONS
+    top_products: int = TOP_PRODUCTS
+    top_ads: int = TOP_ADS
     # Q7 clicks per (user, ad, day) that put a user on the blacklist.
-    blacklist_limit: int = 100
+    blacklist_limit: int = BLACKLIST_LIMIT
     # Q10 trailing window, whole minutes.
-    window_minutes: int = 60
+    window_minutes: int = WINDOW_MINUTES
     # Q6 remark label for the share of all other cities.
-    other_label: str = "其他"
+    other_label: str = OTHER_LABEL
     extra: dict = field(default_factory=dict, compare=False, hash=False, repr=False)
 
     def __post_init__(self):
