@@ -9,7 +9,7 @@ the driver; only its scalar values reach Spark, as literals.
 from __future__ import annotations
 
 import json
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, replace
 
 
 def _blank(v):
@@ -63,7 +63,6 @@ class Conditions:
     window_minutes: int = WINDOW_MINUTES
     # Q6 remark label for the share of all other cities.
     other_label: str = OTHER_LABEL
-    extra: dict = field(default_factory=dict, compare=False, hash=False, repr=False)
 
     def __post_init__(self):
         for name in ("start_date", "end_date"):
