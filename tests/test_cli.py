@@ -1,0 +1,25 @@
+"""The command line, run as a separate process (it stops its own session)."""
+
+import os
+import subprocess
+import sys
+
+from conftest import ROOT, SF001
+
+
+def _run(*args, timeout=300):
+    env = dict(os.environ, PYTHONPATH=ROOT)
+    return subprocess.run([sys.executable, "-m", "shoplens", "--master", "local[2]", *args],
+                          cwd=ROOT, env=env, capture_output=True, text=True, timeout=timeout)
+
+
+def test_query_and_offline_commands(tmp_path):
+    q = _run("query", "q3_category_top10", "--sf-dir", SF001)
+    assert q.returncode == 0, q.stderr[-2000:]
+    assert "category_id" in q.stdout and "click_count" in q.stdout
+    out = str(tmp_path / "results")
+    o = _run("offline", "--sf-dir", SF001, "--out", out)
+    assert o.returncode == 0, o.stderr[-2000:]
+    assert sorted(os.listdir(out)) == sorted([
+        "area_top3_product", "category_top10", "category_top10_session_count",
+        "page_convert_rate", "random_session_info", "session_stat_info"])
