@@ -21,7 +21,7 @@ def test_every_query_has_an_oracle():
 @pytest.mark.parametrize("name", NAMES)
 def test_query_matches_oracle(spark, con, name):
     rep = compare(entry.queries()[name](spark, SF01), con, entry.oracle_sql()[name])
-    assert rep["values_match"], rep
+    assert rep["values_match"] and rep["types_match"], rep
 
 
 def test_entry_smoke(spark):
