@@ -38,8 +38,7 @@ def offline_results(tables: ShopTables, c: Conditions, actions: DataFrame) -> di
         "session_stat_info": stats,
         "random_session_info": api.sample_profiles(actions, c),
         "category_top10": top,
-        "category_top10_session_count": api.category_top_sessions(
-            actions, top, c.top_sessions, top_bound=c.top_categories),
+        "category_top10_session_count": api.category_top_sessions(actions, top, c.top_sessions),
         "page_convert_rate": api.page_conversion(actions, c),
         "area_top3_product": api.area_top_products(
             tables.user_visit_action(), tables.city_info(), tables.product_info(), c),

@@ -53,8 +53,7 @@ class ShopQueries:
     def q4_category_top_sessions(self):
         acts = self.q0_filtered_actions()
         top = categories.category_top(acts, self.c.top_categories)
-        return categories.category_top_sessions(acts, top, self.c.top_sessions,
-                                                top_bound=self.c.top_categories)
+        return categories.category_top_sessions(acts, top, self.c.top_sessions)
 
     def q5_page_conversion(self):
         return pages.page_conversion(self.q0_filtered_actions(), self.c)
