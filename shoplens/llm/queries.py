@@ -6,16 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shoplens.llm import minhash
+from shoplens.llm import decontam, minhash, packing, token_files
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_winnowing_decontamination": decontam.decontamination_query,
+        "op3_best_fit_packing": packing.packing_query,
+        "op5_token_files": token_files.token_files_query,
         "op10_minhash_near_dedup": minhash.near_duplicates_query,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op2_winnowing_decontamination": decontam.ORACLE,
         "op10_minhash_near_dedup": minhash.ORACLE,
     }
