@@ -6,15 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shoplens.llm import decontam, langid, minhash, packing, quality, secrets, token_files, toxicity
+from shoplens.llm import decontam, langid, merkle, minhash, packing, pii, quality, secrets, token_files, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_bootstrapped_pii": pii.personal_data_query,
         "op2_winnowing_decontamination": decontam.decontamination_query,
         "op3_best_fit_packing": packing.packing_query,
         "op4_ftrl_language_id": langid.language_query,
         "op5_token_files": token_files.token_files_query,
+        "op6_merkle_fingerprints": merkle.fingerprint_query,
         "op7_guess_cost_secrets": secrets.secrets_query,
         "op8_rule_ensemble_quality": quality.quality_query,
         "op9_segment_toxicity": toxicity.toxicity_query,
