@@ -3,32 +3,63 @@
 ``STAGES`` lists (name, function); a function takes (spark, docs, sf_dir) and
 returns a DataFrame, written as Parquet and reread as the next one's ``docs``.
 All but the last return the columns of ``documents``.
+
+1. language ID (op 4): documents without a determined language go;
+2. near-dedup (op 10): one document of each near-duplicate group stays;
+3. decontamination (op 2): documents that hold enough of the benchmark go;
+4. secrets (op 7): every secret found is replaced by a mark, documents stay;
+5. packing (op 3): the pieces of all documents left, with their sequence.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shoplens.llm import minhash
+from shoplens.llm import decontam, langid, minhash, packing, secrets
 from shoplens.llm.staging import Staging, documents
 
 
+def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language can be told stay; the model is learned from these documents."""
+    return langid.keep_identified(docs, langid.fit(docs))
+
+
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group stays (op 10)."""
+    """One document of each near-duplicate group stays, the one of least doc_id."""
     return minhash.drop_near_duplicates(docs)
 
 
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without contamination by the benchmark stay."""
+    return decontam.drop_contaminated(docs, spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet"))
+
+
+def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents stay; secrets in their texts are replaced by a mark."""
+    return secrets.redact(docs)
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row a piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
+    return packing.pack(docs, packing.byte_bpe_path())
+
+
 STAGES = [
-    ("minhash_near_dedup", near_dedup_stage),
+    ("language_id", language_stage),
+    ("near_dedup", near_dedup_stage),
+    ("decontamination", decontamination_stage),
+    ("secrets", secret_stage),
+    ("packing", packing_stage),
 ]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, staging = documents(spark, sf_dir), Staging(spark, "pipeline")
     for name, stage in STAGES[:-1]:
-        docs = staging.save(stage(spark, docs, sf_dir), name)
+        before, docs = docs, staging.save(stage(spark, docs, sf_dir), name)
+        staging.drop(before)
     return STAGES[-1][1](spark, docs, sf_dir)
 
 
-# Language models, a genetic algorithm and a guess-cost program are no SQL.
+# A trained model, a genetic algorithm and a guess-cost program are no SQL.
 ORACLE_SQL = None
