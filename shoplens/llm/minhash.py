@@ -12,16 +12,18 @@ mixers, so no permutation table is stored.
 
 Steps, all distributed:
 
-1. one pass over the texts: set size, set digest, signature, band keys;
+1. one pass over the texts: set size, set digest and signature;
 2. equal sets are collapsed to their smallest id (a group of copies of any
    size costs one partially aggregated row a task);
-3. rounds over the band buckets: in round r each bucket that still holds more
-   than one component names up to 2^r hub members; every other member of
-   another component is paired with the hubs, pairs are screened by signature,
-   checked on the full sets, and links merge components.  Buckets whose members
-   are one component are done, so a group of n near copies needs about n checks,
-   not n^2.  The rounds end when no bucket has an unchecked pair between two
-   components: no link is lost, whatever the bucket size.
+3. each band bucket names its least id as hub; every member is screened against
+   the hub by signature, checked on the full sets, and links merge components.
+   A group of n near copies costs about n checks, not n^2;
+4. buckets whose members are still in several components are searched in blocks
+   of at most ``BLOCK`` members and ``BLOCK_SHINGLES`` shingles: a task holds two
+   blocks, compares only members of different components, first by signature,
+   then on bit sets of the full shingle sets, and emits one link for each pair of
+   components it joins.  Pairs are never rows, and no link is lost, whatever the
+   bucket's size.
 
 Misses: two sets at the threshold share no band with probability 4e-7
 (20 bands of 4), and fail the signature screen (44 of 80 coordinates) with
@@ -42,11 +44,13 @@ from pyspark.sql import functions as F
 
 from shoplens.llm import textbytes as tb
 from shoplens.llm.staging import Staging, documents, keys_and_text
+from shoplens.plans.joins import maybe_broadcast
 
 BANDS, ROWS = 20, 4
 COORDINATES = BANDS * ROWS
 SCREEN = 44           # agreeing coordinates that a pair at the threshold has (all but 1e-9)
 MIN_WORDS = 3
+BLOCK, BLOCK_SHINGLES = 1024, 400_000
 INTER, UNION = 100, 85   # linked: INTER * |A & B| >= UNION * |A | B|
 
 
@@ -100,7 +104,7 @@ def band_keys(signature: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> np
     return h
 
 
-_SKETCH = "doc_id bigint, n_shingles bigint, d1 bigint, d2 bigint, sig binary, bands array<bigint>"
+_SKETCH = "doc_id bigint, n_shingles bigint, d1 bigint, d2 bigint, sig binary"
 
 
 def _sketch(batches):
@@ -115,37 +119,53 @@ def _sketch(batches):
                 total = np.zeros(len(shingles) + 1, np.uint64)
                 np.cumsum(tb.mix64(shingles * np.uint64(salt)), out=total[1:])
                 digest.append(tb.as_signed(total[ends] - total[ends - sizes]))
-            keys = tb.as_signed(band_keys(sig)).ravel()
             yield pa.RecordBatch.from_arrays([
                 batch.column(0).slice(done, n),
                 pa.array(sizes),
                 pa.array(digest[0]), pa.array(digest[1]),
                 pa.array([s.tobytes() for s in sig], pa.binary()),
-                pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * BANDS), pa.array(keys)),
-            ], names=["doc_id", "n_shingles", "d1", "d2", "sig", "bands"])
+            ], names=["doc_id", "n_shingles", "d1", "d2", "sig"])
             done += n
 
 
 def sketches(docs: DataFrame) -> DataFrame:
-    """Per row: set size, 128-bit set digest, signature and band keys (one narrow pass)."""
+    """Per row: set size, 128-bit set digest and signature (one pass over the texts)."""
     return keys_and_text(docs).mapInArrow(_sketch, _SKETCH)
 
 
+def _signatures_of(column, n: int) -> np.ndarray:
+    return np.frombuffer(tb.utf8_column(column)[0].tobytes(), np.uint32).reshape(n, -1)
+
+
+def _band_rows(batches):
+    """(doc_id, n_shingles, sig) -> one row a band: band, key, doc_id, n_shingles."""
+    for batch in batches:
+        n = batch.num_rows
+        if n:
+            keys = tb.as_signed(band_keys(_signatures_of(batch.column(2), n))).ravel()
+            at = pa.array(np.repeat(np.arange(n), BANDS))
+            yield pa.RecordBatch.from_arrays([pa.array(np.tile(np.arange(BANDS, dtype=np.int32), n)), pa.array(keys),
+                                              batch.column(0).take(at), batch.column(1).take(at)], names=["band", "key", "doc_id", "n_shingles"])
+
+
+def _linked(both, na, nb):
+    return (both > 0) & (INTER * both >= UNION * (na + nb - both))
+
+
+def _sets(column) -> list[np.ndarray]:
+    out = []
+    for shingles, sizes in shingle_sets(column):
+        out += np.split(shingles, np.cumsum(sizes)[:-1])
+    return out
+
+
 def _check_pairs(batches):
     """(a, b, text_a, text_b) -> the linked (a, b): exact Jaccard on the full sets."""
-    def rows(column):
-        out = []
-        for shingles, sizes in shingle_sets(column):
-            out += np.split(shingles, np.cumsum(sizes)[:-1])
-        return out
-
     for batch in batches:
         if not batch.num_rows:
             continue
-        keep = np.zeros(batch.num_rows, bool)
-        for i, (x, y) in enumerate(zip(rows(batch.column(2)), rows(batch.column(3)))):
-            both = len(np.intersect1d(x, y, assume_unique=True))
-            keep[i] = both > 0 and INTER * both >= UNION * (len(x) + len(y) - both)
+        keep = [bool(_linked(len(np.intersect1d(x, y, assume_unique=True)), len(x), len(y)))
+                for x, y in zip(_sets(batch.column(2)), _sets(batch.column(3)))]
         yield pa.RecordBatch.from_arrays([c.filter(pa.array(keep)) for c in batch.columns[:2]], names=["a", "b"])
 
 
@@ -155,13 +175,93 @@ def _screen_pairs(batches):
         n = batch.num_rows
         if not n:
             continue
-        sig = [np.frombuffer(tb.utf8_column(batch.column(i))[0].tobytes(), np.uint32).reshape(n, -1) for i in (4, 5)]
+        ok = (_signatures_of(batch.column(4), n) == _signatures_of(batch.column(5), n)).sum(axis=1) >= SCREEN
         na, nb = (batch.column(i).to_numpy() for i in (2, 3))
-        ok = (sig[0] == sig[1]).sum(axis=1) >= SCREEN
         ok &= INTER * np.minimum(na, nb) >= UNION * np.maximum(na, nb)
         yield pa.RecordBatch.from_arrays([c.filter(pa.array(ok)) for c in batch.columns[:2]], names=["a", "b"])
 
 
+_BLOCK_KEYS = ["band", "key", "i", "j"]
+
+
+def _groups(batches):
+    """Rows sorted by the four block keys -> one table a group (bounded by the block size)."""
+    carry = None
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        if carry is not None:
+            table = pa.concat_tables([carry, table]).combine_chunks()
+        if not table.num_rows:
+            continue
+        keys = np.stack([table.column(k).to_numpy() for k in range(len(_BLOCK_KEYS))])
+        cuts = [0, *(np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1).tolist()]
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            yield table.slice(a, b - a)
+        carry = table.slice(cuts[-1])
+    if carry is not None and carry.num_rows:
+        yield carry
+
+
+def _cross(table):
+    """Members, components, blocks, and the members that need a look: those outside the largest component."""
+    doc, comp, salt, n = (table.column(k).to_numpy() for k in ("doc_id", "comp", "salt", "n_shingles"))
+    i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
+    names, number, count = np.unique(comp, return_inverse=True, return_counts=True)
+    ask = np.flatnonzero(number != np.argmax(count)) if len(names) > 1 else np.empty(0, np.int64)
+    return doc, comp, salt, n, i, j, ask
+
+
+def _may_pair(x, comp, salt, n, same_block):
+    """Members of other components whose size allows a link with member ``x`` (blocks differ unless the group is one)."""
+    ok = (comp != comp[x]) & (INTER * np.minimum(n, n[x]) >= UNION * np.maximum(n, n[x]))
+    return ok if same_block else ok & (salt != salt[x])
+
+
+def _screen_blocks(batches):
+    """Block rows with signatures -> the members with a partner that the signatures allow."""
+    for table in _groups(batches):
+        doc, comp, salt, n, i, j, ask = _cross(table)
+        sig = _signatures_of(table.column("sig").combine_chunks(), len(doc))
+        hit = np.zeros(len(doc), bool)
+        for x in ask.tolist():
+            at = np.flatnonzero(_may_pair(x, comp, salt, n, i == j))
+            near = at[(sig[at] == sig[x]).sum(axis=1) >= SCREEN]
+            if len(near):
+                hit[x] = True
+                hit[near] = True
+        if hit.any():
+            yield table.select([*_BLOCK_KEYS, "doc_id", "comp", "salt", "n_shingles"]).filter(pa.array(hit)).combine_chunks().to_batches()[0]
+
+
+def _check_blocks(batches):
+    """Block rows with texts -> links (a, b), one for each pair of components that a member joins."""
+    for table in _groups(batches):
+        doc, comp, salt, n, i, j, ask = _cross(table)
+        if not len(ask):
+            continue
+        sets = _sets(table.column("text"))
+        _, where, df = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        place = np.where(df > 1, np.cumsum(df > 1) - 1, -1)[where]         # shingles of one member alone can't be common
+        size = int((df > 1).sum())
+        bits = np.zeros((len(sets), -(-max(size, 1) // 64) * 8), np.uint8)
+        for r, own in enumerate(np.split(place, np.cumsum([len(s) for s in sets])[:-1])):
+            row = np.zeros(bits.shape[1] * 8, np.uint8)
+            row[own[own >= 0]] = 1
+            bits[r] = np.packbits(row)
+        bits = bits.view(np.uint64)
+        a, b = [], []
+        for x in ask.tolist():
+            at = np.flatnonzero(_may_pair(x, comp, salt, n, i == j))
+            if len(at):
+                both = np.bitwise_count(bits[at] & bits[x]).sum(axis=1).astype(np.int64)
+                at = at[_linked(both, n[at], n[x])]
+                _, one = np.unique(comp[at], return_index=True)
+                a += [doc[x]] * len(one)
+                b += doc[at[one]].tolist()
+        if a:
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+
 def merge_components(staging: Staging, labels: DataFrame, links: DataFrame) -> DataFrame:
     """``labels`` (doc_id, comp) after the links (a, b): smallest-label propagation with jumps.
 
@@ -201,56 +301,47 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     st = Staging(spark, "minhash")
     rows = st.save(sketches(docs), "sketches")
     full = rows.where("n_shingles > 0 and doc_id is not null")
-    reps = full.groupBy("n_shingles", "d1", "d2").agg(F.min(F.struct("doc_id", "sig", "bands")).alias("m"))
-    reps = st.save(reps.select("n_shingles", "d1", "d2", "m.*"), "reps")
+    # All rows of a digest have the same signature, so any of them serves.
+    reps = st.save(full.groupBy("n_shingles", "d1", "d2").agg(F.min("doc_id").alias("doc_id"), F.any_value("sig").alias("sig")), "reps")
 
     # Buckets with at least two members; the others can't give a pair.
-    exploded = reps.select("doc_id", F.posexplode("bands").alias("band", "key"))
-    shared = exploded.groupBy("band", "key").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo <> hi").select("band", "key")
-    members = st.save(exploded.join(shared, ["band", "key"]).distinct(), "members")
-    active = members.select("doc_id").distinct()
-    # The texts that later rounds read: those of documents in a shared bucket, written once.
-    texts = st.save(keys_and_text(docs).join(active, "doc_id", "left_semi"), "texts")
-    sigs = st.save(reps.select("doc_id", "n_shingles", "sig").join(active, "doc_id", "left_semi"), "sigs")
-    labels = st.save(active.select("doc_id", F.col("doc_id").alias("comp")), "labels")
-    used = seen = None
-    for r in range(64):
-        now = members.join(labels, "doc_id")
-        if r:
-            open_ = now.groupBy("band", "key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("band", "key")
-            now = now.join(open_, ["band", "key"])
-        now = st.save(now, "now")
-        if not now.limit(1).count():
-            break
-        free = now.join(used, ["band", "key", "doc_id"], "left_anti") if used is not None else now
-        hubs = st.save(free.groupBy("band", "key", F.pmod(F.xxhash64("doc_id"), F.lit(1 << r)).alias("slot")).agg(
-            F.min(F.struct("doc_id", "comp")).alias("h")).select("band", "key", F.col("h.doc_id").alias("hub"), F.col("h.comp").alias("hub_comp")), "hubs")
-        pairs = now.join(hubs, ["band", "key"]).where("comp <> hub_comp").select(
-            F.least("doc_id", "hub").alias("a"), F.greatest("doc_id", "hub").alias("b")).distinct()
-        if seen is not None:
-            pairs = pairs.join(seen, ["a", "b"], "left_anti")
-        pairs = st.save(pairs, "pairs")
-        side = lambda t, k, c: t.select(F.col("doc_id").alias(k), *[F.col(x).alias(f"{x}_{k}") for x in c])
-        screened = pairs.join(side(sigs, "a", ["n_shingles", "sig"]), "a").join(side(sigs, "b", ["n_shingles", "sig"]), "b").select(
-            "a", "b", "n_shingles_a", "n_shingles_b", "sig_a", "sig_b").mapInArrow(_screen_pairs, "a bigint, b bigint")
-        screened = st.save(screened, "screened")
-        checked = screened.join(side(texts, "a", ["text"]), "a").join(side(texts, "b", ["text"]), "b").select("a", "b", "text_a", "text_b")
-        links = st.save(checked.mapInArrow(_check_pairs, "a bigint, b bigint"), "links")
-        if links.limit(1).count():
-            merged = merge_components(st, labels, links)
-            st.drop(labels)
-            labels = merged
-        left = free.join(hubs.select("band", "key", F.col("hub").alias("doc_id")), ["band", "key", "doc_id"], "left_anti")
-        done = not left.limit(1).count()
-        for t in (screened, links, now):
-            if t is not now or done:
-                st.drop(t)
-        if done:
-            break
-        st.drop(now)
-        h = hubs.select("band", "key", F.col("hub").alias("doc_id"))
-        used = st.save(h if used is None else used.unionByName(h), "used")
-        seen = st.save(pairs if seen is None else seen.unionByName(pairs), "seen")
+    bands = reps.select("doc_id", "n_shingles", "sig").mapInArrow(_band_rows, "band int, key bigint, doc_id bigint, n_shingles bigint")
+    bands = st.save(bands, "bands")
+    shared = bands.groupBy("band", "key").agg(F.min("doc_id").alias("hub"), F.max("doc_id").alias("hi")).where("hub <> hi").select("band", "key", "hub")
+    members = st.save(bands.join(shared, ["band", "key"]), "members")
+    st.drop(bands)
+    active = st.save(members.select("doc_id").distinct(), "active")
+    # The texts that later steps read: those of documents in a shared bucket, written once.
+    texts = keys_and_text(docs).join(maybe_broadcast(active), "doc_id", "left_semi")
+    texts = st.save(texts, "texts")
+    sigs = st.save(reps.select("doc_id", "n_shingles", "sig").join(maybe_broadcast(active), "doc_id", "left_semi"), "sigs")
+    labels = active.select("doc_id", F.col("doc_id").alias("comp"))
+
+    pairs = members.where("doc_id <> hub").select(F.col("hub").alias("a"), F.col("doc_id").alias("b")).distinct()
+    side = lambda t, k, c: t.select(F.col("doc_id").alias(k), *[F.col(x).alias(f"{x}_{k}") for x in c])
+    screened = st.save(pairs.join(side(sigs, "a", ["n_shingles", "sig"]), "a").join(side(sigs, "b", ["n_shingles", "sig"]), "b").select(
+        "a", "b", "n_shingles_a", "n_shingles_b", "sig_a", "sig_b").mapInArrow(_screen_pairs, "a bigint, b bigint"), "screened")
+    checked = screened.join(side(texts, "a", ["text"]), "a").join(side(texts, "b", ["text"]), "b").select("a", "b", "text_a", "text_b")
+    labels = merge_components(st, labels, st.save(checked.mapInArrow(_check_pairs, "a bigint, b bigint"), "links"))
+
+    # Buckets of several components: a bucket of two has been checked whole.
+    now = members.join(labels, "doc_id")
+    open_ = now.groupBy("band", "key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("m"),
+                                           F.sum("n_shingles").alias("total")).where("lo <> hi and m > 2")
+    blocks = F.greatest(F.ceil(F.col("total") / BLOCK_SHINGLES), F.ceil(F.col("m") / BLOCK)).cast("int")
+    rows_in = now.join(open_.select("band", "key", blocks.alias("blocks")), ["band", "key"]).withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
+    rows_in = rows_in.withColumn("t", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        "band", "key", F.least("salt", "t").alias("i"), F.greatest("salt", "t").alias("j"), "doc_id", "comp", "salt", "n_shingles")
+    in_blocks = lambda t: t.repartition(*_BLOCK_KEYS).sortWithinPartitions(*_BLOCK_KEYS)
+    plain = "band int, key bigint, i int, j int, doc_id bigint, comp bigint, salt int, n_shingles bigint"
+    near = in_blocks(rows_in.join(sigs.select("doc_id", "sig"), "doc_id").select(*_BLOCK_KEYS, "doc_id", "comp", "salt", "n_shingles", "sig"))
+    near = st.save(near.mapInArrow(_screen_blocks, plain), "near")
+    whole = in_blocks(near.join(texts, "doc_id").select(*_BLOCK_KEYS, "doc_id", "comp", "salt", "n_shingles", "text"))
+    more = st.save(whole.mapInArrow(_check_blocks, "a bigint, b bigint").distinct(), "links")
+    if more.limit(1).count():
+        labels = merge_components(st, labels, more)
+    for t in (members, texts, sigs, near, screened):
+        st.drop(t)
 
     comp = reps.select("n_shingles", "d1", "d2", F.col("doc_id").alias("rep")).join(
         labels.withColumnRenamed("doc_id", "rep"), "rep", "left").select(
