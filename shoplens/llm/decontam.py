@@ -238,9 +238,15 @@ def _count_words(batches):
                                           pa.array(np.concatenate(n) if n else [], pa.int64())], names=["doc_id", "rk", "n_words"])
 
 
+def _row_key(docs: DataFrame):
+    """Rows that share a doc_id differ by their text."""
+    return F.xxhash64(docs["doc_id"].cast("bigint"), docs["text"].cast("string"))
+
+
 def contamination_by_shuffle(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The result of ``contamination`` with both sides shuffled (a benchmark of any size)."""
-    keyed = keys_and_text(docs).select("doc_id", F.xxhash64("doc_id", "text").alias("rk"), "text")
+    """The result of ``contamination`` (and a row key) with both sides shuffled: a benchmark of any size."""
+    docs = keys_and_text(docs)
+    keyed = docs.select("doc_id", _row_key(docs).alias("rk"), "text")
     windows = benchmark_windows(benchmark)
     lengths = sorted(r["len"] for r in windows.select("len").distinct().collect())   # 1 to 13
     prints = keyed.mapInArrow(_doc_prints(lengths), "doc_id bigint, rk bigint, len int, fp bigint")
@@ -257,7 +263,7 @@ def contamination_by_shuffle(docs: DataFrame, benchmark: DataFrame) -> DataFrame
     out = counted.join(words, same, "left").join(
         items, F.col("doc_id").eqNullSafe(F.col("i_id")) & (F.col("rk") == F.col("i_rk")), "left")
     n_hit = F.coalesce("n_hit", F.lit(0))
-    return out.select("doc_id", "n_words", n_hit.alias("n_hit"),
+    return out.select("doc_id", "rk", "n_words", n_hit.alias("n_hit"),
                       F.coalesce(F.size("items"), F.lit(0)).cast("bigint").alias("n_items"),
                       F.sha2(F.coalesce(F.array_join(F.array_sort("items"), ","), F.lit("")), 256).alias("items_sha256"),
                       ((n_hit > 0) & (MIN_SHARE * n_hit >= F.col("n_words"))).alias("contaminated"))
@@ -267,7 +273,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, max_broadcast_windows:
     """Per document: words, hit words, items with occurring windows, contaminated."""
     index = _bounded_index(benchmark, max_broadcast_windows)
     if index is None:
-        return contamination_by_shuffle(docs, benchmark)
+        return contamination_by_shuffle(docs, benchmark).drop("rk")
     return keys_and_text(docs).mapInArrow(_scorer(index), _RESULT)
 
 
@@ -275,8 +281,9 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, max_broadcast_windo
     """The documents that are not contaminated, all columns kept."""
     index = _bounded_index(benchmark, max_broadcast_windows)
     if index is None:
-        bad = contamination_by_shuffle(docs, benchmark).where("contaminated").select(F.col("doc_id").alias("_bad_id")).distinct()
-        return docs.join(bad, docs["doc_id"].cast("bigint") == bad["_bad_id"], "left_anti")
+        bad = contamination_by_shuffle(docs, benchmark).where("contaminated").select(
+            F.col("doc_id").alias("_bad_id"), F.col("rk").alias("_bad_key")).distinct()
+        return docs.join(bad, (_row_key(docs) == bad["_bad_key"]) & docs["doc_id"].cast("bigint").eqNullSafe(bad["_bad_id"]), "left_anti")
     at = docs.columns.index("text")
 
     def run(batches):

@@ -1,0 +1,67 @@
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import pytest
+from cases import edge_documents, empty_documents
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from shoplens.llm import packing
+
+SIZE = 64
+
+
+def check(docs, rows, size):
+    tok = Tokenizer.from_file(packing.byte_bpe_path())
+    tok.encode_special_tokens = True
+    expected = defaultdict(int)
+    for r in docs.collect():
+        ids = np.array(tok.encode(r.text or "", add_special_tokens=False).ids + [0], "<u4")
+        n = -(-len(ids) // size)
+        cuts = [0, *[len(ids) - size * (n - 1 - k) for k in range(n)]]
+        for k, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])):
+            expected[(r.doc_id, k, a, b - a, zlib.crc32(ids[a:b].tobytes()))] += 1
+    got = defaultdict(int)
+    sequences = defaultdict(list)
+    for r in rows:
+        got[(r.doc_id, r.piece, r.start, r.length, r.ids_crc32)] += 1
+        sequences[r.sequence_id].append((r.offset, r.length))
+    assert got == expected
+    for own in sequences.values():
+        at = 0
+        for offset, length in sorted(own):
+            assert offset == at
+            at += length
+        assert at <= size
+    return len(sequences)
+
+
+@pytest.mark.parametrize("island", [8192, 3])
+def test_pieces_and_sequences(spark, island):
+    docs = edge_documents(spark)
+    check(docs, packing.pack(docs, packing.byte_bpe_path(), size=SIZE, island_pieces=island).collect(), SIZE)
+
+
+def test_empty_table(spark):
+    assert packing.pack(empty_documents(spark), packing.byte_bpe_path()).collect() == []
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.integers(1, 100), max_size=80), st.integers(0, 5))
+def test_evolution_packs_every_item_once_and_never_worse_than_best_fit(lengths, seed):
+    bins = packing.evolve(lengths, 100, seed)
+    assert sorted(i for b in bins for i in b) == list(range(len(lengths)))
+    assert all(sum(lengths[i] for i in b) <= 100 for b in bins)
+    order = sorted(range(len(lengths)), key=lengths.__getitem__, reverse=True)
+    assert len(bins) <= len(packing.best_fit(lengths, order, 100))
+
+
+def test_crossover_beats_best_fit():
+    """A case where best fit decreasing needs a sequence more than the best packing."""
+    lengths = [44, 44, 24, 24, 22, 21, 17, 8, 8, 6, 6] * 3
+    best = -(-sum(lengths) // 100)
+    order = sorted(range(len(lengths)), key=lengths.__getitem__, reverse=True)
+    assert len(packing.evolve(lengths, 100, 1, generations=200)) <= len(packing.best_fit(lengths, order, 100))
+    assert len(packing.evolve(lengths, 100, 1, generations=200)) >= best

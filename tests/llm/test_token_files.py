@@ -1,0 +1,55 @@
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pyarrow.parquet as pq
+import pytest
+from cases import edge_documents, empty_documents
+from tokenizers import Tokenizer
+
+from shoplens.llm import token_files
+
+PATH = public_tokenizers.path("word_bpe_49k.json")
+
+
+def expected(docs):
+    tok = Tokenizer.from_file(PATH)
+    tok.encode_special_tokens = True
+    return {r.doc_id: tok.encode(r.text or "", add_special_tokens=False).ids + [2] for r in docs.collect()}
+
+
+@pytest.mark.parametrize("encoding", ["dictionary", "delta"])
+def test_round_trip(spark, tmp_path, encoding):
+    docs, path = edge_documents(spark), str(tmp_path / "t")
+    token_files.write_tokens(docs, path, PATH, encoding=encoding)
+    ids = expected(docs)
+    rows = token_files.read_tokens(spark, path).collect()
+    assert len(rows) == docs.count()
+    assert all(list(r.tokens) == ids[r.doc_id] and r.n_tokens == len(r.tokens) for r in rows)
+    digests = sorted(token_files.token_digests(spark, path).collect(), key=lambda r: r.start)
+    assert [r.doc_id for r in digests] == sorted((r.doc_id for r in docs.collect()), key=lambda x: (x is not None, x))
+    at = 0
+    for r in digests:
+        assert r.start == at and r.ids_crc32 == zlib.crc32(np.array(ids[r.doc_id], "<u4").tobytes())
+        at += r.n_tokens
+    files = [pq.ParquetFile(f) for f in sorted((tmp_path / "t").glob("*.parquet"))]
+    columns = [f.metadata.row_group(0).column(4) for f in files if f.metadata.num_row_groups]
+    assert any(("DICTIONARY" in str(c.encodings)) == (encoding == "dictionary") for c in columns)
+    assert all(c.has_offset_index for c in columns)
+
+
+def test_selective_reads(spark, tmp_path):
+    docs, path = edge_documents(spark), str(tmp_path / "t")
+    token_files.write_tokens(docs, path, PATH)
+    part = token_files.read_tokens(spark, path, 8, 9, columns=("doc_id", "n_tokens"))
+    assert sorted(r.doc_id for r in part.collect()) == [8, 9]
+    plan = part._jdf.queryExecution().toString()
+    assert "GreaterThanOrEqual(doc_id,8)" in plan and "tokens:array" not in plan.split("ReadSchema")[-1]
+
+
+def test_empty_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    token_files.write_tokens(empty_documents(spark), path, PATH)
+    assert token_files.token_digests(spark, path).collect() == []
+    with pytest.raises(ValueError):
+        token_files.write_tokens(empty_documents(spark), path, PATH, encoding="zip")
