@@ -31,14 +31,19 @@ def main(argv: list[str] | None = None) -> int:
     off = sub.add_parser("offline", help="run Q1-Q6 and write result tables")
     off.add_argument("--sf-dir", help="fixture folder (derive the shop tables from it)")
     off.add_argument("--tables", help="folder of stored shop tables (user_visit_action, ...)")
+    off.add_argument("--database", help="catalog database of the shop tables")
     off.add_argument("--out", required=True)
 
     rt = sub.add_parser("realtime", help="run the ad-click stream jobs")
     rt.add_argument("--lines-dir", help="folder of text files with ad lines")
     rt.add_argument("--kafka-servers")
     rt.add_argument("--topic", default="ads_log")
-    rt.add_argument("--root", default=None, help="output folder (default: under spark.checkpoint.dir)")
+    rt.add_argument("--root", required=True, help="shared output folder; the same one on every start")
     rt.add_argument("--trigger-seconds", type=float, default=None, help="default: availableNow")
+    rt.add_argument("--max-files", type=int, default=None, help="text files a micro-batch reads at most")
+    rt.add_argument("--max-offsets", type=int, default=None, help="Kafka records a micro-batch reads at most")
+    rt.add_argument("--state-partitions", type=int, default=None, help="state stores per stateful query, fixed at the first start")
+    rt.add_argument("--write-files", type=int, default=None, help="files a micro-batch writes at most per table")
 
     q = sub.add_parser("query", help="show one registered query")
     q.add_argument("name")
@@ -53,17 +58,20 @@ def main(argv: list[str] | None = None) -> int:
         from shoplens.plans.offline import parquet_sink, run_offline
         from shoplens.sources.tables import FixtureTables, StoredTables
 
-        tables = FixtureTables(spark, args.sf_dir) if args.sf_dir else StoredTables(spark, args.tables)
+        if not (args.sf_dir or args.tables or args.database):
+            p.error("offline needs --sf-dir, --tables or --database")
+        tables = FixtureTables(spark, args.sf_dir) if args.sf_dir else StoredTables(spark, args.tables, args.database)
         print(run_offline(tables, c, parquet_sink(args.out)))
     elif args.cmd == "realtime":
         from shoplens.sources.adlog import read_ad_stream, read_kafka_ad_stream
         from shoplens.streaming.pipeline import AdsStreamJob
         from shoplens.streaming.realtime import run_realtime
 
-        lines = (read_kafka_ad_stream(spark, args.kafka_servers, args.topic) if args.kafka_servers
-                 else read_ad_stream(spark, args.lines_dir))
+        lines = (read_kafka_ad_stream(spark, args.kafka_servers, args.topic, max_offsets_per_trigger=args.max_offsets)
+                 if args.kafka_servers else read_ad_stream(spark, args.lines_dir, args.max_files))
         trig = {"processingTime": f"{args.trigger_seconds} seconds"} if args.trigger_seconds else None
-        job = AdsStreamJob(spark, root=args.root, limit=c.blacklist_limit, trigger=trig)
+        job = AdsStreamJob(spark, root=args.root, limit=c.blacklist_limit, trigger=trig,
+                           state_partitions=args.state_partitions, write_files=args.write_files)
         run_realtime(job, lines)
         if trig:
             spark.streams.awaitAnyTermination()

@@ -1,7 +1,7 @@
 """Public API: one DataFrame -> DataFrame function per job.
 
-Every function is lazy (builds a plan, runs no job) and works on any source
-of the shop tables.  The shapes follow the job list of the reference:
+Every function is lazy (builds a plan, runs no job; ``clean_clicks`` first counts
+the groups that reach the limit) and works on any source of the shop tables.  The shapes follow the job list of the reference:
 
     Q0  filter_actions(actions, users, c)
     Q1  session_stats(actions, c), session_lengths(actions)
@@ -45,12 +45,12 @@ def session_stats(actions: DataFrame, c: Conditions) -> DataFrame:
     return _sessions.session_stats(_sessions.session_lengths(actions), c)
 
 
-def session_sample(profile: DataFrame, c: Conditions, salt_buckets: int = 32) -> DataFrame:
+def session_sample(profile: DataFrame, c: Conditions, salt_buckets: int | None = None) -> DataFrame:
     """Q2 sample from the session profiles, with the hourly quotas computed here."""
     return _sessions.session_sample(profile, _sessions.hourly_quota(profile, c), c, salt_buckets)
 
 
-def sample_profiles(actions: DataFrame, c: Conditions, salt_buckets: int = 32) -> DataFrame:
+def sample_profiles(actions: DataFrame, c: Conditions, salt_buckets: int | None = None) -> DataFrame:
     """Q2 sample from the action log; lists are built for the picked sessions only."""
     return _sessions.sample_profiles(actions, c, salt_buckets)
 

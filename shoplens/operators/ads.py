@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shoplens.functions import tie_columns
+from shoplens.plans.joins import broadcast_rows, maybe_broadcast
 
 
 def with_day(clicks: DataFrame) -> DataFrame:
@@ -40,18 +41,24 @@ def blacklist(clicks: DataFrame, limit: int) -> DataFrame:
             .select("user_id").distinct())
 
 
-def blacklist_cutoff(clicks: DataFrame, limit: int, epoch_col: str | None = None) -> DataFrame:
+def hot_groups(clicks: DataFrame, limit: int) -> DataFrame:
+    """(user, ad, day) groups that reach the limit: one narrow aggregate over the log."""
+    return user_ad_day_counts(clicks).where(F.col("n") >= int(limit)).select("user_id", "ads_id", "day")
+
+
+def blacklist_cutoff(clicks: DataFrame, limit: int, epoch_col: str | None = None, groups: DataFrame | None = None) -> DataFrame:
     """Per blacklisted user, the position of the click that reached the limit.
 
     That is the ``limit``-th click (by [micro-batch,] time, then tie key) of
-    the (user, ad, day) group that reaches it first.  ``row_number() = limit``
-    gets a partial WindowGroupLimit: each task forwards at most ``limit`` rows
-    per group, so a hot (user, ad, day) never ships its whole group.
+    the (user, ad, day) group that reaches it first.  Only clicks of ``groups``
+    (``hot_groups`` by default) are ranked; ``row_number() = limit`` gets a
+    partial WindowGroupLimit, so a hot group never ships all its rows.
     """
+    groups = hot_groups(clicks, limit) if groups is None else groups
     pos = click_position(clicks, epoch_col)
     w = Window.partitionBy("user_id", "ads_id", "day").orderBy(pos)
-    hits = (with_day(clicks).withColumn("nth", F.row_number().over(w))
-            .where(F.col("nth") == int(limit)))
+    ranked = with_day(clicks).join(maybe_broadcast(groups), ["user_id", "ads_id", "day"], "left_semi")
+    hits = ranked.withColumn("nth", F.row_number().over(w)).where(F.col("nth") == int(limit))
     return hits.groupBy("user_id").agg(F.min(pos).alias("cutoff"))
 
 
@@ -60,14 +67,24 @@ def clean_clicks(clicks: DataFrame, limit: int, epoch_col: str | None = None) ->
 
     Event-time form (no ``epoch_col``): a user's clicks up to and including
     the one that reaches the limit pass; every later click of that user is
-    dropped (any ad, any day).  This is the stream's rule with one click per
-    micro-batch.  With ``epoch_col`` (the micro-batch of each click) the cut
-    is per micro-batch, as in the stream: the whole batch in which the user
-    reaches the limit passes, later batches are dropped.  The set of banned
-    users is the same in both forms.
+    dropped (any ad, any day).  Clicks of equal time and tie key pass or go
+    together (without a tie key: all clicks of the limit click's time pass).
+    This is the stream's rule with one click per micro-batch.  With
+    ``epoch_col`` (the micro-batch of each click) the cut is per micro-batch, as
+    in the stream: the whole batch in which the user reaches the limit passes,
+    later batches are dropped.  The set of banned users is the same in both.
+
+    The groups that reach the limit are found first, by one narrow aggregate
+    that runs when this function is called: the list is kept (as a cached
+    frame), and its real size decides whether it and the cutoffs, at most one a
+    group, are broadcast.  The log itself is then only filtered in its scan
+    stage; if the list is too large for that, the joins shuffle.
     """
     cols = clicks.columns
-    cut = blacklist_cutoff(clicks, limit, epoch_col)
+    groups = hot_groups(clicks, limit).persist()
+    found = groups.count()
+    cut = blacklist_cutoff(clicks, limit, epoch_col, groups)
+    cut = broadcast_rows(cut, found)
     j = clicks.join(cut, "user_id", "left")
     if epoch_col:
         passed = F.col(epoch_col) <= F.col("cutoff")[epoch_col]
@@ -78,7 +95,7 @@ def clean_clicks(clicks: DataFrame, limit: int, epoch_col: str | None = None) ->
 
 def drop_blacklisted(clicks: DataFrame, users: DataFrame) -> DataFrame:
     """Clicks of users not on the list (anti join; the list is re-read per batch)."""
-    return clicks.join(users.select("user_id"), "user_id", "left_anti")
+    return clicks.join(users, "user_id", "left_anti")
 
 
 # --- Q8 / Q9 ---------------------------------------------------------------------
@@ -109,20 +126,33 @@ def area_top_ads_json(top: DataFrame) -> DataFrame:
 
 # --- Q10 -----------------------------------------------------------------------
 
-def recent_minutes(clicks: DataFrame, minutes: int = 60) -> DataFrame:
+def minute_counts(clicks: DataFrame) -> DataFrame:
+    """Clicks per (ad, minute ``m``) over all time."""
+    return (clicks.select("ads_id", F.date_trunc("minute", F.col("ts")).alias("m"))
+            .groupBy("ads_id", "m").agg(F.count(F.lit(1)).alias("n")))
+
+
+def minutes_up_to_latest(per: DataFrame, minutes: int = 60) -> DataFrame:
+    """The (ad, minute) counts of the last ``minutes`` whole minutes up to the latest one."""
+    latest = per.agg(F.max("m")).scalar()
+    return per.where(F.col("m") > F.timestamp_add("MINUTE", F.lit(-int(minutes)), latest))
+
+
+def recent_minutes(clicks: DataFrame, minutes: int = 60, as_of=None) -> DataFrame:
     """Clicks per (ad, minute) over the last ``minutes`` whole minutes.
 
     The hour is anchored at the minute of the latest click seen: minute >
-    latest minute - ``minutes``.  Counts per (ad, minute) come first; the
-    latest minute is a scalar subquery over those counts, so main query and
-    subquery share one shuffle (Spark reuses the exchange) instead of reading
-    the clicks twice.  The reference slides a processing-time window instead;
-    an event-time anchor gives the same rows on replay.
+    latest minute - ``minutes``.  Clicks after ``as_of`` (a timestamp column or
+    literal) are left out, so that one misdated click can't move the hour.
+    Counts per (ad, minute) come first; the latest minute is a scalar subquery
+    over those counts, so main query and subquery share one shuffle (Spark
+    reuses the exchange) instead of reading the clicks twice.  The reference
+    slides a processing-time window instead; an event-time anchor gives the
+    same rows on replay.
     """
-    per = (clicks.select("ads_id", F.date_trunc("minute", F.col("ts")).alias("m"))
-           .groupBy("ads_id", "m").agg(F.count(F.lit(1)).alias("n")))
-    latest = per.agg(F.max("m")).scalar()
-    return per.where(F.col("m") > F.timestamp_add("MINUTE", F.lit(-int(minutes)), latest))
+    if as_of is not None:
+        clicks = clicks.where(F.col("ts") <= as_of)
+    return minutes_up_to_latest(minute_counts(clicks), minutes)
 
 
 def last_hour_trend(clicks: DataFrame, minutes: int = 60) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shoplens.functions import split_ids
-from shoplens.plans.joins import broadcast_bounded, max_rows
+from shoplens.plans.joins import maybe_broadcast
 
 
 def category_events(actions: DataFrame) -> DataFrame:
@@ -48,22 +48,18 @@ def category_top(actions: DataFrame, k: int = 10) -> DataFrame:
     ).limit(int(k))
 
 
-def category_top_sessions(actions: DataFrame, top: DataFrame, k: int = 10,
-                          top_bound: int | None = None) -> DataFrame:
+def category_top_sessions(actions: DataFrame, top: DataFrame, k: int = 10) -> DataFrame:
     """The ``k`` sessions with most clicks in each top category.
 
-    ``top`` is the result of ``category_top``; its row bound (``top_bound``, by
-    default the one Catalyst proves from its ``limit``) lets it be broadcast
-    for the semi join.  Ties on the click count go to the smaller
+    ``top`` is the result of ``category_top``; its ``limit`` bounds Catalyst's
+    size estimate, which decides whether it is broadcast for the semi join.  Ties on the click count go to the smaller
     session id.  ``row_number() <= k`` lets Catalyst add a partial
     WindowGroupLimit before the shuffle, so a category with many sessions only
     ships each task's top ``k``.
     """
     clicks = actions.where(F.col("click_category_id") != -1).select(
         F.col("click_category_id").cast("string").alias("category_id"), "session_id")
-    ids = top.select("category_id")
-    bound = top_bound if top_bound is not None else (max_rows(ids) or 0)
-    wanted = clicks.join(broadcast_bounded(ids, bound), "category_id", "left_semi")
+    wanted = clicks.join(maybe_broadcast(top.select("category_id")), "category_id", "left_semi")
     counts = wanted.groupBy("category_id", "session_id").agg(F.count(F.lit(1)).alias("click_count"))
     w = Window.partitionBy("category_id").orderBy(F.desc("click_count"), F.asc("session_id"))
     return (counts.withColumn("r", F.row_number().over(w))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shoplens.functions import percent_half_up, tie_columns
@@ -32,17 +32,43 @@ def _sequence(actions: DataFrame, split: str) -> DataFrame:
     )
 
 
+def _pair_pieces(edges: DataFrame) -> DataFrame:
+    """Each piece's last page with the first page of the session's next piece."""
+    w_pieces = Window.partitionBy("session_id").orderBy("piece")
+    cross = edges.select(F.col("last_page").alias("pre_page"),
+                         F.lead("first_page").over(w_pieces).alias("post_page"),
+                         F.lead(F.lit(True)).over(w_pieces).alias("has_next"))
+    return cross.where(F.col("has_next")).select("pre_page", "post_page")
+
+
 def _cross_steps(seq: DataFrame) -> DataFrame:
     """Pairs across pieces: a piece's last page and the next piece's first."""
     edges = seq.where(F.col("is_first") | F.col("is_last")).groupBy("session_id", "piece").agg(
         F.max(F.when(F.col("is_first"), F.col("pre_page"))).alias("first_page"),
         F.max(F.when(F.col("is_last"), F.col("pre_page"))).alias("last_page"),
     )
-    w_pieces = Window.partitionBy("session_id").orderBy("piece")
-    cross = edges.select(F.col("last_page").alias("pre_page"),
-                         F.lead("first_page").over(w_pieces).alias("post_page"),
-                         F.lead(F.lit(True)).over(w_pieces).alias("has_next"))
-    return cross.where(F.col("has_next")).select("pre_page", "post_page")
+    return _pair_pieces(edges)
+
+
+def _step_counts(seq: DataFrame, wanted: Column, visited: Column) -> DataFrame:
+    """One aggregate over the sequence that visits, jumps and piece edges are all read from.
+
+    Rows are counted per (page, next page if they form a target jump); the
+    first and last action of a piece keep their session and piece besides, so
+    only edge rows stay apart.  ``visit``, ``jump`` and ``edge`` are 0 or 1.
+    """
+    edge = F.col("is_first") | F.col("is_last")
+    jump = ~F.col("is_last") & wanted
+    keyed = seq.select(
+        F.when(visited | edge, F.col("pre_page")).alias("page"),
+        F.when(jump, F.col("post_page")).alias("post"),
+        F.when(edge, F.col("session_id")).alias("session_id"),
+        F.when(edge, F.col("piece")).alias("piece"),
+        F.when(F.col("is_first"), F.col("pre_page")).alias("first_page"),
+        F.when(F.col("is_last"), F.col("pre_page")).alias("last_page"),
+        F.coalesce(visited, F.lit(False)).cast("int").alias("v"), F.coalesce(jump, F.lit(False)).cast("int").alias("j"), edge.cast("int").alias("e"))
+    return keyed.groupBy("page", "post", "session_id", "piece", "first_page", "last_page").agg(
+        F.count(F.lit(1)).alias("n"), F.max("v").alias("visit"), F.max("j").alias("jump"), F.max("e").alias("edge"))
 
 
 def _steps(seq: DataFrame) -> DataFrame:
@@ -65,6 +91,11 @@ def page_steps(actions: DataFrame, split: str = "minute") -> DataFrame:
     return _steps(_sequence(actions, split))
 
 
+def page_pairs(actions: DataFrame, split: str = "minute") -> DataFrame:
+    """How often each page follows each other page: pre_page, post_page, n over all sessions."""
+    return page_steps(actions, split).groupBy("pre_page", "post_page").agg(F.count(F.lit(1)).alias("n"))
+
+
 def page_conversion(actions: DataFrame, c: Conditions, include_zero: bool = False,
                     split: str = "minute") -> DataFrame:
     """Rate of each target jump ``a-b``: jumps a->b over all visits of page a.
@@ -81,19 +112,17 @@ def page_conversion(actions: DataFrame, c: Conditions, include_zero: bool = Fals
         [F.struct(F.lit(int(a)).cast("bigint").alias("pre_page"),
                   F.lit(int(b)).cast("bigint").alias("post_page")) for a, b in pairs]
     ) if pairs else F.lit(False)
-    seq = _sequence(actions, split)
-    # One aggregation over the sequence gives both counts: every action is one
-    # visit of its page, and one jump when its successor in the piece forms a
-    # target pair.  Jumps across pieces come from the piece edges.  Both read
-    # the same window, so the log is scanned and shuffled once.
-    per = (seq.where(F.col("pre_page").isin([int(p) for p in flow[:-1]]))
-           .select("pre_page", F.when(~F.col("is_last") & wanted, F.col("post_page")).alias("post_key"))
-           .groupBy("pre_page", "post_key").agg(F.count(F.lit(1)).alias("n")))
-    visits = per.groupBy(F.col("pre_page").alias("page_id")).agg(F.sum("n").alias("visits"))
-    inner = per.where(F.col("post_key").isNotNull()).select(
-        "pre_page", F.col("post_key").alias("post_page"), F.col("n").alias("jumps"))
-    cross = (_cross_steps(seq).where(wanted)
-             .groupBy("pre_page", "post_page").agg(F.count(F.lit(1)).alias("jumps")))
+    per = _step_counts(_sequence(actions, split), wanted, F.col("pre_page").isin([int(p) for p in flow[:-1]]))
+    # All three read the same columns of ``per`` (``every`` is always true), so its
+    # shuffle, and the sorted window below it, run once.
+    every = (F.col("n") > 0) & (F.col("visit") >= 0) & (F.col("jump") >= 0) & (F.col("edge") >= 0)
+    visits = per.where((F.col("visit") == 1) & every).groupBy(
+        F.col("page").alias("page_id")).agg(F.sum("n").alias("visits"))
+    inner = per.where((F.col("jump") == 1) & every).groupBy(
+        F.col("page").alias("pre_page"), F.col("post").alias("post_page")).agg(F.sum("n").alias("jumps"))
+    edges = per.where((F.col("edge") == 1) & every).groupBy("session_id", "piece").agg(
+        F.max("first_page").alias("first_page"), F.max("last_page").alias("last_page"))
+    cross = _pair_pieces(edges).where(wanted).groupBy("pre_page", "post_page").agg(F.count(F.lit(1)).alias("jumps"))
     jumps = (inner.unionByName(cross).groupBy("pre_page", "post_page")
              .agg(F.sum("jumps").alias("jumps")))
     if include_zero:

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from shoplens.functions import half_up, ordered_join, percent_half_up, tie_columns
 from shoplens.params import Conditions
+from shoplens.plans.joins import broadcast_rows, estimated_size
 
 _TS_FMT = "yyyy-MM-dd HH:mm:ss"
 
@@ -95,9 +96,10 @@ def session_profile(actions: DataFrame) -> DataFrame:
     Two aggregation levels keep every buffer small: each (session, hour) joins
     its own rows (``listagg ... WITHIN GROUP``, partially aggregated map-side),
     then each session joins its hour pieces in hour order.  The finished lists
-    are the output row itself, so only they are ever whole in one place.
+    are the output row itself, so only they are ever whole in one place (Spark
+    limits a row to 2 GB).
     """
-    order = ["action_time", *[f"`{t}`" for t in tie_columns(actions)]]
+    ties = [f"`{t}`" for t in tie_columns(actions)]
     clicked = "CASE WHEN click_product_id <> -1 THEN CAST(click_product_id AS STRING) END"
     sources = {"search_keywords": "search_keyword", "click_product_ids": clicked,
                "order_product_ids": "order_product_ids", "pay_product_ids": "pay_product_ids"}
@@ -107,7 +109,8 @@ def session_profile(actions: DataFrame) -> DataFrame:
         # text (whose order is time order) is compared directly.
         F.min("action_time").alias("first_time"),
         F.max("action_time").alias("last_time"),
-        *[ordered_join(src, order).alias(name) for name, src in sources.items()],
+        # Without a tie key the value itself orders entries of equal time.
+        *[ordered_join(src, ["action_time", *(ties or [src])]).alias(name) for name, src in sources.items()],
     )
     per_session = hourly.groupBy("session_id").agg(
         F.sum("steps").alias("step_length"),
@@ -149,47 +152,69 @@ def hourly_quota(sessions: DataFrame, c: Conditions) -> DataFrame:
                         F.least(F.coalesce(raw, F.lit(0)), F.col("sessions")).alias("quota"))
 
 
+def salts_for(sessions: DataFrame, rows_per_salt: int = 1_000_000) -> int:
+    """Sub-groups a start hour is cut in: by Catalyst's size estimate, 32 to 4096."""
+    size = estimated_size(sessions) or 0
+    return int(min(4096, max(32, size // (rows_per_salt * 64))))
+
+
+def allow_group_limit(spark, k: int) -> None:
+    """Let Catalyst plan ``row_number() <= k`` as a per-task group limit up to this ``k``.
+
+    The session's threshold (1000 by default) is raised to ``k``, at most to a
+    million rows a group and task.
+    """
+    key = "spark.sql.optimizer.windowGroupLimitThreshold"
+    if int(spark.conf.get(key)) < k <= 1_000_000:
+        spark.conf.set(key, str(int(k)))
+
+
 def pick_sessions(sessions: DataFrame, quota: DataFrame, c: Conditions,
-                  salt_buckets: int = 32) -> DataFrame:
+                  salt_buckets: int | None = None) -> DataFrame:
     """Ids of the ``quota`` sessions picked in each start hour, without repeats.
 
     The pick is the sessions with the smallest ``md5(session_id || '-' || seed)``
     (session id breaks ties): uniform like the reference's random pick, but
     exact in size and repeatable.  A hot hour is cut in ``salt_buckets``
-    sub-groups first; each keeps at most ``quota`` candidates, so the final
-    per-hour ranking sees at most ``salt_buckets * quota`` rows.
+    sub-groups first (by the input's size if not given).  No quota exceeds
+    ``c.sample_size``, a literal, so each task ships at most that many sessions
+    per hour and sub-group; the final ranking of an hour sees at most
+    ``salt_buckets * quota`` rows.
     """
+    salts = salts_for(sessions) if salt_buckets is None else int(salt_buckets)
+    most = int(c.sample_size)
+    allow_group_limit(sessions.sparkSession, most)
     keys = sessions.select(
         "session_id",
         _day_hour().alias("day_hour"),
         F.md5(F.concat(F.col("session_id"), F.lit("-"), F.lit(c.sample_seed))).alias("h"),
-    ).join(quota.select("day_hour", "quota"), "day_hour")
+    )
     order = [F.col("h"), F.col("session_id")]
-    salted = keys.withColumn("salt", F.pmod(F.xxhash64("session_id"), F.lit(int(salt_buckets))))
+    salted = keys.withColumn("salt", F.pmod(F.xxhash64("session_id"), F.lit(salts)))
     w_salt = Window.partitionBy("day_hour", "salt").orderBy(*order)
-    cands = salted.withColumn("r", F.row_number().over(w_salt)).where(F.col("r") <= F.col("quota"))
+    cands = salted.withColumn("r", F.row_number().over(w_salt)).where(F.col("r") <= most)
+    cands = cands.join(quota.select("day_hour", "quota"), "day_hour").where(F.col("r") <= F.col("quota"))
     w_hour = Window.partitionBy("day_hour").orderBy(*order)
     picked = cands.withColumn("r", F.row_number().over(w_hour)).where(F.col("r") <= F.col("quota"))
     return picked.select("session_id")
 
 
 def session_sample(profile: DataFrame, quota: DataFrame, c: Conditions,
-                   salt_buckets: int = 32) -> DataFrame:
+                   salt_buckets: int | None = None) -> DataFrame:
     """The picked sessions' profiles, from already built profiles."""
     picked = pick_sessions(profile, quota, c, salt_buckets)
     return profile.join(picked, "session_id", "left_semi").select(*PROFILE_COLUMNS)
 
 
-def sample_profiles(actions: DataFrame, c: Conditions, salt_buckets: int = 32) -> DataFrame:
+def sample_profiles(actions: DataFrame, c: Conditions, salt_buckets: int | None = None) -> DataFrame:
     """Q2 end to end: pick from session start times, then profile only the picks.
 
     The pick needs only each session's start, so the lists are built for the
-    sampled sessions alone.  The picked ids are broadcast: their number is at
-    most ``sample_size`` plus one half per start hour (each hour's quota is
-    rounded half up), a bound set by the parameters and the time span, not by
-    the volume of the log.
+    sampled sessions alone.  There are at most ``2 * sample_size`` picked ids (a
+    share of half a session or more is rounded up to at most its double); they
+    are broadcast if that many fit the limit, else the join shuffles.
     """
     starts = session_starts(actions)
     picked = pick_sessions(starts, hourly_quota(starts, c), c, salt_buckets)
-    sampled = actions.join(F.broadcast(picked), "session_id", "left_semi")
+    sampled = actions.join(broadcast_rows(picked, 2 * int(c.sample_size)), "session_id", "left_semi")
     return session_profile(sampled).select(*PROFILE_COLUMNS)

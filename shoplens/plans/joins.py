@@ -5,9 +5,8 @@ meant to be broadcast (file sizes of the scanned parquet after column pruning,
 bounded above by ``limit x row width`` when the plan has a limit).  Under the
 limit the side is hinted for broadcast; above it no hint is given and the
 planner uses a shuffle join, where AQE can still switch to a broadcast from
-measured shuffle sizes or split skewed partitions.  A side that is small by
-construction (a top-k result, a list of parameters) is hinted with
-``broadcast_bounded`` which states the row bound it relies on.
+measured shuffle sizes or split skewed partitions.  Where a row bound is counted or follows from the parameters,
+``broadcast_rows`` compares that many rows with the same limit.
 """
 
 from __future__ import annotations
@@ -62,14 +61,12 @@ def max_rows(df: DataFrame) -> int | None:
         return None
 
 
-def broadcast_bounded(df: DataFrame, bound: int) -> DataFrame:
-    """Broadcast a frame whose row count is bounded by construction.
+def row_bytes(df: DataFrame) -> int:
+    """Catalyst's width of a row of ``df``, as its size estimates use it (fixed 8 bytes a row added)."""
+    return 8 + sum(int(f.dataType().defaultSize()) for f in df._jdf.queryExecution().analyzed().schema().fields())
 
-    The bound must be provable from the plan (a ``limit``, a list of
-    parameters); otherwise the frame goes through the size check instead.
-    No row is ever dropped to make it fit.
-    """
-    rows = max_rows(df)
-    if rows is not None and rows <= int(bound):
-        return F.broadcast(df)
-    return maybe_broadcast(df)
+
+def broadcast_rows(df: DataFrame, rows: int, max_bytes: int | None = None) -> DataFrame:
+    """Hint a frame of at most ``rows`` rows (counted, or bound by parameters) if they fit the limit."""
+    limit = broadcast_limit(df) if max_bytes is None else max_bytes
+    return F.broadcast(df) if int(rows) * row_bytes(df) <= limit else df

@@ -55,7 +55,7 @@ city_info AS (
 product_info AS (
   SELECT p_partkey AS product_id, p_name AS product_name, p_brand AS extend_info FROM part),
 ads_click AS (
-  SELECT e.event_id, e.ts, c.area, c.city_name AS city, e.user_id, cast(e.k % 6 + 1 AS int) AS ads_id
+  SELECT e.event_id, e.ts, c.area, c.city_name AS city, cast(e.user_id AS varchar) AS user_id, cast(e.k % 6 + 1 AS varchar) AS ads_id
   FROM e JOIN city_info c ON e.user_id % 25 = c.city_id),
 actions AS (
   SELECT v.* FROM user_visit_action v JOIN user_info u ON v.user_id = u.user_id
@@ -229,6 +229,14 @@ SELECT cast(pre_page AS varchar) || '-' || cast(post_page AS varchar) AS page_ju
   floor(jumps / visits * 1000 + 0.5) / 10.0::DOUBLE AS rate
 FROM jumps JOIN visits ON pre_page = page_id"""
 
+    out["q5_page_pairs"] = head + """,
+steps AS (
+  SELECT page_id AS pre_page,
+    lead(page_id) OVER (PARTITION BY session_id ORDER BY action_time, event_id) AS post_page,
+    row_number() OVER (PARTITION BY session_id ORDER BY action_time DESC, event_id DESC) AS from_end
+  FROM actions)
+SELECT pre_page, post_page, count(*) AS n FROM steps WHERE from_end > 1 GROUP BY pre_page, post_page"""
+
     out["q6_area_top3_products"] = head + "," + _city_share(c) + f"""
 SELECT t.area, p.product_name, t.cnt, t.rk, t.remark FROM (
   SELECT area, product_id, cnt, remark,
@@ -267,6 +275,32 @@ SELECT day, area,
   '[' || string_agg('{{"' || cast(ads_id AS varchar) || '":' || cast(n AS varchar) || '}}', ',' ORDER BY rn) || ']' AS ads_json
 FROM top GROUP BY day, area"""
 
+    out["q10_minute_counts"] = head + "," + _clean_clicks(c) + """
+SELECT ads_id, strftime(date_trunc('minute', ts), '%Y-%m-%d %H:%M') AS minute, count(*) AS n FROM clean GROUP BY 1, 2"""
+
+    out["q_ad_lines_parsed"] = head + """,
+l AS (
+  SELECT event_id, event_id % 16 AS k, cast(epoch_us(ts) // 1000 AS varchar) AS ms, replace(area, ' ', '_') AS a,
+    replace(city, ' ', '_') AS c, user_id AS u, ads_id AS d FROM ads_click),
+f AS (
+  SELECT event_id, k,
+    CASE k WHEN 1 THEN 'x' WHEN 2 THEN '9223372036854775807' WHEN 3 THEN '92233720368547758079' WHEN 4 THEN '253402300800000'
+      WHEN 5 THEN '+' || ms ELSE ms END AS t,
+    CASE k WHEN 10 THEN '' ELSE a END AS a, c,
+    CASE k WHEN 6 THEN 'u' || u WHEN 7 THEN '00' || u ELSE u END AS u,
+    CASE k WHEN 8 THEN '9999999999' WHEN 9 THEN 'ad-' || d ELSE d END AS d,
+    CASE k WHEN 11 THEN ' sixth field' WHEN 12 THEN '   ' ELSE '' END AS tail
+  FROM l),
+v AS (
+  SELECT event_id, CASE WHEN k = 0 THEN t || ' ' || a || ' ' || c || ' ' || u ELSE t || ' ' || a || ' ' || c || ' ' || u || ' ' || d || tail END AS value FROM f),
+p AS (SELECT event_id, value, string_split(rtrim(value, ' '), ' ') AS p FROM v),
+n AS (SELECT *, CASE WHEN regexp_full_match(p[1], '[+-]?[0-9]+') THEN try_cast(p[1] AS bigint) END AS ms FROM p),
+r AS (
+  SELECT *, CASE WHEN len(p) < 5 THEN 'fewer than 5 fields' WHEN NOT regexp_full_match(p[1], '[+-]?[0-9]+') THEN 'bad ts'
+    WHEN ms IS NULL OR ms NOT BETWEEN -62135596800000 AND 253402300799999 THEN 'ts out of range' END AS reason FROM n)
+SELECT event_id, value, CASE WHEN reason IS NULL THEN ms END AS ts_ms, p[2] AS area, p[3] AS city, p[4] AS user_id,
+  CASE WHEN len(p) >= 5 THEN p[5] END AS ads_id, reason FROM r"""
+
     last_hour = f""",
 minutes AS (SELECT ads_id, date_trunc('minute', ts) AS m FROM clean),
 recent AS (

@@ -2,7 +2,8 @@
 
 Each builds the shop tables from the fixture parquet in ``sf_dir`` and runs
 one job over the whole tables under the default conditions.  Building a query
-runs no Spark job; the caller's action does.
+runs no Spark job (the caller's action does), except for the jobs on clean
+clicks, which first find the (user, ad, day) groups that reach the limit.
 """
 
 from __future__ import annotations
@@ -10,10 +11,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from shoplens.operators import ads, areas, categories, pages, sessions
 from shoplens.operators.actions import filter_actions
 from shoplens.params import DEFAULT_CONDITIONS, Conditions
+from shoplens.sources.adlog import odd_ad_lines, parse_ad_lines
 from shoplens.sources.tables import FixtureTables, ShopTables
 
 
@@ -58,6 +61,10 @@ class ShopQueries:
     def q5_page_conversion(self):
         return pages.page_conversion(self.q0_filtered_actions(), self.c)
 
+    def q5_page_pairs(self):
+        # Hour pieces: many more pairs lie inside a piece than with minutes.
+        return pages.page_pairs(self.q0_filtered_actions(), "hour")
+
     # Q6 reads the whole log, without the Q0 conditions (as the reference does)
     def q6_city_share(self):
         shares = areas.city_share(self.t.user_visit_action(), self.t.city_info(), self.c)
@@ -68,6 +75,10 @@ class ShopQueries:
         return areas.area_top_products(shares, self.t.product_info(), self.c.top_products)
 
     # ad-click jobs, batch form of the stream
+    def q_ad_lines_parsed(self):
+        parsed = parse_ad_lines(odd_ad_lines(self.t.ads_click()))
+        return parsed.select("event_id", "value", F.when(F.col("is_valid"), F.unix_millis("ts")).alias("ts_ms"), "area", "city", "user_id", "ads_id", "reason")
+
     def q7_blacklist(self):
         return ads.blacklist(self.t.ads_click(), self.c.blacklist_limit)
 
@@ -83,6 +94,10 @@ class ShopQueries:
     def q9_area_top3_ads_json(self):
         return ads.area_top_ads_json(self.q9_area_top3_ads())
 
+    def q10_minute_counts(self):
+        per = ads.minute_counts(self.q7_clean_clicks())
+        return per.select("ads_id", F.date_format("m", "yyyy-MM-dd HH:mm").alias("minute"), "n")
+
     def q10_last_hour(self):
         return ads.last_hour_trend(self.q7_clean_clicks(), self.c.window_minutes)
 
@@ -93,10 +108,10 @@ class ShopQueries:
 QUERY_NAMES = [
     "q0_filtered_actions", "q1_session_lengths", "q1_session_stats",
     "q2_session_profile", "q2_hourly_quota", "q2_session_sample",
-    "q3_category_top10", "q4_category_top_sessions", "q5_page_conversion",
+    "q3_category_top10", "q4_category_top_sessions", "q5_page_conversion", "q5_page_pairs",
     "q6_area_top3_products", "q6_city_share",
-    "q7_blacklist", "q7_clean_clicks", "q8_ads_per_day",
-    "q9_area_top3_ads", "q9_area_top3_ads_json", "q10_last_hour", "q10_last_hour_json",
+    "q_ad_lines_parsed", "q7_blacklist", "q7_clean_clicks", "q8_ads_per_day",
+    "q9_area_top3_ads", "q9_area_top3_ads_json", "q10_minute_counts", "q10_last_hour", "q10_last_hour_json",
 ]
 
 

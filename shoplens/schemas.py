@@ -44,14 +44,14 @@ CITY_INFO = T.StructType([
     T.StructField("area", T.StringType()),
 ])
 
-# One ad click; ``ts`` is an event timestamp (epoch ms on the wire).
+# One ad click; ``ts`` is an event timestamp (epoch ms on the wire), ids are text.
 ADS_CLICK = T.StructType([
     T.StructField("event_id", T.LongType()),
     T.StructField("ts", T.TimestampType()),
     T.StructField("area", T.StringType()),
     T.StructField("city", T.StringType()),
-    T.StructField("user_id", T.LongType()),
-    T.StructField("ads_id", T.IntegerType()),
+    T.StructField("user_id", T.StringType()),
+    T.StructField("ads_id", T.StringType()),
 ])
 
 # --- fixture tables read from parquet -----------------------------------------

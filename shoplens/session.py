@@ -65,7 +65,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir", None)
     if not path:
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
             raise ValueError("set spark.checkpoint.dir to a shared folder (e.g. on HDFS or S3)")
         path = tempfile.mkdtemp(prefix="shoplens-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)

@@ -1,4 +1,4 @@
-"""Result sinks: tables, JDBC, and versioned snapshot tables for streams."""
+"""Result sinks: tables, JDBC, and appended tables for streams."""
 
 from shoplens.sinks.tables import (  # noqa: F401
     new_task_id,
@@ -7,4 +7,4 @@ from shoplens.sinks.tables import (  # noqa: F401
     with_task_id,
     write_shop_tables,
 )
-from shoplens.sinks.versioned import VersionedTable  # noqa: F401
+from shoplens.sinks.appended import AppendedTable  # noqa: F401

@@ -1,9 +1,10 @@
 """Ad-click log lines: parser (S6) and stream sources (S5).
 
 A line is ``ts area city user ad`` separated by single spaces, ``ts`` in epoch
-milliseconds.  The reference splits on one space and fails the whole batch on
-a bad line; here every line gets an ``is_valid`` flag and bad lines go to a
-quarantine output while the stream goes on.
+milliseconds; further fields are ignored, and area, city, user and ad are text
+of any form.  The reference splits on one space and fails the whole batch on
+fewer than five fields or a ts that is no number; here such a line gets a
+``reason`` and goes to a quarantine output while the stream goes on.
 """
 
 from __future__ import annotations
@@ -13,40 +14,37 @@ from pyspark.sql import functions as F
 
 CLICK_COLUMNS = ["ts", "area", "city", "user_id", "ads_id"]
 
+# Epoch milliseconds of the years 1 to 9999, the range of a timestamp.
+MIN_TS_MS, MAX_TS_MS = -62_135_596_800_000, 253_402_300_799_999
+
 
 def parse_ad_lines(lines: DataFrame, column: str = "value") -> DataFrame:
     """Parse lines into clicks; adds ``is_valid`` and ``reason``, keeps ``value``.
 
     Other input columns (e.g. Kafka metadata) are carried through.
 
-    Valid: exactly five non-empty fields after trailing blanks are cut, an
-    integral ``ts``, integral user and ad ids.  Trailing blanks are ignored as
-    the reference's split ignores them; repeated inner spaces make empty
-    fields and so an invalid line.
+    Valid: five fields or more after trailing spaces are cut (an inner empty
+    field is an empty text) and an integral ``ts`` inside years 1 to 9999.
+    The timestamp is only built from a ts in range, so no line can fail the job.
     """
     raw = F.col(column)
-    parts = F.split(F.regexp_replace(raw, r"\s+$", ""), " ")
+    parts = F.split(F.regexp_replace(raw, " +$", ""), " ")
     field = lambda i: F.try_element_at(parts, F.lit(i))
-    ts_ms = field(1).try_cast("bigint")
-    user = field(4).try_cast("bigint")
-    ad = field(5).try_cast("int")
-    n = F.size(parts)
-    empty = F.exists(parts, lambda p: p == "")
+    ts_ms = F.when(field(1).rlike("^[+-]?[0-9]+$"), field(1).try_cast("bigint"))
+    in_range = ts_ms.between(MIN_TS_MS, MAX_TS_MS)
     reason = (F.when(raw.isNull(), "null line")
-              .when(n != 5, "expected 5 fields")
-              .when(empty, "empty field")
-              .when(ts_ms.isNull(), "bad ts")
-              .when(user.isNull(), "bad user id")
-              .when(ad.isNull(), "bad ad id"))
+              .when(F.size(parts) < 5, "fewer than 5 fields")
+              .when(~field(1).rlike("^[+-]?[0-9]+$"), "bad ts")
+              .when(ts_ms.isNull() | ~in_range, "ts out of range"))
     passthrough = [c for c in lines.columns if c != column and c not in ("value", *CLICK_COLUMNS)]
     return lines.select(
         *passthrough,
         raw.alias("value"),
-        F.timestamp_millis(ts_ms).alias("ts"),
+        F.timestamp_millis(F.when(in_range, ts_ms)).alias("ts"),
         field(2).alias("area"),
         field(3).alias("city"),
-        user.alias("user_id"),
-        ad.alias("ads_id"),
+        field(4).alias("user_id"),
+        field(5).alias("ads_id"),
         reason.alias("reason"),
     ).withColumn("is_valid", F.col("reason").isNull())
 
@@ -60,7 +58,7 @@ def quarantined(parsed: DataFrame) -> DataFrame:
 
 
 def format_ad_lines(clicks: DataFrame) -> DataFrame:
-    """Clicks -> wire lines (used to replay a table as a stream in tests).
+    """Clicks -> wire lines (used to replay a table as a stream).
 
     The wire format separates fields by single spaces, so a space inside a
     text field (an area such as "MIDDLE EAST") is written as ``_``.
@@ -68,7 +66,27 @@ def format_ad_lines(clicks: DataFrame) -> DataFrame:
     text = lambda c: F.regexp_replace(F.col(c), " ", "_")
     return clicks.select(F.concat_ws(
         " ", F.unix_millis(F.col("ts").cast("timestamp")).cast("string"), text("area"), text("city"),
-        F.col("user_id").cast("string"), F.col("ads_id").cast("string")).alias("value"))
+        text("user_id"), text("ads_id")).alias("value"))
+
+
+def odd_ad_lines(clicks: DataFrame) -> DataFrame:
+    """The clicks (with ``event_id``) as wire lines, some of them odd by a rule on the id.
+
+    Of every 16 ids: one line lacks the ad, one has a text ts, one overflows a
+    bigint, one lies beyond year 9999, one has a sixth field, one an empty area,
+    one trailing spaces; text, zero-padded and long ids occur too.
+    """
+    text = lambda c: F.regexp_replace(F.col(c), " ", "_")
+    kind = F.col("event_id") % 16
+    ms = F.unix_millis(F.col("ts").cast("timestamp")).cast("string")
+    ts = (F.when(kind == 1, "x").when(kind == 2, "9223372036854775807").when(kind == 3, "92233720368547758079")
+          .when(kind == 4, "253402300800000").when(kind == 5, F.concat(F.lit("+"), ms)).otherwise(ms))
+    user = F.when(kind == 6, F.concat(F.lit("u"), text("user_id"))).when(kind == 7, F.concat(F.lit("00"), text("user_id"))).otherwise(text("user_id"))
+    ad = F.when(kind == 8, "9999999999").when(kind == 9, F.concat(F.lit("ad-"), text("ads_id"))).otherwise(text("ads_id"))
+    area = F.when(kind == 10, "").otherwise(text("area"))
+    tail = F.when(kind == 11, " sixth field").when(kind == 12, "   ").otherwise("")
+    whole = F.concat(F.concat_ws(" ", ts, area, text("city"), user, ad), tail)
+    return clicks.select("event_id", F.when(kind == 0, F.concat_ws(" ", ts, area, text("city"), user)).otherwise(whole).alias("value"))
 
 
 def read_ad_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -80,15 +98,16 @@ def read_ad_stream(spark: SparkSession, path: str, max_files_per_trigger: int |
 
 
 def read_kafka_ad_stream(spark: SparkSession, servers: str, topic: str = "ads_log",
-                         starting_offsets: str = "latest") -> DataFrame:
+                         starting_offsets: str = "latest", max_offsets_per_trigger: int | None = None) -> DataFrame:
     """Streaming lines from a Kafka topic (needs the spark-sql-kafka package).
 
     Offsets are tracked in the query checkpoint, not auto-committed to the
     consumer group, so a restarted query resumes exactly where it stopped.
     """
-    return (spark.readStream.format("kafka")
-            .option("kafka.bootstrap.servers", servers)
-            .option("subscribe", topic)
-            .option("startingOffsets", starting_offsets)
-            .load()
-            .select(F.col("value").cast("string").alias("value")))
+    r = (spark.readStream.format("kafka")
+         .option("kafka.bootstrap.servers", servers)
+         .option("subscribe", topic)
+         .option("startingOffsets", starting_offsets))
+    if max_offsets_per_trigger:
+        r = r.option("maxOffsetsPerTrigger", int(max_offsets_per_trigger))
+    return r.load().select(F.col("value").cast("string").alias("value"))

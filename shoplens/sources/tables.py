@@ -15,8 +15,6 @@ Both return lazy DataFrames with an explicit schema; nothing runs here.
 from __future__ import annotations
 
 import datetime as _dt
-import functools
-import weakref
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -102,23 +100,6 @@ def _ntz(text: str) -> Column:
     return F.to_timestamp_ntz(F.lit(text))
 
 
-# Derived table plans per session and folder.  A DataFrame is an immutable
-# plan, so one built plan serves every query of the session; each action still
-# reads the files again.
-_PLANS: "weakref.WeakKeyDictionary[SparkSession, dict]" = weakref.WeakKeyDictionary()
-
-
-def _memo(method):
-    @functools.wraps(method)
-    def wrapper(self, *args, **kwargs):
-        cache = _PLANS.setdefault(self.spark, {})
-        key = (self.sf_dir, method.__name__, args, tuple(sorted(kwargs.items())))
-        if key not in cache:
-            cache[key] = method(self, *args, **kwargs)
-        return cache[key]
-    return wrapper
-
-
 class FixtureTables(ShopTables):
     """Shop tables derived from the driver's fixture parquet (FIXTURES.md)."""
 
@@ -140,7 +121,6 @@ class FixtureTables(ShopTables):
         k = F.get_json_object("props", "$.k").try_cast("int")
         return ev.select("event_id", "ts", "user_id", "event_type", k.alias("k"))
 
-    @_memo
     def user_visit_action(self, date_from=None, date_to=None) -> DataFrame:
         e = self._events(date_from, date_to)
         k, et = F.col("k"), F.col("event_type")
@@ -165,7 +145,6 @@ class FixtureTables(ShopTables):
             (F.col("user_id") % 25).alias("city_id"),
         )
 
-    @_memo
     def user_info(self) -> DataFrame:
         c = self.raw("customer")
         key = F.col("c_custkey")
@@ -178,7 +157,6 @@ class FixtureTables(ShopTables):
             F.when(key % 5 < 3, "M").otherwise("F").alias("gender"),
         )
 
-    @_memo
     def city_info(self) -> DataFrame:
         n, r = self.raw("nation"), self.raw("region")
         return join_small(n, r, n.n_regionkey == r.r_regionkey).select(
@@ -187,7 +165,6 @@ class FixtureTables(ShopTables):
             F.col("r_name").alias("area"),
         )
 
-    @_memo
     def product_info(self) -> DataFrame:
         return self.raw("part").select(
             F.col("p_partkey").alias("product_id"),
@@ -195,7 +172,6 @@ class FixtureTables(ShopTables):
             F.col("p_brand").alias("extend_info"),
         )
 
-    @_memo
     def ads_click(self) -> DataFrame:
         """Every event as an ad click: area and city from the user's city."""
         e = self._events()
@@ -204,6 +180,6 @@ class FixtureTables(ShopTables):
         return joined.select(
             "event_id", "ts", "area",
             F.col("city_name").alias("city"),
-            "user_id",
-            (F.col("k") % 6 + 1).cast("int").alias("ads_id"),
+            F.col("user_id").cast("string").alias("user_id"),
+            (F.col("k") % 6 + 1).cast("string").alias("ads_id"),
         )

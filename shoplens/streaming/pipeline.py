@@ -1,129 +1,77 @@
 """Structured Streaming jobs for the ad-click stream (Q7-Q10).
 
 Layout under one shared root folder (a sub-folder of ``spark.checkpoint.dir``
-unless given):
+unless given), every table as appended batches (``sinks/appended.py``):
 
-    clean/kind=click/   clicks that passed the blacklist   (file sink, exactly once)
-    clean/kind=ban/     one row per user when banned        (same sink)
-    quarantine/         malformed lines                     (file sink)
-    results/<name>/v=<batch_id>/[day=<d>/]   versioned result snapshots (foreachBatch)
-    checkpoints/<query>/           offsets, commits and state of each query
+    clean/           clicks that passed the blacklist, with their arrival time
+    quarantine/      lines that do not parse
+    counters/        running clicks per (user, ad, day)
+    bans/            users, in the batch that banned them
+    results/         ads_per_day, area_top_ads, minute_counts
+    checkpoints/     offsets, commits and state of each query
 
 Queries:
 
-* ``guard``: lines -> parse -> per-user state (``applyInPandasWithState``):
-  clicks of a banned user are dropped, the others pass and are counted per
-  (ad, day); a user reaching the limit is banned from the next micro-batch on,
-  the reference's rule.  State and offsets live in the checkpoint, so a
-  restarted query neither double counts nor loses clicks.
-* ``quarantine``: lines that do not parse.
+* ``guard``: lines -> parse -> anti join with the users banned by earlier
+  micro-batches -> counts per (user, ad, day) added to the stored counters;
+  a user whose counter reaches the limit is banned from the next micro-batch
+  on, the reference's rule.  One ``foreachBatch`` of DataFrame operations: a
+  hot user's clicks are counted by partial aggregates in every task.
 * ``totals``: clean clicks -> running count per (day, area, city, ad) (Q8) in
-  update mode; inside ``foreachBatch`` the changed keys are merged into the
-  days they touch (a day-partitioned versioned table) and the top ads of
-  those days ranked again (Q9).  State never expires, as in the reference,
-  unless ``totals_lateness`` sets a watermark.
-* ``last_hour``: clean clicks -> count per (minute, ad) with a watermark of
-  the window length; updates are merged into a last-hour snapshot (Q10).
+  update mode, appended; the top ads of the touched (day, area) groups are
+  ranked again from the committed totals (Q9).  State never expires, as in the
+  reference.
+* ``last_hour``: clean clicks -> count per (minute, ad); the last hour is cut
+  when the table is read (Q10).  A click dated more than ``max_ahead`` after its
+  arrival counts in Q7-Q9 but not here, where it would push every other click
+  out of the hour; ``ahead_clicks`` lists those.
 """
 
 from __future__ import annotations
 
-import json
-import warnings
 import zlib
 from dataclasses import dataclass
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupStateTimeout
 
 from shoplens.operators import ads
+from shoplens.plans.joins import maybe_broadcast
 from shoplens.session import checkpoint_path, ensure_dir
-from shoplens.sinks.versioned import DayVersionedTable, VersionedTable
-from shoplens.sources.adlog import CLICK_COLUMNS, parse_ad_lines, quarantined, valid_clicks
-
-GUARD_OUTPUT = T.StructType([
-    T.StructField("kind", T.StringType()),
-    T.StructField("ts", T.TimestampType()),
-    T.StructField("area", T.StringType()),
-    T.StructField("city", T.StringType()),
-    T.StructField("user_id", T.LongType()),
-    T.StructField("ads_id", T.IntegerType()),
-])
-
-# Per user: banned flag and clean-click counters per (ad, day) as JSON text.
-GUARD_STATE = T.StructType([
-    T.StructField("banned", T.BooleanType()),
-    T.StructField("counts", T.StringType()),
-])
-
-_OUT_COLS = [f.name for f in GUARD_OUTPUT.fields]
-
-
-def blacklist_guard(limit: int, keep_days: int | None = None):
-    """Per-user state function for ``applyInPandasWithState``.
-
-    Input rows of one user in one micro-batch come as pandas chunks (bounded
-    by ``spark.sql.execution.arrow.maxRecordsPerBatch``), so a hot user never
-    has to fit in memory at once.  ``keep_days`` optionally drops counters of
-    days older than that many days before the user's latest click.
-    """
-    def fn(key, chunks, state):
-        # The ban marker has all-null columns; pandas warns when the output
-        # chunks are concatenated.  The result is the intended one.
-        warnings.filterwarnings("ignore", message=".*concatenation with empty or all-NA.*")
-        banned, counts = False, {}
-        if state.exists:
-            banned, text = state.get
-            counts = json.loads(text or "{}")
-        last_ts = None
-        for pdf in chunks:
-            if banned or pdf.empty:
-                continue
-            # A user's chunk of one micro-batch is small: plain counting beats
-            # a pandas group-by here.
-            for ad, day in zip(pdf["ads_id"].tolist(), pdf["day"].tolist()):
-                k = f"{ad}|{day}"
-                counts[k] = counts.get(k, 0) + 1
-            mx = pdf["ts"].max()
-            last_ts = mx if last_ts is None else max(last_ts, mx)
-            pdf["kind"] = "click"
-            yield pdf[_OUT_COLS]
-        if not banned and counts and max(counts.values()) >= limit:
-            banned = True
-            yield pd.DataFrame({"kind": ["ban"], "ts": [last_ts], "area": [None], "city": [None],
-                                "user_id": [int(key[0])], "ads_id": [None]})[_OUT_COLS]
-        if keep_days is not None and counts:
-            newest = max(k.split("|", 1)[1] for k in counts)
-            floor = (pd.Timestamp(newest) - pd.Timedelta(days=int(keep_days))).strftime("%Y-%m-%d")
-            counts = {k: v for k, v in counts.items() if k.split("|", 1)[1] >= floor}
-        state.update((banned, json.dumps(counts)))
-    return fn
-
-
-def guarded_clicks(clicks: DataFrame, limit: int, keep_days: int | None = None) -> DataFrame:
-    """Streaming clicks -> clean clicks plus ban events (``kind`` column)."""
-    with_day = clicks.select(*CLICK_COLUMNS, F.date_format("ts", "yyyy-MM-dd").alias("day"))
-    return with_day.groupBy("user_id").applyInPandasWithState(
-        blacklist_guard(limit, keep_days), GUARD_OUTPUT, GUARD_STATE, "append",
-        GroupStateTimeout.NoTimeout)
+from shoplens.sinks.appended import AppendedTable
+from shoplens.sources.adlog import CLICK_COLUMNS, parse_ad_lines, quarantined
+
+CLEAN = "ts timestamp, area string, city string, user_id string, ads_id string, arrived timestamp"
+QUARANTINE = "value string, reason string, arrived timestamp"
+COUNTERS = "user_id string, ads_id string, day string, n bigint"
+TOTALS = "day string, area string, city string, ads_id string, n bigint"
+TOP = "day string, area string, top array<struct<rn: int, ads_id: string, n: bigint>>"
+MINUTES = "ads_id string, m timestamp, n bigint"
+
+
+def newest_total(rows: DataFrame, *keys: str) -> DataFrame:
+    """Running totals only grow, so the greatest is the newest."""
+    return rows.groupBy(*keys).agg(F.max("n").alias("n"))
+
+
+def newest_top(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("day", "area").agg(F.max_by("top", "batch_id").alias("top"))
 
 
 @dataclass
 class AdsStreamJob:
-    """The four stream queries over one root folder."""
+    """The three stream queries over one root folder."""
 
     spark: SparkSession
     root: str | None = None
     limit: int = 100
     top_k: int = 3
     minutes: int = 60
-    trigger: dict | None = None        # e.g. {"processingTime": "5 seconds"}; default availableNow
-    keep_days: int | None = None
+    trigger: dict | None = None         # e.g. {"processingTime": "5 seconds"}; default availableNow
     clean_max_files: int | None = None  # files of the clean folder per trigger downstream
-    totals_lateness: str | None = None  # e.g. "2 days": drop the state of older days
+    write_files: int | None = None      # files a batch writes at most per table
+    state_partitions: int | None = None  # state stores of a stateful query; fixed at its first start
+    max_ahead: str = "1 hour"           # how far after its arrival a click may be dated in Q10
 
     def __post_init__(self):
         self.root = (self.root or checkpoint_path(self.spark, "shoplens-ads")).rstrip("/")
@@ -133,129 +81,136 @@ class AdsStreamJob:
     def path(self, *parts: str) -> str:
         return "/".join([self.root, *parts])
 
-    def table(self, name: str) -> VersionedTable:
-        return VersionedTable(self.spark, self.path("results", name))
+    def table(self, name: str) -> AppendedTable:
+        schema, place = {
+            "clean": (CLEAN, "clean"), "quarantine": (QUARANTINE, "quarantine"), "counters": (COUNTERS, "counters"),
+            "bans": ("user_id string", "bans"), "ads_per_day": (TOTALS, "results/ads_per_day"),
+            "area_top_ads": (TOP, "results/area_top_ads"), "minute_counts": (MINUTES, "results/minute_counts")}[name]
+        return AppendedTable(self.spark, self.path(place), schema, max_files=self.write_files)
 
-    def _start(self, writer, name: str):
+    def _start(self, writer, name: str, stateful: bool = False):
         trig = self.trigger or {"availableNow": True}
-        return (writer.option("checkpointLocation", self.path("checkpoints", name))
-                .queryName(f"shoplens_{name}_{zlib.crc32(self.root.encode()):08x}")
-                .trigger(**trig).start())
+        key, conf = "spark.sql.shuffle.partitions", self.spark.conf
+        before = conf.get(key)
+        if stateful and self.state_partitions:
+            # Read once, when the query starts: a stateful query can't change it later.
+            conf.set(key, str(int(self.state_partitions)))
+        try:
+            return (writer.option("checkpointLocation", self.path("checkpoints", name))
+                    .queryName(f"shoplens_{name}_{zlib.crc32(self.root.encode()):08x}")
+                    .trigger(**trig).start())
+        finally:
+            conf.set(key, before)
 
     # -- Q7 ---------------------------------------------------------------------
-    def start_guard(self, lines: DataFrame):
-        parsed = parse_ad_lines(lines)
-        out = guarded_clicks(valid_clicks(parsed), self.limit, self.keep_days)
-        w = out.writeStream.format("parquet").partitionBy("kind").option("path", self.path("clean"))
-        return self._start(w.outputMode("append"), "guard")
+    def write_guard(self, lines: DataFrame, batch_id: int) -> None:
+        """One micro-batch of lines: quarantine, clean clicks, counters, bans.
 
-    def start_quarantine(self, lines: DataFrame):
-        w = quarantined(parse_ad_lines(lines)).writeStream.format("parquet").option(
-            "path", self.path("quarantine"))
-        return self._start(w.outputMode("append"), "quarantine")
+        Everything depends on the lines and on earlier batches only, and each
+        table keeps a batch that it already has, so a replay changes nothing.
+        """
+        clean, quarantine, counters, bans = (self.table(n) for n in ("clean", "quarantine", "counters", "bans"))
+        parsed = parse_ad_lines(lines).withColumn("arrived", F.current_timestamp()).persist()
+        try:
+            quarantine.append(quarantined(parsed.drop("arrived")).withColumn("arrived", F.current_timestamp()), batch_id)
+            clicks = parsed.where("is_valid").select(*CLICK_COLUMNS, "arrived")
+            clean.append(ads.drop_blacklisted(clicks, maybe_broadcast(bans.read(before=batch_id).select("user_id").distinct())), batch_id)
+        finally:
+            parsed.unpersist()
+        if bans.has(batch_id):
+            return
+        # From here on the committed clean rows of this batch are the input.
+        fresh = ads.user_ad_day_counts(clean.read(upto=batch_id).where(F.col("batch_id") == batch_id))
+        earlier = newest_total(counters.read(before=batch_id), "user_id", "ads_id", "day").withColumnRenamed("n", "was")
+        total = fresh.join(earlier, ["user_id", "ads_id", "day"], "left").select(
+            "user_id", "ads_id", "day", (F.col("n") + F.coalesce("was", F.lit(0))).alias("n"))
+        counters.append(total, batch_id)
+        own = counters.read(upto=batch_id).where(F.col("batch_id") == batch_id)
+        bans.append(own.where(F.col("n") >= int(self.limit)).select("user_id").distinct(), batch_id)
+
+    def start_guard(self, lines: DataFrame):
+        return self._start(lines.writeStream.foreachBatch(self.write_guard), "guard")
 
     def clean_stream(self) -> DataFrame:
-        r = self.spark.readStream.schema(T.StructType(GUARD_OUTPUT.fields))
+        r = self.spark.readStream.schema(CLEAN + ", batch_id bigint")
         if self.clean_max_files:
             r = r.option("maxFilesPerTrigger", int(self.clean_max_files))
-        return r.parquet(self.path("clean")).where(F.col("kind") == "click").select(*CLICK_COLUMNS)
+        return r.parquet(self.path("clean")).select(*CLICK_COLUMNS, "arrived")
 
     def clean_batch(self) -> DataFrame:
-        return self.spark.read.parquet(self.path("clean")).where(F.col("kind") == "click").select(*CLICK_COLUMNS)
+        return self.table("clean").read().select(*CLICK_COLUMNS)
 
     def blacklist_batch(self) -> DataFrame:
-        return self.spark.read.parquet(self.path("clean")).where(F.col("kind") == "ban").select("user_id")
+        return self.table("bans").read().select("user_id").distinct()
 
-    # -- Q8 / Q9 ------------------------------------------------------------------
-    def day_table(self, name: str) -> DayVersionedTable:
-        return DayVersionedTable(self.spark, self.path("results", name))
+    def quarantine_batch(self) -> DataFrame:
+        return self.table("quarantine").read().select("value", "reason")
 
+    def _on_time(self, clicks: DataFrame):
+        return F.col("ts") <= F.col("arrived") + F.expr(f"INTERVAL {self.max_ahead}")
+
+    def ahead_clicks(self) -> DataFrame:
+        """Clean clicks dated too far after their arrival to count in the last hour."""
+        rows = self.table("clean").read()
+        return rows.where(~self._on_time(rows)).select(*CLICK_COLUMNS, "arrived")
+
+    # -- Q8 / Q9 ------------------------------------------------------------------
     def write_totals(self, updates: DataFrame, batch_id: int) -> None:
-        """Merge updated totals into the days they touch, then re-rank those days.
+        """Append the new running totals, then rank the touched (day, area) groups again.
 
-        ``updates`` holds the new running total of every key changed in this
-        micro-batch (update mode).  The touched days' full state is the
-        previous state of those days with the updates laid over it (totals only
-        grow, so the larger value is the newer one); only those days are
-        rewritten, and the top ads are ranked again for them alone.
+        ``updates`` holds the new total of every key changed in this micro-batch
+        (update mode).  The ranking reads the committed totals.
         """
-        totals, top, js = (self.day_table(n) for n in ("ads_per_day", "area_top_ads", "area_top_ads_json"))
-        if totals.has(batch_id) and top.has(batch_id) and js.has(batch_id):
+        totals, top = self.table("ads_per_day"), self.table("area_top_ads")
+        totals.append(updates, batch_id)
+        if top.has(batch_id):
             return
-        updates = updates.persist()
-        try:
-            # Previous state of the touched days only, pruned by folder.  The
-            # list holds the distinct days of one micro-batch: a few values,
-            # bounded by the time one trigger spans, not by the data volume.
-            days = {r[0] for r in updates.select("day").distinct().collect()}
-            prev = totals.read(days)
-            merged = updates if prev is None else prev.unionByName(updates)
-            merged = (merged.groupBy("day", "area", "city", "ads_id").agg(F.max("n").alias("n"))
-                      .persist())
-            try:
-                totals.write(merged, batch_id)
-                ranked = ads.area_top_ads(merged, self.top_k).persist()
-                top.write(ranked, batch_id)
-                js.write(ads.area_top_ads_json(ranked), batch_id)
-                ranked.unpersist()
-            finally:
-                merged.unpersist()
-        finally:
-            updates.unpersist()
+        known = totals.read(upto=batch_id)
+        touched = known.where(F.col("batch_id") == batch_id).select("day", "area").distinct()
+        state = newest_total(known.join(maybe_broadcast(touched), ["day", "area"], "left_semi"), "day", "area", "city", "ads_id")
+        ranked = ads.area_top_ads(state, self.top_k)
+        top.append(ranked.groupBy("day", "area").agg(
+            F.array_sort(F.collect_list(F.struct("rn", "ads_id", "n"))).alias("top")), batch_id)   # top_k rows a group
 
     def start_totals(self):
-        clean = self.clean_stream()
-        if self.totals_lateness:
-            # Event-time day buckets let the watermark drop closed days' state.
-            clean = clean.withWatermark("ts", self.totals_lateness)
-            keys = [F.window("ts", "1 day").alias("w"), "area", "city", "ads_id"]
-            totals = (clean.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-                      .select(F.date_format("w.start", "yyyy-MM-dd").alias("day"),
-                              "area", "city", "ads_id", "n"))
-        else:
-            totals = ads.ads_per_day(clean)   # never expires, as in the reference
+        totals = ads.ads_per_day(self.clean_stream().select(*CLICK_COLUMNS))   # never expires, as in the reference
         w = totals.writeStream.outputMode("update").foreachBatch(self.write_totals)
-        return self._start(w, "totals")
+        return self._start(w, "totals", stateful=True)
 
     # -- Q10 ----------------------------------------------------------------------
-    def write_last_hour(self, updates: DataFrame, batch_id: int) -> None:
-        """Merge updated minute counts into the last-hour snapshot."""
-        t = self.table("last_hour")
-        if t.has(batch_id):
-            return
-        prev_v = t.latest(before=batch_id)
-        merged = updates if prev_v is None else t.read(prev_v).unionByName(updates)
-        # Counts only grow per (ad, minute), so the newest value is the largest.
-        merged = merged.groupBy("ads_id", "m").agg(F.max("n").alias("n"))
-        latest = merged.agg(F.max("m")).scalar()
-        keep = merged.where(F.col("m") > F.timestamp_add("MINUTE", F.lit(-int(self.minutes)), latest))
-        keep = keep.persist()
-        try:
-            t.write(keep, batch_id)
-            self.table("last_hour_json").write(ads.minute_counts_json(keep), batch_id)
-        finally:
-            keep.unpersist()
+    def write_minutes(self, updates: DataFrame, batch_id: int) -> None:
+        self.table("minute_counts").append(updates, batch_id)
 
     def start_last_hour(self):
-        per_minute = (self.clean_stream()
+        clicks = self.clean_stream()
+        per_minute = (clicks.where(self._on_time(clicks))
                       .withWatermark("ts", f"{int(self.minutes)} minutes")
                       .groupBy(F.window("ts", "1 minute").alias("w"), "ads_id")
                       .agg(F.count(F.lit(1)).alias("n"))
                       .select("ads_id", F.col("w.start").alias("m"), "n"))
-        w = per_minute.writeStream.outputMode("update").foreachBatch(self.write_last_hour)
-        return self._start(w, "last_hour")
-
-    # -- readers of the latest snapshots -----------------------------------------
-    def latest(self, name: str) -> DataFrame | None:
-        if name in ("ads_per_day", "area_top_ads", "area_top_ads_json"):
-            cols = {"ads_per_day": ["day", "area", "city", "ads_id", "n"],
-                    "area_top_ads": ["day", "area", "ads_id", "n", "rn"],
-                    "area_top_ads_json": ["day", "area", "ads_json"]}[name]
-            return self.day_table(name).read(schema=cols)
-        return self.table(name).read()
-
-    def last_hour_trend(self) -> DataFrame | None:
-        snap = self.latest("last_hour")
-        if snap is None:
-            return None
-        return snap.select("ads_id", F.date_format("m", "yyyy-MM-dd HH:mm").alias("minute"), "n")
+        w = per_minute.writeStream.outputMode("update").foreachBatch(self.write_minutes)
+        return self._start(w, "last_hour", stateful=True)
+
+    # -- readers --------------------------------------------------------------------
+    def latest(self, name: str) -> DataFrame:
+        """Current rows of ``ads_per_day``, ``area_top_ads``, ``area_top_ads_json``, ``last_hour`` or ``last_hour_json``."""
+        if name == "ads_per_day":
+            return newest_total(self.table(name).read(), "day", "area", "city", "ads_id")
+        if name.startswith("area_top_ads"):
+            top = newest_top(self.table("area_top_ads").read()).select("day", "area", F.explode("top").alias("t")).select(
+                "day", "area", "t.ads_id", "t.n", "t.rn")
+            return ads.area_top_ads_json(top) if name.endswith("_json") else top
+        per = newest_total(self.table("minute_counts").read(), "ads_id", "m")
+        recent = ads.minutes_up_to_latest(per, self.minutes)
+        return ads.minute_counts_json(recent) if name.endswith("_json") else recent
+
+    def last_hour_trend(self) -> DataFrame:
+        return self.latest("last_hour").select("ads_id", F.date_format("m", "yyyy-MM-dd HH:mm").alias("minute"), "n")
+
+    def compact(self) -> None:
+        """Fold earlier result and counter batches; to be run while no query of this root is active."""
+        self.table("counters").compact(lambda r: newest_total(r, "user_id", "ads_id", "day"))
+        self.table("bans").compact(lambda r: r.select("user_id").distinct())
+        self.table("ads_per_day").compact(lambda r: newest_total(r, "day", "area", "city", "ads_id"))
+        self.table("area_top_ads").compact(newest_top)
+        self.table("minute_counts").compact(lambda r: newest_total(r, "ads_id", "m"))

@@ -43,8 +43,8 @@ CLICK_SCHEMA = T.StructType([
     T.StructField("ts", T.TimestampType()),
     T.StructField("area", T.StringType()),
     T.StructField("city", T.StringType()),
-    T.StructField("user_id", T.LongType()),
-    T.StructField("ads_id", T.IntegerType()),
+    T.StructField("user_id", T.StringType()),
+    T.StructField("ads_id", T.StringType()),
 ])
 
 
@@ -57,5 +57,5 @@ def clicks(spark, *specs):
         ts, user, ad = s[:3]
         area = s[3] if len(s) > 3 else "A"
         city = s[4] if len(s) > 4 else "c1"
-        out.append((i, dt.datetime.fromisoformat(ts), area, city, user, ad))
+        out.append((i, dt.datetime.fromisoformat(ts), area, city, str(user), str(ad)))
     return spark.createDataFrame(out, CLICK_SCHEMA)

@@ -9,8 +9,8 @@ def test_blacklist_limit_is_per_user_ad_day(spark):
                 ("2024-01-05 10:00:00", 1, 1), ("2024-01-05 10:01:00", 1, 1), ("2024-01-05 10:02:00", 1, 1),
                 ("2024-01-05 10:00:00", 2, 1), ("2024-01-05 10:01:00", 2, 2), ("2024-01-05 10:02:00", 2, 3),
                 ("2024-01-05 23:59:00", 3, 1), ("2024-01-06 00:00:00", 3, 1), ("2024-01-06 00:01:00", 3, 1))
-    assert rows(ads.blacklist(cl, 3)) == [(1,)]
-    assert rows(ads.blacklist(cl, 2)) == [(1,), (3,)]
+    assert rows(ads.blacklist(cl, 3)) == [("1",)]
+    assert rows(ads.blacklist(cl, 2)) == [("1",), ("3",)]
 
 
 def test_clean_clicks_drop_only_after_the_limit_click(spark):
@@ -31,9 +31,9 @@ def test_last_hour_window_on_whole_minutes(spark):
                 ("2024-01-05 11:30:59", 3, 1),   # minute 60 before: out
                 ("2024-01-05 12:30:01", 4, 2))
     got = rows(ads.last_hour_trend(cl, 60))
-    assert got == [(1, "2024-01-05 11:31", 1), (1, "2024-01-05 12:30", 1), (2, "2024-01-05 12:30", 1)]
+    assert got == [("1", "2024-01-05 11:31", 1), ("1", "2024-01-05 12:30", 1), ("2", "2024-01-05 12:30", 1)]
     js = dict(rows(ads.last_hour_json(cl, 60)))
-    assert js == {1: '[{"11:31":1},{"12:30":1}]', 2: '[{"12:30":1}]'}
+    assert js == {"1": '[{"11:31":1},{"12:30":1}]', "2": '[{"12:30":1}]'}
 
 
 def test_area_top_ads_ties_and_json(spark):
@@ -45,7 +45,7 @@ def test_area_top_ads_ties_and_json(spark):
                 *[("2024-01-05 10:00:00", 1, 1, "A", "c1")] * 1)
     per_day = ads.ads_per_day(cl)
     top = ads.area_top_ads(per_day, 3)
-    assert rows(top, "ads_id", "n", "rn") == [(2, 3, 1), (3, 3, 2), (4, 3, 3)]
+    assert rows(top, "ads_id", "n", "rn") == [("2", 3, 1), ("3", 3, 2), ("4", 3, 3)]
     js = ads.area_top_ads_json(top).collect()[0]
     assert js.ads_json == '[{"2":3},{"3":3},{"4":3}]'
 
@@ -70,8 +70,29 @@ def test_top_ads_are_a_subset_of_the_rollup(spark):
 def test_drop_blacklisted_uses_the_given_list(spark):
     cl = clicks(spark, ("2024-01-05 10:00:00", 1, 1), ("2024-01-05 10:00:01", 2, 1),
                 ("2024-01-05 10:00:02", 3, 2), ("2024-01-05 10:00:03", 1, 2))
-    banned = spark.createDataFrame([(1,), (3,), (9,)], "user_id long")
-    assert rows(ads.drop_blacklisted(cl, banned), "event_id", "user_id") == [(1, 2)]
+    banned = spark.createDataFrame([("1",), ("3",), ("9",)], "user_id string")
+    assert rows(ads.drop_blacklisted(cl, banned), "event_id", "user_id") == [(1, "2")]
     # an empty list keeps every click
-    none = spark.createDataFrame([], "user_id long")
+    none = spark.createDataFrame([], "user_id string")
     assert ads.drop_blacklisted(cl, none).count() == 4
+
+
+def test_a_misdated_click_does_not_move_the_hour(spark):
+    from pyspark.sql import functions as F
+
+    cl = clicks(spark, ("2024-01-05 12:30:00", 1, 1), ("2024-01-05 11:40:00", 2, 1), ("2100-01-01 00:00:00", 3, 2))
+    assert rows(ads.last_hour_trend(cl, 60)) == [("2", "2100-01-01 00:00", 1)]
+    recent = ads.recent_minutes(cl, 60, as_of=F.lit("2024-01-06").cast("timestamp"))
+    assert rows(recent, "ads_id", "n") == [("1", 1), ("1", 1)]
+
+
+def test_clean_clicks_does_not_shuffle_the_log_by_user(spark):
+    """Initial plan: the log's rows reach the result without an exchange."""
+    from conftest import SF01
+
+    from shoplens.sources.tables import FixtureTables
+
+    plan = ads.clean_clicks(FixtureTables(spark, SF01).ads_click(), 3)._jdf.queryExecution().executedPlan().toString()
+    above = plan.split("BroadcastExchange")[0]
+    assert "BroadcastHashJoin" in above and "Exchange hashpartitioning" not in above
+    assert "SortMergeJoin" not in plan

@@ -23,3 +23,46 @@ def test_query_and_offline_commands(tmp_path):
     assert sorted(os.listdir(out)) == sorted([
         "area_top3_product", "category_top10", "category_top10_session_count",
         "page_convert_rate", "random_session_info", "session_stat_info"])
+
+
+def test_offline_on_stored_tables_and_on_a_catalog_database(spark, tmp_path):
+    """Default conditions (no page flow): Q5 is left out, everything else is written."""
+    from shoplens.sinks import write_shop_tables
+    from shoplens.sources.tables import FixtureTables
+
+    base = str(tmp_path / "shop")
+    write_shop_tables(FixtureTables(spark, SF001), base)
+    o = _run("offline", "--tables", base, "--out", str(tmp_path / "a"))
+    assert o.returncode == 0, o.stderr[-2000:]
+    assert "page flow" in o.stderr and len(os.listdir(tmp_path / "a")) == 5
+    r = _run("realtime", "--lines-dir", base)
+    assert r.returncode != 0 and "--root" in r.stderr
+
+
+def test_a_catalog_database(spark, tmp_path):
+    from shoplens.params import DEFAULT_CONDITIONS
+    from shoplens.plans.offline import parquet_sink, run_offline
+    from shoplens.sinks import save_table
+    from shoplens.sources.tables import FixtureTables, StoredTables
+
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS shop_test LOCATION '{tmp_path}/db'")
+    fixture = FixtureTables(spark, SF001)
+    try:
+        for name in ("user_visit_action", "user_info", "city_info", "product_info"):
+            save_table(getattr(fixture, name)(), f"shop_test.{name}")
+        run_offline(StoredTables(spark, database="shop_test"), DEFAULT_CONDITIONS, parquet_sink(str(tmp_path / "b")))
+        assert len(os.listdir(tmp_path / "b")) == 6
+    finally:
+        spark.sql("DROP DATABASE shop_test CASCADE")
+
+
+def test_local_cluster_needs_a_shared_folder():
+    from types import SimpleNamespace
+
+    import pytest
+
+    from shoplens.session import ensure_checkpoint_dir
+
+    context = SimpleNamespace(master="local-cluster[2,1,1024]", getConf=lambda: SimpleNamespace(get=lambda k, d=None: d))
+    with pytest.raises(ValueError):
+        ensure_checkpoint_dir(SimpleNamespace(conf=SimpleNamespace(get=lambda k, d=None: d), sparkContext=context))

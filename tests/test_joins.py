@@ -1,7 +1,7 @@
 from conftest import SF01
 
 from shoplens.operators.categories import category_top
-from shoplens.plans.joins import broadcast_bounded, estimated_size, max_rows, maybe_broadcast
+from shoplens.plans.joins import broadcast_rows, estimated_size, maybe_broadcast
 from shoplens.plans.queries import ShopQueries
 from shoplens.sources.tables import FixtureTables
 
@@ -20,10 +20,36 @@ def test_size_estimate_and_hint(spark):
 
 def test_row_bound_from_limit(spark):
     top = category_top(ShopQueries(FixtureTables(spark, SF01)).q0_filtered_actions(), 10)
-    assert max_rows(top) == 10
-    assert _hinted(broadcast_bounded(top, 10))
-    unbounded = spark.read.parquet(f"{SF01}/events.parquet")
-    assert max_rows(unbounded) is None
+    assert _hinted(maybe_broadcast(top))
+    large = category_top(ShopQueries(FixtureTables(spark, SF01)).q0_filtered_actions(), 50_000_000)
+    events = spark.read.parquet(f"{SF01}/events.parquet")
+    assert estimated_size(large) > estimated_size(top)
+    assert _hinted(broadcast_rows(events, 1000)) and not _hinted(broadcast_rows(events, 50_000_000))
+
+
+def test_large_parameters_are_not_hinted(spark):
+    from shoplens.operators import categories, sessions
+    from shoplens.params import DEFAULT_CONDITIONS
+
+    acts = ShopQueries(FixtureTables(spark, SF01)).q0_filtered_actions()
+    # The dimension joins below carry hints of their own: count them apart.
+    hints = lambda df: df._jdf.queryExecution().analyzed().toString().count("strategy=broadcast")
+    own = hints(acts)
+    small = sessions.sample_profiles(acts, DEFAULT_CONDITIONS)
+    large = sessions.sample_profiles(acts, DEFAULT_CONDITIONS.with_(sample_size=50_000_000))
+    assert hints(small) == hints(large) + 1
+    acts = acts.drop("search_keyword")
+    spark.conf.set("shoplens.broadcast.maxBytes", "2000")
+    try:
+        few, many = (categories.category_top_sessions(acts, categories.category_top(acts, k), 10) for k in (10, 50_000_000))
+    finally:
+        spark.conf.unset("shoplens.broadcast.maxBytes")
+    assert own >= 0 and hints(few) == hints(many) + 1
+
+
+def test_sample_is_limited_per_task(spark):
+    plan = ShopQueries(FixtureTables(spark, SF01)).q2_session_sample()._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan
 
 
 def test_fact_table_is_never_the_broadcast_side(spark):

@@ -68,3 +68,25 @@ def test_fixture_pairs_equal_brute_force(spark):
     acts = ShopQueries(FixtureTables(spark, SF001)).q0_filtered_actions()
     got = Counter(pages.page_steps(acts).toPandas().itertuples(index=False, name=None))
     assert got == _brute_pairs(acts.toPandas())
+
+
+def test_hour_pieces_hold_pairs_inside(spark):
+    """The registered pair counts cover pairs inside a piece, not only across pieces."""
+    from pyspark.sql import functions as F
+
+    acts = ShopQueries(FixtureTables(spark, SF001)).q0_filtered_actions()
+    seq = pages._sequence(acts, "hour")
+    inner, all_ = seq.where(~F.col("is_last")).count(), pages.page_steps(acts, "hour").count()
+    assert 0 < inner < all_
+    assert sum(r.n for r in pages.page_pairs(acts, "hour").collect()) == all_
+
+
+def test_conversion_sorts_the_log_once(spark):
+    from shoplens.params import DEFAULT_CONDITIONS
+
+    df = pages.page_conversion(ShopQueries(FixtureTables(spark, SF001)).q0_filtered_actions(), DEFAULT_CONDITIONS)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("lead(pre_page") + plan.count("lead(page_id") >= 1
+    # The window over the log is planned once; other uses of its aggregate are reused exchanges.
+    assert plan.count("row_number()") == 1, plan

@@ -1,11 +1,13 @@
 import os
 
+import pytest
 from conftest import SF001, rows
+from pyspark.sql import functions as F
 
-from shoplens.params import DEFAULT_CONDITIONS
+from shoplens.params import DEFAULT_CONDITIONS, Conditions
 from shoplens.plans.offline import offline_results, parquet_sink, run_offline
 from shoplens.plans.queries import filtered_actions
-from shoplens.sinks import VersionedTable, with_task_id
+from shoplens.sinks import AppendedTable, with_task_id
 from shoplens.sources.tables import FixtureTables
 
 
@@ -30,44 +32,43 @@ def test_offline_run_with_checkpointed_actions(spark, tmp_path):
     assert spark.read.parquet(f"{out}/page_convert_rate").count() > 0
 
 
-def test_versioned_table_is_idempotent(spark, tmp_path):
-    t = VersionedTable(spark, str(tmp_path / "snap"), retain=None)
-    assert t.latest() is None and t.read() is None
-    a = spark.createDataFrame([(1, "a")], "k int, v string")
-    b = spark.createDataFrame([(2, "b")], "k int, v string")
-    assert t.write(a, 0) and t.write(b, 3)
-    assert not t.write(a, 3)                       # replayed batch: skipped
-    assert t.versions() == [0, 3] and t.latest(before=3) == 0
-    assert rows(t.read()) == [(2, "b")]
+def test_appended_table(spark, tmp_path):
+    t = AppendedTable(spark, str(tmp_path / "t"), "k int, n bigint")
+    newest = lambda r: r.groupBy("k").agg(F.max("n").alias("n"))
+    frame = lambda *x: spark.createDataFrame(list(x), "k int, n bigint")
+    assert t.read().count() == 0
+    assert t.append(frame((1, 1), (2, 1)), 0) and t.append(frame((1, 3)), 1) and t.append(frame((3, 1)), 2)
+    assert not t.append(frame((9, 9)), 1)                   # replayed batch: left alone
+    assert rows(newest(t.read())) == [(1, 3), (2, 1), (3, 1)]
+    assert rows(newest(t.read(before=1))) == [(1, 1), (2, 1)] and rows(newest(t.read(upto=1))) == [(1, 3), (2, 1)]
 
 
-def test_with_task_id_puts_id_first(spark):
-    df = with_task_id(spark.createDataFrame([(1,)], "x int"), "run")
-    assert df.columns == ["task_id", "x"] and df.collect()[0].task_id == "run"
-
+def test_compaction_keeps_the_newest_batch_and_all_rows(spark, tmp_path):
+    t = AppendedTable(spark, str(tmp_path / "t"), "k int, n bigint")
+    newest = lambda r: r.groupBy("k").agg(F.max("n").alias("n"))
+    for b in range(6):
+        t.append(spark.createDataFrame([(b % 3, b + 1)], "k int, n bigint"), b)
+        if b in (2, 4):
+            before = rows(newest(t.read()))
+            t.compact(newest)
+            assert rows(newest(t.read())) == before and t.has(b)
+    names = sorted(n for n in os.listdir(tmp_path / "t") if n.startswith("batch_id="))
+    assert len(names) == 3 and {"batch_id=4", "batch_id=5"} < set(names)
+    assert rows(newest(t.read())) == [(0, 4), (1, 5), (2, 6)]
 
-def test_versioned_table_retention(spark, tmp_path):
-    t = VersionedTable(spark, str(tmp_path / "snap"), retain=2)
-    for v in range(5):
-        t.write(spark.createDataFrame([(v,)], "k int"), v)
-    assert t.versions() == [3, 4] and rows(t.read()) == [(4,)]
 
+def test_offline_run_without_a_flow_writes_the_rest(spark, tmp_path):
+    tables, out = FixtureTables(spark, SF001), str(tmp_path / "results")
+    with pytest.warns(UserWarning, match="page flow"):
+        run_offline(tables, Conditions(), parquet_sink(out))
+    names = os.listdir(out)
+    assert "page_convert_rate" not in names and len(names) == 5
+    top = spark.read.parquet(f"{out}/area_top3_product")
+    (part,) = [n for n in os.listdir(f"{out}/area_top3_product") if n.endswith(".parquet")]
+    got = [(r.area, r.rk, r.product_name) for r in spark.read.parquet(f"{out}/area_top3_product/{part}").collect()]
+    assert got == sorted(got) and len(got) == top.count()
 
-def test_day_versioned_table_rewrites_touched_days_only(spark, tmp_path):
-    from shoplens.sinks.versioned import DayVersionedTable
 
-    t = DayVersionedTable(spark, str(tmp_path / "days"))
-    schema = "day string, k int, n long"
-    t.write(spark.createDataFrame([("2024-01-01", 1, 1), ("2024-01-02", 1, 2)], schema), 0)
-    t.write(spark.createDataFrame([("2024-01-02", 1, 5)], schema), 1)
-    t.write(spark.createDataFrame([("2024-01-03", 1, 7)], schema), 2)
-    assert t._listing() == {"2024-01-01": [0], "2024-01-02": [1], "2024-01-03": [2]}
-    assert rows(t.read(schema=["day", "k", "n"])) == [("2024-01-01", 1, 1), ("2024-01-02", 1, 5),
-                                                     ("2024-01-03", 1, 7)]
-    assert rows(t.read({"2024-01-02"}, schema=["day", "n"])) == [("2024-01-02", 5)]
-    assert not t.write(spark.createDataFrame([("2024-01-03", 1, 9)], schema), 2)   # replay
-    # a newer version of day 2 empties version 1, whose folder then goes
-    t.write(spark.createDataFrame([("2024-01-02", 1, 6)], schema), 3)
-    import os
-    assert sorted(d for d in os.listdir(tmp_path / "days") if d.startswith("v=")) == ["v=0", "v=2", "v=3"]
-    assert rows(t.read({"2024-01-02"}, schema=["day", "n"])) == [("2024-01-02", 6)]
+def test_with_task_id_puts_id_first(spark):
+    df = with_task_id(spark.createDataFrame([(1,)], "x int"), "run")
+    assert df.columns == ["task_id", "x"] and df.collect()[0].task_id == "run"

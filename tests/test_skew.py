@@ -56,7 +56,7 @@ def test_sample_of_one_hot_hour(spark):
 
 
 def test_clean_clicks_of_one_hot_user(spark):
-    clicks = FixtureTables(spark, SF01).ads_click().withColumn("user_id", F.lit(1).cast("bigint"))
+    clicks = FixtureTables(spark, SF01).ads_click().withColumn("user_id", F.lit("1"))
     limit = 40
     pdf = clicks.toPandas().sort_values(["ts", "event_id"]).reset_index(drop=True)
     pdf["day"] = pdf.ts.dt.strftime("%Y-%m-%d")

@@ -5,7 +5,7 @@ from conftest import SF001, rows
 
 from shoplens.params import DEFAULT_CONDITIONS
 from shoplens.plans.queries import QUERY_NAMES, ShopQueries
-from shoplens.sinks import write_shop_tables
+from shoplens.sinks import save_table, write_shop_tables
 from shoplens.sources.tables import FixtureTables, StoredTables
 
 
@@ -39,8 +39,6 @@ def test_date_bounds_prune_partitions(both):
 def test_log_without_tie_key(spark, tmp_path):
     """The reference's log has no tie key: every job still runs, and the jobs
     whose results cannot depend on the order of same-second actions agree."""
-    from shoplens.sinks import save_table
-
     fixture = FixtureTables(spark, SF001)
     base = str(tmp_path / "shop")
     # The same layout as write_shop_tables, with the log's tie key left out.
