@@ -39,7 +39,7 @@ from shoplens.operators import ads
 from shoplens.plans.joins import maybe_broadcast
 from shoplens.session import checkpoint_path, ensure_dir
 from shoplens.sinks.appended import AppendedTable
-from shoplens.sources.adlog import CLICK_COLUMNS, parse_ad_lines, quarantined
+from shoplens.sources.adlog import CLICK_COLUMNS, parse_ad_lines
 
 CLEAN = "ts timestamp, area string, city string, user_id string, ads_id string, arrived timestamp"
 QUARANTINE = "value string, reason string, arrived timestamp"
@@ -110,23 +110,25 @@ class AdsStreamJob:
         table keeps a batch that it already has, so a replay changes nothing.
         """
         clean, quarantine, counters, bans = (self.table(n) for n in ("clean", "quarantine", "counters", "bans"))
-        parsed = parse_ad_lines(lines).withColumn("arrived", F.current_timestamp()).persist()
+        if bans.has(batch_id):                       # the last table of a batch
+            return
+        parsed = parse_ad_lines(lines).withColumn("arrived", F.current_timestamp())
+        banned = maybe_broadcast(bans.read(before=batch_id).select("user_id").distinct())
+        parsed = parsed.select("value", "reason", "is_valid", *CLICK_COLUMNS, "arrived").persist()
         try:
-            quarantine.append(quarantined(parsed.drop("arrived")).withColumn("arrived", F.current_timestamp()), batch_id)
-            clicks = parsed.where("is_valid").select(*CLICK_COLUMNS, "arrived")
-            clean.append(ads.drop_blacklisted(clicks, maybe_broadcast(bans.read(before=batch_id).select("user_id").distinct())), batch_id)
+            clicks = ads.drop_blacklisted(parsed.where("is_valid").select(*CLICK_COLUMNS, "arrived"), banned)
+            quarantine.append(parsed.where("not is_valid").select("value", "reason", "arrived"), batch_id)
+            clean.append(clicks, batch_id)
+            earlier = newest_total(counters.read(before=batch_id), "user_id", "ads_id", "day").withColumnRenamed("n", "was")
+            total = ads.user_ad_day_counts(clicks).join(earlier, ["user_id", "ads_id", "day"], "left").select(
+                "user_id", "ads_id", "day", (F.col("n") + F.coalesce("was", F.lit(0))).alias("n")).persist()
+            try:
+                counters.append(total, batch_id)
+                bans.append(total.where(F.col("n") >= int(self.limit)).select("user_id").distinct(), batch_id)
+            finally:
+                total.unpersist()
         finally:
             parsed.unpersist()
-        if bans.has(batch_id):
-            return
-        # From here on the committed clean rows of this batch are the input.
-        fresh = ads.user_ad_day_counts(clean.read(upto=batch_id).where(F.col("batch_id") == batch_id))
-        earlier = newest_total(counters.read(before=batch_id), "user_id", "ads_id", "day").withColumnRenamed("n", "was")
-        total = fresh.join(earlier, ["user_id", "ads_id", "day"], "left").select(
-            "user_id", "ads_id", "day", (F.col("n") + F.coalesce("was", F.lit(0))).alias("n"))
-        counters.append(total, batch_id)
-        own = counters.read(upto=batch_id).where(F.col("batch_id") == batch_id)
-        bans.append(own.where(F.col("n") >= int(self.limit)).select("user_id").distinct(), batch_id)
 
     def start_guard(self, lines: DataFrame):
         return self._start(lines.writeStream.foreachBatch(self.write_guard), "guard")
