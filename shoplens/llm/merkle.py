@@ -57,20 +57,39 @@ def root(print_: Column) -> Column:
     return F.substring_index(print_, "=", 1)
 
 
+def _joined_leaves(print_: Column) -> Column:
+    return F.regexp_replace(F.substring_index(print_, "=", -1), r"[0-9a-f]{16}(?=[\[:])|[\[\]:|]", "")
+
+
 def leaves(print_: Column) -> Column:
     """The short hashes of all pieces, in order."""
-    joined = F.regexp_replace(F.substring_index(print_, "=", -1), r"[0-9a-f]{16}(?=[\[:])|[\[\]:|]", "")
-    return F.regexp_extract_all(joined, F.lit("[0-9a-f]{8}"), F.lit(0))
+    return F.regexp_extract_all(_joined_leaves(print_), F.lit("[0-9a-f]{8}"), F.lit(0))
+
+
+def _dice(x: Column, y: Column) -> Column:
+    both, total = F.size(F.array_intersect(x, y)), F.size(F.array_distinct(x)) + F.size(F.array_distinct(y))
+    return F.when(total > 0, 2.0 * both / total).otherwise(F.lit(0.0))
+
+
+def _near(same: Column, x: Column, y: Column) -> Column:
+    # A one-element array binds the leaf lists once.
+    pair = F.element_at(F.transform(F.array(F.struct(x.alias("x"), y.alias("y"))), lambda p: _dice(p["x"], p["y"])), 1)
+    return F.when(same, F.lit(1.0)).otherwise(pair)
 
 
 def likeness(a: Column, b: Column) -> Column:
     """1 for equal roots, else the share of common pieces (Dice, as sets); 0 when neither has one."""
-    def dice(x, y):
-        both, total = F.size(F.array_intersect(x, y)), F.size(F.array_distinct(x)) + F.size(F.array_distinct(y))
-        return F.when(total > 0, 2.0 * both / total).otherwise(F.lit(0.0))
+    return _near(root(a) == root(b), leaves(a), leaves(b))
+
+
+def packed(print_: Column) -> Column:
+    """What a likeness needs of a fingerprint, as bytes: root and pieces."""
+    return F.unhex(F.concat(root(print_), _joined_leaves(print_)))
+
 
-    pair = F.element_at(F.transform(F.array(F.struct(leaves(a).alias("x"), leaves(b).alias("y"))), lambda p: dice(p["x"], p["y"])), 1)
-    return F.when(root(a) == root(b), F.lit(1.0)).otherwise(pair)
+def likeness_to_packed(a: Column, b: Column) -> Column:
+    hexed = F.lower(F.hex(b))
+    return _near(root(a) == F.substring(hexed, 1, 64), leaves(a), F.regexp_extract_all(F.substr(hexed, F.lit(65)), F.lit("[0-9a-f]{8}"), F.lit(0)))
 
 
 def differing_paragraphs(a: Column, b: Column) -> Column:
@@ -124,7 +143,8 @@ def edit_fingerprints(docs: DataFrame) -> DataFrame:
     texts = _keyed(docs)
     third = F.floor(F.col("n") / 3).cast("int")
     given = texts.withColumnRenamed("k", "nk").withColumnRenamed("h", "nh").join(links, ["nk", "nh"]).select(
-        "k", "h", F.left("text", third).alias("tail"), fingerprint(F.col("text")).alias("next_fingerprint"))
+        "k", "h", F.left("text", third).alias("tail"), fingerprint(F.col("text")).alias("next_fingerprint")).withColumn(
+        "next_fingerprint", packed(F.col("next_fingerprint")))                # half the bytes to shuffle
     if links.where("copies > 1").limit(1).count():      # repeated rows would give their successor's part repeatedly
         given = given.dropDuplicates(["k", "h"])
     n = F.char_length("text")
@@ -132,11 +152,9 @@ def edit_fingerprints(docs: DataFrame) -> DataFrame:
     rows = texts.join(given, ["k", "h"]).select(
         F.when(F.col("k") != _LEAST, F.col("k")).alias("doc_id"), n.cast("bigint").alias("n_chars"), F.sha2(edited, 256).alias("edited_sha256"),
         fingerprint(F.col("text")).alias("fingerprint"), fingerprint(edited).alias("edited_fingerprint"), "next_fingerprint")
-    # The likenesses read the finished fingerprints; a written table keeps them from being computed again.
-    rows = st.save(rows, "fingerprints")
     return rows.select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
                        likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
-                       likeness(F.col("fingerprint"), F.col("next_fingerprint")).alias("near_next"))
+                       likeness_to_packed(F.col("fingerprint"), F.col("next_fingerprint")).alias("near_next"))
 
 
 def fingerprint_query(spark, sf_dir: str) -> DataFrame:
