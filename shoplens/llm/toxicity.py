@@ -2,8 +2,8 @@
 
 Token scores are log-odds between toxic and other labelled documents with an
 informative Dirichlet prior, the token's share in the whole corpus; they count
-where their z-score is significant, all other tokens share a small negative
-drift.  A linear-time scan (Ruzzo-Tompa) finds every maximal-scoring segment of
+where they are significant (z-score) and large, all other tokens share a small
+negative drift.  A linear-time scan (Ruzzo-Tompa) finds every maximal-scoring segment of
 a text.  Segment scores are calibrated as extreme values: with the decay lambda
 of the clean token distribution and the clean rate K, a document of n tokens has
 ``K n exp(-lambda S)`` segments of score S by chance.  The document's score is a
@@ -34,13 +34,14 @@ from shoplens.llm import textbytes as tb
 from shoplens.llm.decontam import batch_words
 from shoplens.llm.labels import MAX_LABELS, label_sample
 from shoplens.llm.langid import held_out
-from shoplens.llm.staging import documents
+from shoplens.llm.staging import Staging, documents
 
 BUCKETS = 1 << 20
 STEMS = (6, 5, 4)
 PRIOR = 0.05         # weight of the Dirichlet prior, as a share of the labelled counts
-MIN_Z = 3.0
+MIN_Z, MIN_ODDS = 3.0, 3.0      # a toxic feature is significant and several times likelier in toxic documents
 DRIFT = -0.05
+SATURATED = 20.0
 SIGNIFICANT = 0.01   # segments with fewer chance occurrences a document are passages
 
 
@@ -97,7 +98,8 @@ class ToxicityModel:
         return self.rate * max(n, 1) * math.exp(-self.decay * score)
 
     def calibrated(self, score: float, n: int) -> float:
-        return self.decay * score - math.log(self.rate * max(n, 1))
+        """Minus the logarithm of the expected chance segments, no more than SATURATED: beyond, all is certain alike."""
+        return min(SATURATED, self.decay * score - math.log(self.rate * max(n, 1)))
 
     def probability(self, best: float | None, n: int) -> float:
         if best is None:
@@ -143,9 +145,12 @@ def _best(segments):
 
 def fit(docs: DataFrame, labels: DataFrame, max_labels: int = MAX_LABELS) -> ToxicityModel:
     spark = docs.sparkSession
-    known = label_sample(labels, "toxic", 5, 0, max_labels)
     rows = docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), docs["text"].cast("string").alias("text"))
-    rows = rows.join(F.broadcast(known), "doc_id", "left").select("text", "label")    # at most max_labels rows
+    known = F.broadcast(label_sample(labels, "toxic", 5, 0, max_labels))              # at most max_labels rows
+    # Of exact copies with one label a single row is learned from, so a group of copies can't make its words significant.
+    known = rows.join(known, "doc_id").groupBy(F.xxhash64("text").alias("h"), "label").agg(F.min("doc_id").alias("doc_id"))
+    known = Staging(spark, "toxicity").save(known.select("doc_id", "label"), "labels")
+    rows = rows.join(F.broadcast(known.limit(max_labels)), "doc_id", "left").select("text", "label")
     counts = rows.mapInArrow(_count, "bucket int, n bigint, toxic bigint, clean bigint").groupBy("bucket").agg(
         F.sum("n").alias("n"), F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
     table = counts.toArrow()                                        # at most BUCKETS + 1 rows
@@ -163,7 +168,8 @@ def fit(docs: DataFrame, labels: DataFrame, max_labels: int = MAX_LABELS) -> Tox
     odds = np.log(yt / (nt + weight - yt)) - np.log(yc / (nc + weight - yc))
     z = odds / np.sqrt(1.0 / yt + 1.0 / yc)
     score = np.full(BUCKETS, np.nan)
-    score[bucket[z >= MIN_Z]] = odds[z >= MIN_Z]
+    toxic_feature = (z >= MIN_Z) & (odds >= MIN_ODDS)
+    score[bucket[toxic_feature]] = odds[toxic_feature]
     score[bucket[z <= -MIN_Z / 2]] = DRIFT          # known to be clean: no backing off
     positive = score[bucket] > 0
     # Decay: the positive root of  sum p exp(lambda s) = 1  over the clean distribution.
