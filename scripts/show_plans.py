@@ -1,4 +1,4 @@
-"""Print the final adaptive plan tree of every registered query (markdown).
+"""Print the final adaptive plan tree of every registered shop query (markdown).
 
 Usage: python scripts/show_plans.py [sf_dir] > PLANS.md
 Each query runs once (collect) so that the plan shown is AQE's final plan,
@@ -11,7 +11,7 @@ import sys
 
 sys.path.insert(0, __file__.rsplit("/scripts/", 1)[0])
 
-import __spark_entry__ as entry  # noqa: E402
+from shoplens.plans.queries import registry  # noqa: E402
 from shoplens.session import build_session  # noqa: E402
 
 
@@ -30,10 +30,10 @@ def main():
     spark = build_session("local[8]", 8)
     print("# Final physical plans\n")
     print(f"Generated by `scripts/show_plans.py` on `{sf_dir}` (local[8], AQE on): the final\n"
-          "adaptive plan of each registered query after one run.  `ReusedExchange` marks a\n"
+          "adaptive plan of each registered shop query after one run.  `ReusedExchange` marks a\n"
           "shuffle computed once and read twice; `WindowGroupLimit` before an `Exchange` is the\n"
           "partial top-k; `BroadcastHashJoin` sides passed a size check or a proven row bound.\n")
-    for name, fn in entry.queries().items():
+    for name, fn in registry().items():
         df = fn(spark, sf_dir)
         df.collect()
         print(f"## {name}\n\n```\n{tree(df)}\n```\n")

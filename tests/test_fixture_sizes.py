@@ -8,7 +8,7 @@ import pytest
 from conftest import SF01
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry
+from shoplens.plans.queries import registry
 
 SIZES = {
     "q0_filtered_actions": 5762,
@@ -30,7 +30,7 @@ SIZES = {
 
 @pytest.fixture(scope="module")
 def q(spark):
-    return {name: fn(spark, SF01) for name, fn in entry.queries().items()}
+    return {name: fn(spark, SF01) for name, fn in registry().items()}
 
 
 @pytest.mark.parametrize("name", list(SIZES))
