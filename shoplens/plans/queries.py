@@ -13,7 +13,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoplens.operators import ads, areas, categories, pages, sessions
+from shoplens import api
+from shoplens.operators import ads, categories, pages, sessions
 from shoplens.operators.actions import filter_actions
 from shoplens.params import DEFAULT_CONDITIONS, Conditions
 from shoplens.sources.adlog import odd_ad_lines, parse_ad_lines
@@ -39,7 +40,7 @@ class ShopQueries:
         return sessions.session_lengths(self.q0_filtered_actions())
 
     def q1_session_stats(self):
-        return sessions.session_stats(self.q1_session_lengths(), self.c)
+        return api.session_stats(self.q0_filtered_actions(), self.c)
 
     def q2_session_profile(self):
         return sessions.session_profile(self.q0_filtered_actions())
@@ -48,7 +49,7 @@ class ShopQueries:
         return sessions.hourly_quota(sessions.session_starts(self.q0_filtered_actions()), self.c)
 
     def q2_session_sample(self):
-        return sessions.sample_profiles(self.q0_filtered_actions(), self.c)
+        return api.sample_profiles(self.q0_filtered_actions(), self.c)
 
     def q3_category_top10(self):
         return categories.category_top(self.q0_filtered_actions(), self.c.top_categories)
@@ -67,12 +68,10 @@ class ShopQueries:
 
     # Q6 reads the whole log, without the Q0 conditions (as the reference does)
     def q6_city_share(self):
-        shares = areas.city_share(self.t.user_visit_action(), self.t.city_info(), self.c)
-        return shares.select("area", "product_id", "remark")
+        return api.city_share(self.t.user_visit_action(), self.t.city_info(), self.c).select("area", "product_id", "remark")
 
     def q6_area_top3_products(self):
-        shares = areas.city_share(self.t.user_visit_action(), self.t.city_info(), self.c)
-        return areas.area_top_products(shares, self.t.product_info(), self.c.top_products)
+        return api.area_top_products(self.t.user_visit_action(), self.t.city_info(), self.t.product_info(), self.c)
 
     # ad-click jobs, batch form of the stream
     def q_ad_lines_parsed(self):
