@@ -52,15 +52,6 @@ def test_held_out_labels_are_not_read(spark):
     assert np.array_equal(a.score, b.score, equal_nan=True) and (a.slope, a.shift) == (b.slope, b.shift)
 
 
-def test_copies_do_not_make_their_words_toxic(spark):
-    """A text copied 300 times and marked toxic is one document to learn from."""
-    rows = [(i, f"calm words number{i} of the day") for i in range(300)] + [(i, "rare copied passage of the day") for i in range(300, 600)]
-    docs = spark.createDataFrame(rows + [(600, "rare copied words of another day")], "doc_id bigint, text string")
-    labels = spark.createDataFrame([(i, int(i >= 300)) for i in range(600)], "doc_id bigint, toxic int")
-    by = {r.doc_id: r for r in toxicity.score(docs, toxicity.fit(docs, labels)).collect()}
-    assert by[600].predicted == 0 and by[0].predicted == 0
-
-
 def test_passages_are_located(spark):
     rows = [(i, f"number{i} " + ("calm words all day long " * 10) + ("vile slur vile slur " if i % 4 == 0 else "") + "more calm words é here")
             for i in range(200)]
