@@ -18,6 +18,8 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_right
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -31,11 +33,12 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 MIN_ASSIGN, MIN_ACCESS = 6, 20
 KINDS = ("assign", "access", "hex", "guess")
 
-# Credential contexts beyond the base pattern; the value follows.
+# Credential contexts: those of the base pattern, which has no left bound, and others; the value follows.
 CONTEXT = re.compile(
-    r"""(?<![A-Za-z0-9])(?:pass\x20?phrase|passcode|password|passwd|pwd|pass|pin|secret|token|credentials?|"""
+    r"""(?:(?<![A-Za-z0-9])(?:pass\x20?phrase|passcode|password|passwd|pwd|pass|pin|secret|token|credentials?|"""
     r"""auth(?:orization)?|bearer|api[_-]?key|access[_-]?key|private[_-]?key|client[_-]?secret)"""
-    r"""["']?\x20{0,4}(?:[:=]|=>|is|was|bearer|basic|\x20)\x20{0,4}["']?([^\s"'<>]{4,256})""", re.I | re.A)
+    r"""["']?\x20{0,4}(?:[:=]|=>|is|was|bearer|basic|\x20)\x20{0,4}|"""
+    r"""(?:password|passwd|secret|token|api_?key)["']?\x20*+[:=]\x20*+)["']?([^\s"'<>]{4,256})""", re.I | re.A)
 CUES = ("pass", "pwd", "pin", "secret", "token", "credential", "auth", "bearer", "key")
 MIN_GUESSES = 10.0        # log10 of the guesses from which a value counts as a secret
 
@@ -145,25 +148,40 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def guess_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
-    """Credential values that are hard to guess and touch no base span."""
+    """Credential values that are hard to guess and not whole inside a base span; one may overlap base spans."""
     low = text.lower()
     if not any(c in low for c in CUES):
         return []
-    out, at = [], 0
+    out = []
+    starts, reach = [s for s, _, _ in base], list(accumulate((e for _, _, e in base), max))
     for m in CONTEXT.finditer(text):
-        start, end = m.span(1)
-        end -= len(m.group(1)) - len(m.group(1).rstrip(".,;:!?)]}"))
-        if end - start < 4 or any(s < end and start < e for s, _, e in base):
+        start = m.start(1)
+        value = _without_marks(m.group(1))
+        end = start + len(value)
+        before = bisect_right(starts, start)
+        if len(value) < 4 or before and reach[before - 1] >= end:
             continue
-        value = text[start:end]
+        core = value.rstrip("!?")
+        if core.isalpha():
+            value = core                           # the mark after a word adds nothing to its cost
         if value.isalpha() and (value.islower() or value.istitle()):
             continue                               # an ordinary word of prose
-        if start >= at and guess_cost(value)[0] >= MIN_GUESSES:
+        if guess_cost(value)[0] >= MIN_GUESSES:
             out.append((start, 3, end))
-            at = end
     return out
 
 
+def _without_marks(value: str) -> str:
+    """The value without the marks of its sentence: ``.,;:`` and brackets closed but not opened in it."""
+    surplus = {c: value.count(c) - value.count(o) for o, c in ("()", "[]", "{}")}
+    end = len(value)
+    while end and (value[end - 1] in ".,;:" or surplus.get(value[end - 1], 0) > 0):
+        end -= 1
+        if value[end] in surplus:
+            surplus[value[end]] -= 1
+    return value[:end]
+
+
 def find_secrets(text: str | None) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
     """(base spans, added spans) of a whole text, in code points, end exclusive."""
     text = text or ""

@@ -83,6 +83,16 @@ def test_context_values_are_added():
     assert "kV9$" not in red and "abcdef" not in red and "sunshine" in red
 
 
+@pytest.mark.parametrize("text,value", [("password: Tr0ub4dor&3xyzQ! and more", "Tr0ub4dor&3xyzQ!"), ("DB_PASSWORD=abcdef1&x9$Kq7,", "abcdef1&x9$Kq7"),
+                                        ("mysecret = 'hunter2#Zx9q!'", "hunter2#Zx9q!"), ("(token=abcdefgh(zQ7)x*9)", "abcdefgh(zQ7)x*9")])
+def test_values_beyond_a_base_span_are_whole(text, value):
+    base, more = secrets.find_secrets(text)
+    assert base == brute(text) and len(base) == 1
+    assert [text[s:e] for s, _, e in more] == [value]
+    at = text.index(value)
+    assert secrets.redact_text(text) == text[:base[0][0]] + "[SECRET]" + text[at + len(value):]
+
+
 def test_defined_cases(spark):
     docs = edge_documents(spark)
     by = {r.doc_id: r for r in secrets.scan(docs).collect()}
