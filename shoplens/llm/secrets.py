@@ -7,7 +7,9 @@ hard to guess.  The cost of a value is the least total of ``log10`` guesses over
 all segmentations into common words, dates, repeats, keyboard walks and
 brute-force spans, found by dynamic programming over its characters; a value
 costing ``MIN_GUESSES`` or more is a secret, a plain word or date after
-"password is" is not.
+"password is" is not.  The words are a short fixed list and the commonest words of
+the documents (at most ``MAX_WORDS``, ranked by count), counted outside credential
+values, so copies of a secret don't make it a word.
 
 Defined cases: null text is empty and has no spans; repeated rows get a row
 each; an empty table gives no rows; other input columns are ignored.
@@ -19,13 +21,14 @@ import hashlib
 import math
 import re
 from bisect import bisect_right
+from collections import Counter
 from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shoplens.llm.staging import documents, keys_and_text
+from shoplens.llm.staging import Staging, documents, keys_and_text
 
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
@@ -38,7 +41,9 @@ CONTEXT = re.compile(
     r"""(?:(?<![A-Za-z0-9])(?:pass\x20?phrase|passcode|password|passwd|pwd|pass|pin|secret|token|credentials?|"""
     r"""auth(?:orization)?|bearer|api[_-]?key|access[_-]?key|private[_-]?key|client[_-]?secret)"""
     r"""["']?\x20{0,4}(?:[:=]|=>|is|was|bearer|basic|\x20)\x20{0,4}|"""
-    r"""(?:password|passwd|secret|token|api_?key)["']?\x20*+[:=]\x20*+)["']?([^\s"'<>]{4,256})""", re.I | re.A)
+    r"""(?:password|passwd|secret|token|api_?key)["']?\x20*+[:=]\x20*+)["']?"""
+    r"""(?:(?:bearer|basic|digest|token|negotiate|ntlm|oauth|hawk|mac|api-?key|key)\x20++)?["']?([^\s"'<>]{4,256})""", re.I | re.A)
+LONGEST_CUE = 24          # no cue that ends a value, with its separator, is longer
 CUES = ("pass", "pwd", "pin", "secret", "token", "credential", "auth", "bearer", "key")
 MIN_GUESSES = 10.0        # log10 of the guesses from which a value counts as a secret
 
@@ -51,12 +56,27 @@ COMMON = (
 )
 # Rows of a US keyboard.
 ROWS = ("`1234567890-=", "qwertyuiop[]", "asdfghjkl;'", "zxcvbnm,./")
-_RANK = {w: i + 1 for i, w in enumerate(COMMON)}
 _PLACE = {c: (r, i) for r, row in enumerate(ROWS) for i, c in enumerate(row)}
 _LEET = str.maketrans("@430157$!", "aaeoistsi")
 _DATE = re.compile(r"(?:19|20)\d\d([-/._]?)(?:0[1-9]|1[0-2])\1(?:0[1-9]|[12]\d|3[01])|(?:0[1-9]|[12]\d|3[01])([-/._]?)(?:0[1-9]|1[0-2])\2(?:(?:19|20)\d\d|\d\d)|(?:19|20)\d\d")
 MAX_DP = 256
 _EXTRA = math.log10(2.0)      # one more factor for each further span of a segmentation
+_WORD = re.compile(r"[^\W\d_]{3,}")
+MAX_WORDS, MIN_COUNT, MAX_WORD = 200_000, 3, 40      # corpus words: number, least count, longest
+_HELD = 200_000               # words a task holds before it hands on their counts
+
+
+class WordList:
+    """Rank by word: the fixed list, and the given words, commonest first."""
+
+    def __init__(self, counted=()):
+        self.rank = {w: i + 1 for i, w in enumerate(counted)}
+        for i, w in enumerate(COMMON):
+            self.rank[w] = min(i + 1, self.rank.get(w, i + 1))
+        self.longest = max(map(len, self.rank))
+
+
+FIXED = WordList()
 
 
 def _alphabet(s: str) -> int:
@@ -64,13 +84,13 @@ def _alphabet(s: str) -> int:
             + 33 * any(not c.isalnum() for c in s)) or 1
 
 
-def _word_cost(part: str) -> float | None:
+def _word_cost(part: str, words: WordList = FIXED) -> float | None:
     """log10 guesses of a common word, in any case and with letters swapped for digits; None if no word."""
     low = part.lower()
     extra = 0.0
-    rank = _RANK.get(low)
+    rank = words.rank.get(low)
     if rank is None:
-        rank, extra = _RANK.get(low.translate(_LEET)), math.log10(4)
+        rank, extra = words.rank.get(low.translate(_LEET)), math.log10(4)
     if rank is None:
         return None
     if part != low:
@@ -78,15 +98,15 @@ def _word_cost(part: str) -> float | None:
     return math.log10(rank + 1) + extra
 
 
-def guess_cost(value: str) -> tuple[float, list[tuple[str, int, int]]]:
+def guess_cost(value: str, words: WordList = FIXED) -> tuple[float, list[tuple[str, int, int]]]:
     """Least log10 guesses over all segmentations, and that segmentation (kind, start, end)."""
     s = value[:MAX_DP]       # the context pattern yields no longer value
     n = len(s)
     per_char = math.log10(_alphabet(s))
     spans: list[list[tuple[int, float, str]]] = [[] for _ in range(n + 1)]     # by end: (start, cost, kind)
     for i in range(n):
-        for j in range(i + 3, min(n, i + 12) + 1):
-            c = _word_cost(s[i:j])
+        for j in range(i + 3, min(n, i + words.longest) + 1):
+            c = _word_cost(s[i:j], words)
             if c is not None:
                 spans[j].append((i, c, "word"))
         if s[i].isdigit():
@@ -147,27 +167,34 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
-def guess_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+def contexts(text: str):
+    """Matches of the credential contexts; the end of a value may be the next cue ('Authorization: Bearer x')."""
+    at = 0
+    while m := CONTEXT.search(text, at):
+        yield m
+        at = max(m.start(1), m.end() - LONGEST_CUE)
+
+
+def guess_spans(text: str, base: list[tuple[int, int, int]], words: WordList = FIXED) -> list[tuple[int, int, int]]:
     """Credential values that are hard to guess and not whole inside a base span; one may overlap base spans."""
     low = text.lower()
     if not any(c in low for c in CUES):
         return []
-    out = []
+    out, at = [], 0
     starts, reach = [s for s, _, _ in base], list(accumulate((e for _, _, e in base), max))
-    for m in CONTEXT.finditer(text):
+    for m in contexts(text):
         start = m.start(1)
         value = _without_marks(m.group(1))
         end = start + len(value)
         before = bisect_right(starts, start)
-        if len(value) < 4 or before and reach[before - 1] >= end:
+        if m.start() < at or len(value) < 4 or before and reach[before - 1] >= end:
             continue
         core = value.rstrip("!?")
         if core.isalpha():
             value = core                           # the mark after a word adds nothing to its cost
-        if value.isalpha() and (value.islower() or value.istitle()):
-            continue                               # an ordinary word of prose
-        if guess_cost(value)[0] >= MIN_GUESSES:
+        if guess_cost(value, words)[0] >= MIN_GUESSES:
             out.append((start, 3, end))
+            at = m.end()
     return out
 
 
@@ -182,11 +209,51 @@ def _without_marks(value: str) -> str:
     return value[:end]
 
 
-def find_secrets(text: str | None) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
+def find_secrets(text: str | None, words: WordList = FIXED) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
     """(base spans, added spans) of a whole text, in code points, end exclusive."""
     text = text or ""
     base = base_spans(text)
-    return base, guess_spans(text, base)
+    return base, guess_spans(text, base, words)
+
+
+def _count_words(batches):
+    counts = Counter()
+
+    def table():
+        return pa.RecordBatch.from_arrays([pa.array(counts, pa.string()), pa.array(counts.values(), pa.int64())], names=["word", "n"])
+
+    for batch in batches:
+        for text in batch.column(0):
+            text = text.as_py() or ""
+            low = text.lower()
+            if any(c in low for c in CUES):
+                parts, at = [], 0
+                for m in contexts(text):
+                    parts.append(text[at:m.start(1)])
+                    at = m.end()
+                low = " ".join(parts + [text[at:]]).lower()
+            counts.update(_WORD.findall(low))
+            if len(counts) > _HELD:
+                yield table()
+                counts.clear()
+    yield table()
+
+
+def word_list(docs: DataFrame) -> WordList:
+    """The fixed list with the commonest words of the texts, credential values aside."""
+    counts = docs.select(docs["text"].cast("string").alias("text")).mapInArrow(_count_words, "word string, n bigint")
+    counts = counts.where(F.char_length("word") <= MAX_WORD).groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") >= MIN_COUNT)
+    staging = Staging(docs.sparkSession, "secrets")
+    counts = staging.save(counts, "words")
+    least, total = None, 0
+    for n, of in sorted(((r["n"], r["of"]) for r in counts.groupBy("n").agg(F.count("*").alias("of")).collect()), reverse=True):
+        total += of
+        if total > MAX_WORDS:
+            break                                  # words of one count stay or go together
+        least = n
+    rows = counts.where(F.col("n") >= least).collect() if least else []       # at most MAX_WORDS rows
+    staging.drop(counts)
+    return WordList(r["word"] for r in sorted(rows, key=lambda r: (-r["n"], r["word"])))
 
 
 def spell(spans) -> str:
@@ -196,11 +263,11 @@ def spell(spans) -> str:
 _RESULT = "doc_id bigint, n_assign bigint, n_access bigint, n_hex bigint, base_sha256 string, spans string, n_guess bigint"
 
 
-def _scan(batches):
+def _scan(batches, words: WordList):
     for batch in batches:
         n, digests, spans = [[], [], [], []], [], []
         for text in batch.column(1):
-            base, more = find_secrets(text.as_py())
+            base, more = find_secrets(text.as_py(), words)
             for k in range(3):
                 n[k].append(sum(x[1] == k for x in base))
             n[3].append(len(more))
@@ -213,13 +280,14 @@ def _scan(batches):
 
 def scan(docs: DataFrame) -> DataFrame:
     """Per row: counts of the base kinds, digest of the base spans, all spans, number of added ones."""
-    return keys_and_text(docs).mapInArrow(_scan, _RESULT)
+    words = docs.sparkSession.sparkContext.broadcast(word_list(docs))
+    return keys_and_text(docs).mapInArrow(lambda batches: _scan(batches, words.value), _RESULT)
 
 
-def redact_text(text: str | None, mark: str = "[SECRET]") -> str | None:
+def redact_text(text: str | None, mark: str = "[SECRET]", words: WordList = FIXED) -> str | None:
     if text is None:
         return None
-    base, more = find_secrets(text)
+    base, more = find_secrets(text, words)
     spans = sorted((s, e) for s, _, e in base + more)
     if not spans:
         return text
@@ -234,10 +302,11 @@ def redact_text(text: str | None, mark: str = "[SECRET]") -> str | None:
 def redact(docs: DataFrame) -> DataFrame:
     """The documents with every secret replaced by a mark; ``n_chars`` follows, all columns stay."""
     at = docs.columns.index("text")
+    words = docs.sparkSession.sparkContext.broadcast(word_list(docs))
 
     def run(batches):
         for batch in batches:
-            texts = pa.array([redact_text(t.as_py()) for t in batch.column(at)], pa.string())
+            texts = pa.array([redact_text(t.as_py(), words=words.value) for t in batch.column(at)], pa.string())
             yield pa.RecordBatch.from_arrays([texts if i == at else c for i, c in enumerate(batch.columns)], names=batch.schema.names)
 
     out = docs.mapInArrow(run, docs.schema)
