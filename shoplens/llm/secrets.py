@@ -42,7 +42,7 @@ CONTEXT = re.compile(
     r"""auth(?:orization)?|bearer|api[_-]?key|access[_-]?key|private[_-]?key|client[_-]?secret)"""
     r"""["']?\x20{0,4}(?:[:=]|=>|is|was|bearer|basic|\x20)\x20{0,4}|"""
     r"""(?:password|passwd|secret|token|api_?key)["']?\x20*+[:=]\x20*+)["']?"""
-    r"""(?:(?:bearer|basic|digest|token|negotiate|ntlm|oauth|hawk|mac|api-?key|key)\x20++)?["']?([^\s"'<>]{4,256})""", re.I | re.A)
+    r"""(?:(?:bearer|basic|digest|token|negotiate|ntlm|oauth|hawk|mac|api-?key|key)\x20++)?["']?([^\s"'<>]{4,})""", re.I | re.A)
 LONGEST_CUE = 24          # no cue that ends a value, with its separator, is longer
 CUES = ("pass", "pwd", "pin", "secret", "token", "credential", "auth", "bearer", "key")
 MIN_GUESSES = 10.0        # log10 of the guesses from which a value counts as a secret
@@ -59,7 +59,7 @@ ROWS = ("`1234567890-=", "qwertyuiop[]", "asdfghjkl;'", "zxcvbnm,./")
 _PLACE = {c: (r, i) for r, row in enumerate(ROWS) for i, c in enumerate(row)}
 _LEET = str.maketrans("@430157$!", "aaeoistsi")
 _DATE = re.compile(r"(?:19|20)\d\d([-/._]?)(?:0[1-9]|1[0-2])\1(?:0[1-9]|[12]\d|3[01])|(?:0[1-9]|[12]\d|3[01])([-/._]?)(?:0[1-9]|1[0-2])\2(?:(?:19|20)\d\d|\d\d)|(?:19|20)\d\d")
-MAX_DP = 256
+_FULL_WALK, _STEP = 32, 32     # longest walk that may end anywhere; characters between two looks at the bound
 _EXTRA = math.log10(2.0)      # one more factor for each further span of a segmentation
 _WORD = re.compile(r"[^\W\d_]{3,}")
 MAX_WORDS, MIN_COUNT, MAX_WORD = 200_000, 3, 40      # corpus words: number, least count, longest
@@ -100,54 +100,94 @@ def _word_cost(part: str, words: WordList = FIXED) -> float | None:
 
 def guess_cost(value: str, words: WordList = FIXED) -> tuple[float, list[tuple[str, int, int]]]:
     """Least log10 guesses over all segmentations, and that segmentation (kind, start, end)."""
-    s = value[:MAX_DP]       # the context pattern yields no longer value
+    cost, back = _least(value, words, math.inf)
+    parts, j = [], len(value)
+    while j:
+        i, kind = back[j]
+        if parts and kind == "brute" and parts[-1][0] == "brute":
+            parts[-1] = ("brute", i, parts[-1][2])
+        else:
+            parts.append((kind, i, j))
+        j = i
+    return cost, parts[::-1]
+
+
+def is_hard(value: str, words: WordList = FIXED) -> bool:
+    """Whether the whole value costs ``MIN_GUESSES`` or more; reads only as far as that is open."""
+    return _least(value, words, MIN_GUESSES)[0] >= MIN_GUESSES
+
+
+def _least(s: str, words: WordList, limit: float):
+    """(least cost, back pointers) of the whole value, or a lower bound of it that reaches the limit.
+
+    Spans are found from their first character on.  Every segmentation has an end
+    at character i or a span across it, and further spans cost more than nothing:
+    the least of the costs to i and of the spans across it bounds the whole.
+    """
     n = len(s)
     per_char = math.log10(_alphabet(s))
-    spans: list[list[tuple[int, float, str]]] = [[] for _ in range(n + 1)]     # by end: (start, cost, kind)
-    for i in range(n):
+    repeats = [_Runs(lambda k, w=w: s[k] == s[k + w], n - w) for w in range(1, min(8, n // 2) + 1)]
+    walk = _Runs(lambda k: _next_key(s, k), n - 1)
+    turns = [0]                                                          # changes of direction up to a place
+    best, back = [0.0] + [math.inf] * n, [None] * (n + 1)
+    across: set[int] = set()                                             # ends of spans that begin before i
+    for i in range(n + 1):
+        if i:
+            # A brute-force span may begin anywhere; extending one costs its characters only.
+            step = best[i - 1] + per_char + (_EXTRA if i > 1 and back[i - 1][1] != "brute" else 0.0)
+            if step <= best[i]:
+                best[i], back[i] = step, (i - 1, "brute")
+        if i == n:
+            break
+        if i % _STEP == 0:
+            across = {j for j in across if j > i}
+            bound = min([best[i], *(best[j] for j in across)])
+            if bound >= limit:
+                return bound, back
+        spans = []
         for j in range(i + 3, min(n, i + words.longest) + 1):
             c = _word_cost(s[i:j], words)
             if c is not None:
-                spans[j].append((i, c, "word"))
+                spans.append((j, c, "word"))
         if s[i].isdigit():
-            for m in (_DATE.match(s, i),):
-                if m:
-                    spans[m.end()].append((i, math.log10(365 * 120 if m.end() - i > 4 else 120), "date"))
-        for width in range(1, min(8, (n - i) // 2) + 1):                 # repeats of a block
-            block, times = s[i:i + width], 1
-            while s.startswith(block, i + times * width):
-                times += 1
+            m = _DATE.match(s, i)
+            if m:
+                spans.append((m.end(), math.log10(365 * 120 if m.end() - i > 4 else 120), "date"))
+        for width, run in enumerate(repeats, 1):                         # repeats of a block
+            times = (run.end(i) - i + width) // width
             if times * width >= 3 and times > 1:
-                spans[i + times * width].append((i, width * per_char + math.log10(times), "repeat"))
-        j, low = i + 1, s[i].lower()                                     # keyboard walk
-        while j < n:
-            a, b = _PLACE.get(low), _PLACE.get(s[j].lower())
-            if a is None or b is None or abs(a[0] - b[0]) > 1 or abs(a[1] - b[1]) > 1:
-                break
-            low = s[j].lower()
-            j += 1
-            if j - i >= 4:
-                turns = sum(1 for k in range(i + 2, j) if _direction(s, k - 1) != _direction(s, k - 2))
-                spans[j].append((i, math.log10(94.0 * (j - i)) + turns * math.log10(4.0), "walk"))
-    best, back = [0.0] + [math.inf] * n, [None] * (n + 1)
-    brute = [0.0] * (n + 1)
-    for j in range(1, n + 1):
-        # A brute-force span may begin anywhere; extending one costs its characters only.
-        step = best[j - 1] + per_char + (_EXTRA if j > 1 and back[j - 1] is not None and back[j - 1][1] != "brute" else 0.0)
-        best[j], back[j] = step, (j - 1, "brute")
-        for i, c, kind in spans[j]:
+                spans.append((i + times * width, width * per_char + math.log10(times), "repeat"))
+        last = walk.end(i) + 1                                           # keyboard walk: a prefix of it, or all
+        if last - i >= 4:
+            for k in range(len(turns), last - 1):
+                turns.append(turns[-1] + (_next_key(s, k - 1) and _next_key(s, k) and _direction(s, k) != _direction(s, k - 1)))
+            for j in (*range(i + 4, min(last, i + _FULL_WALK) + 1), *[last] * (last > i + _FULL_WALK)):
+                spans.append((j, math.log10(94.0 * (j - i)) + (turns[j - 2] - turns[i]) * math.log10(4.0), "walk"))
+        for j, c, kind in spans:
             c = best[i] + c + (_EXTRA if i else 0.0)
             if c < best[j]:
                 best[j], back[j] = c, (i, kind)
-    parts, j = [], n
-    while j:
-        i, kind = back[j]
-        if parts and kind == "brute" and parts[-1][0] == "brute":
-            parts[-1] = ("brute", i, parts[-1][2])
-        else:
-            parts.append((kind, i, j))
-        j = i
-    return best[n], parts[::-1]
+                across.add(j)
+    return best[n], back
+
+
+class _Runs:
+    """Runs of consecutive places below ``n`` where a test holds; each place is tested about once."""
+
+    def __init__(self, holds, n: int):
+        self.holds, self.n, self.until = holds, n, 0
+
+    def end(self, i: int) -> int:
+        """First place from ``i`` on where the test fails; to be asked with rising ``i``."""
+        self.until = max(self.until, i)
+        while self.until < self.n and self.holds(self.until):
+            self.until += 1
+        return self.until
+
+
+def _next_key(s: str, k: int) -> bool:
+    a, b = _PLACE.get(s[k].lower()), _PLACE.get(s[k + 1].lower())
+    return a is not None and b is not None and abs(a[0] - b[0]) <= 1 and abs(a[1] - b[1]) <= 1
 
 
 def _direction(s: str, k: int):
@@ -192,7 +232,7 @@ def guess_spans(text: str, base: list[tuple[int, int, int]], words: WordList = F
         core = value.rstrip("!?")
         if core.isalpha():
             value = core                           # the mark after a word adds nothing to its cost
-        if guess_cost(value, words)[0] >= MIN_GUESSES:
+        if is_hard(value, words):
             out.append((start, 3, end))
             at = m.end()
     return out

@@ -111,6 +111,57 @@ def test_words_are_those_of_the_corpus(spark):
     assert all(red[i] == (t if i < 4 else "login pwd: [SECRET] today") for i, t in enumerate(texts))
 
 
+@pytest.mark.parametrize("head", ["Bearer ", "pwd: ", "access_key: ", "credentials=", "Authorization: Bearer "])
+def test_long_values_are_whole(head):
+    for value in ("eyJhbGciOiJIUzI1NiJ9." + "aZ3_x9Qk-7" * 4000 + "Z", "x" * 5000 + "kV9$tq2Lw!x7#", "qwertyuiop" * 300 + "zkqjwvbxmrtpghfd"):
+        text = f"{head}{value} end"
+        assert [text[s:e] for s, _, e in secrets.find_secrets(text)[1]] == [value]
+        assert secrets.redact_text(text).endswith("[SECRET] end")
+    assert secrets.find_secrets(f"{head}{'x' * 5000} end")[1] == []
+
+
+def least_by_ends(s):
+    """The program over all spans at once, by their ends, for short values."""
+    import math
+    n, per = len(s), math.log10(secrets._alphabet(s))
+    spans = [[] for _ in range(n + 1)]
+    for i in range(n):
+        for j in range(i + 3, n + 1):
+            if (c := secrets._word_cost(s[i:j])) is not None:
+                spans[j].append((i, c))
+        if s[i].isdigit() and (m := secrets._DATE.match(s, i)):
+            spans[m.end()].append((i, math.log10(365 * 120 if m.end() - i > 4 else 120)))
+        for w in range(1, min(8, (n - i) // 2) + 1):
+            times = 1
+            while s.startswith(s[i:i + w], i + times * w):
+                times += 1
+            if times * w >= 3 and times > 1:
+                spans[i + times * w].append((i, w * per + math.log10(times)))
+        j = i + 1
+        while j < n and secrets._next_key(s, j - 1):
+            j += 1
+            if j - i >= 4:
+                turns = sum(secrets._direction(s, k - 1) != secrets._direction(s, k - 2) for k in range(i + 2, j))
+                spans[j].append((i, math.log10(94.0 * (j - i)) + turns * math.log10(4.0)))
+    best, brute = [0.0] + [math.inf] * n, [True] * (n + 1)
+    for j in range(1, n + 1):
+        best[j] = best[j - 1] + per + (secrets._EXTRA if j > 1 and not brute[j - 1] else 0.0)
+        for i, c in spans[j]:
+            c = best[i] + c + (secrets._EXTRA if i else 0.0)
+            if c < best[j]:
+                best[j], brute[j] = c, False
+    return best[n]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(["qwer", "asdf", "poiu", "a", "Z", "7", "#", "password", "1999", "aaaa", "xyxyxy", "tok", "é"]), min_size=1, max_size=9).map("".join))
+def test_cost_and_its_early_end(value):
+    value = value[:32]
+    assert abs(secrets.guess_cost(value)[0] - least_by_ends(value)) < 1e-9
+    long = value * 5
+    assert secrets.is_hard(long) == (secrets.guess_cost(long)[0] >= secrets.MIN_GUESSES)
+
+
 def test_defined_cases(spark):
     docs = edge_documents(spark)
     by = {r.doc_id: r for r in secrets.scan(docs).collect()}
