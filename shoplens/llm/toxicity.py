@@ -1,10 +1,10 @@
 """Toxicity by maximum-scoring segments (op 9).
 
 Token scores are log-odds between toxic and other labelled documents with an
-informative Dirichlet prior, the token's share in the whole corpus; they count
-where they are significant (z-score) and large, all other tokens share a small
-negative drift.  A linear-time scan (Ruzzo-Tompa) finds every maximal-scoring segment of
-a text.  Segment scores are calibrated as extreme values: with the decay lambda
+informative Dirichlet prior, the token's share in the different texts of the whole
+corpus, in proportion to each class; they count where they are significant (z-score,
+for as many features as are tested), all other tokens share a small negative drift.
+A linear-time scan (Ruzzo-Tompa) finds every maximal-scoring segment of a text.  Segment scores are calibrated as extreme values: with the decay lambda
 of the clean token distribution and the clean rate K, a document of n tokens has
 ``K n exp(-lambda S)`` segments of score S by chance.  The document's score is a
 logistic function of its best segment's calibrated score.
@@ -12,7 +12,8 @@ logistic function of its best segment's calibrated score.
 Tokens are words (runs of ``[0-9a-z]`` and non-ASCII characters, A-Z
 lower-cased), hashed; a word without significant evidence of its own backs off to
 its leading 6, 5 or 4 bytes, so unseen endings of a known stem count.  The tables have
-``BUCKETS`` places, a fixed bound.  Corpus counts cover all documents; labels
+``BUCKETS`` places, a fixed bound.  Corpus counts cover all documents, copies
+of a text once; labels
 come from a bounded sample (``labels.MAX_LABELS``), never from ids with
 ``crc32(doc_id as text) mod 5 = 0``.
 
@@ -24,6 +25,7 @@ not learned from; repeated rows get a row each; other columns are ignored.
 from __future__ import annotations
 
 import math
+from statistics import NormalDist
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +41,8 @@ from shoplens.llm.staging import Staging, documents
 BUCKETS = 1 << 20
 STEMS = (6, 5, 4)
 PRIOR = 0.05         # weight of the Dirichlet prior, as a share of the labelled counts
-MIN_Z, MIN_ODDS = 3.0, 3.0      # a toxic feature is significant and several times likelier in toxic documents
+MIN_Z = 3.0          # least z-score of a toxic feature
+MAX_GROUPS = 200_000 # groups of exact copies that are broadcast
 DRIFT = -0.05
 SATURATED = 20.0
 SIGNIFICANT = 0.01   # segments with fewer chance occurrences a document are passages
@@ -56,28 +59,40 @@ def features(data, starts, ends, words) -> np.ndarray:
 
 
 def _count(batches):
-    """(text, label) -> bucket counts over all, toxic and clean documents; bucket -1 has the totals.
+    """(text, label, weight) -> bucket weights over unlabelled, toxic and clean rows; bucket -1 has the totals.
 
     A document counts a feature once, so one long document can't make a word significant.
     """
-    total = np.zeros((3, BUCKETS), np.int64)
-    n = np.zeros(3, np.int64)
+    total = np.zeros((3, BUCKETS))
+    n = np.zeros(3)
     for batch in batches:
-        label = batch.column(1).fill_null(2).to_numpy()
+        label, weight = batch.column(1).fill_null(2).to_numpy(), batch.column(2).to_numpy()
         row = 0
         for data, starts, ends, cut, words in batch_words(batch.column(0)):
             f = features(data, starts, ends, words)
-            kind = label[row:row + len(cut) - 1]
+            kind, by = label[row:row + len(cut) - 1], weight[row:row + len(cut) - 1]
             row += len(cut) - 1
             doc = np.repeat(np.arange(len(kind)), np.diff(cut))
             own = np.unique((doc * BUCKETS + f).ravel())
-            own_kind, own = kind[own // BUCKETS], own % BUCKETS
-            for k, here in enumerate((own, own[own_kind == 1], own[own_kind == 0])):
-                total[k] += np.bincount(here, minlength=BUCKETS)
-                n[k] += len(here)
-    at = np.flatnonzero(total[0])
+            own_kind, own_by, own = kind[own // BUCKETS], by[own // BUCKETS], own % BUCKETS
+            for k, of in enumerate((2, 1, 0)):
+                here = own_kind == of
+                if here.any():
+                    total[k] += np.bincount(own[here], own_by[here], BUCKETS)
+                    n[k] += own_by[here].sum()
+    at = np.flatnonzero(total.any(0))
     yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1), pa.int32())] + [
-        pa.array(np.append(total[k][at], n[k]), pa.int64()) for k in range(3)], names=["bucket", "n", "toxic", "clean"])
+        pa.array(np.append(total[k][at], n[k])) for k in range(3)], names=["bucket", "n", "toxic", "clean"])
+
+
+def different_texts(rows: DataFrame, staging: Staging, max_groups: int = MAX_GROUPS) -> DataFrame:
+    """``text, weight``: the weights of a text's exact copies add up to 1, however many there are."""
+    rows = rows.select("text", F.xxhash64("text").alias("h"))
+    groups = staging.save(rows.groupBy("h").agg(F.count("*").alias("copies")).where("copies > 1"), "copies")
+    if groups.count() <= max_groups:
+        return rows.join(F.broadcast(groups), "h", "left").select("text", (1.0 / F.coalesce("copies", F.lit(1))).alias("weight"))
+    # The texts themselves are shuffled, copies combined before.
+    return rows.groupBy("h").agg(F.first("text").alias("text")).select("text", F.lit(1.0).alias("weight"))
 
 
 class ToxicityModel:
@@ -143,37 +158,46 @@ def _best(segments):
     return max(x[2] for x in segments) if segments else None
 
 
+def significant_from(tested: int) -> float:
+    """z-score from which less than one of the tested features is expected to lie by chance, MIN_Z at least."""
+    return max(MIN_Z, NormalDist().inv_cdf(1.0 - 1.0 / max(tested, 2)))
+
+
 def fit(docs: DataFrame, labels: DataFrame, max_labels: int = MAX_LABELS) -> ToxicityModel:
     spark = docs.sparkSession
     rows = docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), docs["text"].cast("string").alias("text"))
+    staging = Staging(spark, "toxicity")
     known = F.broadcast(label_sample(labels, "toxic", 5, 0, max_labels))              # at most max_labels rows
     # Of exact copies with one label a single row is learned from, so a group of copies can't make its words significant.
-    known = rows.join(known, "doc_id").groupBy(F.xxhash64("text").alias("h"), "label").agg(F.min("doc_id").alias("doc_id"))
-    known = Staging(spark, "toxicity").save(known.select("doc_id", "label"), "labels")
-    rows = rows.join(F.broadcast(known.limit(max_labels)), "doc_id", "left").select("text", "label")
-    counts = rows.mapInArrow(_count, "bucket int, n bigint, toxic bigint, clean bigint").groupBy("bucket").agg(
+    known = rows.join(known, "doc_id").groupBy(F.xxhash64("text").alias("h"), "label").agg(F.first("text").alias("text"))
+    known = staging.save(known.select("text", "label"), "labels")
+    corpus = different_texts(rows, staging).select("text", F.lit(None).cast("int").alias("label"), "weight")
+    counts = corpus.union(known.select("text", "label", F.lit(1.0))).mapInArrow(
+        _count, "bucket int, n double, toxic double, clean double").groupBy("bucket").agg(
         F.sum("n").alias("n"), F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
     table = counts.toArrow()                                        # at most BUCKETS + 1 rows
     if not table.num_rows:
         return ToxicityModel()
-    bucket, n, toxic, clean = (table[c].to_numpy() for c in ("bucket", "n", "toxic", "clean"))
+    # Shares of copies add up to whole texts, whatever the order of the sum.
+    bucket, n, toxic, clean = (np.rint(table[c].to_numpy()) for c in ("bucket", "n", "toxic", "clean"))
+    bucket = bucket.astype(np.int64)
     head = bucket < 0
     nt, nc, n_all = float(toxic[head].sum()), float(clean[head].sum()), float(n[head].sum())
     if not nt or not nc:
         return ToxicityModel()
     bucket, n, toxic, clean = (x[~head] for x in (bucket, n, toxic, clean))
-    weight = PRIOR * (nt + nc)
-    prior = weight * n / n_all
-    yt, yc = toxic + prior, clean + prior
-    odds = np.log(yt / (nt + weight - yt)) - np.log(yc / (nc + weight - yc))
+    # The prior is in proportion to each class, so it pulls a word towards no difference.
+    yt, yc = toxic + PRIOR * nt * n / n_all, clean + PRIOR * nc * n / n_all
+    wt, wc = (1 + PRIOR) * nt, (1 + PRIOR) * nc
+    odds = np.log(yt / (wt - yt)) - np.log(yc / (wc - yc))
     z = odds / np.sqrt(1.0 / yt + 1.0 / yc)
     score = np.full(BUCKETS, np.nan)
-    toxic_feature = (z >= MIN_Z) & (odds >= MIN_ODDS)
+    toxic_feature = z >= significant_from(int((toxic > 0).sum()))
     score[bucket[toxic_feature]] = odds[toxic_feature]
     score[bucket[z <= -MIN_Z / 2]] = DRIFT          # known to be clean: no backing off
     positive = score[bucket] > 0
     # Decay: the positive root of  sum p exp(lambda s) = 1  over the clean distribution.
-    p, s = yc[positive] / (nc + weight), score[bucket[positive]]
+    p, s = yc[positive] / wc, score[bucket[positive]]
     p_rest = max(1e-9, 1.0 - p.sum())
     lo, hi = 1e-3, 50.0
     for _ in range(60):
@@ -200,7 +224,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_labels: int = MAX_LABELS) -> Tox
             pa.array([k[0] for k in cells], pa.int32()), pa.array([k[1] for k in cells], pa.float64()), pa.array([k[2] for k in cells], pa.int32()),
             *[pa.array([c[j] for c in cells.values()], pa.int64()) for j in range(3)]], names=["label", "best", "size", "docs", "tokens", "segments"])
 
-    cells = rows.where("label is not null").mapInArrow(measure, "label int, best double, size int, docs bigint, tokens bigint, segments bigint").groupBy(
+    cells = known.select("text", "label").mapInArrow(measure, "label int, best double, size int, docs bigint, tokens bigint, segments bigint").groupBy(
         "label", "best", "size").agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens"), F.sum("segments").alias("segments")).collect()
     clean_tokens = sum(c["tokens"] for c in cells if c["label"] == 0)
     clean_segments = sum(c["segments"] for c in cells if c["label"] == 0)

@@ -52,6 +52,34 @@ def test_held_out_labels_are_not_read(spark):
     assert np.array_equal(a.score, b.score, equal_nan=True) and (a.slope, a.shift) == (b.slope, b.shift)
 
 
+def test_copies_do_not_make_their_words_toxic(spark):
+    """A text copied 300 times and marked toxic is one document to learn from."""
+    rows = [(i, f"calm words number{i} of the day") for i in range(300)] + [(i, "rare copied passage of the day") for i in range(300, 600)]
+    docs = spark.createDataFrame(rows + [(600, "rare copied words of another day")], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, int(i >= 300)) for i in range(600)], "doc_id bigint, toxic int")
+    by = {r.doc_id: r for r in toxicity.score(docs, toxicity.fit(docs, labels)).collect()}
+    assert by[600].predicted == 0 and by[0].predicted == 0
+
+
+def test_a_hot_text_does_not_hide_toxic_words(spark):
+    """A third of all rows is one unlabelled text that holds every toxic word."""
+    slurs = ("vile", "slur", "scum")
+    rows = [(i, f"number{i} calm words all day long {slurs[i // 8 % 3] if i % 8 == 0 else 'quiet'} more calm words") for i in range(960)]
+    hot = [(i, "the vile slur and scum of one hot text") for i in range(960, 1440)]
+    docs = spark.createDataFrame(rows + hot, "doc_id bigint, text string").repartition(4)
+    labels = spark.createDataFrame([(i, int(i % 8 == 0)) for i in range(960)], "doc_id bigint, toxic int")
+    by = {r.doc_id: r.predicted for r in toxicity.score(docs, toxicity.fit(docs, labels)).collect()}
+    assert all(by[i] == int(i % 8 == 0) for i in range(960))
+
+
+def test_copies_weigh_as_one_text(spark):
+    rows = [(i, f"text {i}") for i in range(20)] + [(None, "copied")] * 30 + [(7, None)] * 3
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
+    for most in (10, 0):
+        got = toxicity.different_texts(docs, toxicity.Staging(spark, "copies-test"), most).groupBy("text").agg(F.sum("weight").alias("w")).collect()
+        assert {r.text: round(r.w, 9) for r in got} == {t: 1.0 for _, t in rows}
+
+
 def test_passages_are_located(spark):
     rows = [(i, f"number{i} " + ("calm words all day long " * 10) + ("vile slur vile slur " if i % 4 == 0 else "") + "more calm words é here")
             for i in range(200)]
