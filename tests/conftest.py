@@ -3,11 +3,7 @@ import sys
 
 import pytest
 
-ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-sys.path.insert(0, ROOT)
-
-SF001 = "/root/testdata/sf0.001"
-SF01 = "/root/testdata/sf0.01"
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
 @pytest.fixture(scope="session")
@@ -17,9 +13,3 @@ def spark():
     s = build_session("local[*]", shuffle_partitions=8, app_name="shoplens-tests")
     yield s
     s.stop()
-
-
-def rows(df, *cols):
-    """Collect a small result as sorted tuples (tests only)."""
-    cols = cols or tuple(df.columns)
-    return sorted(tuple(r[c] for c in cols) for r in df.collect())

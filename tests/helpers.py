@@ -1,9 +1,22 @@
-"""Small hand-made frames for operator tests."""
+"""Shared names of the tests: folders, small hand-made frames, collected rows."""
+
+import os
 
 from pyspark.sql import types as T
 
 from shoplens import schemas
 
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+SF001 = "/root/testdata/sf0.001"
+SF01 = "/root/testdata/sf0.01"
+
+
+def rows(df, *cols):
+    """Collect a small result as sorted tuples (tests only)."""
+    cols = cols or tuple(df.columns)
+    return sorted(tuple(r[c] for c in cols) for r in df.collect())
+
+
 ACTION_SCHEMA = T.StructType([T.StructField("event_id", T.LongType())] + schemas.USER_VISIT_ACTION.fields)
 
 _DEFAULT = dict(date=None, user_id=1, session_id="s1", page_id=1, action_time="2024-01-05 10:00:00",

@@ -1,6 +1,6 @@
 import os
 
-from conftest import rows
+from helpers import rows
 
 from shoplens.sources.adlog import parse_ad_lines, read_ad_stream, valid_clicks
 from shoplens.streaming.pipeline import AdsStreamJob

@@ -1,5 +1,4 @@
-from conftest import rows
-from helpers import clicks
+from helpers import clicks, rows
 
 from shoplens.operators import ads
 
@@ -51,7 +50,7 @@ def test_area_top_ads_ties_and_json(spark):
 
 
 def test_top_ads_are_a_subset_of_the_rollup(spark):
-    from conftest import SF01
+    from helpers import SF01
     from pyspark.sql import functions as F
 
     from shoplens.plans.queries import ShopQueries
@@ -88,7 +87,7 @@ def test_a_misdated_click_does_not_move_the_hour(spark):
 
 def test_clean_clicks_does_not_shuffle_the_log_by_user(spark):
     """Initial plan: the log's rows reach the result without an exchange."""
-    from conftest import SF01
+    from helpers import SF01
 
     from shoplens.sources.tables import FixtureTables
 

@@ -1,5 +1,4 @@
-from conftest import rows
-from helpers import actions, cities, products
+from helpers import actions, cities, products, rows
 
 from shoplens.operators import areas
 from shoplens.params import DEFAULT_CONDITIONS

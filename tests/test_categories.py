@@ -1,5 +1,4 @@
-from conftest import SF01, rows
-from helpers import actions
+from helpers import SF01, actions, rows
 from pyspark.sql import functions as F
 
 from shoplens.operators import categories

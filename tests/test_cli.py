@@ -4,7 +4,7 @@ import os
 import subprocess
 import sys
 
-from conftest import ROOT, SF001
+from helpers import ROOT, SF001
 
 
 def _run(*args, timeout=300):

@@ -5,7 +5,7 @@ while the jobs run on the clicks that pass the blacklist (see README).
 """
 
 import pytest
-from conftest import SF01
+from helpers import SF01
 from pyspark.sql import functions as F
 
 from shoplens.plans.queries import registry

@@ -1,4 +1,4 @@
-from conftest import rows
+from helpers import rows
 from pyspark.sql import functions as F
 
 from shoplens.functions import ordered_join, percent_half_up, split_ids

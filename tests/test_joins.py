@@ -1,4 +1,4 @@
-from conftest import SF01
+from helpers import SF01
 
 from shoplens.operators.categories import category_top
 from shoplens.plans.joins import broadcast_rows, estimated_size, maybe_broadcast

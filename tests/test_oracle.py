@@ -1,7 +1,7 @@
 """Every registered query against its DuckDB oracle on the sf0.01 fixture."""
 
 import pytest
-from conftest import SF01
+from helpers import SF01
 
 import __spark_entry__ as entry
 from shoplens.plans.compare import compare, duckdb_connection

@@ -1,8 +1,7 @@
 from collections import Counter
 
 import pytest
-from conftest import SF001, rows
-from helpers import actions
+from helpers import SF001, actions, rows
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 

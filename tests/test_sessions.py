@@ -1,6 +1,5 @@
 import pytest
-from conftest import SF01, rows
-from helpers import actions, users
+from helpers import SF01, actions, rows, users
 from pyspark.sql import functions as F
 
 from shoplens.operators import sessions

@@ -1,7 +1,7 @@
 import os
 
 import pytest
-from conftest import SF001, rows
+from helpers import SF001, rows
 from pyspark.sql import functions as F
 
 from shoplens.params import DEFAULT_CONDITIONS, Conditions

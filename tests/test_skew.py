@@ -8,7 +8,7 @@ brute force in pandas.
 from collections import Counter
 
 import pytest
-from conftest import SF01, rows
+from helpers import SF01, rows
 from pyspark.sql import functions as F
 
 from shoplens.operators import ads, pages, sessions

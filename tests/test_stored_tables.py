@@ -1,7 +1,7 @@
 """The stored-table source gives the same results as the fixture adapter."""
 
 import pytest
-from conftest import SF001, rows
+from helpers import SF001, rows
 
 from shoplens.params import DEFAULT_CONDITIONS
 from shoplens.plans.queries import QUERY_NAMES, ShopQueries
