@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shoplens.llm import decontam, langid, merkle, minhash, packing, pii, quality, secrets, token_files, toxicity
+from shoplens.llm import (
+    decontam,
+    importance,
+    langid,
+    licenses,
+    merkle,
+    minhash,
+    packing,
+    pii,
+    quality,
+    secrets,
+    token_files,
+    toxicity,
+    vector_codes,
+)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -21,6 +35,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_rule_ensemble_quality": quality.quality_query,
         "op9_segment_toxicity": toxicity.toxicity_query,
         "op10_minhash_near_dedup": minhash.near_duplicates_query,
+        "op11_importance_resampling": importance.importance_query,
+        "op12_gnat_vector_codes": vector_codes.vector_codes_query,
+        "op13_license_scans": licenses.license_query,
     }
 
 
@@ -28,4 +45,7 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op2_winnowing_decontamination": decontam.ORACLE,
         "op10_minhash_near_dedup": minhash.ORACLE,
+        "op11_importance_resampling": importance.ORACLE,
+        "op12_gnat_vector_codes": vector_codes.ORACLE,
+        "op13_license_scans": licenses.ORACLE,
     }

@@ -1,0 +1,108 @@
+"""GNAT against brute force, codes against a plain version, defined cases."""
+
+import math
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from shoplens.llm import vector_codes as vc
+
+SCHEMA = "vec_id bigint, embedding array<float>, label int"
+
+
+def brute_assign(entries, part):
+    d = ((part[:, None, :].astype(object) - entries[None].astype(object)) ** 2).sum(2)
+    return np.array([min(range(len(r)), key=lambda j: (r[j], j)) for r in d.tolist()], np.int64), np.array([min(r) for r in d.tolist()])
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.integers(1, 90), st.integers(1, 6), st.integers(0, 5), st.integers(0, 2**31))
+def test_tree_finds_the_lowest_nearest_entry(n, width, scale, seed):
+    rng = np.random.default_rng(seed)
+    points = rng.integers(-scale, scale + 1, (n, width))             # many equal points and distances
+    queries = np.concatenate([points, rng.integers(-scale - 2, scale + 3, (50, width))])
+    codes, errors = vc.Codebooks([points]).assign(queries)
+    index, best = brute_assign(points, queries)
+    assert codes[:, 0].tolist() == index.tolist() and errors[:, 0].tolist() == best.tolist()
+
+
+def test_tree_on_components_at_the_bound():
+    rng = np.random.default_rng(3)
+    points = rng.integers(-vc.BOUND, vc.BOUND + 1, (120, 16))
+    points[60:] = points[:60] + rng.integers(-1, 2, (60, 16))
+    queries = np.clip(points + rng.integers(-1, 2, points.shape), -vc.BOUND, vc.BOUND)
+    codes, errors = vc.Codebooks([points]).assign(queries)
+    index, best = brute_assign(points, queries)
+    assert codes[:, 0].tolist() == index.tolist() and errors[:, 0].tolist() == best.tolist()
+
+
+def test_tree_leaves_out_subtrees_of_clustered_entries():
+    rng = np.random.default_rng(4)
+    centres = rng.integers(-3000, 3000, (16, 16))
+    points = centres[rng.integers(0, 16, 256)] + rng.integers(-40, 40, (256, 16))
+    queries = centres[rng.integers(0, 16, 2000)] + rng.integers(-40, 40, (2000, 16))
+    books = vc.Codebooks([points])
+    books.assign(queries)
+    assert books.taken < 0.4 * 2000 * 256
+
+
+def brute(rows, entries=256, rounds=4):
+    """rows: (vec_id, vector, label), whole and finite, in id order."""
+    x = np.array([[math.floor(1024 * float(np.float32(v))) for v in r[1]] for r in rows], np.int64)
+    parts = np.split(x, 4, axis=1)
+    books = [p[:entries].copy() for p in parts]
+    for _ in range(rounds):
+        for p in range(4):
+            index, _ = brute_assign(books[p], parts[p])
+            for e in set(index.tolist()):
+                mine = parts[p][index == e]
+                books[p][e] = mine.sum(0) // len(mine)
+    found = [brute_assign(books[p], parts[p]) for p in range(4)]
+    codes = ["".join(f"{found[p][0][i]:02x}" for p in range(4)) for i in range(len(rows))]
+    errors = [int(sum(found[p][1][i] for p in range(4))) for i in range(len(rows))]
+    by_label = {}
+    for r, e in zip(rows, errors):
+        by_label[r[2]] = by_label.get(r[2], 0) + e
+    return {r[0]: (c, e, by_label[r[2]]) for r, c, e in zip(rows, codes, errors)}, vc.Codebooks(books).digest()
+
+
+def test_against_brute_force(spark):
+    rng = np.random.default_rng(9)
+    rows = [(int(i), rng.normal(0, 0.1, 12).astype(np.float32).tolist(), None if i % 3 else int(i % 5)) for i in rng.permutation(400)]
+    got = vc.compress(spark.createDataFrame(rows, SCHEMA).repartition(5))
+    assert got.columns == ["vec_id", "code", "error", "label_error", "codebooks_sha256"]
+    expect, digest = brute(sorted(rows))
+    got = got.collect()
+    assert {r.vec_id: (r.code, r.error, r.label_error) for r in got} == expect
+    assert {r.codebooks_sha256 for r in got} == {digest}
+
+
+def test_one_vector_and_one_label_holding_most_rows(spark):
+    rng = np.random.default_rng(2)
+    rows = [(i, [0.25] * 8 if i % 3 else rng.normal(0, 1, 8).astype(np.float32).tolist(), 1) for i in range(600)]
+    got = vc.compress(spark.createDataFrame(rows, SCHEMA)).collect()
+    expect, digest = brute(rows)
+    assert {r.vec_id: (r.code, r.error, r.label_error) for r in got} == expect and got[0].codebooks_sha256 == digest
+
+
+def test_defined_cases(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [(1, [0.1] * 8, 1, "x"), (2, None, 1, "x"), (3, [0.1] * 7 + [None], 1, "x"), (4, [nan] + [0.1] * 7, 1, "x"), (5, [0.1] * 7 + [-inf], 2, "x"),
+            (6, [], None, "x"), (7, [0.2] * 9, None, "x"), (8, [0.3] * 8, None, "x"), (8, [0.3] * 8, None, "x"), (None, [1e30] * 8, None, "x")]
+    df = spark.createDataFrame(rows, SCHEMA + ", code string").repartition(3)
+    got = sorted(vc.compress(df).collect(), key=lambda r: (r.vec_id is None, r.vec_id or 0))
+    assert [r.vec_id for r in got] == [1, 8, 8, None]
+    assert [r.code for r in got] == ["00000000", "01010101", "01010101", "03030303"] and all(r.error == 0 for r in got)
+    assert vc.compress(df.where("vec_id = 2")).collect() == []
+    assert vc.compress(df.limit(0)).columns == ["vec_id", "code", "error", "label_error", "codebooks_sha256"]
+    (one,) = vc.compress(df.where("vec_id = 7")).collect()            # nine components: filled up to twelve
+    assert one.code == "00000000" and one.error == 0
+    doubles = df.select("vec_id", df.embedding.cast("array<double>").alias("embedding"), df.label.cast("string").alias("label"))
+    assert vc.compress(doubles).count() == 4
+
+
+@pytest.mark.parametrize("x, expect", [(0.9999, 1023), (-0.0001, -1), (1e300, vc.BOUND), (-1e300, -vc.BOUND)])
+def test_integers(x, expect):
+    assert vc.to_integers(np.array([[x]]), 2).tolist() == [[expect, 0]]
