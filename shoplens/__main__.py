@@ -44,6 +44,8 @@ def main(argv: list[str] | None = None) -> int:
     rt.add_argument("--max-offsets", type=int, default=None, help="Kafka records a micro-batch reads at most")
     rt.add_argument("--state-partitions", type=int, default=None, help="state stores per stateful query, fixed at the first start")
     rt.add_argument("--write-files", type=int, default=None, help="files a micro-batch writes at most per table")
+    rt.add_argument("--counter-days", type=int, default=None, help="days the click counters are kept; default for ever")
+    rt.add_argument("--sliding-hour", action="store_true", help="also run the sliding last hour")
 
     q = sub.add_parser("query", help="show one registered query")
     q.add_argument("name")
@@ -71,8 +73,8 @@ def main(argv: list[str] | None = None) -> int:
                  if args.kafka_servers else read_ad_stream(spark, args.lines_dir, args.max_files))
         trig = {"processingTime": f"{args.trigger_seconds} seconds"} if args.trigger_seconds else None
         job = AdsStreamJob(spark, root=args.root, limit=c.blacklist_limit, trigger=trig,
-                           state_partitions=args.state_partitions, write_files=args.write_files)
-        run_realtime(job, lines)
+                           state_partitions=args.state_partitions, write_files=args.write_files, counter_days=args.counter_days)
+        run_realtime(job, lines, sliding_hour=args.sliding_hour)
         if trig:
             spark.streams.awaitAnyTermination()
     else:

@@ -7,11 +7,14 @@ on one micro-batch inside ``foreachBatch``.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shoplens.functions import tie_columns
 from shoplens.plans.joins import broadcast_rows, maybe_broadcast
+from shoplens.session import staged
 
 
 def with_day(clicks: DataFrame) -> DataFrame:
@@ -75,13 +78,13 @@ def clean_clicks(clicks: DataFrame, limit: int, epoch_col: str | None = None) ->
     later batches are dropped.  The set of banned users is the same in both.
 
     The groups that reach the limit are found first, by one narrow aggregate
-    that runs when this function is called: the list is kept (as a cached
-    frame), and its real size decides whether it and the cutoffs, at most one a
-    group, are broadcast.  The log itself is then only filtered in its scan
-    stage; if the list is too large for that, the joins shuffle.
+    that runs when this function is called: the list is written to the shared
+    checkpoint folder, and its real size decides whether it and the cutoffs, at
+    most one a group, are broadcast.  The log itself is then only filtered in its
+    scan stage; if the list is too large for that, the joins shuffle.
     """
     cols = clicks.columns
-    groups = hot_groups(clicks, limit).persist()
+    groups = staged(hot_groups(clicks, limit), "hot-groups")
     found = groups.count()
     cut = blacklist_cutoff(clicks, limit, epoch_col, groups)
     cut = broadcast_rows(cut, found)
@@ -93,9 +96,52 @@ def clean_clicks(clicks: DataFrame, limit: int, epoch_col: str | None = None) ->
     return j.where(F.col("cutoff").isNull() | passed).select(*cols)
 
 
-def drop_blacklisted(clicks: DataFrame, users: DataFrame) -> DataFrame:
-    """Clicks of users not on the list (anti join; the list is re-read per batch)."""
-    return clicks.join(users, "user_id", "left_anti")
+# A blocked Bloom filter: a key sets some bits of one block.  Spark's bitmaps are
+# 4096 bytes, so the filter holds at most this many blocks of that size.
+_BLOCK_BITS = 32768
+MAX_BLOCKS = 4096               # 16 MB
+
+
+def _bits_of(key: Column) -> tuple[Column, list[Column]]:
+    """(hash of the block, bit numbers in the block) of a key."""
+    h = F.xxhash64(key, F.lit(1))
+    return F.xxhash64(key), [F.shiftrightunsigned(h, 15 * i).bitwiseAND(F.lit(_BLOCK_BITS - 1)).cast("bigint") for i in range(3)]
+
+
+def key_filter(keys: DataFrame, column: str, blocks: int = MAX_BLOCKS) -> DataFrame:
+    """Bloom filter of a key column: block, bits; at most ``blocks`` rows of 4 kB, built by one mergeable aggregate."""
+    block, bits = _bits_of(F.col(column))
+    each = keys.select(F.pmod(block, F.lit(int(blocks))).alias("block"), F.explode(F.array(*bits)).alias("bit"))
+    return each.groupBy("block").agg(F.bitmap_construct_agg("bit").alias("bits"))
+
+
+def may_hold(rows: DataFrame, column: str, keys: DataFrame, blocks: int = MAX_BLOCKS) -> DataFrame:
+    """``rows`` with ``maybe``: false only if the key is none of those ``key_filter`` was built from."""
+    block, bits = _bits_of(F.col(column))
+    # One byte of the bitmap as a number, then the bit of it.
+    byte = lambda b: F.conv(F.hex(F.substr(F.col("bits"), (F.floor(b / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    is_set = [F.getbit(byte(b), (b % 8).cast("int")) == 1 for b in bits]
+    all_set = reduce(lambda x, y: x & y, is_set)
+    held = F.broadcast(key_filter(keys, column, blocks))
+    joined = rows.withColumn("block", F.pmod(block, F.lit(int(blocks)))).join(held, "block", "left")
+    return joined.withColumn("maybe", F.coalesce(all_set, F.lit(False))).drop("block", "bits")
+
+
+def drop_blacklisted(clicks: DataFrame, users: DataFrame, max_bytes: int | None = None) -> DataFrame:
+    """Clicks of users not on the list (anti join; the list is re-read per batch).
+
+    A list that passes the size check is broadcast.  A longer one is first met as a
+    Bloom filter of bounded size: clicks it rules out pass in their scan stage, and
+    only the clicks it can't rule out (those of banned users and a few others) are
+    shuffled for the exact anti join.
+    """
+    small = maybe_broadcast(users, max_bytes)
+    if small is not users:
+        return clicks.join(small, "user_id", "left_anti")
+    tested = may_hold(clicks, "user_id", users)
+    passed = tested.where(~F.col("maybe")).drop("maybe")
+    unsure = tested.where(F.col("maybe")).drop("maybe")
+    return passed.unionByName(unsure.join(users.hint("merge"), "user_id", "left_anti")).select(*clicks.columns)
 
 
 # --- Q8 / Q9 ---------------------------------------------------------------------
@@ -144,15 +190,67 @@ def recent_minutes(clicks: DataFrame, minutes: int = 60, as_of=None) -> DataFram
     The hour is anchored at the minute of the latest click seen: minute >
     latest minute - ``minutes``.  Clicks after ``as_of`` (a timestamp column or
     literal) are left out, so that one misdated click can't move the hour.
-    Counts per (ad, minute) come first; the latest minute is a scalar subquery
-    over those counts, so main query and subquery share one shuffle (Spark
-    reuses the exchange) instead of reading the clicks twice.  The reference
-    slides a processing-time window instead; an event-time anchor gives the
-    same rows on replay.
+    The latest minute is a scalar subquery over the counts per (ad, minute).  It and
+    the cut of the hour both read the count as well: neither can be moved below
+    the counts, so main query and subquery are one scan and one exchange.
+    The reference slides a processing-time window instead; an event-time anchor
+    gives the same rows on replay (see ``sliding_hour`` for the sliding form).
     """
     if as_of is not None:
         clicks = clicks.where(F.col("ts") <= as_of)
-    return minutes_up_to_latest(minute_counts(clicks), minutes)
+    per = minute_counts(clicks)
+    counted = F.when(F.col("n") > 0, F.col("m"))
+    latest = per.agg(F.max(counted)).scalar()
+    return per.where(counted > F.timestamp_add("MINUTE", F.lit(-int(minutes)), latest))
+
+
+def _window(ts, minutes: int, seconds: int | None = None) -> Column:
+    return F.window(ts, f"{int(minutes)} minutes", f"{int(seconds)} seconds") if seconds else F.window(ts, f"{int(minutes)} minutes")
+
+
+def pane_counts(clicks: DataFrame, seconds: int = 10, *keys: str) -> DataFrame:
+    """Clicks per (ad[, keys], pane): panes of ``seconds``, the common parts of all sliding windows."""
+    return clicks.groupBy(F.window("ts", f"{int(seconds)} seconds").alias("pane"), "ads_id", *keys).agg(F.count(F.lit(1)).alias("n"))
+
+
+def sliding_hour(clicks: DataFrame, minutes: int = 60, seconds: int = 10) -> DataFrame:
+    """The sliding window as a step function: ads_id, window_end (text), n.
+
+    Windows of ``minutes`` end every ``seconds``; ``n`` is the ad's clicks in the
+    window that ends at ``window_end`` (excluded).  There is a row for each window
+    end at which a pane with clicks of the ad enters or leaves; up to the ad's next
+    row every window has the same count, so the rows tell all windows.
+
+    A pane enters at its end and leaves a window's length later, so it is touched
+    twice instead of once a window.  Each (ad, stretch of a window's length) is
+    summed on its own: it begins with the total of the stretch before, whose panes
+    are those that leave in it.  No task holds more than two panes' changes a slide.
+    """
+    length = F.expr(f"INTERVAL {int(minutes)} MINUTES")
+    panes = pane_counts(clicks, seconds).select("ads_id", F.col("pane.end").alias("e"), "n")
+    panes = panes.withColumn("b", _window("e", minutes)["start"])
+    change = lambda b, t, n, real: F.struct(b.alias("b"), t.alias("t"), n.alias("d"), F.lit(real).alias("real"))
+    b, e, n = F.col("b"), F.col("e"), F.col("n")
+    changes = panes.select("ads_id", F.inline(F.array(
+        change(b, e, n, 1), change(b + length, b + length, n, 0), change(b + length, e + length, -n, 1))))
+    per = changes.groupBy("ads_id", "b", "t").agg(F.sum("d").alias("d"), F.max("real").alias("real"))
+    upto = Window.partitionBy("ads_id", "b").orderBy("t").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return per.withColumn("n", F.sum("d").over(upto)).where("real = 1").select(
+        "ads_id", F.date_format("t", "yyyy-MM-dd HH:mm:ss").alias("window_end"), "n")
+
+
+def sliding_minutes(clicks: DataFrame, minutes: int = 60, seconds: int = 10) -> DataFrame:
+    """Every sliding window in full: window_end, ads_id, minute ``m``, n.
+
+    Counts per pane come first, so a window merges panes, not clicks.  Works on a
+    batch frame and, with a watermark on ``ts``, on a stream in append mode, where
+    panes and windows are Spark's window state and a window's rows appear once,
+    when the watermark has passed its end.
+    """
+    panes = pane_counts(clicks.withColumn("m", F.date_trunc("minute", F.col("ts"))), seconds, "m")
+    at = F.window_time("pane") if clicks.isStreaming else F.col("pane.start")
+    hours = panes.groupBy(_window(at, minutes, seconds).alias("hour"), "ads_id", "m").agg(F.sum("n").alias("n"))
+    return hours.select(F.col("hour.end").alias("window_end"), "ads_id", "m", "n")
 
 
 def last_hour_trend(clicks: DataFrame, minutes: int = 60) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shoplens.functions import percent_half_up, tie_columns
@@ -13,15 +13,32 @@ from shoplens.params import Conditions
 SPLITS = {"hour": 13, "minute": 16, "second": 19}
 
 
-def _sequence(actions: DataFrame, split: str) -> DataFrame:
+def hot_sessions(actions: DataFrame, rows: int = 1_000_000, most: int = 100) -> Column:
+    """True for a row of one of the (at most ``most``) sessions of about ``rows`` actions or more.
+
+    One mergeable frequent-items sketch over the session ids, read as a scalar
+    subquery; a session that it misses is only worked on less evenly.
+    """
+    top = actions.agg(F.expr(f"approx_top_k(session_id, {int(most)}, {100 * int(most)})").alias("top"))
+    ids = top.select(F.transform(F.filter("top", lambda x: x["count"] >= int(rows)), lambda x: x["item"]).alias("ids")).scalar()
+    return F.coalesce(F.array_contains(ids, F.col("session_id")), F.lit(False))
+
+
+def _piece(split: str, hot: Column | None) -> Column:
+    cut = F.substring("action_time", 1, SPLITS[split])
+    return cut if hot is None else F.when(hot, cut).otherwise("")
+
+
+def _sequence(actions: DataFrame, split: str, hot: Column | None = None) -> DataFrame:
     """Each action with its successor inside its (session, piece).
 
-    Order: time, then the tie key; without a tie key the page id makes the
-    order deterministic (equal rows are interchangeable).  Every consumer
-    reads the same columns of this window, so their shuffles are one.
+    With ``hot`` only the sessions it marks are cut into pieces; the others are
+    one piece each.  Order: time, then the tie key; without a tie key the page
+    id makes the order deterministic (equal rows are interchangeable).  Every
+    consumer reads the same columns of this window, so their shuffles are one.
     """
     ties = tie_columns(actions)
-    rows = actions.select("session_id", F.substring("action_time", 1, SPLITS[split]).alias("piece"),
+    rows = actions.select("session_id", _piece(split, hot).alias("piece"),
                           "action_time", *ties, F.col("page_id").alias("pre_page"))
     w_in = Window.partitionBy("session_id", "piece").orderBy("action_time", *(ties or ["pre_page"]))
     return rows.select(
@@ -50,27 +67,6 @@ def _cross_steps(seq: DataFrame) -> DataFrame:
     return _pair_pieces(edges)
 
 
-def _step_counts(seq: DataFrame, wanted: Column, visited: Column) -> DataFrame:
-    """One aggregate over the sequence that visits, jumps and piece edges are all read from.
-
-    Rows are counted per (page, next page if they form a target jump); the
-    first and last action of a piece keep their session and piece besides, so
-    only edge rows stay apart.  ``visit``, ``jump`` and ``edge`` are 0 or 1.
-    """
-    edge = F.col("is_first") | F.col("is_last")
-    jump = ~F.col("is_last") & wanted
-    keyed = seq.select(
-        F.when(visited | edge, F.col("pre_page")).alias("page"),
-        F.when(jump, F.col("post_page")).alias("post"),
-        F.when(edge, F.col("session_id")).alias("session_id"),
-        F.when(edge, F.col("piece")).alias("piece"),
-        F.when(F.col("is_first"), F.col("pre_page")).alias("first_page"),
-        F.when(F.col("is_last"), F.col("pre_page")).alias("last_page"),
-        F.coalesce(visited, F.lit(False)).cast("int").alias("v"), F.coalesce(jump, F.lit(False)).cast("int").alias("j"), edge.cast("int").alias("e"))
-    return keyed.groupBy("page", "post", "session_id", "piece", "first_page", "last_page").agg(
-        F.count(F.lit(1)).alias("n"), F.max("v").alias("visit"), F.max("j").alias("jump"), F.max("e").alias("edge"))
-
-
 def _steps(seq: DataFrame) -> DataFrame:
     inner = seq.where(~F.col("is_last")).select("pre_page", "post_page")
     return inner.unionByName(_cross_steps(seq))
@@ -96,44 +92,80 @@ def page_pairs(actions: DataFrame, split: str = "minute") -> DataFrame:
     return page_steps(actions, split).groupBy("pre_page", "post_page").agg(F.count(F.lit(1)).alias("n"))
 
 
+def flow_pairs(c: Conditions) -> list[tuple[int, int]]:
+    """The adjacent pairs of the flow, as a sorted set; raises ``ValueError`` without a flow."""
+    flow = c.require_flow()
+    return sorted({(int(a), int(b)) for a, b in zip(flow, flow[1:])})
+
+
+def _counts(pairs) -> tuple[list[int], dict[str, tuple]]:
+    """The pages whose visits count, and the count columns of a segment: v0.. a page, j0.. a pair."""
+    starts = sorted({a for a, _ in pairs})
+    return starts, {**{f"v{i}": (a,) for i, a in enumerate(starts)}, **{f"j{i}": pair for i, pair in enumerate(pairs)}}
+
+
+def page_segments(actions: DataFrame, pairs: list[tuple[int, int]], split: str = "minute", hot: Column | None = None) -> DataFrame:
+    """One row a (session, piece): first and last page, visits of the flow's pages, jumps of its pairs.
+
+    A segment stands for a stretch of a session: two that follow each other merge
+    into one by adding their counts and the jump from the first one's last page to
+    the second one's first (``merge_segments``), in any grouping.  The aggregate
+    keeps the window's partitioning, so the log is exchanged once.
+    """
+    return _segments(_sequence(actions, split, hot), pairs)
+
+
+def _segments(seq: DataFrame, pairs) -> DataFrame:
+    pre, post = F.col("pre_page"), F.col("post_page")
+    test = lambda key: pre == key[0] if len(key) == 1 else (pre == key[0]) & (post == key[1])
+    return seq.groupBy("session_id", "piece").agg(
+        F.max(F.when(F.col("is_first"), pre)).alias("first_page"),
+        F.max(F.when(F.col("is_last"), pre)).alias("last_page"),
+        *[F.count_if(test(key)).alias(name) for name, key in _counts(pairs)[1].items()])
+
+
+def _with_crossings(segments: DataFrame, pairs, within: list[str]) -> DataFrame:
+    """The segments, the jump to the next segment of the session counted in each."""
+    after = F.lead("first_page").over(Window.partitionBy(*within).orderBy("piece"))
+    cross = lambda key: F.coalesce(((F.col("last_page") == key[0]) & (F.col("after") == key[1])).cast("bigint"), F.lit(0))
+    out = segments.withColumn("after", after)
+    return out.withColumns({n: F.col(n) + cross(key) for n, key in _counts(pairs)[1].items() if len(key) == 2}).drop("after")
+
+
+def merge_segments(segments: DataFrame, pairs: list[tuple[int, int]], into: Column) -> DataFrame:
+    """Segments of the coarser pieces ``into`` (an expression over ``piece`` that keeps its order)."""
+    rows = _with_crossings(segments.withColumn("_into", into), pairs, ["session_id", "_into"])
+    merged = rows.groupBy("session_id", "_into").agg(
+        F.min_by("first_page", "piece").alias("first_page"), F.max_by("last_page", "piece").alias("last_page"),
+        *[F.sum(n).alias(n) for n in _counts(pairs)[1]])
+    return merged.withColumnRenamed("_into", "piece").select(*segments.columns)
+
+
+def conversion_from_segments(segments: DataFrame, pairs: list[tuple[int, int]], include_zero: bool = False) -> DataFrame:
+    """The rates over all segments: joined in time order a session, then summed into one row."""
+    if not pairs:
+        return segments.sparkSession.createDataFrame([], "page_jump string, rate double")
+    starts, names = _counts(pairs)
+    total = _with_crossings(segments, pairs, ["session_id"]).agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in names])
+    rates = total.select(F.inline(F.array(*[F.struct(
+        F.lit(f"{a}-{b}").alias("page_jump"), F.col(f"j{i}").alias("jumps"), F.col(f"v{starts.index(a)}").alias("visits"))
+        for i, (a, b) in enumerate(pairs)])))
+    if not include_zero:
+        rates = rates.where(F.col("jumps") > 0)
+    return rates.select("page_jump", percent_half_up(F.col("jumps"), F.col("visits")).alias("rate"))
+
+
 def page_conversion(actions: DataFrame, c: Conditions, include_zero: bool = False,
-                    split: str = "minute") -> DataFrame:
+                    split: str = "minute", hot: Column | None = None) -> DataFrame:
     """Rate of each target jump ``a-b``: jumps a->b over all visits of page a.
 
     Visits count every action on the page (any session, also as last page).
     Target pairs are the adjacent pairs of the flow, as a set.  Pairs with no
     jump are left out unless ``include_zero``.  Raises ``ValueError`` when no
     flow is given.
+
+    The log is exchanged and sorted once, for its segments; what follows holds one
+    row a session (or a piece of those that ``hot`` marks, see ``hot_sessions``).
     """
-    flow = c.require_flow()
-    pairs = sorted(set(zip(flow, flow[1:])))
-    # The target pairs are a parameter list: a plain IN filter, no join.
-    wanted = F.struct("pre_page", "post_page").isin(
-        [F.struct(F.lit(int(a)).cast("bigint").alias("pre_page"),
-                  F.lit(int(b)).cast("bigint").alias("post_page")) for a, b in pairs]
-    ) if pairs else F.lit(False)
-    per = _step_counts(_sequence(actions, split), wanted, F.col("pre_page").isin([int(p) for p in flow[:-1]]))
-    # All three read the same columns of ``per`` (``every`` is always true), so its
-    # shuffle, and the sorted window below it, run once.
-    every = (F.col("n") > 0) & (F.col("visit") >= 0) & (F.col("jump") >= 0) & (F.col("edge") >= 0)
-    visits = per.where((F.col("visit") == 1) & every).groupBy(
-        F.col("page").alias("page_id")).agg(F.sum("n").alias("visits"))
-    inner = per.where((F.col("jump") == 1) & every).groupBy(
-        F.col("page").alias("pre_page"), F.col("post").alias("post_page")).agg(F.sum("n").alias("jumps"))
-    edges = per.where((F.col("edge") == 1) & every).groupBy("session_id", "piece").agg(
-        F.max("first_page").alias("first_page"), F.max("last_page").alias("last_page"))
-    cross = _pair_pieces(edges).where(wanted).groupBy("pre_page", "post_page").agg(F.count(F.lit(1)).alias("jumps"))
-    jumps = (inner.unionByName(cross).groupBy("pre_page", "post_page")
-             .agg(F.sum("jumps").alias("jumps")))
-    if include_zero:
-        spark: SparkSession = actions.sparkSession
-        targets = spark.createDataFrame(pairs, "pre_page bigint, post_page bigint")
-        jumps = (targets.join(jumps, ["pre_page", "post_page"], "left")
-                 .select("pre_page", "post_page", F.coalesce("jumps", F.lit(0)).alias("jumps")))
-    how = "left" if include_zero else "inner"
-    out = jumps.join(visits, jumps.pre_page == visits.page_id, how)
-    return out.select(
-        F.concat(F.col("pre_page").cast("string"), F.lit("-"), F.col("post_page").cast("string"))
-        .alias("page_jump"),
-        percent_half_up(F.col("jumps"), F.col("visits")).alias("rate"),
-    )
+    pairs = flow_pairs(c)
+    return conversion_from_segments(page_segments(actions, pairs, split, hot), pairs, include_zero)

@@ -34,6 +34,7 @@ TOP_PRODUCTS = 3              # rank cut of clicked products per area
 TOP_ADS = 3                   # ads kept per day and area
 BLACKLIST_LIMIT = 100         # clicks per user, ad and day that ban the user
 WINDOW_MINUTES = 60           # trailing window of the last-hour trend
+SLIDE_SECONDS = 10            # step of that window
 OTHER_LABEL = "其他"          # remark label for the share of all other cities
 
 
@@ -61,6 +62,7 @@ class Conditions:
     blacklist_limit: int = BLACKLIST_LIMIT
     # Q10 trailing window, whole minutes.
     window_minutes: int = WINDOW_MINUTES
+    slide_seconds: int = SLIDE_SECONDS
     # Q6 remark label for the share of all other cities.
     other_label: str = OTHER_LABEL
 

@@ -256,6 +256,11 @@ HAVING count(*) >= {int(c.blacklist_limit)}"""
     out["q7_clean_clicks"] = head + "," + _clean_clicks(c) + """
 SELECT event_id, ts, area, city, user_id, ads_id FROM clean"""
 
+    out["q7_unbanned_clicks"] = head + f""",
+banned AS (
+  SELECT user_id FROM ads_click GROUP BY user_id, ads_id, strftime(ts, '%Y-%m-%d') HAVING count(*) >= {int(c.blacklist_limit)})
+SELECT event_id, ts, area, city, user_id, ads_id FROM ads_click WHERE user_id NOT IN (SELECT user_id FROM banned)"""
+
     out["q8_ads_per_day"] = head + "," + _clean_clicks(c) + """
 SELECT day, area, city, ads_id, n FROM ads_day"""
 
@@ -308,6 +313,14 @@ recent AS (
   WHERE m > (SELECT max(m) FROM minutes) - INTERVAL {int(c.window_minutes)} MINUTE),
 per_minute AS (SELECT ads_id, m, count(*) AS n FROM recent GROUP BY ads_id, m)"""
 
+    length, slide = f"INTERVAL {int(c.window_minutes)} MINUTE", f"INTERVAL {int(c.slide_seconds)} SECOND"
+    out["q10_sliding_hour"] = head + "," + _clean_clicks(c) + f""",
+ends AS (SELECT DISTINCT ads_id, time_bucket({slide}, ts) + {slide} AS e FROM clean),
+changes AS (SELECT ads_id, e AS t FROM ends UNION SELECT ads_id, e + {length} FROM ends)
+SELECT c.ads_id, strftime(c.t, '%Y-%m-%d %H:%M:%S') AS window_end, count(k.ads_id) AS n
+FROM changes c LEFT JOIN clean k ON k.ads_id = c.ads_id AND k.ts >= c.t - {length} AND k.ts < c.t
+GROUP BY c.ads_id, c.t"""
+
     out["q10_last_hour"] = head + "," + _clean_clicks(c) + last_hour + """
 SELECT ads_id, strftime(m, '%Y-%m-%d %H:%M') AS minute, n FROM per_minute"""
 

@@ -17,7 +17,8 @@ from shoplens import api
 from shoplens.operators import ads, categories, pages, sessions
 from shoplens.operators.actions import filter_actions
 from shoplens.params import DEFAULT_CONDITIONS, Conditions
-from shoplens.sources.adlog import odd_ad_lines, parse_ad_lines
+from shoplens.plans.odd_lines import odd_ad_lines
+from shoplens.sources.adlog import parse_ad_lines
 from shoplens.sources.tables import FixtureTables, ShopTables
 
 
@@ -60,7 +61,8 @@ class ShopQueries:
         return categories.category_top_sessions(acts, top, self.c.top_sessions)
 
     def q5_page_conversion(self):
-        return pages.page_conversion(self.q0_filtered_actions(), self.c)
+        hot = pages.hot_sessions(self.t.user_visit_action(self.c.start_date, self.c.end_date))
+        return pages.page_conversion(self.q0_filtered_actions(), self.c, hot=hot)
 
     def q5_page_pairs(self):
         # Hour pieces: many more pairs lie inside a piece than with minutes.
@@ -84,6 +86,11 @@ class ShopQueries:
     def q7_clean_clicks(self):
         return ads.clean_clicks(self.t.ads_click(), self.c.blacklist_limit)
 
+    def q7_unbanned_clicks(self):
+        # The form for a list too long to broadcast, whatever its size here.
+        clicks = self.t.ads_click()
+        return ads.drop_blacklisted(clicks, ads.blacklist(clicks, self.c.blacklist_limit), max_bytes=-1)
+
     def q8_ads_per_day(self):
         return ads.ads_per_day(self.q7_clean_clicks())
 
@@ -100,6 +107,9 @@ class ShopQueries:
     def q10_last_hour(self):
         return ads.last_hour_trend(self.q7_clean_clicks(), self.c.window_minutes)
 
+    def q10_sliding_hour(self):
+        return ads.sliding_hour(self.q7_clean_clicks(), self.c.window_minutes, self.c.slide_seconds)
+
     def q10_last_hour_json(self):
         return ads.last_hour_json(self.q7_clean_clicks(), self.c.window_minutes)
 
@@ -109,8 +119,8 @@ QUERY_NAMES = [
     "q2_session_profile", "q2_hourly_quota", "q2_session_sample",
     "q3_category_top10", "q4_category_top_sessions", "q5_page_conversion", "q5_page_pairs",
     "q6_area_top3_products", "q6_city_share",
-    "q_ad_lines_parsed", "q7_blacklist", "q7_clean_clicks", "q8_ads_per_day",
-    "q9_area_top3_ads", "q9_area_top3_ads_json", "q10_minute_counts", "q10_last_hour", "q10_last_hour_json",
+    "q_ad_lines_parsed", "q7_blacklist", "q7_clean_clicks", "q7_unbanned_clicks", "q8_ads_per_day",
+    "q9_area_top3_ads", "q9_area_top3_ads_json", "q10_minute_counts", "q10_last_hour", "q10_last_hour_json", "q10_sliding_hour",
 ]
 
 

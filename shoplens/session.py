@@ -9,8 +9,9 @@ bench; on a cluster the same keys go into the submit configuration.
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on; sizes are per-deployment and stay overridable.
 BASE_CONF = {
@@ -67,7 +68,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not path:
         master = spark.sparkContext.master
         if not master.startswith("local") or master.startswith("local-cluster"):
-            raise ValueError("set spark.checkpoint.dir to a shared folder (e.g. on HDFS or S3)")
+            raise ValueError("set spark.checkpoint.dir to a shared folder (e.g. on HDFS)")
         path = tempfile.mkdtemp(prefix="shoplens-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
@@ -85,3 +86,13 @@ def ensure_dir(spark: SparkSession, path: str) -> None:
     jvm = spark._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(p)
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once under the shared checkpoint folder and read back; removed when the session's JVM ends."""
+    spark = df.sparkSession
+    path = checkpoint_path(spark, "shoplens-staged", f"{name}-{uuid.uuid4().hex[:12]}")
+    df.write.parquet(path)
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(p)
+    return spark.read.schema(df.schema).parquet(path)

@@ -8,3 +8,4 @@ from shoplens.sinks.tables import (  # noqa: F401
     write_shop_tables,
 )
 from shoplens.sinks.appended import AppendedTable  # noqa: F401
+from shoplens.sinks.folded import FoldedTable  # noqa: F401

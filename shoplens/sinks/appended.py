@@ -3,7 +3,8 @@
 Each micro-batch appends the new rows of the keys it changed under
 ``<path>/batch_id=<n>``; nothing is rewritten.  A folder is written aside and
 renamed into place, so readers see it whole or not at all, and a replayed batch
-finds its folder and leaves it.  The newest row of a key is the one of its
+finds its folder and leaves it.  The rename is the commit, so the file system must
+rename a folder in one step; stores that copy instead are refused.  The newest row of a key is the one of its
 highest batch (or the greatest running total).
 
 ``compact`` is the only call that deletes: run it between streams, when no reader
@@ -24,14 +25,25 @@ from pyspark.sql import types as T
 
 _COMPACTED = -(1 << 50)     # folder numbers of compacted batches: negative, rising with the batch
 
+# Stores whose rename copies file by file: a reader could meet half a folder.
+COPYING_STORES = ("s3", "s3a", "s3n", "gs", "oss", "cos", "swift", "wasb", "wasbs")
+
+
+def file_system(spark: SparkSession, path: str):
+    """(file system of ``path``, Hadoop's Path class); it must rename folders in one step."""
+    Path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.getScheme() in COPYING_STORES:
+        raise ValueError(f"{path}: stream tables need a file system with atomic rename (e.g. HDFS), not {fs.getScheme()}")
+    return fs, Path
+
 
 class AppendedTable:
     def __init__(self, spark: SparkSession, path: str, schema: T.StructType | str, partition_by: tuple[str, ...] = (),
                  max_files: int | None = None):
         self.spark, self.path, self.partition_by, self.max_files = spark, path.rstrip("/"), partition_by, max_files
         self.schema = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
-        self._Path = spark._jvm.org.apache.hadoop.fs.Path
-        self._fs = self._Path(self.path).getFileSystem(spark._jsc.hadoopConfiguration())
+        self._fs, self._Path = file_system(spark, self.path)
 
     def _folder(self, batch_id: int) -> str:
         return f"{self.path}/batch_id={int(batch_id)}"

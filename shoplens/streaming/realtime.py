@@ -15,9 +15,9 @@ def _finish(query: StreamingQuery, seconds: float | None) -> None:
         raise TimeoutError(f"stream query {query.name} did not finish in {seconds} s")
 
 
-def run_realtime(job: AdsStreamJob, lines: DataFrame, wait_seconds: float | None = None
-                 ) -> list[StreamingQuery]:
-    """Start the guard, totals and last-hour queries.
+def run_realtime(job: AdsStreamJob, lines: DataFrame, wait_seconds: float | None = None,
+                 sliding_hour: bool = False) -> list[StreamingQuery]:
+    """Start the guard, totals and last-hour queries, and the sliding hour if asked for.
 
     With a continuous trigger (``job.trigger``) all run side by side: the
     downstream queries read the guard's clean folder, which only shows whole
@@ -29,7 +29,7 @@ def run_realtime(job: AdsStreamJob, lines: DataFrame, wait_seconds: float | None
     guard = job.start_guard(lines)
     if job.trigger is None:
         _finish(guard, wait_seconds)
-    rest = [job.start_totals(), job.start_last_hour()]
+    rest = [job.start_totals(), job.start_last_hour()] + ([job.start_sliding_hour()] if sliding_hour else [])
     if wait_seconds is not None or job.trigger is None:
         for q in ([] if job.trigger is None else [guard]) + rest:
             _finish(q, wait_seconds)

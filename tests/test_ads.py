@@ -1,4 +1,5 @@
 from helpers import clicks, rows
+from pyspark.sql import functions as F
 
 from shoplens.operators import ads
 
@@ -95,3 +96,45 @@ def test_clean_clicks_does_not_shuffle_the_log_by_user(spark):
     above = plan.split("BroadcastExchange")[0]
     assert "BroadcastHashJoin" in above and "Exchange hashpartitioning" not in above
     assert "SortMergeJoin" not in plan
+
+
+def test_bloom_filter_rules_out_most_and_loses_no_key(spark):
+    keys = spark.range(0, 4000, 2).selectExpr("cast(id as string) AS user_id")
+    tested = ads.may_hold(spark.range(0, 40_000).selectExpr("cast(id as string) AS user_id", "id"), "user_id", keys, blocks=4)
+    found = {r.id for r in tested.where("maybe").collect()}
+    members = set(range(0, 4000, 2))
+    assert members <= found and len(found - members) < 0.02 * 38_000
+    assert tested.count() == 40_000
+    assert ads.may_hold(keys, "user_id", keys.limit(0)).where("maybe").count() == 0
+
+
+def test_long_ban_list_equals_plain_anti_join(spark):
+    from helpers import SF01
+
+    from shoplens.sources.tables import FixtureTables
+
+    cl = FixtureTables(spark, SF01).ads_click()
+    users = ads.blacklist(cl, 2)
+    expect = rows(cl.join(users, "user_id", "left_anti"), "event_id")
+    assert rows(ads.drop_blacklisted(cl, users, max_bytes=-1), "event_id") == expect
+    assert rows(ads.drop_blacklisted(cl, users), "event_id") == expect
+    # a null user is on no list; a hot banned user goes in full, a hot clean one stays
+    odd = cl.withColumn("user_id", F.when(F.col("event_id") % 3 == 0, None).when(F.col("event_id") % 3 == 1, "hot").otherwise("ok"))
+    banned = spark.createDataFrame([("hot",), (None,)], "user_id string")
+    got = ads.drop_blacklisted(odd, banned, max_bytes=-1)
+    assert got.columns == odd.columns and got.count() == odd.where("event_id % 3 != 1").count()
+
+
+def test_long_ban_list_shuffles_unsure_clicks_only(spark):
+    from helpers import SF01
+
+    from shoplens.sources.tables import FixtureTables
+
+    cl = FixtureTables(spark, SF01).ads_click()
+    df = ads.drop_blacklisted(cl, ads.blacklist(cl, 4), max_bytes=-1)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    passed = plan[plan.index("Union"):]
+    # The clicks that pass are probed and projected in their scan's stage.
+    assert "Exchange" not in passed[:passed.index("BroadcastHashJoin")]
+    assert "bitmap_construct_agg" in plan and plan.count("SortMergeJoin") == 1

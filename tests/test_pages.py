@@ -89,3 +89,51 @@ def test_conversion_sorts_the_log_once(spark):
     assert plan.count("lead(pre_page") + plan.count("lead(page_id") >= 1
     # The window over the log is planned once; other uses of its aggregate are reused exchanges.
     assert plan.count("row_number()") == 1, plan
+
+
+def test_segments_merge_in_any_grouping(spark):
+    """Minute segments merged by hour, by day or not at all give the rates of the whole sessions."""
+    from pyspark.sql import functions as F
+
+    from shoplens.params import DEFAULT_CONDITIONS as c
+
+    acts = ShopQueries(FixtureTables(spark, SF001)).q0_filtered_actions()
+    acts = acts.withColumn("session_id", (F.col("user_id") % 3).cast("string"))      # sessions over many days
+    pairs = pages.flow_pairs(c)
+    brute = _brute_pairs(acts.select("session_id", "action_time", "event_id", "page_id").toPandas())
+    visits = Counter(r.page_id for r in acts.select("page_id").collect())
+    expect = sorted((f"{a}-{b}", int(brute[a, b] / visits[a] * 1000 + 0.5) / 10) for a, b in pairs if brute[a, b])
+    fine = pages.page_segments(acts, pairs, "minute")
+    hour = pages.merge_segments(fine, pairs, F.substring("piece", 1, 13))
+    day = pages.merge_segments(hour, pairs, F.substring("piece", 1, 10))
+    whole = pages.merge_segments(day, pairs, F.lit(""))
+    counts = [x.count() for x in (fine, hour, day, whole)]
+    assert counts == sorted(counts, reverse=True) and counts[-1] == 3
+    for segs in (fine, hour, day, whole):
+        assert rows(pages.conversion_from_segments(segs, pairs)) == expect
+
+
+def test_only_hot_sessions_are_cut(spark):
+    from pyspark.sql import functions as F
+
+    from shoplens.params import DEFAULT_CONDITIONS as c
+
+    acts = ShopQueries(FixtureTables(spark, SF001)).q0_filtered_actions()
+    acts = acts.withColumn("session_id", F.when(F.col("user_id") % 3 == 0, "hot").otherwise(F.col("session_id")))
+    hot = pages.hot_sessions(acts, rows=50, most=5)
+    pairs = pages.flow_pairs(c)
+    segs = pages.page_segments(acts, pairs, hot=hot)
+    cut = {r.session_id: r.n for r in segs.groupBy("session_id").agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert cut.pop("hot") > 50 and set(cut.values()) == {1}
+    assert rows(pages.page_conversion(acts, c, hot=hot)) == rows(pages.page_conversion(acts, c)) == rows(pages.page_conversion(acts, c, split="hour"))
+
+
+def test_conversion_exchanges_the_log_once(spark):
+    from shoplens.params import DEFAULT_CONDITIONS
+
+    df = ShopQueries(FixtureTables(spark, SF001)).q5_page_conversion()
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("Exchange hashpartitioning") == 2 and "ReusedExchange" not in plan     # log rows, then one row a session
+    assert "Join" not in plan.replace("BroadcastHashJoin", "")
+    assert pages.page_conversion(ShopQueries(FixtureTables(spark, SF001)).q0_filtered_actions().limit(0), DEFAULT_CONDITIONS).count() == 0
