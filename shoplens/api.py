@@ -14,7 +14,8 @@ the groups that reach the limit) and works on any source of the shop tables.  Th
     Q7  blacklist(clicks, limit), clean_clicks(clicks, limit), drop_blacklisted(clicks, users)
     Q8  ads_per_day(clicks)
     Q9  area_top_ads(per_day, k), area_top_ads_json(top)
-    Q10 last_hour_trend(clicks, minutes), last_hour_json(clicks, minutes)
+    Q10 last_hour_trend(clicks, minutes), last_hour_json(clicks, minutes),
+        sliding_hour(clicks, minutes, seconds)
 """
 
 from __future__ import annotations
@@ -33,8 +34,9 @@ from shoplens.operators.ads import (  # noqa: F401
     drop_blacklisted,
     last_hour_json,
     last_hour_trend,
+    sliding_hour,
 )
-from shoplens.operators.categories import category_top, category_top_sessions  # noqa: F401
+from shoplens.operators.categories import category_top, category_top_sessions, top_category_sessions  # noqa: F401
 from shoplens.operators.pages import page_conversion  # noqa: F401
 from shoplens.operators.sessions import hourly_quota, session_lengths, session_profile  # noqa: F401
 from shoplens.params import Conditions
@@ -45,14 +47,14 @@ def session_stats(actions: DataFrame, c: Conditions) -> DataFrame:
     return _sessions.session_stats(_sessions.session_lengths(actions), c)
 
 
-def session_sample(profile: DataFrame, c: Conditions, salt_buckets: int | None = None) -> DataFrame:
+def session_sample(profile: DataFrame, c: Conditions, bins: int | None = None) -> DataFrame:
     """Q2 sample from the session profiles, with the hourly quotas computed here."""
-    return _sessions.session_sample(profile, _sessions.hourly_quota(profile, c), c, salt_buckets)
+    return _sessions.session_sample(profile, _sessions.hourly_quota(profile, c), c, bins)
 
 
-def sample_profiles(actions: DataFrame, c: Conditions, salt_buckets: int | None = None) -> DataFrame:
+def sample_profiles(actions: DataFrame, c: Conditions, bins: int | None = None) -> DataFrame:
     """Q2 sample from the action log; lists are built for the picked sessions only."""
-    return _sessions.sample_profiles(actions, c, salt_buckets)
+    return _sessions.sample_profiles(actions, c, bins)
 
 
 def city_share(actions: DataFrame, cities: DataFrame, c: Conditions) -> DataFrame:

@@ -18,12 +18,17 @@ from shoplens.params import Conditions
 from shoplens.plans.joins import join_small
 
 
-def area_city_clicks(actions: DataFrame, cities: DataFrame) -> DataFrame:
-    """Clicks per (area, product, city); a click is ``click_product_id > 0``."""
+def area_city_clicks(actions: DataFrame, cities: DataFrame, *keys: str) -> DataFrame:
+    """Clicks per (area, product, city) and keys, e.g. the day; a click is ``click_product_id > 0``."""
     clicks = actions.where(F.col("click_product_id") > 0).select(
-        "city_id", F.col("click_product_id").alias("product_id"))
+        *keys, "city_id", F.col("click_product_id").alias("product_id"))
     joined = join_small(clicks, cities.select("city_id", "city_name", "area"), "city_id")
-    return joined.groupBy("area", "product_id", "city_name").agg(F.count(F.lit(1)).alias("n"))
+    return joined.groupBy(*keys, "area", "product_id", "city_name").agg(F.count(F.lit(1)).alias("n"))
+
+
+def merge_city_clicks(counts: DataFrame) -> DataFrame:
+    """Counts of several days as counts per (area, product, city)."""
+    return counts.groupBy("area", "product_id", "city_name").agg(F.sum("n").alias("n"))
 
 
 def city_share(actions: DataFrame, cities: DataFrame, c: Conditions) -> DataFrame:
@@ -35,7 +40,11 @@ def city_share(actions: DataFrame, cities: DataFrame, c: Conditions) -> DataFram
     one decimal.  (The reference always appended the "other" part and scaled
     it by 100 too much; both are fixed.)
     """
-    pc = area_city_clicks(actions, cities)
+    return share_of_clicks(area_city_clicks(actions, cities), c)
+
+
+def share_of_clicks(pc: DataFrame, c: Conditions) -> DataFrame:
+    """``city_share`` from the counts per (area, product, city)."""
     # One pass over the (area, product, city) counts: a group has at most one
     # row per city, so its size is bounded by the city table, not the log.
     w_all = Window.partitionBy("area", "product_id")

@@ -4,13 +4,15 @@ Sessions are built with aggregates, never by gathering a session's rows in
 one place: lengths are ``min`` / ``max`` / ``count`` with map-side partial
 aggregation, the per-session lists of Q2 are assembled per (session, hour)
 first and the hour pieces joined after, and the sample is a hash-ordered
-top-k per hour computed in salted sub-groups before the final cut; only the
-picked sessions get their lists built.
+bottom-k per hour found from a mergeable histogram; only the picked sessions
+get their lists built.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from datetime import date
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shoplens.functions import half_up, ordered_join, percent_half_up, tie_columns
@@ -38,19 +40,27 @@ def _millis_between(start, end):
     return F.timestamp_diff("MILLISECOND", start, end)
 
 
-def session_lengths(actions: DataFrame) -> DataFrame:
-    """One row per session: step count, first action time, visit length in ms."""
-    agg = actions.groupBy("session_id").agg(
+def session_spans(actions: DataFrame, *keys: str) -> DataFrame:
+    """Step count, first and last time per session (and keys, e.g. the day): mergeable by sum, min and max."""
+    return actions.groupBy(*keys, "session_id").agg(
         F.count(F.lit(1)).alias("step_length"),
         F.min(_action_ts()).alias("t0"),
         F.max(_action_ts()).alias("t1"),
     )
-    return agg.select(
+
+
+def lengths_of(spans: DataFrame) -> DataFrame:
+    return spans.select(
         "session_id", "step_length", _text(F.col("t0")).alias("start_time"),
         _millis_between(F.col("t0"), F.col("t1")).alias("visit_length"),
     )
 
 
+def session_lengths(actions: DataFrame) -> DataFrame:
+    """One row per session: step count, first action time, visit length in ms."""
+    return lengths_of(session_spans(actions))
+
+
 def session_stats(lengths: DataFrame, c: Conditions) -> DataFrame:
     """Session count and the four bucket shares (percent, one decimal, half up).
 
@@ -152,61 +162,63 @@ def hourly_quota(sessions: DataFrame, c: Conditions) -> DataFrame:
                         F.least(F.coalesce(raw, F.lit(0)), F.col("sessions")).alias("quota"))
 
 
-def salts_for(sessions: DataFrame, rows_per_salt: int = 1_000_000) -> int:
-    """Sub-groups a start hour is cut in: by Catalyst's size estimate, 32 to 4096."""
+def bins_for(sessions: DataFrame, rows_per_bin: int = 10_000) -> int:
+    """Bins of the hash histogram: by Catalyst's size estimate, 64 to 65536."""
     size = estimated_size(sessions) or 0
-    return int(min(4096, max(32, size // (rows_per_salt * 64))))
+    return int(min(65536, max(64, size // (rows_per_bin * 64))))
 
 
-def allow_group_limit(spark, k: int) -> None:
-    """Let Catalyst plan ``row_number() <= k`` as a per-task group limit up to this ``k``.
-
-    The session's threshold (1000 by default) is raised to ``k``, at most to a
-    million rows a group and task.
-    """
-    key = "spark.sql.optimizer.windowGroupLimitThreshold"
-    if int(spark.conf.get(key)) < k <= 1_000_000:
-        spark.conf.set(key, str(int(k)))
+def hours_between(c: Conditions) -> int | None:
+    """Start hours there can be inside the conditions' days; None without both bounds."""
+    if not (c.start_date and c.end_date):
+        return None
+    return max(0, (date.fromisoformat(c.end_date) - date.fromisoformat(c.start_date)).days + 1) * 24
 
 
 def pick_sessions(sessions: DataFrame, quota: DataFrame, c: Conditions,
-                  salt_buckets: int | None = None) -> DataFrame:
+                  bins: int | None = None) -> DataFrame:
     """Ids of the ``quota`` sessions picked in each start hour, without repeats.
 
     The pick is the sessions with the smallest ``md5(session_id || '-' || seed)``
     (session id breaks ties): uniform like the reference's random pick, but
-    exact in size and repeatable.  A hot hour is cut in ``salt_buckets``
-    sub-groups first (by the input's size if not given).  No quota exceeds
-    ``c.sample_size``, a literal, so each task ships at most that many sessions
-    per hour and sub-group; the final ranking of an hour sees at most
-    ``salt_buckets * quota`` rows.
+    exact in size and repeatable.
+
+    The bottom of each hour is found from a mergeable histogram: sessions are
+    counted by (hour, leading hash digits), combined in every task.  An hour's bins
+    are added up until they hold its quota; only sessions up to that bin, the quota
+    and what else the last bin holds, are gathered and cut to the quota.  A hot hour
+    is spread over its bins (``bins``, by the input's size if not given).
     """
-    salts = salts_for(sessions) if salt_buckets is None else int(salt_buckets)
-    most = int(c.sample_size)
-    allow_group_limit(sessions.sparkSession, most)
-    keys = sessions.select(
-        "session_id",
-        _day_hour().alias("day_hour"),
-        F.md5(F.concat(F.col("session_id"), F.lit("-"), F.lit(c.sample_seed))).alias("h"),
-    )
-    order = [F.col("h"), F.col("session_id")]
-    salted = keys.withColumn("salt", F.pmod(F.xxhash64("session_id"), F.lit(salts)))
-    w_salt = Window.partitionBy("day_hour", "salt").orderBy(*order)
-    cands = salted.withColumn("r", F.row_number().over(w_salt)).where(F.col("r") <= most)
-    cands = cands.join(quota.select("day_hour", "quota"), "day_hour").where(F.col("r") <= F.col("quota"))
-    w_hour = Window.partitionBy("day_hour").orderBy(*order)
-    picked = cands.withColumn("r", F.row_number().over(w_hour)).where(F.col("r") <= F.col("quota"))
-    return picked.select("session_id")
+    count = bins_for(sessions) if bins is None else int(bins)
+    h = F.md5(F.concat(F.col("session_id"), F.lit("-"), F.lit(c.sample_seed)))
+    keys = sessions.select("session_id", _day_hour().alias("day_hour"), h.alias("h")).withColumn(
+        "bin", F.floor(F.conv(F.substring("h", 1, 4), 16, 10).cast("bigint") * F.lit(count) / F.lit(65536)).cast("int"))
+    histogram = keys.groupBy("day_hour", "bin").agg(F.count(F.lit(1)).alias("n"))
+    hours = histogram.groupBy("day_hour").agg(F.array_sort(F.collect_list(F.struct("bin", "n"))).alias("counts"))
+
+    def add(acc, x):
+        return F.when((acc["last"] >= 0) | (F.col("quota") <= 0), acc).otherwise(F.struct(
+            (acc["upto"] + x["n"]).alias("upto"),
+            F.when(acc["upto"] + x["n"] >= F.col("quota"), x["bin"]).otherwise(F.lit(-1)).alias("last")))
+
+    start = F.struct(F.lit(0).cast("bigint").alias("upto"), F.lit(-1).alias("last"))
+    cuts = hours.join(quota.select(F.col("day_hour"), F.col("quota").cast("bigint").alias("quota")), "day_hour").select(
+        "day_hour", "quota", F.aggregate("counts", start, add)["last"].alias("last"))
+    most = hours_between(c)
+    near = keys.join(cuts if most is None else broadcast_rows(cuts, most), "day_hour").where(F.col("bin") <= F.col("last"))
+    bottom = near.groupBy("day_hour").agg(
+        F.array_sort(F.collect_list(F.struct("h", "session_id"))).alias("low"), F.max("quota").cast("int").alias("quota"))
+    return bottom.select(F.explode(F.slice("low", F.lit(1), F.col("quota"))).alias("x")).select("x.session_id")
 
 
 def session_sample(profile: DataFrame, quota: DataFrame, c: Conditions,
-                   salt_buckets: int | None = None) -> DataFrame:
+                   bins: int | None = None) -> DataFrame:
     """The picked sessions' profiles, from already built profiles."""
-    picked = pick_sessions(profile, quota, c, salt_buckets)
+    picked = pick_sessions(profile, quota, c, bins)
     return profile.join(picked, "session_id", "left_semi").select(*PROFILE_COLUMNS)
 
 
-def sample_profiles(actions: DataFrame, c: Conditions, salt_buckets: int | None = None) -> DataFrame:
+def sample_profiles(actions: DataFrame, c: Conditions, bins: int | None = None) -> DataFrame:
     """Q2 end to end: pick from session start times, then profile only the picks.
 
     The pick needs only each session's start, so the lists are built for the
@@ -215,6 +227,6 @@ def sample_profiles(actions: DataFrame, c: Conditions, salt_buckets: int | None
     are broadcast if that many fit the limit, else the join shuffles.
     """
     starts = session_starts(actions)
-    picked = pick_sessions(starts, hourly_quota(starts, c), c, salt_buckets)
+    picked = pick_sessions(starts, hourly_quota(starts, c), c, bins)
     sampled = actions.join(broadcast_rows(picked, 2 * int(c.sample_size)), "session_id", "left_semi")
     return session_profile(sampled).select(*PROFILE_COLUMNS)

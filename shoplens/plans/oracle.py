@@ -214,11 +214,12 @@ SELECT category_id, session_id, click_count FROM (
   SELECT *, row_number() OVER (PARTITION BY category_id ORDER BY click_count DESC, session_id) AS r
   FROM cat_sessions) WHERE r <= {int(c.top_sessions)}"""
 
-    out["q5_page_conversion"] = head + f""",
+    def conversion(session: str) -> str:
+        return f""",
 visits AS (SELECT page_id, count(*) AS visits FROM actions WHERE page_id IN ({pre_pages}) GROUP BY page_id),
 steps AS (
   SELECT page_id AS pre_page,
-    lead(page_id) OVER (PARTITION BY session_id ORDER BY action_time, event_id) AS post_page
+    lead(page_id) OVER (PARTITION BY {session} ORDER BY action_time, event_id) AS post_page
   FROM actions),
 targets AS (SELECT * FROM (VALUES {pairs}) AS t(a, b)),
 jumps AS (
@@ -229,6 +230,14 @@ SELECT cast(pre_page AS varchar) || '-' || cast(post_page AS varchar) AS page_ju
   floor(jumps / visits * 1000 + 0.5) / 10.0::DOUBLE AS rate
 FROM jumps JOIN visits ON pre_page = page_id"""
 
+    out["q5_page_conversion"] = head + conversion("session_id")
+    out["q5_conversion_from_days"] = head + conversion("user_id")
+
+    out["q1_lengths_from_days"] = head + """
+SELECT cast(user_id AS varchar) AS session_id, count(*) AS step_length, min(action_time) AS start_time,
+  epoch_ms(strptime(max(action_time), '%Y-%m-%d %H:%M:%S')) - epoch_ms(strptime(min(action_time), '%Y-%m-%d %H:%M:%S')) AS visit_length
+FROM actions GROUP BY user_id"""
+
     out["q5_page_pairs"] = head + """,
 steps AS (
   SELECT page_id AS pre_page,
@@ -248,6 +257,10 @@ WHERE t.rk <= {int(c.top_products)}"""
     out["q6_city_share"] = head + "," + _city_share(c) + """
 SELECT area, product_id, remark FROM city_share"""
 
+    out["q4_top_sessions_one_scan"] = out["q4_category_top_sessions"]
+    out["q3_top10_from_days"] = out["q3_category_top10"]
+    out["q6_share_from_days"] = out["q6_city_share"]
+
     out["q7_blacklist"] = head + f"""
 SELECT DISTINCT user_id FROM ads_click
 GROUP BY user_id, ads_id, strftime(ts, '%Y-%m-%d')

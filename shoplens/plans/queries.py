@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shoplens import api
-from shoplens.operators import ads, categories, pages, sessions
+from shoplens.operators import ads, categories, daily, pages, sessions
 from shoplens.operators.actions import filter_actions
 from shoplens.params import DEFAULT_CONDITIONS, Conditions
 from shoplens.plans.odd_lines import odd_ad_lines
@@ -60,6 +60,26 @@ class ShopQueries:
         top = categories.category_top(acts, self.c.top_categories)
         return categories.category_top_sessions(acts, top, self.c.top_sessions)
 
+    def q4_top_sessions_one_scan(self):
+        return categories.top_category_sessions(self.q0_filtered_actions(), self.c.top_categories, self.c.top_sessions)
+
+    # The same jobs merged from daily partials.  Sessions are the users' here, so that they run past midnight.
+    def _user_sessions(self):
+        return self.q0_filtered_actions().withColumn("session_id", F.col("user_id").cast("string"))
+
+    def q1_lengths_from_days(self):
+        return daily.lengths_from_days(daily.session_days(self._user_sessions()))
+
+    def q3_top10_from_days(self):
+        return daily.top_from_days(daily.category_days(self.q0_filtered_actions()), self.c.top_categories)
+
+    def q5_conversion_from_days(self):
+        return daily.conversion_from_days(daily.page_days(self._user_sessions(), self.c), self.c)
+
+    def q6_share_from_days(self):
+        days = daily.area_days(self.t.user_visit_action(), self.t.city_info())
+        return daily.share_from_days(days, self.c).select("area", "product_id", "remark")
+
     def q5_page_conversion(self):
         hot = pages.hot_sessions(self.t.user_visit_action(self.c.start_date, self.c.end_date))
         return pages.page_conversion(self.q0_filtered_actions(), self.c, hot=hot)
@@ -119,6 +139,7 @@ QUERY_NAMES = [
     "q2_session_profile", "q2_hourly_quota", "q2_session_sample",
     "q3_category_top10", "q4_category_top_sessions", "q5_page_conversion", "q5_page_pairs",
     "q6_area_top3_products", "q6_city_share",
+    "q4_top_sessions_one_scan", "q1_lengths_from_days", "q3_top10_from_days", "q5_conversion_from_days", "q6_share_from_days",
     "q_ad_lines_parsed", "q7_blacklist", "q7_clean_clicks", "q7_unbanned_clicks", "q8_ads_per_day",
     "q9_area_top3_ads", "q9_area_top3_ads_json", "q10_minute_counts", "q10_last_hour", "q10_last_hour_json", "q10_sliding_hour",
 ]

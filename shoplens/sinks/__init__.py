@@ -5,6 +5,7 @@ from shoplens.sinks.tables import (  # noqa: F401
     save_jdbc,
     save_table,
     with_task_id,
+    write_bucketed_log,
     write_shop_tables,
 )
 from shoplens.sinks.appended import AppendedTable  # noqa: F401

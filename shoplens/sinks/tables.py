@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -52,6 +52,25 @@ def save_jdbc(df: DataFrame, url: str, table: str, mode: str = "append",
     df.write.format("jdbc").options(**opts).mode(mode).save()
 
 
+def write_bucketed_log(actions: DataFrame, table: str, buckets: int, path: str | None = None,
+                       hot: Column | None = None, mode: str = "overwrite") -> None:
+    """Store the action log as a catalog table bucketed by session, in folders by date.
+
+    Jobs that group by session (Q1, Q2, Q5) then read their groups without an
+    exchange of the log: a bucket is one task's input.  Rows are dealt out by
+    bucket before they are written, so a bucket has one file a date; the sessions
+    that ``hot`` marks (``pages.hot_sessions``) are dealt out by hour as well.  When
+    such a table is read, a hot session is still one task's work: for a log with
+    one, read with ``spark.sql.sources.bucketing.enabled=false``, which gives its
+    plain splits and exchanges back.
+    """
+    bucket = F.pmod(F.hash("session_id"), F.lit(int(buckets)))
+    spread = F.lit("") if hot is None else F.when(hot, F.substring("action_time", 1, 13)).otherwise("")
+    w = (actions.repartition(int(buckets), bucket, spread).write.mode(mode).partitionBy("date")
+         .bucketBy(int(buckets), "session_id").sortBy("session_id", "action_time"))
+    (w.option("path", path) if path else w).saveAsTable(table)
+
+
 def write_shop_tables(tables, base: str, mode: str = "overwrite") -> None:
     """Store the shop tables under ``base`` in the layout ``StoredTables`` reads.
 

@@ -59,3 +59,25 @@ def test_totals_equal_exploded_events(spark):
     tot = counts.agg(F.sum("click_count"), F.sum("order_count"), F.sum("pay_count")).collect()[0]
     ev = categories.category_events(acts)
     assert tuple(tot) == tuple(ev.where(F.col("kind") == k).count() for k in ("click", "order", "pay"))
+
+
+def test_top_sessions_in_one_scan(spark):
+    from shoplens.plans.queries import ShopQueries
+    from shoplens.sources.tables import FixtureTables
+
+    q = ShopQueries(FixtureTables(spark, SF01))
+    for acts in (q.q0_filtered_actions(), q.q0_filtered_actions().withColumn("session_id", F.lit("hot")),
+                 q.q0_filtered_actions().withColumn("session_id", F.when(F.col("user_id") % 2 == 0, F.col("session_id")))):
+        for n, k in ((10, 10), (2, 1), (30, 3)):
+            expect = categories.category_top_sessions(acts, categories.category_top(acts, n), k)
+            df = categories.top_category_sessions(acts, n, k)
+            assert rows_with_nulls(df) == rows_with_nulls(expect)
+    df = categories.top_category_sessions(q.q0_filtered_actions())
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    # the log once, its users once; everything else is read from one exchange
+    assert plan.count("FileScan") <= 2 and "ReusedExchange" in plan, plan
+
+
+def rows_with_nulls(df):
+    return sorted(((r.category_id, r.session_id or "", r.session_id is None, r.click_count) for r in df.collect()))

@@ -102,11 +102,11 @@ def test_sample_property_per_hour_size_and_no_repeats(spark, sf01_profile):
     assert picked.count() == picked.select("session_id").distinct().count()
 
 
-def test_salted_sample_equals_unsalted(spark, sf01_profile):
+def test_sample_does_not_depend_on_the_bins(spark, sf01_profile):
     c = DEFAULT_CONDITIONS.with_(sample_size=3000)
     q = sessions.hourly_quota(sf01_profile, c)
-    one = rows(sessions.session_sample(sf01_profile, q, c, salt_buckets=1), "session_id")
-    many = rows(sessions.session_sample(sf01_profile, q, c, salt_buckets=64), "session_id")
+    one = rows(sessions.session_sample(sf01_profile, q, c, bins=1), "session_id")
+    many = rows(sessions.session_sample(sf01_profile, q, c, bins=64), "session_id")
     assert one == many and len(one) > 1000
 
 
@@ -114,3 +114,21 @@ def test_stats_shares_add_up(spark):
     st = ShopQueries(FixtureTables(spark, SF01)).q1_session_stats().collect()[0]
     assert abs(st.visit_length_le_ratio + st.visit_length_gt_ratio - 100) <= 0.1
     assert abs(st.step_length_le_ratio + st.step_length_gt_ratio - 100) <= 0.1
+
+
+def test_sample_has_no_window_and_sends_few_rows_on(spark):
+    df = ShopQueries(FixtureTables(spark, SF01)).q2_session_sample()
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan
+
+
+def test_sample_of_hours_without_a_quota(spark):
+    sess = spark.createDataFrame([(f"s{i}", f"2024-01-05 {10 + (i > 0):02d}:00:00") for i in range(3000)], "session_id string, start_time string")
+    c = Conditions(sample_size=100)
+    q = sessions.hourly_quota(sess, c)
+    assert rows(q, "sessions", "quota") == [(1, 0), (2999, 100)]
+    got = rows(sessions.pick_sessions(sess, q, c))
+    expect = sess.where("session_id <> 's0'").select("session_id", F.md5(F.concat("session_id", F.lit("-"), F.lit(c.sample_seed))).alias("h"))
+    assert got == sorted((r.session_id,) for r in expect.orderBy("h", "session_id").limit(100).collect())
+    assert sessions.pick_sessions(sess.limit(0), sessions.hourly_quota(sess.limit(0), c), c).count() == 0

@@ -72,3 +72,27 @@ def test_offline_run_without_a_flow_writes_the_rest(spark, tmp_path):
 def test_with_task_id_puts_id_first(spark):
     df = with_task_id(spark.createDataFrame([(1,)], "x int"), "run")
     assert df.columns == ["task_id", "x"] and df.collect()[0].task_id == "run"
+
+
+def test_bucketed_log_is_grouped_by_session_without_an_exchange(spark, tmp_path):
+    from shoplens.operators import pages, sessions
+    from shoplens.sinks import write_bucketed_log
+    from shoplens.sources.tables import StoredTables
+
+    tables = FixtureTables(spark, SF001)
+    log = tables.user_visit_action()
+    spark.sql("CREATE DATABASE IF NOT EXISTS bucketed")
+    try:
+        write_bucketed_log(log, "bucketed.user_visit_action", 4, str(tmp_path / "log"), hot=pages.hot_sessions(log, rows=10))
+        stored = StoredTables(spark, database="bucketed").user_visit_action(DEFAULT_CONDITIONS.start_date, DEFAULT_CONDITIONS.end_date)
+        plain = tables.user_visit_action(DEFAULT_CONDITIONS.start_date, DEFAULT_CONDITIONS.end_date)
+        jobs = {"lengths": sessions.session_lengths, "profile": sessions.session_profile,
+                "pages": lambda a: pages.page_conversion(a, DEFAULT_CONDITIONS)}
+        for name, job in jobs.items():
+            df = job(stored)
+            assert rows(df) == rows(job(plain)), name
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            assert "hashpartitioning" not in plan, (name, plan)
+            assert "hashpartitioning(session_id" in job(plain)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.sql("DROP DATABASE bucketed CASCADE")

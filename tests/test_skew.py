@@ -49,7 +49,7 @@ def test_sample_of_one_hot_hour(spark):
     c = DEFAULT_CONDITIONS
     quota = sessions.hourly_quota(one_hour, c)
     assert rows(quota, "sessions", "quota") == [(prof.count(), c.sample_size)]
-    salted = rows(sessions.pick_sessions(one_hour, quota, c, salt_buckets=64))
+    salted = rows(sessions.pick_sessions(one_hour, quota, c, bins=64))
     plain = one_hour.select("session_id", F.md5(F.concat("session_id", F.lit("-"), F.lit(c.sample_seed))).alias("h"))
     expect = sorted((r.session_id,) for r in plain.orderBy("h", "session_id").limit(c.sample_size).collect())
     assert salted == expect
