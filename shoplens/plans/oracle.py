@@ -13,6 +13,7 @@ Rounding is written in the operation order the Spark side uses
 from __future__ import annotations
 
 from shoplens.params import DEFAULT_CONDITIONS, Conditions
+from shoplens.plans.replay import STRETCH_DAYS
 
 
 def _adapter(c: Conditions) -> str:
@@ -341,4 +342,26 @@ SELECT ads_id, strftime(m, '%Y-%m-%d %H:%M') AS minute, n FROM per_minute"""
 SELECT ads_id,
   '[' || string_agg('{"' || strftime(m, '%H:%M') || '":' || cast(n AS varchar) || '}', ',' ORDER BY m) || ']' AS minutes_json
 FROM per_minute GROUP BY ads_id"""
+
+    # The stream: clicks come in stretches of whole days of the month; the stretch in
+    # which a user reaches the limit passes, later ones don't.
+    stream = head + f""",
+lines AS (
+  SELECT ts, replace(area, ' ', '_') AS area, replace(city, ' ', '_') AS city, user_id, ads_id,
+    strftime(ts, '%Y-%m-%d') AS day, (day(ts) - 1) // {STRETCH_DAYS} AS b FROM ads_click),
+bans AS (
+  SELECT user_id, min(b) AS b FROM (
+    SELECT user_id, ads_id, day, b FROM lines GROUP BY user_id, ads_id, day, b HAVING count(*) >= {int(c.blacklist_limit)})
+  GROUP BY user_id),
+clean AS (SELECT l.* FROM lines l LEFT JOIN bans USING (user_id) WHERE bans.b IS NULL OR l.b <= bans.b),
+totals AS (SELECT day, area, city, ads_id, count(*) AS n FROM clean GROUP BY day, area, city, ads_id)"""
+    out["q7_stream_blacklist"] = stream + " SELECT user_id FROM bans"
+    out["q7_stream_clean_clicks"] = stream + " SELECT epoch_us(ts) // 1000 AS ts_ms, area, city, user_id, ads_id FROM clean"
+    out["q8_stream_ads_per_day"] = stream + " SELECT day, area, city, ads_id, n FROM totals"
+    out["q9_stream_top3_ads"] = stream + f""",
+area_ads AS (SELECT day, area, ads_id, sum(n)::BIGINT AS n FROM totals GROUP BY day, area, ads_id)
+SELECT day, area, ads_id, n, rn FROM (
+  SELECT *, row_number() OVER (PARTITION BY day, area ORDER BY n DESC, ads_id)::INT AS rn FROM area_ads) WHERE rn <= {int(c.top_ads)}"""
+    out["q10_stream_last_hour"] = stream + last_hour + """
+SELECT ads_id, strftime(m, '%Y-%m-%d %H:%M') AS minute, n FROM per_minute"""
     return out

@@ -3,7 +3,8 @@
 Each builds the shop tables from the fixture parquet in ``sf_dir`` and runs
 one job over the whole tables under the default conditions.  Building a query
 runs no Spark job (the caller's action does), except for the jobs on clean
-clicks, which first find the (user, ad, day) groups that reach the limit.
+clicks, which first find the (user, ad, day) groups that reach the limit, and
+the stream queries, which run the stream to its end and return its tables.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from shoplens.operators import ads, categories, daily, pages, sessions
 from shoplens.operators.actions import filter_actions
 from shoplens.params import DEFAULT_CONDITIONS, Conditions
 from shoplens.plans.odd_lines import odd_ad_lines
+from shoplens.plans.replay import clean_lines, replayed
 from shoplens.sources.adlog import parse_ad_lines
 from shoplens.sources.tables import FixtureTables, ShopTables
 
@@ -134,6 +136,26 @@ class ShopQueries:
         return ads.last_hour_json(self.q7_clean_clicks(), self.c.window_minutes)
 
 
+    # the stream jobs themselves, run over the clicks when the query is built
+    def _stream(self):
+        return replayed(self.t.spark, self.t.sf_dir, self.t, self.c)
+
+    def q7_stream_blacklist(self):
+        return self._stream().blacklist_batch()
+
+    def q7_stream_clean_clicks(self):
+        return clean_lines(self._stream())
+
+    def q8_stream_ads_per_day(self):
+        return self._stream().latest("ads_per_day")
+
+    def q9_stream_top3_ads(self):
+        return self._stream().latest("area_top_ads")
+
+    def q10_stream_last_hour(self):
+        return self._stream().last_hour_trend()
+
+
 QUERY_NAMES = [
     "q0_filtered_actions", "q1_session_lengths", "q1_session_stats",
     "q2_session_profile", "q2_hourly_quota", "q2_session_sample",
@@ -142,6 +164,7 @@ QUERY_NAMES = [
     "q4_top_sessions_one_scan", "q1_lengths_from_days", "q3_top10_from_days", "q5_conversion_from_days", "q6_share_from_days",
     "q_ad_lines_parsed", "q7_blacklist", "q7_clean_clicks", "q7_unbanned_clicks", "q8_ads_per_day",
     "q9_area_top3_ads", "q9_area_top3_ads_json", "q10_minute_counts", "q10_last_hour", "q10_last_hour_json", "q10_sliding_hour",
+    "q7_stream_blacklist", "q7_stream_clean_clicks", "q8_stream_ads_per_day", "q9_stream_top3_ads", "q10_stream_last_hour",
 ]
 
 
