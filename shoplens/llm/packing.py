@@ -9,14 +9,15 @@ grouping genetic algorithm whose genes are sequences:
   removes the other's sequences that hold a document twice, and puts the
   documents these displaced back by best fit;
 * mutation dissolves the emptiest sequences the same way;
-* fitness is the number of sequences, then the sum of squared fills.
+* fitness is the number of sequences, then the sum of squared fills: with equally
+  many sequences, one whose free space lies in few of them is better.
 
 Islands are shards of the pieces, of bounded size, evolved in parallel tasks.
 After an epoch the elite (sequences filled to ``ELITE``) is settled, and all
 other sequences migrate, whole, into fewer islands, where they are a parent of
 the next population.  Epochs end with a single island or when merging no longer
-frees pieces.  A population stops as soon as it meets the lower bound
-``ceil(ids / sequence length)``.
+frees pieces.  A population evolves for ``LEAST`` generations at least and until it
+meets the lower bound ``ceil(ids / sequence length)``.
 
 Defined cases: null text is the end id alone; repeated rows are packed once
 each; an empty table gives no rows; other input columns are ignored.
@@ -37,9 +38,10 @@ from shoplens.llm.tokens import encode_column
 
 SEQUENCE = 2048
 END_ID = 0
-ISLAND_PIECES = 8192
+ISLAND_PIECES = 4096
 ELITE = 0.995
 MAX_EPOCHS = 6
+POPULATION, GENERATIONS, LEAST = 6, 80, 10
 
 _PIECE = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 
@@ -123,22 +125,28 @@ def best_fit(lengths: list[int], order, size: int, bins: list[list[int]] | None
     return bins
 
 
-def fitness(bins, lengths, size) -> tuple[int, float]:
-    return -len(bins), sum((sum(lengths[i] for i in b) / size) ** 2 for b in bins)
+class Packing:
+    """An individual: sequences (lists of item numbers), their fills and fitness."""
 
+    __slots__ = ("bins", "fills", "fitness")
 
-def crossover(a, b, lengths, size, rng):
+    def __init__(self, bins: list[list[int]], lengths: list[int], size: int):
+        self.bins = bins
+        self.fills = np.array([sum(map(lengths.__getitem__, b)) for b in bins])
+        self.fitness = (-len(bins), float(((self.fills / size) ** 2).sum()))
+
+
+def crossover(a: Packing, b: Packing, lengths, size, rng) -> list[list[int]]:
     """``a`` with whole well-filled sequences of ``b`` injected."""
-    fills = np.array([sum(lengths[i] for i in x) for x in b])
-    best = np.argsort(-fills, kind="stable")[:max(1, len(b) // 2)]
-    donors = [b[i] for i in rng.choice(best, size=max(1, len(best) // 4), replace=False)]
+    best = np.argsort(-b.fills, kind="stable")[:max(1, len(b.bins) // 2)]
+    donors = [b.bins[i] for i in rng.choice(best, size=max(1, len(best) // 2), replace=False)]
     taken = bytearray(len(lengths))
     for x in donors:
         for i in x:
             taken[i] = 1
     child, displaced = [list(x) for x in donors], []
-    for x in a:
-        if any(taken[i] for i in x):
+    for x in a.bins:
+        if any(map(taken.__getitem__, x)):
             displaced += [i for i in x if not taken[i]]
         else:
             child.append(list(x))
@@ -146,42 +154,59 @@ def crossover(a, b, lengths, size, rng):
     return best_fit(lengths, displaced, size, child)
 
 
-def mutate(bins, lengths, size, rng):
-    """Dissolves the emptiest sequences and a few random ones, then best fit in random order."""
-    fills = np.array([sum(lengths[i] for i in x) for x in bins])
-    gone = set(np.argsort(fills, kind="stable")[:max(2, len(bins) // 50)].tolist())
-    gone |= set(rng.choice(len(bins), size=min(len(bins), 3), replace=False).tolist())
-    free = [i for b in gone for i in bins[b]]
-    rng.shuffle(free)
-    free.sort(key=lambda i: lengths[i] * rng.uniform(0.8, 1.0), reverse=True)
-    return best_fit(lengths, free, size, [list(x) for b, x in enumerate(bins) if b not in gone])
+def noisy_order(items: list[int], lengths: list[int], least: float, rng) -> list[int]:
+    """The items by falling length, each length taken for ``least`` to 1 of itself."""
+    weight = np.array([lengths[i] for i in items]) * rng.uniform(least, 1.0, len(items))
+    return [items[i] for i in np.argsort(-weight, kind="stable").tolist()]
+
+
+def mutate(bins, lengths, size, rng) -> list[list[int]]:
+    """Dissolves some of the emptiest sequences and a few random ones, and puts their documents back by best fit."""
+    fills = np.array([sum(map(lengths.__getitem__, b)) for b in bins])
+    loose = int((fills < ELITE * size).sum())
+    k = int(rng.integers(2, 2 * loose + 3))
+    gone = set(np.argsort(fills, kind="stable")[:k].tolist())
+    gone |= set(rng.choice(len(bins), size=min(len(bins), int(rng.integers(1, 4 + k // 2))), replace=False).tolist())
+    free = [i for b in sorted(gone) for i in bins[b]]
+    order = noisy_order(free, lengths, rng.choice([0.8, 0.9, 0.97, 1.0]), rng)
+    return best_fit(lengths, order, size, [list(x) for b, x in enumerate(bins) if b not in gone])
 
 
 def evolve(lengths: list[int], size: int, seed: int, groups: list[list[int]] | None = None,
-           population: int = 4, generations: int = 12) -> list[list[int]]:
-    """Sequences (lists of item numbers) for one island; ``groups``: migrated sequences, a first parent."""
+           population: int = POPULATION, generations: int = GENERATIONS, log: dict | None = None) -> list[list[int]]:
+    """Sequences (lists of item numbers) for one island; ``groups``: migrated sequences, a first parent.
+
+    The first population is packed in random and in roughly falling order.  It evolves
+    for ``LEAST`` generations, then until the lower bound is met.  If half of the
+    generations haven't met it, best fit decreasing joins as an immigrant, so the
+    result is never worse.  ``log`` receives the crossovers and the sequences of the
+    first population.
+    """
     if not lengths:
         return []
     lower = -(-sum(lengths) // size)
-    order = sorted(range(len(lengths)), key=lengths.__getitem__, reverse=True)
-    people = [best_fit(lengths, order, size)]
-    if groups:
-        people.append(groups)
     rng = np.random.default_rng(seed)
-    while len(people) < population and min(map(len, people)) > lower:
-        noisy = sorted(order, key=lambda i: lengths[i] * rng.uniform(0.9, 1.0), reverse=True)
-        people.append(best_fit(lengths, noisy, size))
-    scored = sorted(((fitness(p, lengths, size), n, p) for n, p in enumerate(people)), reverse=True)
-    serial = len(scored)
-    for _ in range(generations):
-        if len(scored[0][2]) <= lower:
+    items = list(range(len(lengths)))
+    people = [Packing(groups, lengths, size)] if groups else []
+    while len(people) < population:
+        order = rng.permutation(len(lengths)).tolist() if len(people) % 2 else noisy_order(items, lengths, 0.9, rng)
+        people.append(Packing(best_fit(lengths, order, size), lengths, size))
+    rank = lambda p: p.fitness
+    people.sort(key=rank, reverse=True)
+    if log is not None:
+        log.update(crossovers=0, first=len(people[0].bins))
+    for g in range(generations):
+        if g >= LEAST and len(people[0].bins) <= lower:
             break
-        a, b = (min(rng.choice(len(scored), size=2)) for _ in range(2))     # tournaments
-        child = crossover(scored[a][2], scored[b][2], lengths, size, rng)
-        child = mutate(child, lengths, size, rng)
-        serial += 1
-        scored = sorted([*scored[:population - 1], (fitness(child, lengths, size), serial, child)], reverse=True)
-    return scored[0][2]
+        if g == generations // 2 and len(people[0].bins) > lower:
+            falling = sorted(items, key=lengths.__getitem__, reverse=True)
+            people = sorted([*people[:-1], Packing(best_fit(lengths, falling, size), lengths, size)], key=rank, reverse=True)
+        a, b = (people[int(min(rng.choice(population, size=2)))] for _ in range(2))     # tournaments
+        child = mutate(crossover(a, b, lengths, size, rng), lengths, size, rng)
+        people = sorted([*people[:-1], Packing(child, lengths, size)], key=rank, reverse=True)
+        if log is not None:
+            log["crossovers"] += 1
+    return people[0].bins
 
 
 _PACKED = _PIECE + ", sequence_id bigint, offset bigint, settled boolean"
@@ -221,12 +246,12 @@ def pack(docs: DataFrame, tokenizer_path: str, size: int = SEQUENCE, end_id: int
     settled = [whole.withColumn("sequence_id", F.monotonically_increasing_id()).withColumn("offset", F.lit(0).cast("bigint"))]
     rest = pieces.where(F.col("length") < size).withColumn("sequence_id", F.lit(0).cast("bigint"))
     left = rest.count()
-    islands, spread = None, [F.col("doc_id"), F.col("piece"), F.col("length"), F.col("ids_crc32")]
+    islands, spread = None, F.monotonically_increasing_id()       # of the written rows: equal rows are spread as well
     for epoch in range(MAX_EPOCHS):
         n = max(1, -(-left // island_pieces))
         last = n == 1 or epoch == MAX_EPOCHS - 1 or (islands is not None and 2 * n > islands)
         islands = n
-        shard = F.pmod(F.xxhash64(*(spread if epoch == 0 else [F.col("sequence_id")])), F.lit(n))
+        shard = F.pmod(F.xxhash64(spread if epoch == 0 else F.col("sequence_id")), F.lit(n))
         out = rest.withColumn("island", shard).groupBy("island").applyInPandas(_island(size, epoch, last), _PACKED)
         out = st.save(out, f"epoch{epoch}")
         settled.append(out.where("settled").drop("settled"))

@@ -55,7 +55,9 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int =
     """Writes the documents' ids to ``path`` in ascending doc_id order."""
     if encoding not in ("dictionary", "delta"):
         raise ValueError("encoding is 'dictionary' or 'delta'")
-    ordered = keys_and_text(docs).repartitionByRange("doc_id").sortWithinPartitions("doc_id", F.xxhash64("text"))
+    # Rows of one doc_id are split by text, equal rows by their place in the input: no id is one task's alone.
+    keyed = keys_and_text(docs).withColumns({"h": F.xxhash64("text"), "row": F.monotonically_increasing_id()})
+    ordered = keyed.repartitionByRange("doc_id", "h", "row").sortWithinPartitions("doc_id", "h").select("doc_id", "text")
     rows = ordered.mapInArrow(_encode(tokenizer_path, end_id), _ROW)
     (rows.write.option("parquet.enable.dictionary", str(encoding == "dictionary").lower())
      .option("parquet.writer.version", "PARQUET_2_0")

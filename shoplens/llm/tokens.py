@@ -7,10 +7,10 @@ encoded once with the ``tokenizers`` library, and a text's ids are gathered from
 the memo.  The memo is a fixed-size direct-mapped table a Python worker, keyed
 by a 64-bit hash and the chunk's byte length.
 
-Strings of special tokens in a text count as ordinary text
-(``encode_special_tokens``).  A text with white space outside ASCII is encoded
-whole, and a chunk with characters from U+0250 on goes through the whole
-tokenizer, so their Unicode classes are always the library's own.
+A text with white space outside ASCII or with the string of an added token (such as
+``<|endoftext|>``, which the library replaces by its id) is encoded whole, and a chunk
+with characters from U+0250 on goes through the whole tokenizer, so their Unicode
+classes are always the library's own.
 """
 
 from __future__ import annotations
@@ -55,7 +55,8 @@ class ChunkEncoder:
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True
+        # Strings that the tokenizer looks for in the text as it is; all are found as they stand (not normalised).
+        self.added = [t.content.encode() for t in self.tok.get_added_tokens_decoder().values()]
         self.model, self.normalizer = self.tok.model, self.tok.normalizer
         self.keep_space = keep_space
         self.pattern = regex.compile(BYTE_PATTERN if keep_space else WORD_PATTERN)
@@ -80,6 +81,16 @@ class ChunkEncoder:
         parts = [s] if body.isascii() and body.isalpha() else self.pattern.findall(s)
         return [t.id for p in parts for t in self.model.tokenize(p.encode().decode("latin-1").translate(self.alphabet))]
 
+    def _added(self, data: np.ndarray) -> np.ndarray:
+        """Positions of the strings of added tokens (a string across two texts marks the first one needlessly)."""
+        raw, found = data.tobytes(), []
+        for text in self.added:
+            at = raw.find(text)
+            while at >= 0:
+                found.append(at)
+                at = raw.find(text, at + 1)
+        return np.array(found, np.int64)
+
     def _cuts(self, data: np.ndarray, off: np.ndarray):
         space = tb.ASCII_SPACE[data]
         if not self.keep_space:
@@ -133,9 +144,9 @@ class ChunkEncoder:
         total = np.concatenate([[0], np.cumsum(count, dtype=np.int64)])
         ids = self.pool[np.repeat(first - total[:-1], count) + np.arange(total[-1])]
         ids_off = total[cut]
-        wide = _wide_space(data)
-        if len(wide):
-            rows = np.unique(np.searchsorted(off, wide, "right") - 1)
+        odd = np.concatenate([_wide_space(data), self._added(data)])
+        if len(odd):
+            rows = np.unique(np.searchsorted(off, odd, "right") - 1)
             parts = [ids[ids_off[i]:ids_off[i + 1]] for i in range(len(off) - 1)]
             for i in rows.tolist():
                 parts[i] = np.array(self._whole(data[off[i]:off[i + 1]].tobytes().decode("utf-8", "replace")), np.int32)

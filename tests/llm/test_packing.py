@@ -15,7 +15,6 @@ SIZE = 64
 
 def check(docs, rows, size):
     tok = Tokenizer.from_file(packing.byte_bpe_path())
-    tok.encode_special_tokens = True
     expected = defaultdict(int)
     for r in docs.collect():
         ids = np.array(tok.encode(r.text or "", add_special_tokens=False).ids + [0], "<u4")
@@ -65,3 +64,38 @@ def test_crossover_beats_best_fit():
     order = sorted(range(len(lengths)), key=lengths.__getitem__, reverse=True)
     assert len(packing.evolve(lengths, 100, 1, generations=200)) <= len(packing.best_fit(lengths, order, 100))
     assert len(packing.evolve(lengths, 100, 1, generations=200)) >= best
+
+
+def falling(lengths, size):
+    return packing.best_fit(lengths, sorted(range(len(lengths)), key=lengths.__getitem__, reverse=True), size)
+
+
+@pytest.mark.parametrize("seed", [0, 1, 2])
+def test_evolution_strictly_beats_best_fit_decreasing(seed):
+    """Few, middling items a sequence: what is left over depends on which go together."""
+    rng = np.random.default_rng(seed)
+    lengths = rng.integers(300, 1000, 900).tolist()
+    log = {}
+    bins = packing.evolve(lengths, 2048, seed, log=log)
+    assert len(bins) < len(falling(lengths, 2048)) and len(bins) < log["first"]
+    assert log["crossovers"] == packing.GENERATIONS
+
+
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01", "sf0.1"])
+def test_evolution_makes_the_result_of_the_given_tables(spark, sf):
+    docs = spark.read.parquet(f"/root/testdata/{sf}/documents.parquet")
+    lengths = [r.length for r in packing.token_pieces(docs, packing.byte_bpe_path()).where("length < 2048").select("length").collect()]
+    log = {}
+    lengths = lengths[:packing.ISLAND_PIECES]
+    bins = packing.evolve(lengths, packing.SEQUENCE, 0, log=log)
+    assert log["crossovers"] >= packing.LEAST and len(bins) < log["first"]
+    assert len(bins) <= len(falling(lengths, packing.SEQUENCE))
+
+
+def test_equal_rows_are_spread_over_islands(spark):
+    """Twenty thousand equal documents: no island is larger than asked for by much."""
+    docs = spark.createDataFrame([(1, "the same few words")], "doc_id bigint, text string").selectExpr("doc_id", "text", "explode(sequence(1, 20000)) AS n").drop("n")
+    rows = packing.pack(docs.repartition(4), packing.byte_bpe_path(), size=SIZE, island_pieces=1000)
+    sizes = rows.selectExpr("shiftright(sequence_id, 24) & 4294967295 AS island", "sequence_id").groupBy("island").count().collect()
+    assert len(sizes) > 10 and max(r["count"] for r in sizes) < 4000
+    assert rows.count() == 20_000 and rows.groupBy("sequence_id").agg({"length": "sum"}).where(f"`sum(length)` > {SIZE}").count() == 0

@@ -14,7 +14,6 @@ PATH = public_tokenizers.path("word_bpe_49k.json")
 
 def expected(docs):
     tok = Tokenizer.from_file(PATH)
-    tok.encode_special_tokens = True
     return {r.doc_id: tok.encode(r.text or "", add_special_tokens=False).ids + [2] for r in docs.collect()}
 
 
@@ -53,3 +52,22 @@ def test_empty_table(spark, tmp_path):
     assert token_files.token_digests(spark, path).collect() == []
     with pytest.raises(ValueError):
         token_files.write_tokens(empty_documents(spark), path, PATH, encoding="zip")
+
+
+def test_one_doc_id_holding_all_rows_is_split(spark, tmp_path):
+    """A hundred thousand rows of one id (most of them equal) go to several tasks and keep gapless starts."""
+    docs = spark.range(100_000, numPartitions=8).selectExpr("7L AS doc_id", "if(id % 3 = 0, concat('text ', id), 'the same words') AS text")
+    path, key = str(tmp_path / "t"), "spark.sql.adaptive.coalescePartitions.enabled"     # so little would be one task's
+    spark.conf.set(key, "false")
+    try:
+        token_files.write_tokens(docs, path, PATH)
+    finally:
+        spark.conf.set(key, "true")
+    parts = token_files.read_tokens(spark, path, columns=("part",)).groupBy("part").count().collect()
+    assert len(parts) >= 6 and max(r["count"] for r in parts) < 30_000
+    rows = token_files.token_digests(spark, path).select("start", "n_tokens").orderBy("start").collect()
+    at = 0
+    for r in rows:
+        assert r.start == at
+        at += r.n_tokens
+    assert len(rows) == 100_000
