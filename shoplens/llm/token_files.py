@@ -31,6 +31,7 @@ from shoplens.llm.staging import Staging, documents, keys_and_text
 from shoplens.llm.tokens import encode_column
 
 END_ID = 2
+BATCH_ROWS = 1000
 _ROW = "doc_id bigint, n_tokens bigint, part int, start_in_part bigint, tokens array<int>"
 
 
@@ -59,6 +60,17 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int =
     keyed = keys_and_text(docs).withColumns({"h": F.xxhash64("text"), "row": F.monotonically_increasing_id()})
     ordered = keyed.repartitionByRange("doc_id", "h", "row").sortWithinPartitions("doc_id", "h").select("doc_id", "text")
     rows = ordered.mapInArrow(_encode(tokenizer_path, end_id), _ROW)
+    # Smaller batches than the default 10,000 rows: a worker holds a few MB of text at a time.
+    conf, key = docs.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = conf.get(key)
+    conf.set(key, str(min(int(before), BATCH_ROWS)))
+    try:
+        _write(rows, path, encoding, row_group_bytes, page_rows)
+    finally:
+        conf.set(key, before)
+
+
+def _write(rows: DataFrame, path: str, encoding: str, row_group_bytes: int, page_rows: int) -> None:
     (rows.write.option("parquet.enable.dictionary", str(encoding == "dictionary").lower())
      .option("parquet.writer.version", "PARQUET_2_0")
      .option("parquet.block.size", row_group_bytes)
