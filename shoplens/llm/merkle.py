@@ -1,21 +1,26 @@
-"""Document fingerprints: Merkle trees over paragraphs and sections (op 6).
+"""Document fingerprints: Merkle trees over paragraphs, sections and chapters (op 6).
 
 Only DataFrame functions: no Python runs on the executors.
 
-A text's paragraphs are its lines, a section is ``SECTION`` consecutive
-paragraphs.  Paragraph nodes are SHA-256 of their text, section nodes SHA-256 of
-their paragraphs' hashes, the root SHA-256 of the sections' hashes: roots are
-equal exactly when texts are.  Each paragraph also lists short hashes of its
-pieces (8 characters at its head, then 48), so that edits inside a long paragraph
-can be located and likeness has a fine grain.
+A text's paragraphs are its lines.  Cuts between the higher nodes are found in the
+content: a section ends after a paragraph, a chapter after a section, whose hash ends
+in 0 or 8, so an inserted paragraph changes its own section and chapter and no
+others.  A node's hash is the SHA-256 of its children's hashes (lower ones 128 bits
+of it), the root's is whole: roots are equal exactly when texts are.
 
-The fingerprint is text: ``root=section[paragraph:pieces|paragraph:pieces]...``
-with the root whole and lower nodes shortened (16, 16 and 8 hex digits).
+A paragraph's leaves are hashes of its pieces.  A piece ends after a word that ends in
+one of a few letters, 12 to 72 characters after the piece before, so that a piece
+depends on the text around it and not on its place; where there is no such word it
+ends after 72 characters.  Likeness is the share of common leaves.
+
+The fingerprint is text, each node's hash behind its children:
+``root={[leaves:paragraph;leaves:paragraph;...]section;[...]section;}chapter;{...}...``
 
 Defined cases: null text is empty (one empty paragraph); rows with the same
 doc_id and text are one document, each row gets its result; a null doc_id counts
 as the least id (-2^63 itself is reported as null); a single document is its own
-next one; an empty table gives no rows; other input columns are ignored.
+next one; an empty table gives no rows; a text of any length is read whole, in linear
+time; equal ids are ordered by a hash of their text; other input columns are ignored.
 """
 
 from __future__ import annotations
@@ -25,91 +30,111 @@ from pyspark.sql import functions as F
 
 from shoplens.llm.staging import Staging, documents, keys_and_text
 
-SECTION = 8
-HEAD, HEAD_PIECE, PIECE = 32, 8, 48    # a paragraph's first HEAD characters are cut finer, for short texts
+PIECE = r"(?s).{12,70}?[eoy] |.{1,72}"
+HASH = 32                       # hex digits of the lower nodes
+_SECTION_END = "(?<=[08];)"
+_CHAPTER_END = rf"(?<=\][0-9a-f]{{{HASH - 1}}}[08];)"
 _LEAST = -(1 << 63)
 
 
+def _bound(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, as the element of a one-element array."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _hash(children: Column) -> Column:
+    return F.substring(F.sha2(children, 256), 1, HASH)
+
+
+def _parts(text: Column, end: str) -> Column:
+    return F.filter(F.split(text, end, -1), lambda x: x != "")
+
+
+def _leaf(value: Column) -> Column:
+    """A 32-bit hash as 8 hex digits."""
+    return F.lpad(F.hex(value.cast("bigint").bitwiseAND(F.lit(0xFFFFFFFF))), 8, "0")
+
+
+def tree(text: Column) -> Column:
+    """The tree of a text: struct(root, body, leaves); ``leaves`` are all pieces' hashes in order."""
+    paragraphs = F.transform(F.split(text, "\n", -1), lambda p: F.struct(
+        _hash(p).alias("h"), F.transform(F.regexp_extract_all(p, F.lit(PIECE), F.lit(0)), lambda s: F.hash(s)).alias("leaves")))
+
+    def sections_of(nodes):
+        listed = F.array_join(F.transform(nodes, lambda x: F.concat(
+            F.lower(F.array_join(F.transform(x["leaves"], _leaf), "")), F.lit(":"), x["h"], F.lit(";"))), "")
+        return F.array_join(F.transform(_parts(listed, _SECTION_END), lambda s: F.concat(
+            F.lit("["), s, F.lit("]"), _hash(F.regexp_replace(s, "[0-9a-f]*:", "")), F.lit(";"))), "")
+
+    def chapters_of(sections):
+        return F.array_join(F.transform(_parts(sections, _CHAPTER_END), lambda c: F.concat(
+            F.lit("{"), c, F.lit("}"), _hash(F.regexp_replace(c, r"\[[^\]]*\]", "")), F.lit(";"))), "")
+
+    return _bound(paragraphs, lambda nodes: _bound(chapters_of(sections_of(nodes)), lambda body: F.struct(
+        F.sha2(F.regexp_replace(body, r"\{[^}]*\}", ""), 256).alias("root"), body.alias("body"),
+        F.flatten(F.transform(nodes, lambda x: x["leaves"])).alias("leaves"))))
+
+
+def spelled(node: Column) -> Column:
+    """The fingerprint text of a ``tree``."""
+    return F.concat(node["root"], F.lit("="), node["body"])
+
+
 def fingerprint(text: Column) -> Column:
-    """The tree of a text (a column expression)."""
-    paragraphs = F.split(text, "\n", -1)
-    cut = lambda x, n: F.regexp_extract_all(x, F.lit(f"(?s).{{1,{n}}}"), F.lit(0))
-    nodes = F.transform(paragraphs, lambda p: F.struct(
-        F.sha2(p, 256).alias("h"),
-        F.array_join(F.transform(F.concat(cut(F.left(p, F.lit(HEAD)), HEAD_PIECE), cut(F.substr(p, F.lit(HEAD + 1)), PIECE)),
-                                 lambda s: F.substring(F.md5(s), 1, 8)), "").alias("leaves")))
-    count = F.ceil(F.size(paragraphs) / F.lit(SECTION)).cast("int")
-
-    def tree(nodes_):
-        sections = F.transform(F.sequence(F.lit(0), count - 1), lambda i: F.slice(nodes_, i * SECTION + 1, F.lit(SECTION)))
-        return F.transform(sections, lambda own: F.struct(
-            F.sha2(F.array_join(F.transform(own, lambda x: x["h"]), ""), 256).alias("h"),
-            F.array_join(F.transform(own, lambda x: F.concat(F.substring(x["h"], 1, 16), F.lit(":"), x["leaves"])), "|").alias("body")))
-
-    # One-element arrays bind a node list once, so that it is computed once.
-    built = F.element_at(F.transform(F.array(nodes), lambda n: F.struct(tree(n).alias("s"))), 1)
-    return F.element_at(F.transform(F.array(built), lambda t: F.concat(
-        F.sha2(F.array_join(F.transform(t["s"], lambda x: x["h"]), ""), 256), F.lit("="),
-        F.array_join(F.transform(t["s"], lambda x: F.concat(F.substring(x["h"], 1, 16), F.lit("["), x["body"], F.lit("]"))), ""))), 1)
+    """The fingerprint of a text (a column expression)."""
+    return _bound(tree(text), spelled)
 
 
 def root(print_: Column) -> Column:
     return F.substring_index(print_, "=", 1)
 
 
-def _joined_leaves(print_: Column) -> Column:
-    return F.regexp_replace(F.substring_index(print_, "=", -1), r"[0-9a-f]{16}(?=[\[:])|[\[\]:|]", "")
-
-
 def leaves(print_: Column) -> Column:
     """The short hashes of all pieces, in order."""
-    return F.regexp_extract_all(_joined_leaves(print_), F.lit("[0-9a-f]{8}"), F.lit(0))
-
-
-def _dice(x: Column, y: Column) -> Column:
-    both, total = F.size(F.array_intersect(x, y)), F.size(F.array_distinct(x)) + F.size(F.array_distinct(y))
-    return F.when(total > 0, 2.0 * both / total).otherwise(F.lit(0.0))
+    listed = F.regexp_replace(F.substring_index(print_, "=", -1), rf":[0-9a-f]{{{HASH}}};|\][0-9a-f]{{{HASH}}};|\}}[0-9a-f]{{{HASH}}};|[\[{{]", "")
+    return F.regexp_extract_all(listed, F.lit("[0-9a-f]{8}"), F.lit(0))
 
 
 def _near(same: Column, x: Column, y: Column) -> Column:
-    # A one-element array binds the leaf lists once.
-    pair = F.element_at(F.transform(F.array(F.struct(x.alias("x"), y.alias("y"))), lambda p: _dice(p["x"], p["y"])), 1)
-    return F.when(same, F.lit(1.0)).otherwise(pair)
+    def dice(p):
+        both, total = F.size(F.array_intersect(p["x"], p["y"])), F.size(p["x"]) + F.size(p["y"])
+        return F.when(total > 0, 2.0 * both / total).otherwise(F.lit(0.0))
+
+    return F.when(same, F.lit(1.0)).otherwise(_bound(F.struct(F.array_distinct(x).alias("x"), F.array_distinct(y).alias("y")), dice))
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """1 for equal roots, else the share of common pieces (Dice, as sets); 0 when neither has one."""
+    """Of two fingerprints: 1 for equal roots, else the share of common pieces (Dice, as sets); 0 when neither has one."""
     return _near(root(a) == root(b), leaves(a), leaves(b))
 
 
-def packed(print_: Column) -> Column:
-    """What a likeness needs of a fingerprint, as bytes: root and pieces."""
-    return F.unhex(F.concat(root(print_), _joined_leaves(print_)))
-
-
-def likeness_to_packed(a: Column, b: Column) -> Column:
-    hexed = F.lower(F.hex(b))
-    return _near(root(a) == F.substring(hexed, 1, 64), leaves(a), F.regexp_extract_all(F.substr(hexed, F.lit(65)), F.lit("[0-9a-f]{8}"), F.lit(0)))
+def tree_likeness(a: Column, b: Column) -> Column:
+    """``likeness`` of two trees."""
+    return _near(a["root"] == b["root"], a["leaves"], b["leaves"])
 
 
 def differing_paragraphs(a: Column, b: Column) -> Column:
-    """Where two trees differ: numbers (from 0) of the paragraphs of ``a`` whose node ``b`` lacks at that place.
+    """Where two fingerprints differ: numbers (from 0) of the paragraphs of ``a`` that ``b`` lacks.
 
-    Sections with equal hashes at the same place are skipped whole.
+    Only branches that differ are looked into: sections with a hash that the other
+    side has as well are skipped whole, wherever they stand.
     """
-    sections = lambda x: F.filter(F.split(F.substring_index(x, "=", -1), r"\]"), lambda s: s != "")
-    mine, other = sections(a), sections(b)
+    def sections(x):
+        found = F.regexp_extract_all(x, F.lit(rf"\[[^\]]*\][0-9a-f]{{{HASH}}}"), F.lit(0))
+        return F.transform(found, lambda s: F.struct(
+            F.right(s, F.lit(HASH)).alias("h"), F.regexp_extract_all(s, F.lit(rf":([0-9a-f]{{{HASH}}});"), F.lit(1)).alias("p")))
 
-    def branch(s, i):
-        theirs = F.coalesce(F.get(other, i), F.lit("["))
-        own = F.split(F.substring_index(s, "[", -1), r"\|")
-        their = F.split(F.substring_index(theirs, "[", -1), r"\|")
-        numbers = F.transform(own, lambda p, j: F.when(
-            ~F.coalesce(F.substring_index(p, ":", 1) == F.substring_index(F.get(their, j), ":", 1), F.lit(False)), i * SECTION + j))
-        return F.when(F.substring_index(s, "[", 1) == F.substring_index(theirs, "[", 1), F.array().cast("array<int>")).otherwise(
-            F.filter(numbers, lambda n: n.isNotNull()))
+    def compare(x):
+        mine, theirs = F.transform(x["a"], lambda s: s["h"]), F.transform(x["b"], lambda s: s["h"])
+        changed = F.array_except(mine, theirs)
+        left = F.flatten(F.transform(F.filter(x["b"], lambda s: ~F.array_contains(mine, s["h"])), lambda s: s["p"]))
+        places = F.flatten(F.transform(x["a"], lambda s: F.when(F.array_contains(changed, s["h"]), s["p"]).otherwise(
+            F.transform(s["p"], lambda p: F.lit(None).cast("string")))))
+        gone = F.array_except(F.filter(places, lambda p: p.isNotNull()), left)
+        return F.filter(F.transform(places, lambda p, i: F.when(p.isNotNull() & F.array_contains(gone, p), i)), lambda i: i.isNotNull())
 
-    return F.flatten(F.transform(mine, branch))
+    return F.when(root(a) == root(b), F.array().cast("array<int>")).otherwise(
+        _bound(F.struct(sections(a).alias("a"), sections(b).alias("b")), compare))
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -142,19 +167,20 @@ def edit_fingerprints(docs: DataFrame) -> DataFrame:
     links = next_documents(docs, st)
     texts = _keyed(docs)
     third = F.floor(F.col("n") / 3).cast("int")
+    # A successor sends its head, its root and its leaves; no text goes along whole.
     given = texts.withColumnRenamed("k", "nk").withColumnRenamed("h", "nh").join(links, ["nk", "nh"]).select(
-        "k", "h", F.left("text", third).alias("tail"), fingerprint(F.col("text")).alias("next_fingerprint")).withColumn(
-        "next_fingerprint", packed(F.col("next_fingerprint")))                # half the bytes to shuffle
+        "k", "h", F.left("text", third).alias("head"), _bound(tree(F.col("text")), lambda t: F.struct(t["root"], t["leaves"])).alias("after"))
     if links.where("copies > 1").limit(1).count():      # repeated rows would give their successor's part repeatedly
         given = given.dropDuplicates(["k", "h"])
     n = F.char_length("text")
-    edited = F.concat(F.left("text", n - F.floor(n / 3).cast("int")), F.col("tail"))
+    edited = F.concat(F.left("text", n - F.floor(n / 3).cast("int")), F.col("head"))
     rows = texts.join(given, ["k", "h"]).select(
-        F.when(F.col("k") != _LEAST, F.col("k")).alias("doc_id"), n.cast("bigint").alias("n_chars"), F.sha2(edited, 256).alias("edited_sha256"),
-        fingerprint(F.col("text")).alias("fingerprint"), fingerprint(edited).alias("edited_fingerprint"), "next_fingerprint")
-    return rows.select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
-                       likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
-                       likeness_to_packed(F.col("fingerprint"), F.col("next_fingerprint")).alias("near_next"))
+        "k", n.cast("bigint").alias("n_chars"), F.sha2(edited, 256).alias("edited_sha256"),
+        tree(F.col("text")).alias("own"), tree(edited).alias("edited"), "after")
+    return rows.select(F.when(F.col("k") != _LEAST, F.col("k")).alias("doc_id"), "n_chars", "edited_sha256",
+                       spelled(F.col("own")).alias("fingerprint"), spelled(F.col("edited")).alias("edited_fingerprint"),
+                       tree_likeness(F.col("own"), F.col("edited")).alias("near_edited"),
+                       tree_likeness(F.col("own"), F.col("after")).alias("near_next"))
 
 
 def fingerprint_query(spark, sf_dir: str) -> DataFrame:
