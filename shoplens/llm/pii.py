@@ -9,28 +9,42 @@ lengths of pieces and matches add up.
 
 Bootstrapping starts from the base spans as seeds:
 
-* candidates are identifier-shaped tokens (with a digit or an @); a candidate's
-  pattern is the word to its left, or its own ``name=`` / ``name:`` prefix;
+* candidates are identifier-shaped: tokens with a digit or an @, and groups of digits
+  parted by single spaces; a seed is one that shares a digit or @ with a base span;
+* a candidate's patterns are the word to its left, the two words there, the word to
+  its right, the words on both sides, the word to its left with the candidate's shape
+  (letters and digits folded), and its own ``name=`` / ``name:`` prefix;
 * candidates and patterns form a graph.  In each round a pattern's confidence is
   the weight of its instances over all its occurrences in the corpus (any word
-  may follow, so common words score near zero), and an instance's weight is the
-  noisy-or of its confident patterns;
+  may stand there, so common words score near zero; a shape counts among the
+  candidates after its word), and an instance's weight is the noisy-or of its
+  confident patterns;
 * instances found by confident patterns that are no base span are added as spans
   of kind ``id``, wherever they occur.
 
-Hot patterns and words are counted by partial aggregates; joins are on unique
+A pattern needs ``MIN_SUPPORT`` different good instances, so those with fewer
+instances in all never count and are left out before anything is joined.  Hot
+patterns and words are counted by partial aggregates; joins are on unique
 aggregated keys.
 
+Positions come from running sums in blocks, seeds from comparing the tokens of the
+text with those of a copy whose base matches are marked: both are linear in the
+number of matches.
+
 Defined cases: null text is empty and has no spans; repeated rows get a row
-each; an empty table gives no rows; other input columns are ignored.
+each; an empty table gives no rows; a text of any length, with any number of matches,
+is read whole; equal confidences need no order; other input columns are ignored.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shoplens.llm.staging import Staging, documents, keys_and_text
+from shoplens.plans.joins import broadcast_rows
 
 KINDS = ("email", "ip", "card", "phone", "id")
 
@@ -41,7 +55,18 @@ EMAIL = r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Z
 IP = r"(?:\G|(?<![0-9]))[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 CARD = r"[0-9](?:[\x20-]?[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
-TOKEN = r"(?<!\S)[^\s0-9@]*+[0-9@]\S*+"
+# Marks of a base match's digits and @, for finding seeds.
+_DIGIT, _AT = "\ue000", "\ue001"
+
+
+def _token(digit: str, at: str) -> str:
+    return (rf"(?<!\S)(?:[+(]?{digit}(?:{digit}|[().+-])*+(?:\x20(?:{digit}|\()(?:{digit}|[().-])*+)++[.,;:!?]*+(?!\S)"
+            rf"|(?:(?!{digit}|{at})\S)*+(?:{digit}|{at})\S*+)")
+
+
+TOKEN = _token("[0-9]", "@")
+_MARKED_TOKEN = _token(f"[0-9{_DIGIT}]", f"[@{_AT}]")
+_BLOCK = 128             # matches whose positions are summed together
 
 ROUNDS = 3
 MIN_CONFIDENCE = 0.6     # weight of the instances over all occurrences of a pattern
@@ -49,21 +74,34 @@ MIN_SUPPORT = 3          # different positive instances of a pattern
 MIN_WEIGHT = 0.6         # from which an instance is taken for an identifier
 
 
-def spans_of(text: Column, pattern: str, extra=None) -> Column:
-    """Array of (s, e, m): start and end in code points and the match; ``extra(piece before)`` adds a field ``left``."""
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    pieces = F.split(text, pattern, -1)
-    pairs = F.arrays_zip(F.slice(pieces, F.lit(1), F.size(found)).alias("p"), found.alias("m"))
-    fields = "s: int, e: int, m: string" + (", left: string" if extra else "")
-    empty = F.from_json(F.lit("[]"), f"array<struct<{fields}>>")
+def _bound(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, as the element of a one-element array."""
+    return F.element_at(F.transform(F.array(value), use), 1)
 
-    def step(acc, x):
-        s = acc["at"] + F.char_length(x["p"])
-        e = s + F.char_length(x["m"])
-        item = [s.alias("s"), e.alias("e"), x["m"].alias("m")] + ([extra(x["p"]).alias("left")] if extra else [])
-        return F.struct(e.alias("at"), F.concat(acc["out"], F.array(F.struct(*item))).alias("out"))
 
-    return F.aggregate(pairs, F.struct(F.lit(0).alias("at"), empty.alias("out")), step, lambda acc: acc["out"])
+def matches(text: Column, pattern: str) -> Column:
+    """struct(pairs, tail): for each match the piece before it and the match; what follows the last."""
+    found = F.struct(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("m"), F.split(text, pattern, -1).alias("p"))
+    return _bound(found, lambda x: F.struct(
+        F.arrays_zip(F.slice(x["p"], F.lit(1), F.size(x["m"])).alias("p"), x["m"].alias("m")).alias("pairs"),
+        F.element_at(x["p"], -1).alias("tail")))
+
+
+def starts(pairs: Column) -> Column:
+    """The start of each match in code points: running sums inside blocks, and over the blocks' totals."""
+    add = lambda acc, x: acc + x
+    total = lambda xs: F.aggregate(xs, F.lit(0), add)
+
+    def over(lengths):
+        blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(lengths) - 1) / F.lit(_BLOCK)).cast("int")),
+                             lambda b: F.slice(lengths, b * _BLOCK + 1, F.lit(_BLOCK)))
+        ends = _bound(blocks, lambda bs: _bound(F.transform(bs, total), lambda sums: F.flatten(F.transform(
+            bs, lambda block, b: _bound(total(F.slice(sums, F.lit(1), b)), lambda base: F.transform(
+                block, lambda x, i: base + total(F.slice(block, F.lit(1), i))))))))
+        return F.when(F.size(lengths) > 0, ends).otherwise(F.array().cast("array<int>"))
+
+    before = _bound(F.transform(pairs, lambda x: F.char_length(x["p"]) + F.char_length(x["m"])), over)
+    return F.zip_with(before, pairs, lambda s, x: s + F.char_length(x["p"]))
 
 
 def digits(m: Column) -> Column:
@@ -85,44 +123,98 @@ def _number_of_digits(m: Column) -> Column:
     return F.char_length(digits(m))
 
 
-def _as_kind(kind: int):
-    return lambda x: F.struct(F.lit(kind).alias("kind"), x["s"].alias("s"), x["e"].alias("e"))
+def _kinds(text: Column):
+    """Per base kind: whether the text may hold one, its pattern, and the check of a match."""
+    ip = "^" + r"\.".join([r"0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9][0-9]?|(?<=0))"] * 4) + "$"
+    return [
+        (F.contains(text, F.lit("@")), EMAIL, lambda m: F.lit(True)),
+        (text.rlike(r"[0-9]\.[0-9]"), IP, lambda m: m.rlike(ip)),
+        (text.rlike("[0-9][ -]?[0-9]"), CARD, lambda m: F.when(_number_of_digits(m).between(13, 19), luhn(digits(m))).otherwise(F.lit(False))),
+        (text.rlike(r"\+[0-9]"), PHONE, lambda m: _number_of_digits(m).between(9, 15)),
+    ]
+
+
+def _checked(kind: int, ok):
+    """Of the matches of a kind: its spans, and the text with the good matches' digits and @ marked."""
+    def spans(pairs):
+        placed = F.zip_with(starts(pairs), pairs, lambda s, x: F.struct(
+            F.lit(kind).alias("kind"), s.alias("s"), (s + F.char_length(x["m"])).alias("e"), x["ok"].alias("ok")))
+        return F.transform(F.filter(placed, lambda x: x["ok"]), lambda x: F.struct(x["kind"], x["s"], x["e"]))
+
+    def marked(pairs, tail):
+        pieces = F.transform(pairs, lambda x: F.concat(_plain(x["p"]), F.when(x["ok"], F.translate(
+            x["m"], "0123456789@", _DIGIT * 10 + _AT)).otherwise(x["m"])))
+        return F.when(F.exists(pairs, lambda x: x["ok"]), F.concat(F.array_join(pieces, ""), _plain(tail)))
+
+    def of_kind(found):
+        pairs = F.transform(found["pairs"], lambda x: F.struct(x["p"].alias("p"), x["m"].alias("m"), ok(x["m"]).alias("ok")))
+        return _bound(pairs, lambda xs: F.struct(spans(xs).alias("spans"), marked(xs, found["tail"]).alias("marked")))
+
+    return of_kind
 
 
 def base_spans(text: Column) -> Column:
-    """Array of (kind, s, e) in the order of kinds, then starts."""
-    none = F.from_json(F.lit("[]"), "array<struct<s: int, e: int, m: string>>")
-    ip = "^" + r"\.".join([r"0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9][0-9]?|(?<=0))"] * 4) + "$"
-    has = {
-        0: (F.contains(text, F.lit("@")), EMAIL, lambda x: F.lit(True)),
-        1: (text.rlike(r"[0-9]\.[0-9]"), IP, lambda x: x["m"].rlike(ip)),
-        2: (text.rlike("[0-9][ -]?[0-9]"), CARD, lambda x: F.when(_number_of_digits(x["m"]).between(13, 19), luhn(digits(x["m"]))).otherwise(F.lit(False))),
-        3: (text.rlike(r"\+[0-9]"), PHONE, lambda x: _number_of_digits(x["m"]).between(9, 15)),
-    }
-    parts = []
-    for kind, (maybe, pattern, ok) in has.items():
-        found = F.when(maybe, F.filter(spans_of(text, pattern), ok)).otherwise(none)
-        parts.append(F.transform(found, _as_kind(kind)))
-    return F.concat(*parts)
-
-
-def candidates(text: Column) -> Column:
-    """Array of (s, e, inst, left): identifier-shaped tokens without outer punctuation, and their left pattern."""
-    def last_word(piece):
-        return F.lower(F.regexp_extract(F.right(piece, F.lit(64)), r"(\S+)\s+$", 1))
-
-    none = F.from_json(F.lit("[]"), "array<struct<s: int, e: int, m: string, left: string>>")
-    tokens = F.when(text.rlike("[0-9@]"), spans_of(text, TOKEN, last_word)).otherwise(none)
-
-    def trim(x):
-        head = F.regexp_extract(x["m"], r"""^(?:[A-Za-z_][A-Za-z_-]{0,30}[:=])?["'(<\[]*""", 0)
-        name = F.lower(F.regexp_extract(head, r"^([A-Za-z_][A-Za-z_-]*[:=])", 1))
-        core = F.regexp_replace(F.substr(x["m"], F.char_length(head) + 1), r"""["')>\],.;:!?]+$""", "")
-        s = x["s"] + F.char_length(head)
-        return F.struct(s.alias("s"), (s + F.char_length(core)).alias("e"), core.alias("inst"),
-                        F.when(name != "", name).otherwise(x["left"]).alias("left"))
-
-    return F.filter(F.transform(tokens, trim), lambda x: (F.char_length(x["inst"]) >= 4) & (x["left"] != "") & x["inst"].rlike("[0-9].*[0-9]|@"))
+    """struct(spans, marked): array of (kind, s, e) in the order of kinds, then starts; and the texts with marked matches."""
+    nothing = F.struct(F.from_json(F.lit("[]"), "array<struct<kind: int, s: int, e: int>>").alias("spans"), F.lit(None).cast("string").alias("marked"))
+    kinds = [F.when(maybe, _bound(matches(text, pattern), _checked(kind, ok))).otherwise(nothing)
+             for kind, (maybe, pattern, ok) in enumerate(_kinds(text))]
+    return _bound(F.array(*kinds), lambda ks: F.struct(
+        F.flatten(F.transform(ks, lambda k: k["spans"])).alias("spans"),
+        F.filter(F.transform(ks, lambda k: k["marked"]), lambda m: m.isNotNull()).alias("marked")))
+
+
+def _plain(piece: Column) -> Column:
+    return F.translate(piece, _DIGIT + _AT, "??")
+
+
+def _patterns(name: Column, inst: Column, left2: Column, left1: Column, right: Column) -> Column:
+    """The patterns of a candidate; empty words are no context."""
+    shape = F.regexp_replace(F.regexp_replace(inst, "[0-9]++", "9"), "[A-Za-z]++", "a")
+    has = lambda *words: reduce(lambda x, y: x & y, [w != "" for w in words])
+    return F.filter(F.array(
+        F.when(has(name), F.concat(F.lit("n "), name)),
+        F.when(has(left1), F.concat(F.lit("l "), left1)),
+        F.when(has(left2, left1), F.concat_ws(" ", F.lit("ll"), left2, left1)),
+        F.when(has(right), F.concat(F.lit("r "), right)),
+        F.when(has(left1, right), F.concat_ws(" ", F.lit("lr"), left1, right)),
+        F.when(has(left1), F.concat_ws(" ", F.lit("ls"), left1, shape))), lambda x: x.isNotNull())
+
+
+def context_counts(text: Column) -> Column:
+    """The contexts at every word of a text, as ``_patterns`` names those at candidates (but for names and shapes)."""
+    def at(words):
+        return F.flatten(F.transform(words, lambda w, i: F.filter(F.array(
+            F.concat(F.lit("l "), w), F.when(i > 0, F.concat_ws(" ", F.lit("ll"), F.get(words, i - 1), w)), F.concat(F.lit("r "), w),
+            F.when(F.get(words, i + 2).isNotNull(), F.concat_ws(" ", F.lit("lr"), w, F.get(words, i + 2)))), lambda x: x.isNotNull())))
+
+    return _bound(F.filter(F.split(F.lower(text), r"\s+"), lambda w: w != ""), at)
+
+
+def candidates(text: Column, marked: Column) -> Column:
+    """Array of (s, e, inst, seed, patterns): identifier-shaped tokens without outer punctuation."""
+    none = F.from_json(F.lit("[]"), "array<struct<s: int, e: int, inst: string, seed: int, patterns: array<string>>>")
+    punctuation = r"""["')>\],.;:!?]"""
+
+    def of(found):
+        tokens = F.transform(marked, lambda m: F.regexp_extract_all(m, F.lit(_MARKED_TOKEN), F.lit(0)))
+        return _bound(F.struct(found["pairs"].alias("pairs"), starts(found["pairs"]).alias("at"), found["tail"].alias("tail"), tokens.alias("tokens")),
+                      lambda x: F.transform(x["pairs"], lambda pair, i: one(x, pair, i)))
+
+    def one(x, pair, i):
+        m, before = pair["m"], F.lower(pair["p"])
+        after = F.lower(F.when(i + 1 < F.size(x["pairs"]), F.get(x["pairs"], i + 1)["p"]).otherwise(x["tail"]))
+        words = r"(?<!\S)(?:(\S++)\s++)?(\S++)\s++$"
+        head = F.regexp_extract(m, r"""^(?:[A-Za-z_][A-Za-z_-]*+[:=])?["'(<\[]*+""", 0)
+        name = F.lower(F.regexp_extract(head, r"^([A-Za-z_][A-Za-z_-]*+[:=])", 1))
+        core = F.regexp_replace(F.substr(m, F.char_length(head) + 1), rf"(?<!{punctuation}){punctuation}++$", "")
+        s = F.get(x["at"], i) + F.char_length(head)
+        seed = F.exists(x["tokens"], lambda t: F.coalesce(F.get(t, i).rlike(f"[{_DIGIT}{_AT}]"), F.lit(False)))
+        right = F.when(m.rlike(punctuation + "$"), "").otherwise(F.regexp_extract(after, r"^\s++(\S++)", 1))
+        return F.struct(s.alias("s"), (s + F.char_length(core)).alias("e"), core.alias("inst"), seed.cast("int").alias("seed"),
+                        _patterns(name, core, F.regexp_extract(before, words, 1), F.regexp_extract(before, words, 2), right).alias("patterns"))
+
+    found = F.when(text.rlike("[0-9@]"), _bound(matches(text, TOKEN), of)).otherwise(none)
+    return F.filter(found, lambda x: (F.char_length(x["inst"]) >= 4) & x["inst"].rlike("[0-9][^0-9]*+[0-9]|@"))
 
 
 def spell(spans: Column) -> Column:
@@ -154,23 +246,38 @@ def bootstrap(edges: DataFrame, occurrences: DataFrame, staging: Staging, rounds
     return weights.where((F.col("is_seed") == 0) & (F.col("w") >= MIN_WEIGHT)).select("inst", F.col("w").alias("weight"))
 
 
+def pattern_totals(docs: DataFrame, edges: DataFrame, live: DataFrame, staging: Staging) -> DataFrame:
+    """pattern, total: occurrences in the corpus of the patterns of ``live``.
+
+    Contexts are counted over all words of all documents; those of no live pattern
+    are dropped where they are read if the list passes the size check.
+    """
+    contexts = keys_and_text(docs).select(F.explode(context_counts(F.coalesce("text", F.lit("")))).alias("pattern"))
+    known = broadcast_rows(live, live.count())
+    words = contexts.join(known, "pattern", "left_semi").groupBy("pattern").agg(F.count(F.lit(1)).alias("total"))
+    # A shape counts among the candidates after its word, whatever their shape.
+    word = F.element_at(F.split("pattern", " "), 2)
+    after = edges.where(F.col("pattern").startswith("l ")).groupBy(word.alias("word")).agg(F.sum("n").alias("total"))
+    shapes = live.where(F.col("pattern").startswith("ls ")).withColumn("word", word).join(after, "word").select("pattern", "total")
+    counted = words.unionByName(shapes)
+    return staging.save(live.join(counted, "pattern", "left").select("pattern", F.coalesce("total", F.lit(0)).alias("total")), "totals")
+
+
 def find_personal_data(docs: DataFrame) -> DataFrame:
     """Per row: counts of the base kinds, digest of the base spans, all spans, number of added ones."""
     st = Staging(docs.sparkSession, "pii")
     text = F.coalesce(F.col("text"), F.lit(""))
-    rows = keys_and_text(docs).select(F.monotonically_increasing_id().alias("rid"), "doc_id", base_spans(text).alias("base"), candidates(text).alias("cands"))
+    based = keys_and_text(docs).select("doc_id", text.alias("text"), base_spans(text).alias("b"))
+    rows = based.select(F.monotonically_increasing_id().alias("rid"), "doc_id", F.col("b.spans").alias("base"),
+                        candidates(F.col("text"), F.col("b.marked")).alias("cands"))
     rows = st.save(rows, "spans")                 # row numbers are fixed from here on
-    found = rows.select("rid", "base", F.explode("cands").alias("c")).select(
-        "rid", F.col("c.s").alias("s"), F.col("c.e").alias("e"), F.col("c.inst").alias("inst"), F.col("c.left").alias("pattern"),
-        F.exists("base", lambda b: (b["s"] < F.col("c.e")) & (F.col("c.s") < b["e"])).cast("int").alias("seed"))
-    found = st.save(found, "candidates")
-    edges = found.groupBy("pattern", "inst").agg(F.count(F.lit(1)).alias("n"), F.max("seed").alias("seed"))
-    words = keys_and_text(docs).select(F.explode(F.split(F.lower("text"), r"\s+")).alias("pattern"))
-    # A name= prefix stands inside a token; its occurrences are its candidates.
-    occurrences = words.groupBy("pattern").agg(F.count(F.lit(1)).alias("total"))
-    known = edges.select("pattern").distinct()
-    occurrences = known.join(occurrences, "pattern", "left").select("pattern", F.coalesce("total", F.lit(0)).alias("total"))
-    new = bootstrap(edges, occurrences, st)
+    found = rows.select("rid", F.explode("cands").alias("c")).select("rid", "c.*")
+    edges = found.select("inst", "seed", F.explode("patterns").alias("pattern")).groupBy("pattern", "inst").agg(
+        F.count(F.lit(1)).alias("n"), F.max("seed").alias("seed"))
+    edges = st.save(edges, "edges")               # one row a pair of pattern and instance
+    live = edges.groupBy("pattern").agg(F.count(F.lit(1)).alias("instances")).where(F.col("instances") >= MIN_SUPPORT).select("pattern")
+    live = st.save(live, "live")
+    new = bootstrap(edges, pattern_totals(docs, edges, live, st), st)
     added = found.where("seed = 0").join(new, "inst").groupBy("rid").agg(
         F.sort_array(F.collect_set(F.struct(F.lit(4).alias("kind"), "s", "e"))).alias("more"))
     out = rows.select("rid", "doc_id", "base").join(added, "rid", "left")
