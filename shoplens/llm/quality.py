@@ -143,7 +143,7 @@ def fit(stats: DataFrame, labels: DataFrame, max_labels: int = MAX_LABELS, stagi
 
     staging = staging or Staging(stats.sparkSession, "quality")
     known = label_sample(labels, "quality", 4, 2, max_labels)
-    rows = staging.save(stats.join(F.broadcast(known), "doc_id").withColumn("label", F.col("label").cast("double")).coalesce(8), "labelled")
+    rows = staging.save(stats.join(F.broadcast(known), "doc_id").withColumn("label", F.col("label").cast("double")), "labelled")
     kinds = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(kinds) < 2:
         return QualityModel([], 40.0 if 1.0 in kinds else -40.0)
