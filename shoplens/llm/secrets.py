@@ -2,8 +2,9 @@
 
 Base spans are three patterns (assign, access, hex), leftmost and
 non-overlapping per kind.  The method adds spans of kind ``guess``: values in a
-credential context (``pwd: x``, ``Bearer x``, ``passphrase is x`` ...) that are
-hard to guess.  The cost of a value is the least total of ``log10`` guesses over
+credential context (``pwd: x``, ``Bearer x``, ``passphrase is "x y"``, ``my_key = x``,
+``://user:x@`` ..., with any blanks and, behind a colon or equals sign, on the next
+line) that are hard to guess.  The cost of a value is the least total of ``log10`` guesses over
 all segmentations into common words, dates, repeats, keyboard walks and
 brute-force spans, found by dynamic programming over its characters; a value
 costing ``MIN_GUESSES`` or more is a secret, a plain word or date after
@@ -12,7 +13,8 @@ the documents (at most ``MAX_WORDS``, ranked by count), counted outside credenti
 values, so copies of a secret don't make it a word.
 
 Defined cases: null text is empty and has no spans; repeated rows get a row
-each; an empty table gives no rows; other input columns are ignored.
+each; an empty table gives no rows; a text of any length is read whole; words of equal
+count are words together or not at all; other input columns are ignored.
 """
 
 from __future__ import annotations
@@ -37,12 +39,22 @@ MIN_ASSIGN, MIN_ACCESS = 6, 20
 KINDS = ("assign", "access", "hex", "guess")
 
 # Credential contexts: those of the base pattern, which has no left bound, and others; the value follows.
+# Blanks are of any number; a line may end behind a colon or an equals sign.  A value in
+# quotes goes on to the closing quote.
 CONTEXT = re.compile(
-    r"""(?:(?<![A-Za-z0-9])(?:pass\x20?phrase|passcode|password|passwd|pwd|pass|pin|secret|token|credentials?|"""
-    r"""auth(?:orization)?|bearer|api[_-]?key|access[_-]?key|private[_-]?key|client[_-]?secret)"""
-    r"""["']?\x20{0,4}(?:[:=]|=>|is|was|bearer|basic|\x20)\x20{0,4}|"""
-    r"""(?:password|passwd|secret|token|api_?key)["']?\x20*+[:=]\x20*+)["']?"""
-    r"""(?:(?:bearer|basic|digest|token|negotiate|ntlm|oauth|hawk|mac|api-?key|key)\x20++)?["']?([^\s"'<>]{4,})""", re.I | re.A)
+    r"""(?:(?:(?<![A-Za-z0-9])(?:pass\x20?phrase|passcode|password|passwd|pwd|pass|pin|secret|token|credentials?|"""
+    r"""auth(?:orization)?|bearer|api[_-]?key|access[_-]?key|private[_-]?key|client[_-]?secret)|(?<=[A-Za-z0-9][_-])key)"""
+    r"""["']?[\x20\t]*+(?:(?:=>|[:=])\s*+|(?:is|was|bearer|basic)[\x20\t]*+|(?<=[\x20\t]))|"""
+    r"""(?:password|passwd|secret|token|api_?key)["']?\x20*+[:=]\s*+)["']?"""
+    r"""(?:(?:bearer|basic|digest|token|negotiate|ntlm|oauth|hawk|mac|api-?key|key)\x20++)?["']?"""
+    r"""((?<=")[^"\n]{4,}+(?=")|(?<=')[^'\n]{4,}+(?=')|[^\s"'<>]{4,})""", re.I | re.A)
+# user:password@ of an address.
+ADDRESS = re.compile(r"""://[^\s/:@"'<>]*+:([^\s/@"'<>]{4,}+)@""")
+# A line that is a passphrase: five words or more behind a colon or an equals sign.
+PHRASE = re.compile(r"""(?<![A-Za-z0-9])(?:pass\x20?phrase|password|passwd|pwd)[\x20\t]*+[:=]\s*+([a-z]{3,}(?:[\x20-][a-z]{3,}){4,})[\x20\t]*+(?:\n|$)""", re.I | re.A)
+# Words of sentences rather than of passphrases.
+SENTENCE_WORDS = frozenset("the and for with that this from your here you are was has have had not but can will please must should which when then than".split())
+_KEY = re.compile("key", re.I)
 LONGEST_CUE = 24          # no cue that ends a value, with its separator, is longer
 CUES = ("pass", "pwd", "pin", "secret", "token", "credential", "auth", "bearer", "key")
 MIN_GUESSES = 10.0        # log10 of the guesses from which a value counts as a secret
@@ -218,24 +230,37 @@ def contexts(text: str):
 def guess_spans(text: str, base: list[tuple[int, int, int]], words: WordList = FIXED) -> list[tuple[int, int, int]]:
     """Credential values that are hard to guess and not whole inside a base span; one may overlap base spans."""
     low = text.lower()
-    if not any(c in low for c in CUES):
+    if not any(c in low for c in CUES) and "://" not in text:
         return []
     out, at = [], 0
     starts, reach = [s for s, _, _ in base], list(accumulate((e for _, _, e in base), max))
+
+    def covered(start, end):
+        before = bisect_right(starts, start)
+        return bool(before) and reach[before - 1] >= end
+
     for m in contexts(text):
         start = m.start(1)
         value = _without_marks(m.group(1))
         end = start + len(value)
-        before = bisect_right(starts, start)
-        if m.start() < at or len(value) < 4 or before and reach[before - 1] >= end:
+        if m.start() < at or len(value) < 4 or covered(start, end):
             continue
         core = value.rstrip("!?")
         if core.isalpha():
             value = core                           # the mark after a word adds nothing to its cost
+        lead = text[m.start():start]
+        if core.isalpha() and "\n" in lead or _KEY.match(lead) and not any(c.isdigit() for c in value):
+            continue                               # the next line's first word; a key by a name, such as a column
         if is_hard(value, words):
             out.append((start, 3, end))
             at = m.end()
-    return out
+    more = [m for m in ADDRESS.finditer(text) if is_hard(m.group(1), words)] if "://" in text else []
+    if "pass" in low or "pwd" in low:
+        more += [m for m in PHRASE.finditer(text) if not SENTENCE_WORDS & set(re.split("[ -]", m.group(1).lower())) and is_hard(m.group(1), words)]
+    for m in more:
+        if not covered(*m.span(1)) and not any(s <= m.start(1) and m.end(1) <= e for s, _, e in out):
+            out.append((m.start(1), 3, m.end(1)))
+    return sorted(out)
 
 
 def _without_marks(value: str) -> str:

@@ -1,5 +1,6 @@
 import hashlib
 import re
+import time
 
 import pytest
 from cases import LONG, SF01, edge_documents, empty_documents
@@ -100,6 +101,43 @@ def test_values_behind_a_scheme_or_of_letters_are_costed(text, value):
     assert [text[s:e] for s, _, e in secrets.find_secrets(text)[1]] == [value]
 
 
+@pytest.mark.parametrize("text,value", [
+    ("password:\n  Zx9!kQ72pLm4$w\nnext line", "Zx9!kQ72pLm4$w"), ("pwd\t=\t\tZx9!kQ72pLm4$w", "Zx9!kQ72pLm4$w"), ("pin:        Zx9!kQ72pLm4$w", "Zx9!kQ72pLm4$w"),
+    ("password: correct horse battery staple zebra", "correct horse battery staple zebra"),
+    ("see https://bob:Zx9!kQ72pLm4w@host/path for it", "Zx9!kQ72pLm4w"), ("my_secret_key = Zx9!kQ72pLm4w", "Zx9!kQ72pLm4w"), ("signing-key: 'aB3xK9qL2m'", "aB3xK9qL2m"),
+    ('pass phrase: "a b Zx9!kQ72pLm4w"', "a b Zx9!kQ72pLm4w"), ('"password": "it is Zx9!kQ72, really"', "it is Zx9!kQ72, really"),
+])
+def test_blanks_lines_quotes_addresses_and_names(text, value):
+    base, more = secrets.find_secrets(text)
+    assert value in [text[s:e] for s, _, e in more]
+    assert value not in secrets.redact_text(text) and base == brute(text)
+
+
+@pytest.mark.parametrize("text", [
+    "password:\n\nInternationalization matters here", "password: please ask your local team lead now", "sort_key = customer_name_long",
+    "monkey: a small animal", "http://host:8080/path@here", "ftp://bob:open@host", "secret: one", "the key = value", "turkey: 12345",
+    "passwords are hard, tokens too", 'she said "pass" and "go"', "password:", "password:\n", "pin: 1234"])
+def test_what_is_no_secret(text):
+    assert secrets.find_secrets(text)[1] == []
+
+
+def test_added_spans_over_a_table_equal_the_plain_scan(spark):
+    docs = spark.read.parquet(f"{SF01}/documents.parquet")
+    words = secrets.word_list(docs)
+    rows = {r.doc_id: r for r in secrets.scan(docs).collect()}
+    for r in docs.collect():
+        base, more = secrets.find_secrets(r.text, words)
+        assert rows[r.doc_id].spans == secrets.spell(base + more) and rows[r.doc_id].n_guess == len(more)
+        assert all(secrets.guess_cost(r.text[s:e], words)[0] >= secrets.MIN_GUESSES for s, _, e in more)
+
+
+def test_long_runs_take_linear_time():
+    t = time.time()
+    for text in ("password" + " " * 200_000 + "x", "key" * 60_000, "a_" * 100_000 + "key = 1", "password: \"" * 20_000, "://" * 50_000 + ":x", "pwd:" + " abc" * 50_000 + "!"):
+        secrets.find_secrets(text)
+    assert time.time() - t < 20
+
+
 def test_words_are_those_of_the_corpus(spark):
     texts = ["a complicated matter", "Complicated things", "how complicated", "the password is complicated!"] + ["login pwd: zkqjwvbxmrtpghfd today"] * 50
     docs = spark.createDataFrame([(i, t, len(t)) for i, t in enumerate(texts)], "doc_id bigint, text string, n_chars int").repartition(3)
