@@ -8,8 +8,12 @@ bench; on a cluster the same keys go into the submit configuration.
 
 from __future__ import annotations
 
+import hashlib
+import io
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -96,3 +100,32 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(p)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Let the Python workers import this package, whatever their own path: once a Spark context.
+
+    The package's modules go as a zip into the shared checkpoint folder and are added
+    from there.  An installed package, or one given by ``--py-files``, is found as well.
+    """
+    sc, home = spark.sparkContext, os.path.dirname(os.path.abspath(__file__))
+    if getattr(sc, "_shoplens_shipped", False) or not os.path.isdir(home):      # not a folder: came as a zip itself
+        return
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, dirs, names in os.walk(home):
+            dirs.sort()
+            for name in sorted(n for n in names if n.endswith(".py")):
+                inside = os.path.relpath(os.path.join(folder, name), os.path.dirname(home))
+                with open(os.path.join(folder, name), "rb") as f:
+                    z.writestr(zipfile.ZipInfo(inside.replace(os.sep, "/")), f.read())
+    data = packed.getvalue()
+    path = checkpoint_path(spark, "shoplens-code", uuid.uuid4().hex[:12], f"shoplens-{hashlib.sha256(data).hexdigest()[:12]}.zip")
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    out = fs.create(p)
+    out.write(bytearray(data))
+    out.close()
+    fs.deleteOnExit(p.getParent())
+    sc.addPyFile(fs.makeQualified(p).toString())
+    sc._shoplens_shipped = True
