@@ -13,7 +13,8 @@ compared in full.
 
 The benchmark side is counted first.  Up to ``max_broadcast_windows`` windows
 it is broadcast and the join happens inside one pass over the documents, with
-no shuffle; beyond that fingerprints and windows are joined by shuffle.
+no shuffle; beyond that fingerprints and windows are joined by shuffle, and the
+windows whose hash is met are cut out and compared word for word there as well.
 
 Defined cases: null or word-less text has no words and is not contaminated; an
 item without words has no window; an empty benchmark contaminates nothing;
@@ -31,7 +32,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shoplens.llm import textbytes as tb
-from shoplens.llm.staging import documents, keys_and_text
+from shoplens.llm.staging import Staging, documents, keys_and_text
+from shoplens.session import ship_package
 
 WINDOW = 13
 MAX_BROADCAST_WINDOWS = 200_000     # about 30 MB of window texts and hashes
@@ -100,6 +102,7 @@ def _bench_windows(batches):
 
 
 def benchmark_windows(benchmark: DataFrame) -> DataFrame:
+    ship_package(benchmark.sparkSession)
     items = benchmark.select(F.coalesce(benchmark["item_id"].cast("string"), F.lit("")).alias("item_id"),
                              benchmark["text"].cast("string").alias("text"))
     return items.mapInArrow(_bench_windows, _BENCH)
@@ -238,6 +241,25 @@ def _count_words(batches):
                                           pa.array(np.concatenate(n) if n else [], pa.int64())], names=["doc_id", "rk", "n_words"])
 
 
+def _cut_windows(batches):
+    """The words of the windows at the given places, joined by spaces."""
+    for batch in batches:
+        ids, starts_, lengths_, texts = [], [], [], []
+        row = 0
+        for data, starts, ends, cut, _ in batch_words(batch.column(2)):
+            for lo in cut[:-1].tolist():
+                for x in batch.column(3)[row].as_py():
+                    first = lo + x["start"]
+                    ids.append(row)
+                    starts_.append(x["start"])
+                    lengths_.append(x["len"])
+                    texts.append(b" ".join(data[starts[i]:ends[i]].tobytes() for i in range(first, first + x["len"])))
+                row += 1
+        take = pa.array(ids, pa.int64())
+        yield pa.RecordBatch.from_arrays([batch.column(0).take(take), batch.column(1).take(take), pa.array(starts_, pa.int64()),
+                                          pa.array(lengths_, pa.int32()), pa.array(texts, pa.binary())], names=["doc_id", "rk", "start", "len", "text"])
+
+
 def _row_key(docs: DataFrame):
     """Rows that share a doc_id differ by their text."""
     return F.xxhash64(docs["doc_id"].cast("bigint"), docs["text"].cast("string"))
@@ -245,7 +267,7 @@ def _row_key(docs: DataFrame):
 
 def contamination_by_shuffle(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The result of ``contamination`` (and a row key) with both sides shuffled: a benchmark of any size."""
-    docs = keys_and_text(docs)
+    staging, docs = Staging(docs.sparkSession, "decontam"), keys_and_text(docs)
     keyed = docs.select("doc_id", _row_key(docs).alias("rk"), "text")
     windows = benchmark_windows(benchmark)
     lengths = sorted(r["len"] for r in windows.select("len").distinct().collect())   # 1 to 13
@@ -254,11 +276,24 @@ def contamination_by_shuffle(docs: DataFrame, benchmark: DataFrame) -> DataFrame
     candidates = prints.join(windows.select("len", "fp").distinct(), ["len", "fp"]).select(
         F.col("doc_id").alias("c_id"), F.col("rk").alias("c_rk")).distinct()
     near = keyed.join(candidates, same, "left_semi").dropDuplicates(["doc_id", "rk"])
-    hits = near.mapInArrow(_doc_windows(lengths), "doc_id bigint, rk bigint, start bigint, len int, wh bigint").join(
-        windows.select("len", "wh", "item_id").distinct(), ["len", "wh"])
+    likely = near.mapInArrow(_doc_windows(lengths), "doc_id bigint, rk bigint, start bigint, len int, wh bigint").join(
+        windows.select("len", "wh").distinct(), ["len", "wh"], "left_semi")
+    at = likely.groupBy(F.col("doc_id").alias("c_id"), F.col("rk").alias("c_rk")).agg(
+        F.collect_list(F.struct("start", "len")).alias("at"))                  # no longer than the document
+    cut = near.join(at, same).select("doc_id", "rk", "text", "at").mapInArrow(
+        _cut_windows, "doc_id bigint, rk bigint, start bigint, len int, text binary")
+    # Equal windows stand for the set of items that hold them, so a passage of many items
+    # and documents gives one row a document, not one a document and item.
+    held = windows.groupBy("len", "text").agg(F.array_sort(F.collect_set("item_id")).alias("items"))
+    held = held.withColumn("set", F.sha2(F.to_json("items"), 256))
+    hits = staging.save(cut.join(held.select("len", "text", "set"), ["len", "text"]).select("doc_id", "rk", "start", "len", "set"), "hits")
     words = hits.select("doc_id", "rk", F.explode(F.sequence("start", F.col("start") + F.col("len") - 1)).alias("w")).distinct().groupBy(
         F.col("doc_id").alias("c_id"), F.col("rk").alias("c_rk")).agg(F.count(F.lit(1)).alias("n_hit"))
-    items = hits.groupBy(F.col("doc_id").alias("i_id"), F.col("rk").alias("i_rk")).agg(F.collect_set("item_id").alias("items"))
+    sets = hits.groupBy("doc_id", "rk").agg(F.array_sort(F.collect_set("set")).alias("sets")).withColumn("key", F.sha2(F.array_join("sets", ","), 256))
+    members = held.select("set", "items").dropDuplicates(["set"])
+    items = sets.select("key", "sets").dropDuplicates(["key"]).select("key", F.explode("sets").alias("set")).join(members, "set").groupBy("key").agg(
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+    items = sets.join(items, "key").select(F.col("doc_id").alias("i_id"), F.col("rk").alias("i_rk"), "items")
     counted = keyed.mapInArrow(_count_words, "doc_id bigint, rk bigint, n_words bigint")
     out = counted.join(words, same, "left").join(
         items, F.col("doc_id").eqNullSafe(F.col("i_id")) & (F.col("rk") == F.col("i_rk")), "left")

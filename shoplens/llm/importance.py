@@ -40,6 +40,7 @@ from pyspark.sql import functions as F
 
 from shoplens.llm import textbytes as tb
 from shoplens.llm.staging import Staging, documents, keys_and_text
+from shoplens.session import ship_package
 
 BUCKETS = 10_000
 NGRAM = 2
@@ -169,6 +170,7 @@ def _count_buckets(batches):
 
 def bucket_counts(texts: DataFrame) -> DataFrame:
     """bucket, n over all features of the column ``text``: at most ``BUCKETS`` rows a task, then summed."""
+    ship_package(texts.sparkSession)
     parts = texts.select(texts["text"].cast("string").alias("text")).mapInArrow(_count_buckets, "bucket int, n bigint")
     return parts.groupBy("bucket").agg(F.sum("n").alias("n"))
 

@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shoplens.session import checkpoint_path
+from shoplens.session import checkpoint_path, ship_package
 
 
 class Staging:
@@ -19,6 +19,7 @@ class Staging:
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
+        ship_package(spark)
         self.root = checkpoint_path(spark, "shoplens-llm", f"{name}-{uuid.uuid4().hex[:12]}")
         self._n = 0
 
@@ -46,4 +47,5 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def keys_and_text(docs: DataFrame) -> DataFrame:
     """``doc_id`` (bigint) and ``text`` alone: other columns can't clash with an operator's own."""
+    ship_package(docs.sparkSession)         # operators go on in Python workers
     return docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), docs["text"].cast("string").alias("text"))

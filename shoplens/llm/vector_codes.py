@@ -40,6 +40,7 @@ from pyspark.sql import types as T
 
 from shoplens.llm.staging import Staging
 from shoplens.plans.joins import broadcast_rows
+from shoplens.session import ship_package
 
 PARTS, ENTRIES, ROUNDS = 4, 256, 4
 SCALE = 1024
@@ -187,6 +188,7 @@ def _summer(books: Codebooks, length: int):
 
 
 def _numbers(vectors: DataFrame):
+    ship_package(vectors.sparkSession)
     return vectors["embedding"].cast("array<double>").alias("embedding")
 
 

@@ -79,3 +79,22 @@ def test_window_minima_are_position_independent():
     w = rng.integers(0, 2**63, 100).astype(np.uint64)
     whole = decontam.window_minima(w, 13)
     assert all(decontam.window_minima(w[k:k + 13], 13)[0] == whole[k] for k in range(len(w) - 12))
+
+
+def test_hot_passage_of_many_items_on_the_shuffled_path(spark):
+    """A passage that most items and most documents share: one row a document and item set, same result."""
+    passage = " ".join(f"w{i}" for i in range(13))
+    bench = spark.createDataFrame([(i, passage + (f" own{i} words" if i % 2 else "")) for i in range(300)], "item_id bigint, text string")
+    docs = spark.createDataFrame([(i, f"start {i} {passage} own{i} words end") for i in range(400)], "doc_id bigint, text string")
+    rows = lambda df: sorted(map(tuple, df.collect()))
+    assert rows(decontam.contamination(docs, bench, max_broadcast_windows=0)) == rows(decontam.contamination(docs, bench))
+
+
+def test_windows_of_equal_hashes_are_cut_out_by_their_words(spark):
+    """What the shuffled path compares behind the hash: the windows' words, at their places."""
+    docs = spark.createDataFrame([(1, "a b c d e"), (2, "x y z u v"), (3, "p a b c d e q")], "doc_id bigint, text string")
+    bench = spark.createDataFrame([(7, "a b c d e")], "item_id bigint, text string")
+    (length,) = {r["len"] for r in decontam.benchmark_windows(bench).collect()}
+    keyed = docs.selectExpr("doc_id", "doc_id AS rk", "text", "transform(sequence(0, size(split(text, ' ')) - 5), i -> struct(cast(i AS bigint) AS start, 5 AS len)) AS at")
+    cut = {(r.doc_id, r.start): bytes(r.text) for r in keyed.mapInArrow(decontam._cut_windows, "doc_id bigint, rk bigint, start bigint, len int, text binary").collect()}
+    assert length == 5 and [k for k, v in cut.items() if v == b"a b c d e"] == [(1, 0), (3, 1)] and len(cut) == 5
