@@ -1,9 +1,10 @@
 """Near-duplicate documents: circulant MinHash, banding, exact Jaccard check (op 10).
 
-A document's set is its distinct 3-word shingles (words: runs without ASCII
-white space, A-Z lower-cased); a shorter document is one shingle.  Documents
-with ``100 * |A & B| >= 85 * |A | B|`` are linked, and components of links are
-the duplicate groups.
+A document's set is its distinct shingles of some words (words: runs without ASCII
+white space, A-Z lower-cased); a shorter document is one shingle.  Documents with
+``100 * |A & B| >= percent * |A | B|`` are linked, and components of links are the
+duplicate groups.  A ``Rule`` holds words, percent, bands and screen: ``OP10`` (3 words,
+85) is the query's, ``GENERAL`` (5 words, 80) that of other uses, such as the pipeline.
 
 Signatures are C-MinHash: one permutation ``sigma`` scatters the shingles over
 [0, 2^32), the second, ``pi``, gives every coordinate ``k`` by circular shifts:
@@ -26,8 +27,8 @@ Steps, all distributed:
    bucket's size.
 
 Misses: two sets at the threshold share no band with probability 4e-7
-(20 bands of 4), and fail the signature screen (44 of 80 coordinates) with
-about 1e-9; both fall fast above it.
+(20 bands of 4 at 85, 28 at 80), and fail the signature screen (44 of 80, 60 of 112
+coordinates) with less than 1e-9; both fall fast above it.
 
 Defined cases: null or blank text has no set (``n_shingles`` 0, own component);
 rows that share a doc_id are one vertex; rows with a null doc_id link nothing
@@ -37,6 +38,8 @@ are ignored.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -46,12 +49,8 @@ from shoplens.llm import textbytes as tb
 from shoplens.llm.staging import Staging, documents, keys_and_text
 from shoplens.plans.joins import maybe_broadcast
 
-BANDS, ROWS = 20, 4
-COORDINATES = BANDS * ROWS
-SCREEN = 44           # agreeing coordinates that a pair at the threshold has (all but 1e-9)
-MIN_WORDS = 3
+ROWS = 4                # coordinates of a band
 BLOCK, BLOCK_SHINGLES = 1024, 400_000
-INTER, UNION = 100, 85   # linked: INTER * |A & B| >= UNION * |A | B|
 
 
 def _fmix32(x: np.ndarray, c1: int, c2: int) -> np.ndarray:
@@ -63,7 +62,7 @@ def _fmix32(x: np.ndarray, c1: int, c2: int) -> np.ndarray:
     return x
 
 
-def shingle_sets(column, size: int = MIN_WORDS):
+def shingle_sets(column, size: int = 3):
     """For slices of an Arrow text column: (distinct shingle hashes, set sizes), in row order."""
     raw, offsets = tb.utf8_column(column)
     for a, b in tb.slices(offsets):
@@ -83,7 +82,7 @@ def shingle_sets(column, size: int = MIN_WORDS):
         yield np.concatenate(sets) if sets else np.empty(0, np.uint64), sizes
 
 
-def signatures(shingles: np.ndarray, sizes: np.ndarray, coordinates: int = COORDINATES) -> np.ndarray:
+def signatures(shingles: np.ndarray, sizes: np.ndarray, coordinates: int = 80) -> np.ndarray:
     """Signature of every set (rows of ``coordinates`` uint32); an empty set has all ones."""
     out = np.full((len(sizes), coordinates), 0xFFFFFFFF, np.uint32)
     full = np.flatnonzero(sizes)
@@ -96,7 +95,7 @@ def signatures(shingles: np.ndarray, sizes: np.ndarray, coordinates: int = COORD
     return out
 
 
-def band_keys(signature: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> np.ndarray:
+def band_keys(signature: np.ndarray, bands: int, rows: int = ROWS) -> np.ndarray:
     s = signature.astype(np.uint64).reshape(len(signature), bands, rows)
     h = np.zeros((len(signature), bands), np.uint64)
     for r in range(rows):
@@ -107,80 +106,10 @@ def band_keys(signature: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> np
 _SKETCH = "doc_id bigint, n_shingles bigint, d1 bigint, d2 bigint, sig binary"
 
 
-def _sketch(batches):
-    for batch in batches:
-        done = 0
-        for shingles, sizes in shingle_sets(batch.column(1)):
-            n = len(sizes)
-            sig = signatures(shingles, sizes)
-            ends = np.cumsum(sizes)
-            digest = []
-            for salt in (0x2545F4914F6CDD1D, 0xD6E8FEB86659FD93):
-                total = np.zeros(len(shingles) + 1, np.uint64)
-                np.cumsum(tb.mix64(shingles * np.uint64(salt)), out=total[1:])
-                digest.append(tb.as_signed(total[ends] - total[ends - sizes]))
-            yield pa.RecordBatch.from_arrays([
-                batch.column(0).slice(done, n),
-                pa.array(sizes),
-                pa.array(digest[0]), pa.array(digest[1]),
-                pa.array([s.tobytes() for s in sig], pa.binary()),
-            ], names=["doc_id", "n_shingles", "d1", "d2", "sig"])
-            done += n
-
-
-def sketches(docs: DataFrame) -> DataFrame:
-    """Per row: set size, 128-bit set digest and signature (one pass over the texts)."""
-    return keys_and_text(docs).mapInArrow(_sketch, _SKETCH)
-
-
 def _signatures_of(column, n: int) -> np.ndarray:
     return np.frombuffer(tb.utf8_column(column)[0].tobytes(), np.uint32).reshape(n, -1)
 
 
-def _band_rows(batches):
-    """(doc_id, n_shingles, sig) -> one row a band: band, key, doc_id, n_shingles."""
-    for batch in batches:
-        n = batch.num_rows
-        if n:
-            keys = tb.as_signed(band_keys(_signatures_of(batch.column(2), n))).ravel()
-            at = pa.array(np.repeat(np.arange(n), BANDS))
-            yield pa.RecordBatch.from_arrays([pa.array(np.tile(np.arange(BANDS, dtype=np.int32), n)), pa.array(keys),
-                                              batch.column(0).take(at), batch.column(1).take(at)], names=["band", "key", "doc_id", "n_shingles"])
-
-
-def _linked(both, na, nb):
-    return (both > 0) & (INTER * both >= UNION * (na + nb - both))
-
-
-def _sets(column) -> list[np.ndarray]:
-    out = []
-    for shingles, sizes in shingle_sets(column):
-        out += np.split(shingles, np.cumsum(sizes)[:-1])
-    return out
-
-
-def _check_pairs(batches):
-    """(a, b, text_a, text_b) -> the linked (a, b): exact Jaccard on the full sets."""
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        keep = [bool(_linked(len(np.intersect1d(x, y, assume_unique=True)), len(x), len(y)))
-                for x, y in zip(_sets(batch.column(2)), _sets(batch.column(3)))]
-        yield pa.RecordBatch.from_arrays([c.filter(pa.array(keep)) for c in batch.columns[:2]], names=["a", "b"])
-
-
-def _screen_pairs(batches):
-    """(a, b, na, nb, sig_a, sig_b) -> pairs that sizes and signatures allow."""
-    for batch in batches:
-        n = batch.num_rows
-        if not n:
-            continue
-        ok = (_signatures_of(batch.column(4), n) == _signatures_of(batch.column(5), n)).sum(axis=1) >= SCREEN
-        na, nb = (batch.column(i).to_numpy() for i in (2, 3))
-        ok &= INTER * np.minimum(na, nb) >= UNION * np.maximum(na, nb)
-        yield pa.RecordBatch.from_arrays([c.filter(pa.array(ok)) for c in batch.columns[:2]], names=["a", "b"])
-
-
 _BLOCK_KEYS = ["band", "key", "i", "j"]
 
 
@@ -211,55 +140,130 @@ def _cross(table):
     return doc, comp, salt, n, i, j, ask
 
 
-def _may_pair(x, comp, salt, n, same_block):
-    """Members of other components whose size allows a link with member ``x`` (blocks differ unless the group is one)."""
-    ok = (comp != comp[x]) & (INTER * np.minimum(n, n[x]) >= UNION * np.maximum(n, n[x]))
-    return ok if same_block else ok & (salt != salt[x])
-
-
-def _screen_blocks(batches):
-    """Block rows with signatures -> the members with a partner that the signatures allow."""
-    for table in _groups(batches):
-        doc, comp, salt, n, i, j, ask = _cross(table)
-        sig = _signatures_of(table.column("sig").combine_chunks(), len(doc))
-        hit = np.zeros(len(doc), bool)
-        for x in ask.tolist():
-            at = np.flatnonzero(_may_pair(x, comp, salt, n, i == j))
-            near = at[(sig[at] == sig[x]).sum(axis=1) >= SCREEN]
-            if len(near):
-                hit[x] = True
-                hit[near] = True
-        if hit.any():
-            yield table.select([*_BLOCK_KEYS, "doc_id", "comp", "salt", "n_shingles"]).filter(pa.array(hit)).combine_chunks().to_batches()[0]
-
-
-def _check_blocks(batches):
-    """Block rows with texts -> links (a, b), one for each pair of components that a member joins."""
-    for table in _groups(batches):
-        doc, comp, salt, n, i, j, ask = _cross(table)
-        if not len(ask):
-            continue
-        sets = _sets(table.column("text"))
-        _, where, df = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-        place = np.where(df > 1, np.cumsum(df > 1) - 1, -1)[where]         # shingles of one member alone can't be common
-        size = int((df > 1).sum())
-        bits = np.zeros((len(sets), -(-max(size, 1) // 64) * 8), np.uint8)
-        for r, own in enumerate(np.split(place, np.cumsum([len(s) for s in sets])[:-1])):
-            row = np.zeros(bits.shape[1] * 8, np.uint8)
-            row[own[own >= 0]] = 1
-            bits[r] = np.packbits(row)
-        bits = bits.view(np.uint64)
-        a, b = [], []
-        for x in ask.tolist():
-            at = np.flatnonzero(_may_pair(x, comp, salt, n, i == j))
-            if len(at):
-                both = np.bitwise_count(bits[at] & bits[x]).sum(axis=1).astype(np.int64)
-                at = at[_linked(both, n[at], n[x])]
-                _, one = np.unique(comp[at], return_index=True)
-                a += [doc[x]] * len(one)
-                b += doc[at[one]].tolist()
-        if a:
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+@dataclass(frozen=True)
+class Rule:
+    """When two documents are near duplicates, and the signature that finds them; its methods run in tasks."""
+
+    words: int              # of a shingle
+    percent: int            # linked: 100 * |A & B| >= percent * |A | B|
+    bands: int
+    screen: int             # agreeing coordinates that a pair at the threshold has (all but 1e-9)
+
+    def sketch(self, batches):
+        for batch in batches:
+            done = 0
+            for shingles, sizes in shingle_sets(batch.column(1), self.words):
+                n = len(sizes)
+                sig = signatures(shingles, sizes, self.bands * ROWS)
+                ends = np.cumsum(sizes)
+                digest = []
+                for salt in (0x2545F4914F6CDD1D, 0xD6E8FEB86659FD93):
+                    total = np.zeros(len(shingles) + 1, np.uint64)
+                    np.cumsum(tb.mix64(shingles * np.uint64(salt)), out=total[1:])
+                    digest.append(tb.as_signed(total[ends] - total[ends - sizes]))
+                yield pa.RecordBatch.from_arrays([
+                    batch.column(0).slice(done, n),
+                    pa.array(sizes),
+                    pa.array(digest[0]), pa.array(digest[1]),
+                    pa.array([s.tobytes() for s in sig], pa.binary()),
+                ], names=["doc_id", "n_shingles", "d1", "d2", "sig"])
+                done += n
+
+    def band_rows(self, batches):
+        """(doc_id, n_shingles, sig) -> one row a band: band, key, doc_id, n_shingles."""
+        for batch in batches:
+            n = batch.num_rows
+            if n:
+                keys = tb.as_signed(band_keys(_signatures_of(batch.column(2), n), self.bands)).ravel()
+                at = pa.array(np.repeat(np.arange(n), self.bands))
+                yield pa.RecordBatch.from_arrays([pa.array(np.tile(np.arange(self.bands, dtype=np.int32), n)), pa.array(keys),
+                                                  batch.column(0).take(at), batch.column(1).take(at)], names=["band", "key", "doc_id", "n_shingles"])
+
+    def linked(self, both, na, nb):
+        return (both > 0) & (100 * both >= self.percent * (na + nb - both))
+
+    def sets(self, column) -> list[np.ndarray]:
+        out = []
+        for shingles, sizes in shingle_sets(column, self.words):
+            out += np.split(shingles, np.cumsum(sizes)[:-1])
+        return out
+
+    def check_pairs(self, batches):
+        """(a, b, text_a, text_b) -> the linked (a, b): exact Jaccard on the full sets."""
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keep = [bool(self.linked(len(np.intersect1d(x, y, assume_unique=True)), len(x), len(y)))
+                    for x, y in zip(self.sets(batch.column(2)), self.sets(batch.column(3)))]
+            yield pa.RecordBatch.from_arrays([c.filter(pa.array(keep)) for c in batch.columns[:2]], names=["a", "b"])
+
+    def screen_pairs(self, batches):
+        """(a, b, na, nb, sig_a, sig_b) -> pairs that sizes and signatures allow."""
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
+                continue
+            ok = (_signatures_of(batch.column(4), n) == _signatures_of(batch.column(5), n)).sum(axis=1) >= self.screen
+            na, nb = (batch.column(i).to_numpy() for i in (2, 3))
+            ok &= 100 * np.minimum(na, nb) >= self.percent * np.maximum(na, nb)
+            yield pa.RecordBatch.from_arrays([c.filter(pa.array(ok)) for c in batch.columns[:2]], names=["a", "b"])
+
+    def may_pair(self, x, comp, salt, n, same_block):
+        """Members of other components whose size allows a link with member ``x`` (blocks differ unless the group is one)."""
+        ok = (comp != comp[x]) & (100 * np.minimum(n, n[x]) >= self.percent * np.maximum(n, n[x]))
+        return ok if same_block else ok & (salt != salt[x])
+
+    def screen_blocks(self, batches):
+        """Block rows with signatures -> the members with a partner that the signatures allow."""
+        for table in _groups(batches):
+            doc, comp, salt, n, i, j, ask = _cross(table)
+            sig = _signatures_of(table.column("sig").combine_chunks(), len(doc))
+            hit = np.zeros(len(doc), bool)
+            for x in ask.tolist():
+                at = np.flatnonzero(self.may_pair(x, comp, salt, n, i == j))
+                near = at[(sig[at] == sig[x]).sum(axis=1) >= self.screen]
+                if len(near):
+                    hit[x] = True
+                    hit[near] = True
+            if hit.any():
+                yield table.select([*_BLOCK_KEYS, "doc_id", "comp", "salt", "n_shingles"]).filter(pa.array(hit)).combine_chunks().to_batches()[0]
+
+    def check_blocks(self, batches):
+        """Block rows with texts -> links (a, b), one for each pair of components that a member joins."""
+        for table in _groups(batches):
+            doc, comp, salt, n, i, j, ask = _cross(table)
+            if not len(ask):
+                continue
+            sets = self.sets(table.column("text"))
+            _, where, df = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+            place = np.where(df > 1, np.cumsum(df > 1) - 1, -1)[where]         # shingles of one member alone can't be common
+            size = int((df > 1).sum())
+            bits = np.zeros((len(sets), -(-max(size, 1) // 64) * 8), np.uint8)
+            for r, own in enumerate(np.split(place, np.cumsum([len(s) for s in sets])[:-1])):
+                row = np.zeros(bits.shape[1] * 8, np.uint8)
+                row[own[own >= 0]] = 1
+                bits[r] = np.packbits(row)
+            bits = bits.view(np.uint64)
+            a, b = [], []
+            for x in ask.tolist():
+                at = np.flatnonzero(self.may_pair(x, comp, salt, n, i == j))
+                if len(at):
+                    both = np.bitwise_count(bits[at] & bits[x]).sum(axis=1).astype(np.int64)
+                    at = at[self.linked(both, n[at], n[x])]
+                    _, one = np.unique(comp[at], return_index=True)
+                    a += [doc[x]] * len(one)
+                    b += doc[at[one]].tolist()
+            if a:
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+
+OP10 = Rule(words=3, percent=85, bands=20, screen=44)
+GENERAL = Rule(words=5, percent=80, bands=28, screen=60)
+
+
+def sketches(docs: DataFrame, rule: Rule) -> DataFrame:
+    """Per row: set size, 128-bit set digest and signature (one pass over the texts)."""
+    return keys_and_text(docs).mapInArrow(rule.sketch, _SKETCH)
 
 
 def merge_components(staging: Staging, labels: DataFrame, links: DataFrame) -> DataFrame:
@@ -295,17 +299,17 @@ def merge_components(staging: Staging, labels: DataFrame, links: DataFrame) -> D
     return out
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
+def near_duplicates(docs: DataFrame, rule: Rule = OP10) -> DataFrame:
     """Per input row: doc_id, n_shingles, component_id (least doc_id of its group), kept."""
     spark = docs.sparkSession
     st = Staging(spark, "minhash")
-    rows = st.save(sketches(docs), "sketches")
+    rows = st.save(sketches(docs, rule), "sketches")
     full = rows.where("n_shingles > 0 and doc_id is not null")
     # All rows of a digest have the same signature, so any of them serves.
     reps = st.save(full.groupBy("n_shingles", "d1", "d2").agg(F.min("doc_id").alias("doc_id"), F.any_value("sig").alias("sig")), "reps")
 
     # Buckets with at least two members; the others can't give a pair.
-    bands = reps.select("doc_id", "n_shingles", "sig").mapInArrow(_band_rows, "band int, key bigint, doc_id bigint, n_shingles bigint")
+    bands = reps.select("doc_id", "n_shingles", "sig").mapInArrow(rule.band_rows, "band int, key bigint, doc_id bigint, n_shingles bigint")
     bands = st.save(bands, "bands")
     shared = bands.groupBy("band", "key").agg(F.min("doc_id").alias("hub"), F.max("doc_id").alias("hi")).where("hub <> hi").select("band", "key", "hub")
     members = st.save(bands.join(shared, ["band", "key"]), "members")
@@ -320,9 +324,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     pairs = members.where("doc_id <> hub").select(F.col("hub").alias("a"), F.col("doc_id").alias("b")).distinct()
     side = lambda t, k, c: t.select(F.col("doc_id").alias(k), *[F.col(x).alias(f"{x}_{k}") for x in c])
     screened = st.save(pairs.join(side(sigs, "a", ["n_shingles", "sig"]), "a").join(side(sigs, "b", ["n_shingles", "sig"]), "b").select(
-        "a", "b", "n_shingles_a", "n_shingles_b", "sig_a", "sig_b").mapInArrow(_screen_pairs, "a bigint, b bigint"), "screened")
+        "a", "b", "n_shingles_a", "n_shingles_b", "sig_a", "sig_b").mapInArrow(rule.screen_pairs, "a bigint, b bigint"), "screened")
     checked = screened.join(side(texts, "a", ["text"]), "a").join(side(texts, "b", ["text"]), "b").select("a", "b", "text_a", "text_b")
-    labels = merge_components(st, labels, st.save(checked.mapInArrow(_check_pairs, "a bigint, b bigint"), "links"))
+    labels = merge_components(st, labels, st.save(checked.mapInArrow(rule.check_pairs, "a bigint, b bigint"), "links"))
 
     # Buckets of several components: a bucket of two has been checked whole.
     now = members.join(labels, "doc_id")
@@ -335,9 +339,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     in_blocks = lambda t: t.repartition(*_BLOCK_KEYS).sortWithinPartitions(*_BLOCK_KEYS)
     plain = "band int, key bigint, i int, j int, doc_id bigint, comp bigint, salt int, n_shingles bigint"
     near = in_blocks(rows_in.join(sigs.select("doc_id", "sig"), "doc_id").select(*_BLOCK_KEYS, "doc_id", "comp", "salt", "n_shingles", "sig"))
-    near = st.save(near.mapInArrow(_screen_blocks, plain), "near")
+    near = st.save(near.mapInArrow(rule.screen_blocks, plain), "near")
     whole = in_blocks(near.join(texts, "doc_id").select(*_BLOCK_KEYS, "doc_id", "comp", "salt", "n_shingles", "text"))
-    more = st.save(whole.mapInArrow(_check_blocks, "a bigint, b bigint").distinct(), "links")
+    more = st.save(whole.mapInArrow(rule.check_blocks, "a bigint, b bigint").distinct(), "links")
     if more.limit(1).count():
         labels = merge_components(st, labels, more)
     for t in (members, texts, sigs, near, screened):
@@ -352,13 +356,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
                       F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
 
-def drop_near_duplicates(docs: DataFrame) -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, rule: Rule = GENERAL) -> DataFrame:
     """The documents that are the least id of their group; all columns stay.
 
     Rows with a null doc_id stay; rows that repeat one doc_id are one document
     and stay or go together.
     """
-    gone = near_duplicates(docs).where("not kept").select(F.col("doc_id").alias("_gone_id")).distinct()
+    gone = near_duplicates(docs, rule).where("not kept").select(F.col("doc_id").alias("_gone_id")).distinct()
     return docs.join(gone, docs["doc_id"].cast("bigint") == gone["_gone_id"], "left_anti")
 
 

@@ -8,7 +8,7 @@ from cases import edge_documents, empty_documents
 from shoplens.llm import minhash
 
 
-def brute(rows):
+def brute(rows, size=3, percent=85):
     """doc_id -> (set size, component) over all pairs."""
     sets = {}
     for i, text in rows:
@@ -16,12 +16,12 @@ def brute(rows):
         for c in "\t\n\x0b\x0c\r":
             low = low.replace(c, " ")
         w = [x for x in low.split(" ") if x]
-        sets[i] = {tuple(w)} if 0 < len(w) < 3 else {tuple(w[k:k + 3]) for k in range(len(w) - 2)}
+        sets[i] = {tuple(w)} if 0 < len(w) < size else {tuple(w[k:k + size]) for k in range(len(w) - size + 1)}
     comp = {i: i for i in sets}
     for a in sets:
         for b in sets:
             both = len(sets[a] & sets[b])
-            if a < b and both and 100 * both >= 85 * len(sets[a] | sets[b]):
+            if a < b and both and 100 * both >= percent * len(sets[a] | sets[b]):
                 x, y = comp[a], comp[b]
                 comp = {k: min(x, y) if v in (x, y) else v for k, v in comp.items()}
     return {i: (len(sets[i]), comp[i]) for i in sets}
@@ -52,6 +52,23 @@ def test_components_equal_brute_force(spark, monkeypatch, block):
     assert all(r.kept == (r.doc_id == r.component_id) for r in got)
 
 
+@pytest.mark.parametrize("block", [1024, 4])
+def test_the_general_rule_equals_brute_force(spark, monkeypatch, block):
+    """Five words and 0.8: scattered edits, and whole passages added or cut."""
+    monkeypatch.setattr(minhash, "BLOCK", block)
+    rows = near_rows(6, words=150)
+    rnd = random.Random(2)
+    for i in range(1000, 1080):
+        base = rows[rnd.randrange(150)][1].split()
+        cut = rnd.randrange(0, 45)
+        at = rnd.randrange(len(base) - cut)
+        rows.append((i, " ".join(base[:at] + base[at + cut:] if i % 2 else base[:at] + [f"n{i}x{k}" for k in range(cut)] + base[at:])))
+    got = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4), minhash.GENERAL).collect()
+    expect = brute(rows, 5, 80)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == expect
+    assert expect != {i: (n, c) for i, (n, c) in brute(rows).items()}
+
+
 def test_a_chain_of_links_is_one_component(spark):
     words = [f"w{i}" for i in range(200)]
     rows = [(100 - k, " ".join(words[4 * k:4 * k + 120])) for k in range(20)]

@@ -29,7 +29,7 @@ def test_pipeline_equals_its_parts(spark):
         d = stage(spark, d, SF01)
         assert d.columns == docs.columns
     kept = {r.doc_id: r.text for r in d.collect()}
-    near = {r.doc_id for r in minhash.near_duplicates(docs).where("kept").collect()}
+    near = {r.doc_id for r in minhash.near_duplicates(docs, minhash.GENERAL).where("kept").collect()}
     bad = {r.doc_id for r in decontam.contamination(docs, spark.read.parquet(f"{SF01}/benchmark.parquet")).where("contaminated").collect()}
     assert set(kept) == near - bad                      # every text of this table has a language
     assert kept == {r.doc_id: secrets.redact_text(r.text) for r in docs.collect() if r.doc_id in kept}
