@@ -5,7 +5,8 @@ returns a DataFrame, written as Parquet and reread as the next one's ``docs``.
 All but the last return the columns of ``documents``.
 
 1. language ID (op 4): documents without a determined language go;
-2. near-dedup (op 10): one document of each near-duplicate group stays;
+2. near-dedup (op 10): one document of each near-duplicate group stays (five-word
+   shingles, a similarity of 0.8 or more);
 3. decontamination (op 2): documents that hold enough of the benchmark go;
 4. secrets (op 7): every secret found is replaced by a mark, documents stay;
 5. packing (op 3): the pieces of all documents left, with their sequence.
@@ -26,7 +27,7 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group stays, the one of least doc_id."""
-    return minhash.drop_near_duplicates(docs)
+    return minhash.drop_near_duplicates(docs, minhash.GENERAL)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
