@@ -138,7 +138,7 @@ class ShopQueries:
 
     # the stream jobs themselves, run over the clicks when the query is built
     def _stream(self):
-        return replayed(self.t.spark, self.t.sf_dir, self.t, self.c)
+        return replayed(self.t.spark, self.t, self.c)
 
     def q7_stream_blacklist(self):
         return self._stream().blacklist_batch()

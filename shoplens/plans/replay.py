@@ -46,9 +46,10 @@ def replay(spark: SparkSession, tables: ShopTables, c: Conditions) -> AdsStreamJ
     return job
 
 
-def replayed(spark: SparkSession, key: str, tables: ShopTables, c: Conditions) -> AdsStreamJob:
-    """``replay``, once a session and input."""
-    at = (spark.sparkContext.applicationId, key, c)
+def replayed(spark: SparkSession, tables: ShopTables, c: Conditions) -> AdsStreamJob:
+    """``replay``, once a session and input (the kind of tables and where they are)."""
+    place = tuple(sorted((k, v) for k, v in vars(tables).items() if isinstance(v, str)))
+    at = (spark.sparkContext.applicationId, type(tables).__name__, place, c)
     if at not in _DONE:
         _DONE[at] = replay(spark, tables, c)
     return _DONE[at]

@@ -47,9 +47,13 @@ def test_large_parameters_are_not_hinted(spark):
     assert own >= 0 and hints(few) == hints(many) + 1
 
 
-def test_sample_is_limited_per_task(spark):
+def test_sample_is_cut_before_it_is_gathered(spark):
+    """Sessions are counted by (hour, bin) in every task, and only those up to an hour's last bin are gathered."""
     plan = ShopQueries(FixtureTables(spark, SF01)).q2_session_sample()._jdf.queryExecution().executedPlan().toString()
-    assert "WindowGroupLimit" in plan
+    gathered = plan[plan.index("collect_list(struct(h"):]
+    assert "(bin#" in gathered and "<= last#" in gathered[:gathered.index("Scan")]
+    counted = [x for x in plan.splitlines() if "partial_count(1)" in x and "day_hour" in x and "bin#" in x]
+    assert counted and "Window" not in plan
 
 
 def test_fact_table_is_never_the_broadcast_side(spark):
