@@ -41,7 +41,7 @@ END_ID = 0
 ISLAND_PIECES = 4096
 ELITE = 0.995
 MAX_EPOCHS = 6
-POPULATION, GENERATIONS, LEAST = 6, 80, 10
+POPULATION, GENERATIONS, LEAST = 6, 160, 10
 
 _PIECE = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 
@@ -163,12 +163,12 @@ def noisy_order(items: list[int], lengths: list[int], least: float, rng) -> list
 def mutate(bins, lengths, size, rng) -> list[list[int]]:
     """Dissolves some of the emptiest sequences and a few random ones, and puts their documents back by best fit."""
     fills = np.array([sum(map(lengths.__getitem__, b)) for b in bins])
-    loose = int((fills < ELITE * size).sum())
+    loose = int((fills < size * rng.choice([ELITE, 1.0])).sum())
     k = int(rng.integers(2, 2 * loose + 3))
     gone = set(np.argsort(fills, kind="stable")[:k].tolist())
     gone |= set(rng.choice(len(bins), size=min(len(bins), int(rng.integers(1, 4 + k // 2))), replace=False).tolist())
     free = [i for b in sorted(gone) for i in bins[b]]
-    order = noisy_order(free, lengths, rng.choice([0.8, 0.9, 0.97, 1.0]), rng)
+    order = noisy_order(free, lengths, rng.choice([0.8, 0.9, 0.97, 0.99, 1.0]), rng)
     return best_fit(lengths, order, size, [list(x) for b, x in enumerate(bins) if b not in gone])
 
 
