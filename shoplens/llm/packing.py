@@ -41,7 +41,8 @@ END_ID = 0
 ISLAND_PIECES = 4096
 ELITE = 0.995
 MAX_EPOCHS = 6
-POPULATION, GENERATIONS, LEAST = 6, 160, 10
+POPULATION, LEAST = 6, 10
+GENERATIONS, MOST = 160, 2000       # of an island of ISLAND_PIECES, and of a small one
 
 _PIECE = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 
@@ -173,7 +174,7 @@ def mutate(bins, lengths, size, rng) -> list[list[int]]:
 
 
 def evolve(lengths: list[int], size: int, seed: int, groups: list[list[int]] | None = None,
-           population: int = POPULATION, generations: int = GENERATIONS, log: dict | None = None) -> list[list[int]]:
+           population: int = POPULATION, generations: int | None = None, log: dict | None = None) -> list[list[int]]:
     """Sequences (lists of item numbers) for one island; ``groups``: migrated sequences, a first parent.
 
     The first population is packed in random and in roughly falling order.  It evolves
@@ -184,6 +185,8 @@ def evolve(lengths: list[int], size: int, seed: int, groups: list[list[int]] | N
     """
     if not lengths:
         return []
+    if generations is None:                        # a small island's generations are cheap
+        generations = min(MOST, max(GENERATIONS, GENERATIONS * ISLAND_PIECES // len(lengths)))
     lower = -(-sum(lengths) // size)
     rng = np.random.default_rng(seed)
     items = list(range(len(lengths)))
