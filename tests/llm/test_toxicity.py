@@ -1,4 +1,11 @@
+import math
+import random
+import re
+import zlib
+from collections import Counter
+
 import numpy as np
+import pyarrow as pa
 from cases import SF01, edge_documents, empty_documents
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -49,7 +56,97 @@ def test_held_out_labels_are_not_read(spark):
     labels = spark.read.parquet(f"{SF01}/labels.parquet")
     spoiled = labels.withColumn("toxic", F.when(toxicity.held_out(parts=5, part=0), 1 - F.col("toxic")).otherwise(F.col("toxic")))
     a, b = (toxicity.fit(docs, x) for x in (labels, spoiled))
-    assert np.array_equal(a.score, b.score, equal_nan=True) and (a.slope, a.shift) == (b.slope, b.shift)
+    assert np.array_equal(a.odds, b.odds, equal_nan=True) and np.array_equal(a.z, b.z, equal_nan=True)
+    assert (a.at, a.decay, a.rate, a.slope, a.shift) == (b.at, b.decay, b.rate, b.slope, b.shift)
+
+
+WORD = re.compile("[^\\x00-\\x2f\\x3a-\\x60\\x7b-\\x7f]+")
+
+
+def plain_features(word):
+    """Buckets of one word, by the library's hash alone."""
+    ((data, starts, ends, _, hashes),) = list(toxicity.batch_words(pa.array([word])))
+    return [int(x) for x in toxicity.features(data, starts, ends, hashes)[:, 0]]
+
+
+def plain_words(text):
+    return WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+
+
+def small_corpus():
+    """300 labelled texts with graded words, copies of texts and unlabelled ones."""
+    rnd = random.Random(5)
+    words = [f"word{i}" for i in range(40)]
+    rows, labels = [], []
+    for i in range(300):
+        bad = i % 3 == 0
+        own = rnd.choices(words, k=rnd.randrange(0, 14)) + (rnd.choices(["Vile", "scum", "scummy", "slür"], k=rnd.randrange(1, 4)) if bad else [])
+        rnd.shuffle(own)
+        rows.append((i, " ".join(own) if i % 50 else None))
+        labels.append((i, int(bad)))
+    rows += [(1000 + i, rows[i % 7 + 1][1]) for i in range(60)] + [(2000 + i, f"vile unlabelled word{i}") for i in range(30)]
+    return rows, labels
+
+
+def test_scores_equal_a_plain_version(spark):
+    """Counts, log-odds, z-scores, token scores, segments and calibrated scores, row by row without arrays."""
+    rows, labels = small_corpus()
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
+    model = toxicity.fit(docs, spark.createDataFrame(labels, "doc_id bigint, toxic int"))
+
+    text, known = dict(rows), set()
+    for i, y in labels:
+        if zlib.crc32(str(i).encode()) % 5:
+            known.add((text[i], y))
+    counts = {y: Counter(f for t, own in known if own == y for f in {f for w in plain_words(t) for f in plain_features(w)}) for y in (0, 1)}
+    different = {t for _, t in rows}
+    corpus = Counter(f for t in different for f in {f for w in plain_words(t) for f in plain_features(w)})
+    size, n_all = {y: counts[y].total() for y in (0, 1)}, corpus.total()
+    for f in counts[0].keys() | counts[1].keys():
+        y = {c: counts[c][f] + toxicity.PRIOR * size[c] * corpus[f] / n_all for c in (0, 1)}
+        all_of = {c: (1 + toxicity.PRIOR) * size[c] for c in (0, 1)}
+        odds = math.log(y[1] / (all_of[1] - y[1])) - math.log(y[0] / (all_of[0] - y[0]))
+        assert math.isclose(model.odds[f], odds, rel_tol=1e-5, abs_tol=1e-5)
+        assert math.isclose(model.z[f], odds / math.sqrt(1 / y[1] + 1 / y[0]), rel_tol=1e-5, abs_tol=1e-5)
+    assert np.isfinite(model.odds).sum() == len(counts[0].keys() | counts[1].keys())
+
+    def token(word):
+        for f in plain_features(word):
+            if model.z[f] >= model.at:
+                return float(model.odds[f])
+            if model.z[f] <= toxicity.CLEAN_Z:
+                break
+        return toxicity.DRIFT
+
+    for r in toxicity.score(docs, model).collect():
+        s = [token(w) for w in plain_words(text[r.doc_id])]
+        best = max((sum(s[a:b]) for a in range(len(s)) for b in range(a + 1, len(s) + 1)), default=0.0)
+        expected = 0.0
+        if best > 0:
+            x = min(toxicity.SATURATED, model.decay * best - math.log(model.rate * len(s)))
+            expected = 1 / (1 + math.exp(-max(-50.0, min(50.0, model.slope * x + model.shift))))
+        assert math.isclose(r.score, expected, rel_tol=1e-6, abs_tol=1e-9) and r.predicted == int(r.score >= 0.5)
+
+
+def test_levels_are_judged_on_other_folds(spark):
+    """A word that stands in one toxic text alone never helps a text of another fold: noise asks for a strict level."""
+    rnd = random.Random(11)
+    rows = [(i, " ".join(f"w{rnd.randrange(400)}" for _ in range(30)) + (" vile" if i % 5 == 0 else "")) for i in range(500)]
+    labels = spark.createDataFrame([(i, int(i % 5 == 0)) for i in range(500)], "doc_id bigint, toxic int")
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    model = toxicity.fit(docs, labels)
+    vile = plain_features("vile")[0]
+    assert model.z[vile] >= model.at
+    noise = [plain_features(f"w{i}")[0] for i in range(400)]
+    assert sum(model.z[f] >= model.at for f in noise) <= 2
+    by = {r.doc_id: r.predicted for r in toxicity.score(docs, model).collect()}
+    assert sum(by[i] != int(i % 5 == 0) for i in by) <= 5
+
+
+def test_thresholds_grow_with_the_features_tested():
+    a, b = toxicity.thresholds(1000), toxicity.thresholds(1_000_000)
+    assert all(x < y for x, y in zip(a, b)) and a == sorted(a)
+    assert toxicity.thresholds(0)[0] == toxicity.MIN_Z
 
 
 def test_copies_do_not_make_their_words_toxic(spark):
