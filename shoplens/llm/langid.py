@@ -6,8 +6,8 @@ temperature calibrated.
 
 * Document frequencies cover every document that may be learned from.
 * The regression is fitted on a bounded sample of them: about
-  ``SAMPLE_PER_LANG`` documents of each language, picked by a hash of the id;
-  one in five of the sample is kept for the temperature.
+  ``SAMPLE_PER_LANG`` different documents of each language, picked by a hash of id
+  and text; one in five of the sample is kept for the temperature.
 * Every text is then scored whole, in one pass without a shuffle.
 
 Learned from: rows with a doc_id, a non-null lang and a text with a letter whose
@@ -16,7 +16,9 @@ prediction.
 
 Defined cases: null text and text without a letter are ``und`` with score 0;
 with nothing to learn from every row is ``und``; a null doc_id is not held out
-and not learned from; repeated rows get a row each; other columns are ignored.
+and not learned from; repeated rows get a row each and are learned from once; other
+columns are ignored.  A text is scanned whole whatever its length; of languages with
+equal probability the first in alphabetical order is predicted.
 """
 
 from __future__ import annotations
@@ -142,7 +144,9 @@ def fit(docs: DataFrame, sample_per_lang: int = SAMPLE_PER_LANG, epochs: int = 2
     """The model from the rows that may be learned from; only bounded frames reach the driver."""
     rows = docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), docs["text"].cast("string").alias("text"),
                        docs["lang"].cast("string").alias("lang")).where("doc_id is not null and lang is not null").where(~held_out())
-    by_lang = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    # Rows are picked by text and id, so copies of a row are picked together and learned from once.
+    h = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30))
+    by_lang = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.approx_count_distinct(h, 0.02).alias("n")).collect()}
     langs = sorted(by_lang)
     if not langs:
         return LanguageModel([], None, None, 1.0)
@@ -156,12 +160,13 @@ def fit(docs: DataFrame, sample_per_lang: int = SAMPLE_PER_LANG, epochs: int = 2
             df[r["bucket"]] = r["df"]
     idf = np.log((1.0 + total) / (1.0 + df)) + 1.0
 
-    h = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
     wanted = F.lit(False)
     for lang, n in by_lang.items():
-        wanted |= (F.col("lang") == lang) & (h < min(1 << 30, -(-(1 << 30) * sample_per_lang // n)))
-    sample = rows.where(wanted).select(h.alias("h"), "lang", "text").mapInArrow(
-        _sample_rows, "h bigint, lang string, buckets array<int>, counts array<int>").limit(2 * sample_per_lang * len(langs)).toArrow()
+        wanted |= (F.col("lang") == lang) & (h < min(1 << 30, -(-(1 << 30) * sample_per_lang // max(n, 1))))
+    picked = rows.where(wanted).groupBy(h.alias("h"), "lang").agg(F.min("text").alias("text"))
+    # The bound lies far above the expected size; should it bind, the least hashes are taken.
+    sample = picked.orderBy("h", "lang").limit(2 * sample_per_lang * len(langs)).mapInArrow(
+        _sample_rows, "h bigint, lang string, buckets array<int>, counts array<int>").toArrow()
     sample = sample.sort_by([("h", "ascending"), ("lang", "ascending")]) if sample.num_rows else sample
     number = {x: i for i, x in enumerate(langs)}
     data = []
