@@ -93,11 +93,11 @@ def _count(kinds: int):
     return run
 
 
-def tally(rows: DataFrame, kinds: int = 1) -> tuple[np.ndarray, np.ndarray]:
+def tally(rows: DataFrame, kinds: int = 1, counts: str = "bigint") -> tuple[np.ndarray, np.ndarray]:
     """(buckets that occur, their counts by kind) of ``text, kind, weight``; at most BUCKETS rows are gathered."""
     names = [f"k{k}" for k in range(kinds)]
     table = rows.select("text", "kind", "weight").mapInArrow(_count(kinds), "bucket int, " + ", ".join(f"{k} double" for k in names)).groupBy(
-        "bucket").agg(*[F.rint(F.sum(k)).cast("bigint").alias(k) for k in names]).orderBy("bucket").toArrow()
+        "bucket").agg(*[F.rint(F.sum(k)).cast(counts).alias(k) for k in names]).orderBy("bucket").toArrow()
     # Shares of copies add up to whole texts, whatever the order of the sum.
     return table["bucket"].to_numpy(), np.stack([table[k].to_numpy() for k in names])
 
@@ -299,7 +299,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_labels: int = MAX_LABELS) -> Tox
     # Of exact copies with one label a single row is learned from, so a group of copies can't make its words significant.
     known = rows.join(known, "doc_id").groupBy(F.xxhash64("text").alias("h"), "label").agg(F.first("text").alias("text"))
     known = staging.save(known.select("text", "label", F.pmod("h", F.lit(FOLDS)).cast("int").alias("fold")), "labels")
-    bucket, counts = tally(known.select("text", (F.col("fold") * 2 + F.col("label")).alias("kind"), F.lit(1.0).alias("weight")), 2 * FOLDS)
+    bucket, counts = tally(known.select("text", (F.col("fold") * 2 + F.col("label")).alias("kind"), F.lit(1.0).alias("weight")), 2 * FOLDS, "int")
     clean, toxic = (counts[i::2].astype(float) for i in (0, 1))
     n_clean, n_toxic = clean.sum(1), toxic.sum(1)
     if not n_toxic.sum() or not n_clean.sum():
