@@ -1,3 +1,6 @@
+import math
+import zlib
+
 import pyarrow as pa
 from cases import SF01, edge_documents, empty_documents
 from pyspark.sql import functions as F
@@ -29,6 +32,24 @@ def test_ensemble_is_sparse_and_pure_column(spark):
     assert "CASE WHEN" in plan and "PythonUDF" not in plan.split("MapInArrow")[0]
 
 
+def test_compiled_score_equals_the_rules_row_by_row(spark):
+    docs, labels, _ = scored(spark)
+    stats = quality.statistics(docs.union(docs.limit(1).withColumn("text", F.lit(None).cast("string"))))
+    model = quality.fit(stats, labels)
+    got, plain, scores = quality.score(stats, model).collect(), {}, {}
+    assert len(got) == docs.count() + 1
+    for r in got:
+        scores.setdefault(r.doc_id, set()).add(round(r.score, 9))
+    for r in stats.collect():
+        logit = model.intercept
+        for rule, weight in model.rules:
+            if all(r[name] <= at if op == "<=" else r[name] > at for name, op, at in rule):
+                logit += weight
+        plain.setdefault(r.doc_id, set()).add(round(1 / (1 + math.exp(-max(-40.0, min(40.0, logit)))), 9))
+    assert scores == plain
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) and r.predicted == int(r.score >= 0.7) for r in got)
+
+
 def test_held_out_labels_are_not_read(spark):
     docs, labels, _ = scored(spark)
     spoiled = labels.withColumn("quality", F.when(quality.held_out(), 1 - F.col("quality")).otherwise(F.col("quality")))

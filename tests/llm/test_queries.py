@@ -39,9 +39,26 @@ def test_pipeline_equals_its_parts(spark):
     assert len({r.sequence_id for r in rows}) <= 1.02 * (-(-total // packing.SEQUENCE))
 
 
-def test_stages_survive_edge_rows(spark, tmp_path):
-    docs = edge_documents(spark).drop("n_hit", "spans", "kept")
-    for _, stage in corpus_pipeline.STAGES:
+def test_stages_survive_edge_rows(spark):
+    """Nulls, empty and very long texts, repeated rows and columns named like the operators' own."""
+    docs = edge_documents(spark)
+    columns = docs.columns
+    for name, stage in corpus_pipeline.STAGES:
+        assert name == "language_id" or docs.columns == columns
         assert len(inspect.signature(stage).parameters) == 3
         docs = stage(spark, docs, SF01)
     assert docs.count() > 0
+
+
+def test_pipeline_of_empty_tables(spark, tmp_path):
+    for table in ("documents", "benchmark"):
+        spark.read.parquet(f"{SF01}/{table}.parquet").limit(0).write.parquet(f"{tmp_path}/{table}.parquet")
+    out = corpus_pipeline.run(spark, str(tmp_path))
+    assert out.collect() == [] and out.columns[:7] == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
+
+
+def test_every_stage_of_an_empty_table_keeps_its_columns(spark):
+    docs = edge_documents(spark).limit(0)
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, SF01)
+        assert out.columns == docs.columns and out.collect() == []
