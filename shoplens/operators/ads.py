@@ -127,15 +127,16 @@ def may_hold(rows: DataFrame, column: str, keys: DataFrame, blocks: int = MAX_BL
     return joined.withColumn("maybe", F.coalesce(all_set, F.lit(False))).drop("block", "bits")
 
 
-def drop_blacklisted(clicks: DataFrame, users: DataFrame, max_bytes: int | None = None) -> DataFrame:
+def drop_blacklisted(clicks: DataFrame, users: DataFrame, max_bytes: int | None = None, rows: int | None = None) -> DataFrame:
     """Clicks of users not on the list (anti join; the list is re-read per batch).
 
-    A list that passes the size check is broadcast.  A longer one is first met as a
+    A list that passes the size check is broadcast; with ``rows``, a counted bound on
+    its users, that many rows are checked and not the size of its files.  A longer one is first met as a
     Bloom filter of bounded size: clicks it rules out pass in their scan stage, and
     only the clicks it can't rule out (those of banned users and a few others) are
     shuffled for the exact anti join.
     """
-    small = maybe_broadcast(users, max_bytes)
+    small = maybe_broadcast(users, max_bytes) if rows is None else broadcast_rows(users, rows, max_bytes)
     if small is not users:
         return clicks.join(small, "user_id", "left_anti")
     tested = may_hold(clicks, "user_id", users)

@@ -23,6 +23,9 @@ from shoplens.streaming.realtime import run_realtime
 
 STRETCH_DAYS = 8        # days of a month that arrive together: four stretches
 WAIT_SECONDS = 3600
+# A task of a stateful query reports on every state store of the query, so the driver
+# gets the square of their number; the totals and minutes they hold are few.
+STATE_PARTITIONS = 16
 
 _DONE: dict[tuple, AdsStreamJob] = {}
 
@@ -37,7 +40,8 @@ def replay(spark: SparkSession, tables: ShopTables, c: Conditions) -> AdsStreamJ
     root = checkpoint_path(spark, "shoplens-replay", uuid.uuid4().hex[:12])
     source = f"{root}/lines"
     ensure_dir(spark, source)
-    job = AdsStreamJob(spark, root=f"{root}/job", limit=c.blacklist_limit, top_k=c.top_ads, minutes=c.window_minutes)
+    stores = min(STATE_PARTITIONS, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    job = AdsStreamJob(spark, root=f"{root}/job", limit=c.blacklist_limit, top_k=c.top_ads, minutes=c.window_minutes, state_partitions=stores)
     clicks = tables.ads_click()
     for k in range(-(-31 // STRETCH_DAYS)):
         lines = format_ad_lines(clicks.where(stretch(F.col("ts")) == k))

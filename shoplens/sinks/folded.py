@@ -82,6 +82,11 @@ class FoldedTable:
             return self.spark.createDataFrame([], self.schema)
         return self.merge(self.spark.read.schema(self.schema).parquet(*paths))
 
+    def stored_rows(self, parts: list[str] | None = None, before: int | None = None) -> int:
+        """Rows in the folders of such a read, a bound on the keys it returns; no column is read."""
+        paths = self.paths(parts, before)
+        return self.spark.read.schema(self.schema).parquet(*paths).count() if paths else 0
+
     def has(self, batch_id: int) -> bool:
         return any(int(n) >= int(batch_id) for n in self._names(f"{self.path}/done"))
 

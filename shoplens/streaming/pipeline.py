@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shoplens.operators import ads
-from shoplens.plans.joins import maybe_broadcast
+from shoplens.plans.joins import broadcast_rows
 from shoplens.session import checkpoint_path, ensure_dir
 from shoplens.sinks.appended import AppendedTable
 from shoplens.sinks.folded import REST, FoldedTable
@@ -140,14 +140,17 @@ class AdsStreamJob:
         banned = bans.read(before=batch_id)
         parsed = parsed.select("value", "reason", "is_valid", *CLICK_COLUMNS, "arrived").persist()
         try:
-            clicks = ads.drop_blacklisted(parsed.where("is_valid").select(*CLICK_COLUMNS, "arrived"), banned)
+            # The list's rows decide whether it is broadcast: its files are packed far smaller than a hash table.
+            clicks = ads.drop_blacklisted(parsed.where("is_valid").select(*CLICK_COLUMNS, "arrived"), banned,
+                                          rows=bans.stored_rows(before=batch_id))
             quarantine.append(parsed.where("not is_valid").select("value", "reason", "arrived"), batch_id)
             clean.append(clicks, batch_id)
             now = ads.user_ad_day_counts(clicks).persist()
             try:
                 days = self._days(now, counters.parts())
                 earlier = counters.read(days + [REST], before=batch_id).withColumnRenamed("n", "was")
-                total = now.join(earlier, ["user_id", "ads_id", "day"], "left").withColumn("n", F.col("n") + F.coalesce("was", F.lit(0)))
+                # Never broadcast: the counters grow with the days and users, whatever their files' size.  Both sides are grouped by these keys.
+                total = now.join(earlier.hint("merge"), ["user_id", "ads_id", "day"], "left").withColumn("n", F.col("n") + F.coalesce("was", F.lit(0)))
                 counters.append(now, batch_id, days)
                 bans.append(total.where(F.col("n") >= int(self.limit)).select("user_id").distinct(), batch_id)
                 if self.counter_days is not None and days:
@@ -208,10 +211,12 @@ class AdsStreamJob:
         mine = known.where(F.col("batch_id") == batch_id)
         touched = mine.select("day", "area").distinct()
         # Bounds on the day reach the scan: files of other days are skipped by their statistics.
-        first, last = mine.agg(F.min("day"), F.max("day")).first()
+        first, last, pairs = mine.agg(F.min("day"), F.max("day"), F.count_distinct("day", "area")).first()
         if first is not None:
             known = known.where(F.col("day").between(first, last))
-        state = newest_total(known.join(maybe_broadcast(touched), ["day", "area"], "left_semi"), "day", "area", "city", "ads_id")
+        small = broadcast_rows(touched, pairs)
+        touched = touched.hint("merge") if small is touched else small
+        state = newest_total(known.join(touched, ["day", "area"], "left_semi"), "day", "area", "city", "ads_id")
         ranked = ads.area_top_ads(state, self.top_k)
         top.append(ranked.groupBy("day", "area").agg(
             F.array_sort(F.collect_list(F.struct("rn", "ads_id", "n"))).alias("top")), batch_id)   # top_k rows a group

@@ -3,12 +3,16 @@
 import os
 
 import pytest
-from helpers import SF01, rows
+from helpers import SF01, clicks, rows
 from pyspark.sql import functions as F
 
 from shoplens.operators import ads
+from shoplens.params import DEFAULT_CONDITIONS
+from shoplens.plans.replay import STATE_PARTITIONS, replay
+from shoplens.sinks.appended import AppendedTable
+from shoplens.sinks.folded import FoldedTable
 from shoplens.sources.adlog import format_ad_lines, parse_ad_lines, read_ad_stream
-from shoplens.sources.tables import FixtureTables
+from shoplens.sources.tables import FixtureTables, ShopTables
 from shoplens.streaming.pipeline import AdsStreamJob
 
 N_FILES = 5
@@ -167,3 +171,62 @@ def test_restart_from_checkpoint_gives_same_result(spark, tmp_path_factory):
     assert rows(job.blacklist_batch()) == rows(ads.blacklist(batch.drop("epoch"), LIMIT))
     assert rows(job.last_hour_trend()) == rows(ads.last_hour_trend(job.clean_batch(), 60))
     assert rows(job.latest("ads_per_day")) == rows(ads.ads_per_day(job.clean_batch()))
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_no_list_or_counter_table_is_broadcast_by_its_files_size(spark, tmp_path, monkeypatch):
+    """The files of a ban list, of counters and of (day, area) pairs are far smaller than their rows as a hash table."""
+    n, plans = 3000, {}
+    users = [(f"user{i:06d}",) for i in range(n)]
+    job = AdsStreamJob(spark, root=str(tmp_path), limit=1)
+    for table in (AppendedTable, FoldedTable):
+        def append(self, df, batch_id, *a, _was=table.append):
+            plans[self.path.split("/")[-1], batch_id] = _plan(df)
+            return _was(self, df, batch_id, *a)
+        monkeypatch.setattr(table, "append", append)
+    line = F.concat(F.lit("1704067200000 A c "), "u", F.lit(" 1")).alias("value")
+    job.write_guard(spark.createDataFrame(users, "u string").select(line), 0)
+    assert job.blacklist_batch().count() == n
+    keys = {"shoplens.broadcast.maxBytes": str(n * 28 - 1), "spark.sql.autoBroadcastJoinThreshold": "100m"}
+    bans = job.table("bans")
+    assert bans.size(bans.paths()) < n * 28 - 1 and bans.stored_rows() == n and bans.stored_rows(before=0) == 0
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    try:
+        job.write_guard(spark.createDataFrame(users[::2] + [("new",), ("user",)], "u string").select(line), 1)
+        pairs = spark.createDataFrame([("2024-01-01", f"area{i:06d}", "c", "1", 1) for i in range(n)], "day string, area string, city string, ads_id string, n bigint")
+        job.write_totals(pairs, 0)
+        spark.conf.set("shoplens.broadcast.maxBytes", str(n * 48))
+        job.write_totals(pairs, 1)
+    finally:
+        for k in keys:
+            spark.conf.unset(k)
+    anti = [x for x in plans["clean", 1].splitlines() if "LeftAnti" in x]
+    assert anti and all("SortMergeJoin" in x for x in anti)             # 28 bytes a user: one byte too many
+    outer = [x for x in plans["bans", 1].splitlines() if "LeftOuter" in x and "ads_id" in x]
+    assert outer and all("SortMergeJoin" in x for x in outer)
+    semi = [[x for x in plans["area_top_ads", b].splitlines() if "LeftSemi" in x] for b in (0, 1)]
+    assert semi[0] and all("SortMergeJoin" in x for x in semi[0])
+    assert semi[1] and all("BroadcastHashJoin" in x for x in semi[1])   # a list that fits is still broadcast
+    assert rows(job.blacklist_batch()) == sorted(users + [("new",), ("user",)])
+    assert job.clean_batch().count() == n + 2 and job.latest("area_top_ads").count() == n
+
+
+def test_replay_keeps_few_state_stores_whatever_the_shuffle_partitions(spark):
+    class OneClick(ShopTables):
+        def ads_click(self):
+            return clicks(spark, ("2024-01-05 10:00:00", 1, 1))
+
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(STATE_PARTITIONS + 4))
+    try:
+        job = replay(spark, OneClick(), DEFAULT_CONDITIONS)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    for query in ("totals", "last_hour"):
+        state = job.path("checkpoints", query, "state", "0").removeprefix("file://")
+        assert len([n for n in os.listdir(state) if n.isdigit()]) == STATE_PARTITIONS
+    assert job.clean_batch().count() == 1
